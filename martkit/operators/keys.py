@@ -4,10 +4,10 @@
 a single-partition window: rows are range-partitioned and sorted, each
 partition's row count is computed (one small row per partition), the
 running offsets are built over those few rows and broadcast back.  The data
-itself is never moved to one task.  The range-partitioned, sorted data is
-checkpointed to the shared checkpoint folder first, so the counting pass
-and the numbering pass see the same partition boundaries even if an
-executor is lost in between.
+itself is never moved to one task.  The range-partitioned, sorted rows are
+written once as a table below the shared checkpoint folder (with their
+partition number and position), so the counting pass and the numbering
+pass read the same boundaries even if an executor is lost in between.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 
 ColumnLike = Column | str
 
@@ -40,16 +40,17 @@ def dense_keys(
     such as ``max(existing) + 1`` given as an int computed by the caller.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = _cols(order)
-    ordered = (
+    path = scratch_path(spark, "dense_keys")
+    (
         df.repartitionByRange(n, *cols)
         .sortWithinPartitions(*cols)
         .withColumn("_mk_pid", F.spark_partition_id())
         .withColumn("_mk_pos", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
+        .write.parquet(path)
     )
+    ordered = spark.read.parquet(path)
     # One row per partition: bounded by the partition count, not the data.
     per_part = ordered.groupBy("_mk_pid").agg(
         F.count(F.lit(1)).alias("_mk_n"), F.min("_mk_pos").alias("_mk_base")

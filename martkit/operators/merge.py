@@ -65,6 +65,7 @@ def upsert(
     surrogate: str,
     load_col: str | None = None,
     load_ts: Column | None = None,
+    key_start: int | None = None,
 ) -> DataFrame:
     """Type-1 merge of ``source`` into ``target`` on natural ``keys``.
 
@@ -73,7 +74,9 @@ def upsert(
     reject them with a quality rule first).  Matched rows take the source's
     attributes and a new ``load_ts``; unmatched source rows get surrogate keys
     continuing after ``max(target.surrogate)`` in natural-key order; target
-    rows not in the source are kept unchanged.
+    rows not in the source are kept unchanged.  ``key_start`` overrides the
+    first new key when ``target`` is only a slice of the table (see
+    ``upsert_partitions``).
     """
     attrs = [c for c in target.columns if c not in (*keys, surrogate) and c != load_col]
     s = source.select(*keys, *attrs).withColumn("_s", F.lit(True))
@@ -89,11 +92,46 @@ def upsert(
     merged = j.select(*keys, surrogate, "_t", *merged_cols)
     kept = merged.filter(F.col("_t").isNotNull()).drop("_t")
     new = merged.filter(F.col("_t").isNull()).drop("_t", surrogate)
-    top = target.agg(F.max(surrogate)).first()[0] or 0
-    new_keyed = dense_keys(new, list(keys), surrogate, start=top + 1)
+    if key_start is None:
+        key_start = (target.agg(F.max(surrogate)).first()[0] or 0) + 1
+    new_keyed = dense_keys(new, list(keys), surrogate, start=key_start)
     return kept.unionByName(new_keyed).select(*target.columns)
 
 
+def upsert_partitions(
+    spark,
+    table_path: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    surrogate: str,
+    part_col: str,
+    part_expr: Column,
+    load_col: str,
+    load_ts: Column,
+    staging_path: str,
+) -> DataFrame:
+    """``upsert`` of a table partitioned by ``part_col`` that rewrites only
+    the partitions the source touches.
+
+    The touched partition values are few (one per period in the batch), so
+    they are broadcast and the semi join prunes the scan to those
+    partitions; the rest of the table is neither read nor shuffled.  The
+    merged partitions are first written to ``staging_path`` and then copied
+    over the table with dynamic partition overwrite, so the table is never
+    overwritten while it is being read.
+    """
+    src = source.withColumn(part_col, part_expr)
+    touched = src.select(part_col).distinct()
+    current = spark.read.parquet(table_path)
+    top = current.agg(F.max(surrogate)).first()[0] or 0
+    slice_ = current.join(F.broadcast(touched), part_col, "left_semi")
+    merged = upsert(slice_.drop(part_col), src.drop(part_col), keys, surrogate, load_col, load_ts, key_start=top + 1)
+    staged = write_version(merged.withColumn(part_col, part_expr), staging_path, [part_col])
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    staged.write.mode("overwrite").partitionBy(part_col).parquet(table_path)
+    return spark.read.parquet(table_path)
+
+
 def update_from(
     target: DataFrame, updates: DataFrame, keys: Sequence[str], cols: Sequence[str]
 ) -> DataFrame:

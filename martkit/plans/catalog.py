@@ -37,17 +37,16 @@ def land(pages: DataFrame, path: str) -> None:
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
+    # The schema names the partition column's type: no type inference.
     return (
-        spark.read.option("lineSep", LINE_SEP)
-        .option("basePath", path)
+        spark.read.schema("value string, category string").option("lineSep", LINE_SEP)
         .text(path)
-        .select(F.col("category").cast("string").alias("category"), F.col("value").alias("body"))
+        .select("category", F.col("value").alias("body"))
     )
 
 
 def land_by_category(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "landing")
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
     land(fx.page_hosts(spark, d), path)
     landed = read_landed(spark, path)
     return landed.groupBy("category").agg(

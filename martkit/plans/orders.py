@@ -211,7 +211,8 @@ def weekly_customer_retention(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "f_customer_retention")
     cols = weekly_retention(log).columns
     out = write_version(weekly_retention(log), path, ["period_year", "period_id"])
-    return out.select(*cols)
+    return out.withColumn("period_year", F.col("period_year").cast("int")).withColumn(
+        "period_id", F.col("period_id").cast("int")).select(*cols)
 
 
 def run_day(spark: SparkSession, log: DataFrame, ds: dt.date, fact_path: str, retention_path: str) -> None:
