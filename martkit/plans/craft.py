@@ -119,16 +119,12 @@ def merge_source(stage: DataFrame, keys: list[str], attrs: list[str]) -> DataFra
     return keep_last(rows, keys, ["order_created_date", *attrs]).drop("order_created_date")
 
 
-def _empty_dim(src: DataFrame, sid: str, keys: list[str], attrs: list[str]) -> DataFrame:
-    return src.select(
-        F.lit(None).cast("bigint").alias(sid), *keys, *attrs, F.lit(None).cast("timestamp_ntz").alias("load_dttm")
-    ).limit(0)
-
-
 def merge_dim(target: DataFrame | None, stage: DataFrame, keys, attrs, sid: str, ts: dt.datetime) -> DataFrame:
     src = merge_source(stage, keys, attrs)
-    tgt = target if target is not None else _empty_dim(src, sid, keys, attrs)
-    return upsert(tgt, src, keys, sid, "load_dttm", F.lit(ts).cast("timestamp_ntz"))
+    if target is None:  # first load: every key is new, keys start at 1
+        keyed = dense_keys(src, keys, sid)
+        return keyed.select(sid, *keys, *attrs, F.lit(ts).cast("timestamp_ntz").alias("load_dttm"))
+    return upsert(target, src, keys, sid, "load_dttm", F.lit(ts).cast("timestamp_ntz"))
 
 
 def stage_fact(stage: DataFrame, dc: DataFrame, dcu: DataFrame, dp: DataFrame) -> DataFrame:
@@ -145,11 +141,9 @@ def stage_fact(stage: DataFrame, dc: DataFrame, dcu: DataFrame, dp: DataFrame) -
 
 
 def merge_fact(target: DataFrame | None, sf: DataFrame, ts: dt.datetime) -> DataFrame:
-    if target is None:
-        target = sf.select(
-            F.lit(None).cast("bigint").alias("order_id"), *FACT_KEYS, "order_completion_date", "order_status",
-            F.lit(None).cast("timestamp_ntz").alias("load_dttm"),
-        ).limit(0)
+    if target is None:  # first load
+        keyed = dense_keys(sf, FACT_KEYS, "order_id")
+        return keyed.select(*FACT_COLUMNS[:-1], F.lit(ts).cast("timestamp_ntz").alias("load_dttm"))
     return upsert(target, sf, FACT_KEYS, "order_id", "load_dttm", F.lit(ts).cast("timestamp_ntz"))
 
 
@@ -225,13 +219,15 @@ class CraftWarehouse:
     def _save(self, df: DataFrame, name: str) -> DataFrame:
         return write_version(df, scratch_path(self.spark, name))
 
+    # The stage of each load is a written table (``tmp_sources``): the
+    # three dimensions and the fact all read it.
     @cached_property
     def stage1(self) -> DataFrame:
-        return stage_external_orders(self.spark, self.d, 1)
+        return self._save(stage_external_orders(self.spark, self.d, 1), "tmp_sources")
 
     @cached_property
     def stage2(self) -> DataFrame:
-        return stage_external_orders(self.spark, self.d, 2)
+        return self._save(stage_external_orders(self.spark, self.d, 2), "tmp_sources")
 
     # dims and fact after load 1 / load 2
     @cached_property
