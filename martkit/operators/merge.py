@@ -129,7 +129,7 @@ def upsert_partitions(
     staged = write_version(merged.withColumn(part_col, part_expr), staging_path, [part_col])
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     staged.write.mode("overwrite").partitionBy(part_col).parquet(table_path)
-    return spark.read.parquet(table_path)
+    return spark.read.schema(staged.schema).parquet(table_path)
 
 
 def update_from(
@@ -155,4 +155,5 @@ def write_version(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # The known schema: no inference pass, and an empty version reads fine.
+    return df.sparkSession.read.schema(df.schema).parquet(path)

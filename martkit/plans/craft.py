@@ -77,9 +77,9 @@ def customer_address(load: int) -> str:
 # ---------------------------------------------------------------- staging
 
 
-def external_orders(spark: SparkSession, d: str, load: int) -> DataFrame:
+def external_orders(spark: SparkSession, d: str, load: int, increment_from: str = fx.INCREMENT_FROM) -> DataFrame:
     cpo = fx.craft_products_orders(spark, d)
-    cut = F.col("order_created_date") < F.lit(fx.INCREMENT_FROM).cast("date")
+    cut = F.col("order_created_date") < F.lit(increment_from).cast("date")
     part = cpo.filter(cut if load == 1 else ~cut)
     return part.select(
         "*",
@@ -106,9 +106,9 @@ STAGE_COLUMNS = [
 ]
 
 
-def stage_external_orders(spark: SparkSession, d: str, load: int) -> DataFrame:
+def stage_external_orders(spark: SparkSession, d: str, load: int, increment_from: str = fx.INCREMENT_FROM) -> DataFrame:
     """Orders joined with the delivered customer file (``tmp_sources``)."""
-    orders = external_orders(spark, d, load)
+    orders = external_orders(spark, d, load, increment_from)
     customers = external_customers(orders, load)
     return orders.drop("customer_name").join(customers, "customer_id").select(*STAGE_COLUMNS)
 
@@ -213,8 +213,8 @@ def mart_rows(fact: DataFrame, customers: DataFrame, products: DataFrame, keys:
 class CraftWarehouse:
     """Both loads and both mart refreshes, each table state written once."""
 
-    def __init__(self, spark: SparkSession, d: str):
-        self.spark, self.d = spark, d
+    def __init__(self, spark: SparkSession, d: str, increment_from: str = fx.INCREMENT_FROM):
+        self.spark, self.d, self.increment_from = spark, d, increment_from
 
     def _save(self, df: DataFrame, name: str) -> DataFrame:
         return write_version(df, scratch_path(self.spark, name))
@@ -223,11 +223,11 @@ class CraftWarehouse:
     # three dimensions and the fact all read it.
     @cached_property
     def stage1(self) -> DataFrame:
-        return self._save(stage_external_orders(self.spark, self.d, 1), "tmp_sources")
+        return self._save(stage_external_orders(self.spark, self.d, 1, self.increment_from), "tmp_sources")
 
     @cached_property
     def stage2(self) -> DataFrame:
-        return self._save(stage_external_orders(self.spark, self.d, 2), "tmp_sources")
+        return self._save(stage_external_orders(self.spark, self.d, 2, self.increment_from), "tmp_sources")
 
     # dims and fact after load 1 / load 2
     @cached_property

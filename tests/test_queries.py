@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
@@ -22,8 +24,9 @@ def test_entry_runs(spark):
     assert df.count() > 0
 
 
-def test_incremental_mart_equals_full_recompute(spark, sf):
-    w = CraftWarehouse(spark, sf)
+@pytest.mark.parametrize("split", ["1996-07-01", "2000-01-01", "2001-06-15"])
+def test_incremental_mart_equals_full_recompute(spark, sf, split):
+    w = CraftWarehouse(spark, sf, increment_from=split)
     l2 = w.load2
     full = mart_rows(l2["f_order"], l2["d_customer"], l2["d_product"])
     inc_rows = w.applied["mart"].drop("id")
@@ -33,6 +36,16 @@ def test_incremental_mart_equals_full_recompute(spark, sf):
     assert ins + upd == w.rows2.count() and marks == 1
 
 
+def test_empty_increment_keeps_mart_and_mark(spark, sf):
+    w = CraftWarehouse(spark, sf, increment_from="2100-01-01")
+    assert w.applied["counts"] == (0, 0, 0)
+    assert w.applied["marks"].count() == 1
+    before = w.run1["mart"]
+    after = w.applied["mart"]
+    assert after.exceptAll(before.select(*after.columns)).count() == 0
+    assert after.count() == before.count()
+
+
 def test_run_day_is_idempotent(spark, sf):
     log = fx.user_order_log(spark, sf)
     day = log.agg(F.min("date_time")).first()[0].date()
