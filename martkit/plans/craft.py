@@ -23,6 +23,7 @@ Differences from the reference's statements, on purpose:
 from __future__ import annotations
 
 import datetime as dt
+import os
 from functools import cached_property
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -365,6 +366,28 @@ def _wh(sp, d) -> CraftWarehouse:
     return CraftWarehouse(sp, d)
 
 
+# Warehouse state before the mart refresh (both loads done, first mart
+# built), kept once per Spark application: the mart keys run the refresh
+# against existing warehouse tables, as the reference's step 3 does; the
+# loads themselves are what the ``merge_*`` keys measure.
+_LOADED: dict[tuple[str, str], CraftWarehouse] = {}
+_PRE_REFRESH = ("stage1", "stage2", "fact_path", "load1", "run1", "load2_dims", "stage_fact2", "load2")
+
+
+def _refresh(sp, d) -> CraftWarehouse:
+    key = (sp.sparkContext.applicationId, os.path.abspath(d))
+    base = _LOADED.get(key)
+    if base is None:
+        base = CraftWarehouse(sp, d)
+        _ = base.load2
+        _LOADED[key] = base
+    w = CraftWarehouse(sp, d, base.increment_from)
+    for name in _PRE_REFRESH:
+        if name in base.__dict__:
+            w.__dict__[name] = base.__dict__[name]
+    return w
+
+
 QUERIES = {
     "stage_external_orders": lambda sp, d: stage_external_orders(sp, d, 2),
     "merge_dim_craftsman": lambda sp, d: _wh(sp, d).load2["d_craftsman"],
@@ -372,16 +395,16 @@ QUERIES = {
     "merge_dim_customer": lambda sp, d: _wh(sp, d).load2["d_customer"],
     "stage_fact_orders": lambda sp, d: _wh(sp, d).stage_fact2,
     "merge_fact_orders": lambda sp, d: _wh(sp, d).load2["f_order"].select(*FACT_COLUMNS),
-    "mart_delta": lambda sp, d: _wh(sp, d).delta,
-    "mart_update_keys": lambda sp, d: _wh(sp, d).update_keys,
-    "mart_customer_stats": lambda sp, d: _wh(sp, d).rows2.drop("top_product_category", "top_craftsman_id"),
-    "mart_top_category": lambda sp, d: _wh(sp, d).rows2.select(*MART_KEYS, "top_product_category"),
-    "mart_top_craftsman": lambda sp, d: _wh(sp, d).rows2.select(*MART_KEYS, "top_craftsman_id"),
-    "mart_insert_rows": lambda sp, d: _wh(sp, d).split[1],
-    "mart_update_rows": lambda sp, d: _wh(sp, d).split[0],
-    "mart_apply": lambda sp, d: _wh(sp, d).applied["mart"],
-    "mart_high_water_mark": lambda sp, d: _wh(sp, d).applied["marks"],
-    "mart_load_counts": lambda sp, d: mart_load_counts(_wh(sp, d)),
+    "mart_delta": lambda sp, d: _refresh(sp, d).delta,
+    "mart_update_keys": lambda sp, d: _refresh(sp, d).update_keys,
+    "mart_customer_stats": lambda sp, d: _refresh(sp, d).rows2.drop("top_product_category", "top_craftsman_id"),
+    "mart_top_category": lambda sp, d: _refresh(sp, d).rows2.select(*MART_KEYS, "top_product_category"),
+    "mart_top_craftsman": lambda sp, d: _refresh(sp, d).rows2.select(*MART_KEYS, "top_craftsman_id"),
+    "mart_insert_rows": lambda sp, d: _refresh(sp, d).split[1],
+    "mart_update_rows": lambda sp, d: _refresh(sp, d).split[0],
+    "mart_apply": lambda sp, d: _refresh(sp, d).applied["mart"],
+    "mart_high_water_mark": lambda sp, d: _refresh(sp, d).applied["marks"],
+    "mart_load_counts": lambda sp, d: mart_load_counts(_refresh(sp, d)),
 }
 
 # ---------------------------------------------------------------- oracle
