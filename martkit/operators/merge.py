@@ -66,6 +66,7 @@ def upsert(
     load_col: str | None = None,
     load_ts: Column | None = None,
     key_start: int | None = None,
+    touch_unchanged: bool = True,
 ) -> DataFrame:
     """Type-1 merge of ``source`` into ``target`` on natural ``keys``.
 
@@ -76,7 +77,10 @@ def upsert(
     continuing after ``max(target.surrogate)`` in natural-key order; target
     rows not in the source are kept unchanged.  ``key_start`` overrides the
     first new key when ``target`` is only a slice of the table (see
-    ``upsert_partitions``).
+    ``upsert_partitions``).  ``touch_unchanged=True`` stamps every matched
+    row with ``load_ts`` (what ``MERGE … WHEN MATCHED THEN UPDATE`` does);
+    ``False`` keeps the old load time when no attribute changed, so a later
+    high-water-mark delta only carries real changes.
     """
     attrs = [c for c in target.columns if c not in (*keys, surrogate) and c != load_col]
     s = source.select(*keys, *attrs).withColumn("_s", F.lit(True))
@@ -86,9 +90,13 @@ def upsert(
         F.when(F.col("_s").isNotNull(), F.col(f"_s_{a}")).otherwise(F.col(a)).alias(a) for a in attrs
     ]
     if load_col:
-        merged_cols.append(
-            F.when(F.col("_s").isNotNull(), load_ts).otherwise(F.col(load_col)).alias(load_col)
-        )
+        stamp = F.col("_s").isNotNull()
+        if not touch_unchanged:
+            same = F.lit(True)
+            for a in attrs:
+                same = same & F.col(f"_s_{a}").eqNullSafe(F.col(a))
+            stamp = stamp & (F.col("_t").isNull() | ~same)
+        merged_cols.append(F.when(stamp, load_ts).otherwise(F.col(load_col)).alias(load_col))
     merged = j.select(*keys, surrogate, "_t", *merged_cols)
     kept = merged.filter(F.col("_t").isNotNull()).drop("_t")
     new = merged.filter(F.col("_t").isNull()).drop("_t", surrogate)
@@ -109,6 +117,8 @@ def upsert_partitions(
     load_col: str,
     load_ts: Column,
     staging_path: str,
+    table_schema=None,
+    touch_unchanged: bool = True,
 ) -> DataFrame:
     """``upsert`` of a table partitioned by ``part_col`` that rewrites only
     the partitions the source touches.
@@ -122,10 +132,12 @@ def upsert_partitions(
     """
     src = source.withColumn(part_col, part_expr)
     touched = src.select(part_col).distinct()
-    current = spark.read.parquet(table_path)
+    reader = spark.read.schema(table_schema) if table_schema is not None else spark.read
+    current = reader.parquet(table_path)
     top = current.agg(F.max(surrogate)).first()[0] or 0
     slice_ = current.join(F.broadcast(touched), part_col, "left_semi")
-    merged = upsert(slice_.drop(part_col), src.drop(part_col), keys, surrogate, load_col, load_ts, key_start=top + 1)
+    merged = upsert(slice_.drop(part_col), src.drop(part_col), keys, surrogate, load_col, load_ts,
+                    key_start=top + 1, touch_unchanged=touch_unchanged)
     staged = write_version(merged.withColumn(part_col, part_expr), staging_path, [part_col])
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     staged.write.mode("overwrite").partitionBy(part_col).parquet(table_path)

@@ -120,12 +120,13 @@ def merge_source(stage: DataFrame, keys: list[str], attrs: list[str]) -> DataFra
     return keep_last(rows, keys, ["order_created_date", *attrs]).drop("order_created_date")
 
 
-def merge_dim(target: DataFrame | None, stage: DataFrame, keys, attrs, sid: str, ts: dt.datetime) -> DataFrame:
+def merge_dim(target: DataFrame | None, stage: DataFrame, keys, attrs, sid: str, ts: dt.datetime,
+              touch_unchanged: bool = True) -> DataFrame:
     src = merge_source(stage, keys, attrs)
     if target is None:  # first load: every key is new, keys start at 1
         keyed = dense_keys(src, keys, sid)
         return keyed.select(sid, *keys, *attrs, F.lit(ts).cast("timestamp_ntz").alias("load_dttm"))
-    return upsert(target, src, keys, sid, "load_dttm", F.lit(ts).cast("timestamp_ntz"))
+    return upsert(target, src, keys, sid, "load_dttm", F.lit(ts).cast("timestamp_ntz"), touch_unchanged=touch_unchanged)
 
 
 def stage_fact(stage: DataFrame, dc: DataFrame, dcu: DataFrame, dp: DataFrame) -> DataFrame:
@@ -214,8 +215,12 @@ def mart_rows(fact: DataFrame, customers: DataFrame, products: DataFrame, keys:
 class CraftWarehouse:
     """Both loads and both mart refreshes, each table state written once."""
 
-    def __init__(self, spark: SparkSession, d: str, increment_from: str = fx.INCREMENT_FROM):
+    def __init__(self, spark: SparkSession, d: str, increment_from: str = fx.INCREMENT_FROM,
+                 touch_unchanged: bool = True):
+        """``touch_unchanged``: stamp every matched row on a merge (the
+        reference's MERGE) or only rows whose attributes changed."""
         self.spark, self.d, self.increment_from = spark, d, increment_from
+        self.touch_unchanged = touch_unchanged
 
     def _save(self, df: DataFrame, name: str) -> DataFrame:
         return write_version(df, scratch_path(self.spark, name))
@@ -253,13 +258,14 @@ class CraftWarehouse:
     @cached_property
     def load2_dims(self) -> dict[str, DataFrame]:
         s, l1 = self.stage2, self.load1
+        tu = self.touch_unchanged
         return {
-            "d_craftsman": self._save(
-                merge_dim(l1["d_craftsman"], s, CRAFTSMAN_KEYS, CRAFTSMAN_ATTRS, "craftsman_id", T2), "d_craftsman"),
-            "d_product": self._save(merge_dim(l1["d_product"], s, PRODUCT_KEYS, PRODUCT_ATTRS, "product_id", T2),
-                                    "d_product"),
-            "d_customer": self._save(
-                merge_dim(l1["d_customer"], s, CUSTOMER_KEYS, CUSTOMER_ATTRS, "customer_id", T2), "d_customer"),
+            "d_craftsman": self._save(merge_dim(
+                l1["d_craftsman"], s, CRAFTSMAN_KEYS, CRAFTSMAN_ATTRS, "craftsman_id", T2, tu), "d_craftsman"),
+            "d_product": self._save(merge_dim(
+                l1["d_product"], s, PRODUCT_KEYS, PRODUCT_ATTRS, "product_id", T2, tu), "d_product"),
+            "d_customer": self._save(merge_dim(
+                l1["d_customer"], s, CUSTOMER_KEYS, CUSTOMER_ATTRS, "customer_id", T2, tu), "d_customer"),
         }
 
     @cached_property
@@ -271,6 +277,7 @@ class CraftWarehouse:
         out["f_order"] = upsert_partitions(
             self.spark, self.fact_path, self.stage_fact2, FACT_KEYS, "order_id", FACT_PART, period(),
             "load_dttm", F.lit(T2).cast("timestamp_ntz"), scratch_path(self.spark, "f_order_staging"),
+            table_schema=self.load1["f_order"].schema, touch_unchanged=self.touch_unchanged,
         )
         return out
 
@@ -381,7 +388,7 @@ def _refresh(sp, d) -> CraftWarehouse:
         base = CraftWarehouse(sp, d)
         _ = base.load2
         _LOADED[key] = base
-    w = CraftWarehouse(sp, d, base.increment_from)
+    w = CraftWarehouse(sp, d, base.increment_from, base.touch_unchanged)
     for name in _PRE_REFRESH:
         if name in base.__dict__:
             w.__dict__[name] = base.__dict__[name]
