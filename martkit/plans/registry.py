@@ -78,6 +78,26 @@ def first_per_key(df: DataFrame, key: str, order: list[str], flag: str) -> DataF
     return df.join(best, key).withColumn(flag, F.struct(*order) == F.col("_fpk_min")).drop("_fpk_min")
 
 
+def revert_sales(cars: DataFrame, sales: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Revert sales by number: (outcomes, new cars, new sales).  A known sale
+    is deleted and its car becomes available again; an unknown number is
+    rejected and changes nothing."""
+    known = sales.select("sales_number", "car_vin", F.lit(True).alias("_known"))
+    j = requests.select("sales_number").distinct().join(known, "sales_number", "left")
+    reason = F.when(F.col("_known").isNull(), "unknown sale")
+    outcomes = j.select("sales_number", F.when(reason.isNull(), "reverted").otherwise("rejected").alias("outcome"),
+                        reason.alias("reason"))
+    gone = j.filter(F.col("_known").isNotNull()).select("sales_number", "car_vin")
+    new_sales = sales.join(gone.select("sales_number"), "sales_number", "left_anti").select(*sales.columns)
+    freed = gone.select(F.col("car_vin").alias("vin"), F.lit(True).alias("_freed")).distinct()
+    new_cars = (
+        cars.join(freed, "vin", "left")
+        .withColumn("status", F.when(F.col("_freed").isNotNull(), AVAILABLE).otherwise(F.col("status")))
+        .select(*cars.columns)
+    )
+    return outcomes, new_cars, new_sales
+
+
 class Registry:
     def __init__(self, spark: SparkSession, d: str):
         self.spark, self.d = spark, d
@@ -228,11 +248,22 @@ class Registry:
         return known.unionByName(unknown).distinct()
 
     def revert(self) -> DataFrame:
-        j = self.revert_requests.join(self.sales.select("sales_number", F.lit(True).alias("_known")),
-                                      "sales_number", "left")
-        reason = F.when(F.col("_known").isNull(), "unknown sale")
-        return j.select("sales_number", F.when(reason.isNull(), "reverted").otherwise("rejected").alias("outcome"),
-                        reason.alias("reason"))
+        return revert_sales(self.cars, self.sales, self.revert_requests)[0]
+
+    def apply_sales(self, outcomes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+        """New (cars, sales): accepted sales enter the sales table and mark
+        their car sold; rejected requests change nothing."""
+        cars, sales = self.sell_state
+        out = outcomes if outcomes is not None else self.sell()
+        acc = out.filter(F.col("outcome") == "accepted").select("sales_number", "car_vin")
+        new_sales = sales.unionByName(self.sell_requests.join(acc, ["sales_number", "car_vin"], "left_semi"))
+        sold = acc.select(F.col("car_vin").alias("vin"), F.lit(True).alias("_sold"))
+        new_cars = (
+            cars.join(sold, "vin", "left")
+            .withColumn("status", F.when(F.col("_sold").isNotNull(), SOLD).otherwise(F.col("status")))
+            .select(*cars.columns)
+        )
+        return new_cars, new_sales
 
     def write_sales_after_revert(self) -> str:
         """The sales file with every reverted sale's record replaced by a

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import jsonops as js
 from ..functions.numeric import avg_cents, cents, cents_to_decimal, div_round
 from ..operators.keys import dense_keys
-from ..operators.merge import write_version
+from ..operators.merge import update_from, write_version
 from ..session import scratch_path
 from ..sources import fixtures as fx
 
@@ -34,6 +34,7 @@ PRICE_FACTOR = "1.2"
 PHONE_PREFIX = "8-800-2500-"
 PHONE_NUMBER_OFFSET = 99
 TOP_K = 3
+MENU_KEYS = ["restaurant_name", "section", "item"]
 # The year left out of the year-over-year view: the reference drops its
 # current, incomplete year; 2001 is the incomplete last year of the data.
 EXCLUDED_YEAR = 2001
@@ -170,27 +171,38 @@ def menu_rows(n: Network) -> DataFrame:
 
 
 def menu_price_update(n: Network) -> DataFrame:
-    """+20 % on the cappuccino of every coffee shop that sells one; the new
-    menu state as rows (re-nest with ``jsonops.nest`` at the sink)."""
+    """+20 % on the cappuccino of every coffee shop that sells one, as
+    ``UPDATE … FROM`` the updated items; the new menu state as rows
+    (``menu_json`` re-nests them at the sink)."""
     rows = menu_rows(n)
     hit = (F.col("restaurant_type") == "coffee_shop") & (F.col("section") == COFFEE) & (F.col("item") == CAPPUCCINO)
-    return rows.select(
-        "restaurant_name", "section", "item",
-        F.when(hit, (F.col("price") * F.lit(PRICE_FACTOR).cast("decimal(2,1)")).cast("decimal(10,2)"))
-        .otherwise(F.col("price")).alias("price"),
+    updates = rows.filter(hit).select(
+        *MENU_KEYS, (F.col("price") * F.lit(PRICE_FACTOR).cast("decimal(2,1)")).cast("decimal(10,2)").alias("price")
     )
+    return update_from(rows.select(*MENU_KEYS, "price"), updates, MENU_KEYS, ["price"])
+
+
+def menu_json(rows: DataFrame) -> DataFrame:
+    """Menu rows -> one JSON document per venue, prices as JSON numbers."""
+    sections = rows.groupBy("restaurant_name", "section").agg(
+        F.map_from_entries(F.collect_list(F.struct("item", "price"))).alias("items"))
+    return sections.groupBy("restaurant_name").agg(
+        F.to_json(F.map_from_entries(F.collect_list(F.struct("section", "items")))).alias("menu"))
 
 
 def manager_phone_array(n: Network) -> DataFrame:
-    """``phone_numbers = [generated, old]``; the generated number follows the
-    managers' name order (ties by phone), keyed without a global window."""
+    """Add ``phone_numbers``, set it to ``[generated, old]`` with
+    ``UPDATE … FROM`` the numbered managers, drop ``phone``.  The generated
+    number follows the managers' name order (ties by phone), keyed without
+    a global window."""
     numbered = dense_keys(n.managers, ["name", "phone"], "manager_number", start=PHONE_NUMBER_OFFSET + 1)
-    return numbered.select(
-        "manager_id", "name",
+    generated = numbered.select(
+        "manager_id",
         F.array(F.concat_ws("", F.lit(PHONE_PREFIX), F.col("manager_number").cast("string")), F.col("phone")).alias(
-            "phone_numbers"
-        ),
+            "phone_numbers"),
     )
+    with_col = n.managers.withColumn("phone_numbers", F.lit(None).cast("array<string>"))
+    return update_from(with_col, generated, ["manager_id"], ["phone_numbers"]).drop("phone")
 
 
 QUERIES = {

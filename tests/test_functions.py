@@ -73,6 +73,20 @@ def test_json_operators(spark):
     assert nested.json == '{"Маргарита":"300","Пепперони":"400"}'
 
 
+def test_menu_renests_with_numeric_prices(spark):
+    from decimal import Decimal as D
+
+    from martkit.plans.venues import menu_json
+
+    rows = spark.createDataFrame(
+        [("a", "Кофе", "Капучино", D("240.00")), ("a", "Кофе", "Латте", D("210.00")), ("a", "Салат", "Цезарь", D("350.00"))],
+        "restaurant_name string, section string, item string, price decimal(10,2)")
+    import json
+
+    doc = json.loads(menu_json(rows).first().menu)
+    assert doc == {"Кофе": {"Капучино": 240.0, "Латте": 210.0}, "Салат": {"Цезарь": 350.0}}
+
+
 def test_iso_week_across_year_end(spark):
     df = spark.createDataFrame([(dt.datetime(2020, 12, 31),), (dt.datetime(2021, 1, 1),)], "t timestamp_ntz")
     got = df.select(F.expr("extract(YEAROFWEEK FROM t)").alias("y"), F.weekofyear("t").alias("w")).collect()

@@ -89,6 +89,20 @@ def test_registry_batches_reject_with_reasons(spark, sf):
     assert accepted.count() > 0
 
 
+def test_sell_then_revert_restores_the_start(spark, sf):
+    from martkit.plans.registry import revert_sales
+
+    r = Registry(spark, sf)
+    cars0, sales0 = r.sell_state
+    cars1, sales1 = r.apply_sales()
+    accepted = r.sell().filter(F.col("outcome") == "accepted").select("sales_number")
+    assert accepted.count() > 0 and cars1.exceptAll(cars0).count() > 0
+    outcomes, cars2, sales2 = revert_sales(cars1, sales1, accepted)
+    assert outcomes.filter(F.col("outcome") != "reverted").count() == 0
+    for a, b in ((cars2, cars0), (sales2, sales0)):
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_streaming_ingest_drops_repeats(spark, sf):
     got = E.queries()["stream_increment_ingest"](spark, sf)
     assert got.count() == got.select("uniq_id").distinct().count() == fx.user_order_log(spark, sf).count()
