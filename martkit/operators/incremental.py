@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.timeutil import ntz
 from .keys import dense_keys
 
 MARK_FLOOR = dt.datetime(1900, 1, 1)
@@ -41,7 +42,7 @@ def changed_rows(
 ) -> DataFrame:
     """Fact rows newer than ``mark`` or pointing at a dimension row newer
     than ``mark``.  ``dims`` = (dimension, key column, load column)."""
-    m = F.lit(mark).cast("timestamp_ntz")
+    m = ntz(mark)
     parts = [fact.filter(F.col(fact_load) > m)]
     for dim, key, load in dims:
         changed = dim.filter(F.col(load) > m).select(key)

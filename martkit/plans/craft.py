@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.timeutil import ntz
 from ..functions.numeric import avg_cents, cents, cents_to_decimal, div_round
 from ..operators import incremental as inc
 from ..operators.keys import dense_keys, keep_last
@@ -125,8 +126,8 @@ def merge_dim(target: DataFrame | None, stage: DataFrame, keys, attrs, sid: str,
     src = merge_source(stage, keys, attrs)
     if target is None:  # first load: every key is new, keys start at 1
         keyed = dense_keys(src, keys, sid)
-        return keyed.select(sid, *keys, *attrs, F.lit(ts).cast("timestamp_ntz").alias("load_dttm"))
-    return upsert(target, src, keys, sid, "load_dttm", F.lit(ts).cast("timestamp_ntz"), touch_unchanged=touch_unchanged)
+        return keyed.select(sid, *keys, *attrs, ntz(ts).alias("load_dttm"))
+    return upsert(target, src, keys, sid, "load_dttm", ntz(ts), touch_unchanged=touch_unchanged)
 
 
 def stage_fact(stage: DataFrame, dc: DataFrame, dcu: DataFrame, dp: DataFrame) -> DataFrame:
@@ -145,8 +146,8 @@ def stage_fact(stage: DataFrame, dc: DataFrame, dcu: DataFrame, dp: DataFrame) -
 def merge_fact(target: DataFrame | None, sf: DataFrame, ts: dt.datetime) -> DataFrame:
     if target is None:  # first load
         keyed = dense_keys(sf, FACT_KEYS, "order_id")
-        return keyed.select(*FACT_COLUMNS[:-1], F.lit(ts).cast("timestamp_ntz").alias("load_dttm"))
-    return upsert(target, sf, FACT_KEYS, "order_id", "load_dttm", F.lit(ts).cast("timestamp_ntz"))
+        return keyed.select(*FACT_COLUMNS[:-1], ntz(ts).alias("load_dttm"))
+    return upsert(target, sf, FACT_KEYS, "order_id", "load_dttm", ntz(ts))
 
 
 # ---------------------------------------------------------------- mart
@@ -276,7 +277,7 @@ class CraftWarehouse:
         out = dict(self.load2_dims)
         out["f_order"] = upsert_partitions(
             self.spark, self.fact_path, self.stage_fact2, FACT_KEYS, "order_id", FACT_PART, period(),
-            "load_dttm", F.lit(T2).cast("timestamp_ntz"), scratch_path(self.spark, "f_order_staging"),
+            "load_dttm", ntz(T2), scratch_path(self.spark, "f_order_staging"),
             table_schema=self.load1["f_order"].schema, touch_unchanged=self.touch_unchanged,
         )
         return out

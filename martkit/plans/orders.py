@@ -10,6 +10,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.timeutil import ntz
 from ..functions.numeric import cents, cents_to_decimal
 from ..operators.keys import keep_first
 from ..operators.merge import insert_absent, write_version
@@ -128,8 +129,8 @@ def sales_fact(log: DataFrame, days: tuple[dt.date, dt.date] | None = None) -> D
         lo, hi = days
         # Half-open timestamp range: Parquet statistics prune row groups.
         src = src.filter(
-            (F.col("date_time") >= F.lit(lo).cast("timestamp_ntz"))
-            & (F.col("date_time") < F.lit(hi + dt.timedelta(days=1)).cast("timestamp_ntz"))
+            (F.col("date_time") >= ntz(lo))
+            & (F.col("date_time") < ntz(hi + dt.timedelta(days=1)))
         )
     # The calendar has one row per day of the log's span: a bounded broadcast.
     cal = F.broadcast(calendar(log))
