@@ -7,6 +7,10 @@ scalar expressions are shared text where both dialects agree.  Two places
 differ on purpose: ``raw_sales.id`` is a global row number (Spark: the
 scalable ``dense_keys``; SQL: ``row_number()``), and the first sale per part
 uses ``min`` over a struct in Spark instead of a per-part window.
+
+The expensive views are ``materialized``: written once per Spark
+application below the checkpoint folder and scanned from there, the way
+the reference loads its raw tables once before its queries run.
 """
 
 from __future__ import annotations
