@@ -35,7 +35,7 @@ from ..functions.numeric import avg_cents, cents, cents_to_decimal, div_round
 from ..operators import incremental as inc
 from ..operators.keys import dense_keys, keep_last
 from ..operators.merge import upsert, upsert_partitions, write_version
-from ..session import scratch_path
+from ..session import run_concurrently, scratch_path
 from ..sources import fixtures as fx
 
 T1 = dt.datetime.fromisoformat(fx.BASE_LOAD_TS)
@@ -239,10 +239,14 @@ class CraftWarehouse:
     # dims and fact after load 1 / load 2
     @cached_property
     def load1(self) -> dict[str, DataFrame]:
-        s = self.stage1
-        dc = self._save(merge_dim(None, s, CRAFTSMAN_KEYS, CRAFTSMAN_ATTRS, "craftsman_id", T1), "d_craftsman")
-        dp = self._save(merge_dim(None, s, PRODUCT_KEYS, PRODUCT_ATTRS, "product_id", T1), "d_product")
-        dcu = self._save(merge_dim(None, s, CUSTOMER_KEYS, CUSTOMER_ATTRS, "customer_id", T1), "d_customer")
+        s, _ = run_concurrently(lambda: self.stage1, lambda: self.stage2)
+        # The three dimension loads are independent (the reference's DAG runs
+        # them in parallel too).
+        dc, dp, dcu = run_concurrently(
+            lambda: self._save(merge_dim(None, s, CRAFTSMAN_KEYS, CRAFTSMAN_ATTRS, "craftsman_id", T1), "d_craftsman"),
+            lambda: self._save(merge_dim(None, s, PRODUCT_KEYS, PRODUCT_ATTRS, "product_id", T1), "d_product"),
+            lambda: self._save(merge_dim(None, s, CUSTOMER_KEYS, CUSTOMER_ATTRS, "customer_id", T1), "d_customer"),
+        )
         fo = write_version(merge_fact(None, stage_fact(s, dc, dcu, dp), T1).withColumn(FACT_PART, period()),
                            self.fact_path, [FACT_PART])
         return {"d_craftsman": dc, "d_product": dp, "d_customer": dcu, "f_order": fo}
@@ -260,14 +264,15 @@ class CraftWarehouse:
     def load2_dims(self) -> dict[str, DataFrame]:
         s, l1 = self.stage2, self.load1
         tu = self.touch_unchanged
-        return {
-            "d_craftsman": self._save(merge_dim(
+        dc, dp, dcu = run_concurrently(
+            lambda: self._save(merge_dim(
                 l1["d_craftsman"], s, CRAFTSMAN_KEYS, CRAFTSMAN_ATTRS, "craftsman_id", T2, tu), "d_craftsman"),
-            "d_product": self._save(merge_dim(
+            lambda: self._save(merge_dim(
                 l1["d_product"], s, PRODUCT_KEYS, PRODUCT_ATTRS, "product_id", T2, tu), "d_product"),
-            "d_customer": self._save(merge_dim(
+            lambda: self._save(merge_dim(
                 l1["d_customer"], s, CUSTOMER_KEYS, CUSTOMER_ATTRS, "customer_id", T2, tu), "d_customer"),
-        }
+        )
+        return {"d_craftsman": dc, "d_product": dp, "d_customer": dcu}
 
     @cached_property
     def load2(self) -> dict[str, DataFrame]:

@@ -60,3 +60,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path below the shared checkpoint folder."""
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     return os.path.join(base, "martkit-scratch", f"{name}-{uuid.uuid4().hex}")
+
+
+def run_concurrently(*steps):
+    """Run independent steps (each submits its own Spark jobs) from driver
+    threads, so small jobs share the executors instead of queueing; returns
+    their results in order."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        futures = [pool.submit(step) for step in steps]
+        return [f.result() for f in futures]
