@@ -63,5 +63,5 @@ _CTES = fx.duck_with("page_hosts")
 ORACLE = {
     "catalog_categories": _CTES + "SELECT category, min(url) AS url, count(*) AS n_pages FROM page_hosts GROUP BY category",
     "land_by_category": _CTES
-    + "SELECT category, count(*) AS n_pages, sum(length(body)) AS n_chars FROM page_hosts GROUP BY category",
+    + "SELECT category, count(*) AS n_pages, CAST(sum(length(body)) AS BIGINT) AS n_chars FROM page_hosts GROUP BY category",
 }

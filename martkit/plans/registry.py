@@ -152,7 +152,8 @@ class Registry:
         """Existing table: cars with lot <= 25.  Requests: every car, and the
         cars with lot divisible by 10 a second time at a higher price."""
         again = self.cars.filter(F.col("lot") % 10 == 0).withColumn("price", F.col("price") + F.lit(1))
-        return self.cars.unionByName(again).select("vin", "model", "price", "status")
+        return self.cars.unionByName(again).select(
+            "vin", "model", F.col("price").cast("decimal(12,2)").alias("price"), "status")
 
     def keyed_insert(self) -> DataFrame:
         table = self.cars.filter(F.col("lot") <= 25).select("vin")
@@ -326,7 +327,7 @@ r AS (SELECT *, row_number() OVER (PARTITION BY vin ORDER BY price, model, statu
   CASE WHEN vin IN (SELECT vin FROM registry_cars WHERE lot <= 25) THEN 'key exists'
        WHEN row_number() OVER (PARTITION BY vin ORDER BY price, model, status) > 1 THEN 'duplicate key in batch' END AS reason
   FROM req)
-SELECT vin, price, {_OUT}, reason FROM r""",
+SELECT vin, CAST(price AS DECIMAL(12,2)) AS price, {_OUT}, reason FROM r""",
     "sell_cars_batch": _CTES
     + f""", cars AS (SELECT vin, CASE WHEN lot % 5 = 0 THEN '{SOLD}' ELSE '{AVAILABLE}' END AS status FROM registry_cars),
 sales AS (SELECT s.* FROM registry_sales s WHERE car_vin IN (SELECT vin FROM registry_cars WHERE lot % 5 = 0)),
