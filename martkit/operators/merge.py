@@ -106,6 +106,25 @@ def upsert(
     return kept.unionByName(new_keyed).select(*target.columns)
 
 
+# Above this many distinct partition values, pruning falls back to a join.
+MAX_PRUNE_VALUES = 10000
+
+
+def prune_to_partitions(table: DataFrame, part_col: str, wanted: DataFrame, wanted_col: str | None = None) -> DataFrame:
+    """Rows of ``table`` in the partitions named by ``wanted``.
+
+    The distinct partition values (periods: bounded by the calendar, not by
+    the data) are collected and applied as a static filter, so the scan
+    lists and reads only those partition folders.  More than
+    ``MAX_PRUNE_VALUES`` values fall back to a semi join.
+    """
+    col = wanted_col or part_col
+    vals = wanted.select(col).distinct().limit(MAX_PRUNE_VALUES + 1).collect()
+    if len(vals) <= MAX_PRUNE_VALUES:
+        return table.filter(F.col(part_col).isin([r[0] for r in vals]))
+    return table.join(wanted.select(F.col(col).alias(part_col)).distinct(), part_col, "left_semi")
+
+
 def upsert_partitions(
     spark,
     table_path: str,
@@ -123,9 +142,9 @@ def upsert_partitions(
     """``upsert`` of a table partitioned by ``part_col`` that rewrites only
     the partitions the source touches.
 
-    The touched partition values are few (one per period in the batch), so
-    they are broadcast and the semi join prunes the scan to those
-    partitions; the rest of the table is neither read nor shuffled.  The
+    The touched partition values are few (one per period in the batch) and
+    prune the scan to those partitions (``prune_to_partitions``); the rest
+    of the table is neither read nor shuffled.  The
     merged partitions are first written to ``staging_path`` and then copied
     over the table with dynamic partition overwrite, so the table is never
     overwritten while it is being read.
@@ -135,7 +154,7 @@ def upsert_partitions(
     reader = spark.read.schema(table_schema) if table_schema is not None else spark.read
     current = reader.parquet(table_path)
     top = current.agg(F.max(surrogate)).first()[0] or 0
-    slice_ = current.join(F.broadcast(touched), part_col, "left_semi")
+    slice_ = prune_to_partitions(current, part_col, touched)
     merged = upsert(slice_.drop(part_col), src.drop(part_col), keys, surrogate, load_col, load_ts,
                     key_start=top + 1, touch_unchanged=touch_unchanged)
     staged = write_version(merged.withColumn(part_col, part_expr), staging_path, [part_col])

@@ -34,7 +34,7 @@ from ..functions.timeutil import ntz
 from ..functions.numeric import avg_cents, cents, cents_to_decimal, div_round
 from ..operators import incremental as inc
 from ..operators.keys import dense_keys, keep_last
-from ..operators.merge import upsert, upsert_partitions, write_version
+from ..operators.merge import prune_to_partitions, upsert, upsert_partitions, write_version
 from ..session import run_concurrently, scratch_path
 from ..sources import fixtures as fx
 
@@ -199,9 +199,9 @@ def mart_rows(fact: DataFrame, customers: DataFrame, products: DataFrame, keys:
     f = fact.withColumn("report_period", period())
     if keys is not None:
         if FACT_PART in f.columns:
-            # On the month partition column, so the scan can be pruned.
+            # Read only the affected months, then keep the affected keys.
             k = keys.select("customer_id", F.col("report_period").alias(FACT_PART))
-            f = f.join(k, ["customer_id", FACT_PART], "left_semi")
+            f = prune_to_partitions(f, FACT_PART, k).join(k, ["customer_id", FACT_PART], "left_semi")
         else:
             f = f.join(keys.select(*MART_KEYS), MART_KEYS, "left_semi")
     j = f.join(products.select("product_id", "product_price", "product_type"), "product_id")
