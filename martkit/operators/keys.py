@@ -40,11 +40,13 @@ def dense_keys(
     such as ``max(existing) + 1`` given as an int computed by the caller.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = _cols(order)
     path = scratch_path(spark, "dense_keys")
+    # Without an explicit count AQE may merge adjacent ranges for a small
+    # input; merged partitions stay contiguous and in order.
+    ranged = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
     (
-        df.repartitionByRange(n, *cols)
+        ranged
         .sortWithinPartitions(*cols)
         .withColumn("_mk_pid", F.spark_partition_id())
         .withColumn("_mk_pos", F.monotonically_increasing_id())
