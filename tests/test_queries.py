@@ -112,3 +112,20 @@ def test_no_cartesian_products_in_plans(spark, sf):
     for key in ["car_sales_fact", "top3_venues_by_type", "largest_menu_with_ties", "weekly_customer_retention"]:
         plan = E.queries()[key](spark, sf)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, key
+
+
+def test_insert_absent_avoids_null_aware_broadcast(spark, sf):
+    plan = E.queries()["insert_absent_customer"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    anti = [line.strip() for line in plan.splitlines() if "LeftAnti" in line]
+    # A hash join's last field is the null-aware flag; SQL NOT IN would print "true".
+    assert anti and not any(line.endswith("true") for line in anti)
+
+
+def test_fact_merge_reads_only_touched_months(spark, sf):
+    from martkit.operators.merge import prune_to_partitions
+
+    w = CraftWarehouse(spark, sf, increment_from="2001-06-01")
+    fact = spark.read.schema(w.load1["f_order"].schema).parquet(w.fact_path)
+    touched = w.stage2.withColumn("order_month", F.date_format("order_created_date", "yyyy-MM"))
+    plan = prune_to_partitions(fact, "order_month", touched)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "order_month" in plan.split("PartitionFilters: [", 1)[1][:200]
