@@ -10,10 +10,16 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sharding
+from . import fertility, sharding
 from .common import documents
 
 
+def op5_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fertility measures and verdict of every document."""
+    docs = documents(spark, sf_dir)
+    return docs.select("doc_id", fertility.fertility(F.col("text"), F.col("lang")).alias("m")).select("doc_id", "m.*")
+
+
 def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards 0 to 39; law ``bytes``: shard sizes near equal."""
     placed, _ = sharding.assign(documents(spark, sf_dir), 40)
@@ -30,6 +36,7 @@ def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_fertility": op5_fertility,
     "op8_virtual_slots": op8_virtual_slots,
 }
 
