@@ -10,7 +10,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fertility, sharding
+from . import fertility, line_dedup, sharding
 from .common import documents
 
 
@@ -20,6 +20,12 @@ def op5_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", fertility.fertility(F.col("text"), F.col("lang")).alias("m")).select("doc_id", "m.*")
 
 
+def op6_site_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that stand on many sites."""
+    found = line_dedup.remove_boilerplate(documents(spark, sf_dir))
+    return found.select("row.doc_id", "n_lines", "n_removed", F.col("clean").alias("text"))
+
+
 def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards 0 to 39; law ``bytes``: shard sizes near equal."""
     placed, _ = sharding.assign(documents(spark, sf_dir), 40)
@@ -37,7 +43,10 @@ def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op5_fertility": op5_fertility,
+    "op6_site_spread": op6_site_spread,
     "op8_virtual_slots": op8_virtual_slots,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_site_spread": line_dedup.ORACLE,
+}
