@@ -10,10 +10,15 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fertility, line_dedup, sharding
+from . import fertility, line_dedup, ngram_join, sharding
 from .common import documents
 
 
+def op4_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of similar documents and number of links."""
+    return ngram_join.similar_classes(documents(spark, sf_dir)).drop("th")
+
+
 def op5_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fertility measures and verdict of every document."""
     docs = documents(spark, sf_dir)
@@ -42,6 +47,7 @@ def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_chosen_path": op4_chosen_path,
     "op5_fertility": op5_fertility,
     "op6_site_spread": op6_site_spread,
     "op8_virtual_slots": op8_virtual_slots,
