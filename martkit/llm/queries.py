@@ -10,7 +10,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fertility, line_dedup, ngram_join, sharding
+from . import fertility, line_dedup, ngram_join, secret_scan, sharding
 from .common import documents
 
 
@@ -46,11 +46,18 @@ def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document."""
+    docs = documents(spark, sf_dir)
+    return docs.select("doc_id", secret_scan.scan(F.col("text")).alias("s")).select("doc_id", "s.*").drop("redacted")
+
+
 QUERIES = {
     "op4_chosen_path": op4_chosen_path,
     "op5_fertility": op5_fertility,
     "op6_site_spread": op6_site_spread,
     "op8_virtual_slots": op8_virtual_slots,
+    "op9_grammar": op9_grammar,
 }
 
 ORACLE: dict[str, str] = {
