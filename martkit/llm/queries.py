@@ -10,10 +10,15 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fertility, line_dedup, ngram_join, secret_scan, sharding
+from . import fertility, line_dedup, ngram_join, packing, secret_scan, sharding
 from .common import documents
 
 
+def op3_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, packed along the Hilbert curve."""
+    return packing.pack(documents(spark, sf_dir))
+
+
 def op4_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's class of similar documents and number of links."""
     return ngram_join.similar_classes(documents(spark, sf_dir)).drop("th")
@@ -53,6 +58,7 @@ def op9_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_hilbert": op3_hilbert,
     "op4_chosen_path": op4_chosen_path,
     "op5_fertility": op5_fertility,
     "op6_site_spread": op6_site_spread,
