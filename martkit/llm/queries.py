@@ -10,10 +10,15 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fertility, line_dedup, ngram_join, packing, secret_scan, sharding
+from . import fertility, license_scan, line_dedup, ngram_join, packing, secret_scan, sharding
 from .common import documents
 
 
+def op1_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License places, labels and score of every document."""
+    return license_scan.licenses(documents(spark, sf_dir))
+
+
 def op3_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of all documents, packed along the Hilbert curve."""
     return packing.pack(documents(spark, sf_dir))
@@ -58,6 +63,7 @@ def op9_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_signatures": op1_signatures,
     "op3_hilbert": op3_hilbert,
     "op4_chosen_path": op4_chosen_path,
     "op5_fertility": op5_fertility,
