@@ -10,7 +10,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fertility, license_scan, line_dedup, ngram_join, packing, secret_scan, sharding
+from . import doc_sketch, fertility, license_scan, line_dedup, ngram_join, packing, secret_scan, sharding
 from .common import documents
 
 
@@ -19,6 +19,22 @@ def op1_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.licenses(documents(spark, sf_dir))
 
 
+def op2_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    pairs = doc_sketch.edited_pairs(documents(spark, sf_dir))
+    own, edited = F.col("sketch"), F.col("edited_sketch")
+    return pairs.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        doc_sketch.printed(own).alias("fingerprint"),
+        doc_sketch.printed(edited).alias("edited_fingerprint"),
+        doc_sketch.likeness(own, edited).alias("near_edited"),
+        doc_sketch.likeness(own, F.col("next_sketch")).alias("near_next"),
+        doc_sketch.containment(own, F.col("next_sketch")).alias("contained_in_next"),
+    )
+
+
 def op3_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of all documents, packed along the Hilbert curve."""
     return packing.pack(documents(spark, sf_dir))
@@ -64,6 +80,7 @@ def op9_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_signatures": op1_signatures,
+    "op2_scaled_sketch": op2_scaled_sketch,
     "op3_hilbert": op3_hilbert,
     "op4_chosen_path": op4_chosen_path,
     "op5_fertility": op5_fertility,
