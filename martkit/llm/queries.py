@@ -10,7 +10,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import doc_sketch, fertility, license_scan, line_dedup, ngram_join, packing, secret_scan, sharding
+from . import doc_sketch, fertility, license_scan, line_dedup, ngram_join, packing, secret_scan, sharding, sp_viterbi
 from .common import documents
 
 
@@ -57,6 +57,12 @@ def op6_site_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_lines", "n_removed", F.col("clean").alias("text"))
 
 
+def op7_streaming_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The piece ids of every document, and whether they decode to its text."""
+    docs = documents(spark, sf_dir)
+    return docs.select("doc_id", sp_viterbi.encode(F.col("text")).alias("e")).select("doc_id", "e.*")
+
+
 def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards 0 to 39; law ``bytes``: shard sizes near equal."""
     placed, _ = sharding.assign(documents(spark, sf_dir), 40)
@@ -85,6 +91,7 @@ QUERIES = {
     "op4_chosen_path": op4_chosen_path,
     "op5_fertility": op5_fertility,
     "op6_site_spread": op6_site_spread,
+    "op7_streaming_viterbi": op7_streaming_viterbi,
     "op8_virtual_slots": op8_virtual_slots,
     "op9_grammar": op9_grammar,
 }
