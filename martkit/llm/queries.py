@@ -10,7 +10,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import doc_sketch, fertility, license_scan, line_dedup, ngram_join, packing, secret_scan, sharding, sp_viterbi
+from . import doc_sketch, fertility, license_scan, line_dedup, ngram_join, packing, secret_scan, sharding, sp_viterbi, toxicity
 from .common import documents
 
 
@@ -84,6 +84,13 @@ def op9_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", secret_scan.scan(F.col("text")).alias("s")).select("doc_id", "s.*").drop("redacted")
 
 
+def op10_classifier_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity categories of every document."""
+    docs = documents(spark, sf_dir)
+    chain = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return docs.select("doc_id", toxicity.score(F.col("text"), chain).alias("t")).select("doc_id", "t.*")
+
+
 QUERIES = {
     "op1_signatures": op1_signatures,
     "op2_scaled_sketch": op2_scaled_sketch,
@@ -94,6 +101,7 @@ QUERIES = {
     "op7_streaming_viterbi": op7_streaming_viterbi,
     "op8_virtual_slots": op8_virtual_slots,
     "op9_grammar": op9_grammar,
+    "op10_classifier_chain": op10_classifier_chain,
 }
 
 ORACLE: dict[str, str] = {
