@@ -461,10 +461,11 @@ def similar_classes(
     recall: float = RECALL,
     rounds: int = ROUNDS,
 ) -> DataFrame:
-    """(doc_id, th, class_id, class_size, n_links) of every document.
+    """(doc_id, th, class_id, class_size, n_links, class_row) of every document.
 
     ``th`` is the 64-bit hash of the text (null as empty), which with the id
-    names a row of ``docs``.
+    names a row of ``docs``; ``class_row`` names the class also where its ids
+    are null.
     """
     runs = runs_needed(recall, threshold, depth)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -493,5 +494,25 @@ def similar_classes(
     )
     of_class = of_doc.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
     return of_doc.join(of_class, "root").select(
-        "doc_id", "th", "class_id", "class_size", (F.col("links") + F.col("copies") - 1).alias("n_links")
+        "doc_id", "th", "class_id", "class_size", (F.col("links") + F.col("copies") - 1).alias("n_links"), F.col("root").alias("class_row")
     )
+
+
+def first_of_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` with one document of each class: the smallest id,
+    then text hash.  Of rows that repeat both, the smallest in all columns stays."""
+    found = similar_classes(docs, id_col, text_col, **options)
+    first = found.groupBy("class_row").agg(F.min(F.struct("doc_id", "th")).alias("first"))
+    times = found.groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("times"))
+    kept = first.select(F.col("first.doc_id").alias("doc"), F.col("first.th").alias("th")).join(
+        times.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "times"), F.col("doc").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))
+    )
+    kept = kept.select("doc", "th", "times")
+    # One column holds the whole row, so no name of the input can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    th = F.xxhash64(F.coalesce(F.col("row")[text_col].cast("string"), F.lit("")))
+    on = F.col("row")[id_col].cast("bigint").eqNullSafe(F.col("doc")) & (th == F.col("th"))
+    rows = rows.join(kept, on)
+    once = rows.filter("times = 1").select("row")
+    repeated = rows.filter("times > 1").groupBy("doc", "th").agg(F.min("row").alias("row")).select("row")
+    return once.unionByName(repeated).select("row.*")

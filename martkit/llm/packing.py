@@ -206,7 +206,7 @@ def _cut(batches: Iterator[pd.DataFrame], dtype, length: int, with_ids: bool) ->
                 sequence, offset = divmod(int(before) + at, length)
                 size = min(n - at, length - offset)
                 piece = ids[at : at + size]
-                rows.append((doc, at, size, zlib.crc32(piece.tobytes()), n, sequence, offset, key) + ((piece,) if with_ids else ()))
+                rows.append((doc, at, size, zlib.crc32(piece.tobytes()), n, sequence, offset, key) + ((piece.astype(np.int32),) if with_ids else ()))
                 at += size
         columns = [x.split(" ")[0] for x in _PIECES.split(", ")] + ["ids"] * with_ids
         out = pd.DataFrame(rows, columns=columns)
@@ -230,5 +230,5 @@ def pack(
     rows = written(coded.select(F.monotonically_increasing_id().alias("row"), "doc_id", "e.*"), "token-rows")
     totals = running_totals(rows.select("row", "doc_id", "key", "n"), ["key", "doc_id", "row"], "n")
     placed = rows.select("row", "doc_id", "key", "ids").join(totals.select("row", "before"), "row")
-    schema = _PIECES + (", ids array<bigint>" if with_ids else "")
+    schema = _PIECES + (", ids array<int>" if with_ids else "")
     return placed.select("doc_id", "key", "before", "ids").mapInPandas(lambda it: _cut(it, dtype, length, with_ids), schema)

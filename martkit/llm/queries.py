@@ -42,7 +42,7 @@ def op3_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's class of similar documents and number of links."""
-    return ngram_join.similar_classes(documents(spark, sf_dir)).drop("th")
+    return ngram_join.similar_classes(documents(spark, sf_dir)).drop("th", "class_row")
 
 
 def op5_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,6 +102,7 @@ QUERIES = {
     "op8_virtual_slots": op8_virtual_slots,
     "op9_grammar": op9_grammar,
     "op10_classifier_chain": op10_classifier_chain,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {
