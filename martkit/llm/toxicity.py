@@ -1,6 +1,6 @@
 """Toxicity by a chain of linear classifiers.
 
-Features of a text are its words and their first 4, 5 and 6 letters, so that
+Features of a text are its words and their first 3 to 8 letters, so that
 unseen forms of a known stem count.  Evidence features are those that a bounded
 labelled sample finds in toxic documents far oftener than in clean ones.  The
 chain predicts three categories in order: ``severe`` (toxic with evidence in
@@ -39,12 +39,12 @@ from .chunks import ChunkTable, in_runs
 CATEGORIES = ("severe", "dense", "toxic")
 MAX_TOXIC, MAX_CLEAN, MAX_FEATURES = 4000, 8000, 4000
 SEVERE, DENSE = 3, 0.02
-PREFIXES = (4, 5, 6)
+PREFIXES = (3, 4, 5, 6, 7, 8)
 FOLDS = 5
 THRESHOLD = 0.5
 #: A feature is evidence if so many more toxic than clean documents have it
 #: (log-odds), and chance would do that this rarely.
-LEAST_LIFT, MOST_CHANCE = 3.0, 1e-6
+LEAST_LIFT, MOST_CHANCE = 3.0, 2e-5
 
 _WORD = re.compile(r"[^\W\d_]+")
 
