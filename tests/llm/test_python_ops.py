@@ -1,0 +1,387 @@
+"""Operators with Python inside tasks: packing, n-gram join, fertility,
+Viterbi, secret scans, toxicity; each against brute force or held-out rows."""
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from martkit.llm import chunks, fertility, ngram_join, packing, secret_scan, sp_viterbi, toxicity
+
+WORDS = r"[^\x20\x09-\x0D]+"
+
+
+# --- packing ---------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+
+
+@pytest.mark.parametrize(("dims", "bits"), [(2, 4), (3, 3), (4, 2)])
+def test_hilbert_neighbours(dims, bits):
+    cells = np.array(list(itertools.product(range(1 << bits), repeat=dims)))
+    keys = packing.hilbert_keys(cells, bits)
+    order = np.argsort(keys)
+    assert sorted(keys) == list(range(len(cells)))
+    assert (np.abs(np.diff(cells[order], axis=0)).sum(axis=1) == 1).all()
+
+
+ODD = [
+    "", "  a\tb\x0bc\x0cd\r\n e", "<|endoftext|>x <|startoftext|> y<|ENDOFTEXT|>", "it's we'll I'D can't 's x's", "a\x1cb\x1d c\x85d\xa0e f​g",
+    "é́ ́x a ̸≠", "İSTANBUL ΣΑΣ ẞ Straße. ÉTÉ,", "日本語 テキスト 한국어", "1234 ５６ x²³ ½ 3.14,", "\U0001f600\U0001f468‍\U0001f469 a", "a" * 3000, "Ⱥ ŉ ǅ K Å Ω ªº. a×b don.t a.,b x,",
+]
+
+
+def test_ids_equal_the_whole_tokenizer(tokenizer):
+    enc = packing.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    for t in ODD:
+        assert np.frombuffer(enc.encode([t])[0][0], enc.dtype).tolist() == tokenizer.encode(t, add_special_tokens=False).ids
+
+
+def check_pieces(rows, expected, length):
+    """``expected``: the multiset of (doc_id, ids)."""
+    sequences = defaultdict(list)
+    ids_of = defaultdict(list)
+    for r in rows:
+        assert zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] and r["length"] == len(r["ids"]) > 0
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+        ids_of[r["doc_id"]].append((r["sequence_id"], r["offset"], r["start"], r["doc_tokens"], r["ids"]))
+    got = Counter()
+    for doc, pieces in ids_of.items():
+        now = None
+        for _, _, start, n, ids in sorted(pieces, key=lambda p: p[:2]):
+            now = list(ids) if start == 0 else now + list(ids)
+            if len(now) == n:
+                got[doc, tuple(now)] += 1
+    assert got == expected
+    for q, v in sequences.items():
+        at = 0
+        for o, n in sorted(v):
+            assert o == at
+            at += n
+        assert at == length or q == max(sequences)
+    assert sorted(sequences) == list(range(len(sequences)))
+
+
+def test_packing_equals_brute_force(edge, edge_df, empty_df, tokenizer):
+    rows = packing.pack(edge_df, with_ids=True).collect()
+    check_pieces(rows, Counter((r[0], (*tokenizer.encode(r[1] or "", add_special_tokens=False).ids, 1)) for r in edge), packing.LENGTH)
+    keys = {r["doc_id"]: r["curve_key"] for r in rows}
+    assert len({keys[i] for i in (20, 21, 22, 23)}) == 1  # copies are neighbours
+    assert packing.pack(empty_df).collect() == []
+
+
+# --- n-gram join -----------------------------------------------------------------
+
+
+def shingles(text, n=5):
+    w = (text or "").lower().encode().split()
+    n = min(n, len(w))
+    return frozenset(tuple(w[i : i + n]) for i in range(len(w) - n + 1)) if w else frozenset()
+
+
+def brute_classes(texts):
+    """Per position: (positions of its class, links)."""
+    sets = [shingles(t) for t in texts]
+    root, links = list(range(len(sets))), [0] * len(sets)
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in range(len(sets)):
+        for b in range(a):
+            x, y = sets[a], sets[b]
+            both = len(x & y)
+            if x == y or (both and both >= 0.8 * (len(x) + len(y) - both) - 1e-9):
+                links[a] += 1
+                links[b] += 1
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    return [find(i) for i in range(len(sets))], links
+
+
+def check_classes(rows, docs):
+    """``docs``: (doc_id, text) in any order."""
+    docs = sorted(docs, key=lambda d: (d[0] is None, d[0] or 0))
+    root, links = brute_classes([t for _, t in docs])
+    ids = defaultdict(list)
+    for (i, _), r in zip(docs, root, strict=True):
+        ids[r].append(i)
+    expected = Counter()
+    for (i, _), r, n in zip(docs, root, links, strict=True):
+        known = [x for x in ids[r] if x is not None]
+        expected[i, min(known, default=None), len(ids[r]), n] += 1
+    assert Counter((r["doc_id"], r["class_id"], r["class_size"], r["n_links"]) for r in rows) == expected
+
+
+def test_join_equals_brute_force_on_edge_cases(edge, edge_df, empty_df):
+    check_classes(ngram_join.similar_classes(edge_df).collect(), [r[:2] for r in edge])
+    assert ngram_join.similar_classes(empty_df).collect() == []
+
+
+def family_docs(seed):
+    g = random.Random(seed)
+    vocab = [f"w{i}" for i in range(400)]
+    common = [g.choice(vocab) for _ in range(12)]
+    docs = []
+    for _ in range(6):
+        base = [g.choice(vocab) for _ in range(g.randint(30, 250))]
+        for _ in range(g.choice([1, 3, 25])):
+            w = list(base)
+            for _ in range(g.randint(0, max(1, len(w) // 50))):
+                w[g.randrange(len(w))] = g.choice(vocab)
+            docs.append(" ".join(w[: len(w) - g.randint(0, len(w) // 12)]))
+    docs += [" ".join(common + [g.choice(vocab) for _ in range(g.randint(3, 60))]) for _ in range(60)]
+    return list(enumerate(docs))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_join_with_large_nodes_and_blocks(spark, monkeypatch, seed):
+    """Small limits: nodes are split, compared with pivots and in blocks."""
+    monkeypatch.setattr(ngram_join, "BLOCK_WEIGHT", 900)
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 6)
+    docs = family_docs(seed)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
+    check_classes(ngram_join.similar_classes(df, small=5, depth=2).collect(), docs)
+
+
+def test_components_of_chains_and_stars(spark):
+    edges = [(i + 1, i) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)] + [(200, 201)]
+    df = spark.createDataFrame(edges, "a bigint, b bigint").repartition(5)
+    got = {r["node"]: r["root"] for r in ngram_join.components(df).collect()}
+    assert got == {**{i: 0 for i in range(61)}, **{100 + i: 100 for i in range(40)}, 200: 200, 201: 200}
+
+
+def test_runs_follow_the_target_recall():
+    assert ngram_join.runs_needed(0.99, 0.8, 4) < ngram_join.runs_needed(0.9999, 0.8, 4) < ngram_join.runs_needed(0.9999, 0.8, 8)
+
+
+def test_first_of_class_keeps_one(spark, edge, edge_df):
+    kept = ngram_join.first_of_class(edge_df)
+    assert kept.columns == edge_df.columns
+    rows = kept.collect()
+    docs = sorted([r[:2] for r in edge], key=lambda d: (d[0] is None, d[0] or 0))
+    root, _ = brute_classes([t for _, t in docs])
+    assert len(rows) == len(set(root))
+    sets = {shingles(r["text"]) for r in rows}
+    assert len(sets) == len(rows)
+
+
+# --- fertility -----------------------------------------------------------------
+
+
+def brute_base(text):
+    w = re.findall(WORDS, text or "")
+    windows = Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+    covered = {p for k in range(len(w) - 4) if windows[tuple(w[k : k + 5])] > 1 for p in range(k, k + 5)}
+    seen, again = set(), 0
+    for line in (text or "").split("\n"):
+        if re.search(WORDS, line):
+            again += line in seen
+            seen.add(line)
+    failed = len(w) < 10 or 100 * len(covered) > 20 * len(w)
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), again, len(covered), failed
+
+
+def test_fertility_equals_brute_force(spark, edge, edge_df, empty_df):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    more = [(90, "a b c d e f " * 4, "en", "s"), (91, "x##| " * 30 + " ".join(f"word{i}" for i in range(40)), "en", "s"), (92, " ".join("文字列" + str(i) for i in range(30)), "zz", "s"), (93, "same line here\n\nsame line here\n same line here", "en", "s")]
+    rows = [r[:4] for r in edge] + more
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    got = df.select("doc_id", "text", fertility.fertility(F.col("text"), F.col("lang")).alias("m")).select("doc_id", "text", "m.*").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"]) == brute_base(r["text"])
+        ids = [i for w in re.findall(WORDS, r["text"] or "") for i in sp.encode(w)]
+        assert r["n_tokens"] == len(ids) and not (r["base_failed"] and r["kept"])
+        if ids:
+            assert r["chars_per_token"] == pytest.approx(r["word_chars"] / len(ids))
+            assert r["byte_share"] == pytest.approx(sum(map(sp.is_byte, ids)) / len(ids))
+    by = {r["doc_id"]: r for r in got}
+    assert by[4]["kept"] and not by[90]["kept"] and by[90]["base_failed"] and not by[91]["kept"] and by[92]["band"] == "cjk"
+    assert empty_df.select(fertility.fertility(F.col("text"), F.col("lang"))).collect() == []
+
+
+def test_labelled_good_documents_are_kept(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    m = docs.join(labels, "doc_id").select("quality", fertility.fertility(F.col("text"), F.col("lang")).alias("m"))
+    rows = m.select("quality", "m.base_failed", "m.kept").collect()
+    good = [r for r in rows if r["quality"] == 1 and not r["base_failed"]]
+    assert len(good) > 100 and all(r["kept"] for r in good)
+    assert sum(r["kept"] for r in rows if r["quality"] == 0) <= 0.1 * sum(r["quality"] == 0 for r in rows)
+
+
+# --- Viterbi --------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def viterbi():
+    return sp_viterbi.Encoder(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def best_segmentation(pieces, s):
+    flat = {}
+
+    def walk(node, prefix):
+        for c, x in node.items():
+            if c == "":
+                flat[prefix] = x
+            else:
+                walk(x, prefix + c)
+
+    if not hasattr(pieces, "flat"):
+        walk(pieces.tree, "")
+        pieces.flat = flat
+    best = [(0.0, [])] + [None] * len(s)
+    for j in range(1, len(s) + 1):
+        for i in range(max(0, j - pieces.longest), j):
+            hit = pieces.flat.get(s[i:j]) or ((pieces.unknown, s[i]) if j == i + 1 else None)
+            if hit and (best[j] is None or best[i][0] + hit[0] > best[j][0]):
+                best[j] = (best[i][0] + hit[0], [*best[i][1], hit[1]])
+    return [x for t in best[-1][1] for x in pieces._ids(t)]
+
+
+def marked(text):
+    return sp_viterbi.MARK + text.replace(sp_viterbi.MARK, sp_viterbi._LITERAL).replace(" ", sp_viterbi.MARK)
+
+
+def test_streaming_equals_the_whole_lattice(viterbi):
+    g = random.Random(3)
+    alphabet = "aabcdeehinorst .\n▁éß中=_"
+    texts = ["".join(g.choice(alphabet) for _ in range(g.randint(1, 150))) for _ in range(150)]
+    texts += ["a" * 500, "ab" * 300, "=" * 333, " " * 40, "representations IllegalArgumentException"]
+    for t in texts:
+        ids = viterbi.pieces.encode(marked(t))
+        assert ids == best_segmentation(viterbi.pieces, marked(t)) == viterbi.ids([t])[0].tolist()
+        assert viterbi.pieces.decode(ids) == t
+
+
+def test_commits_come_early(viterbi):
+    """The pending part stays near the longest piece, without any space."""
+
+    class Watched(str):
+        at = 0
+
+        def __getitem__(self, i):
+            Watched.at = max(Watched.at, i)
+            return str.__getitem__(self, i)
+
+    text = Watched("".join(random.Random(4).choice("etaoinshrdlu") for _ in range(5000)))
+    committed = lag = 0
+    for run in viterbi.pieces.segments(text):
+        committed += sum(1 if len(t) == 1 else len(t) for t in (viterbi.pieces.bytes_of[t].decode() if type(t) is int else t for t in run))
+        lag = max(lag, Watched.at - committed)
+    assert committed == 5000 and lag < 8 * viterbi.pieces.longest
+
+
+def test_encode_and_decode_columns(spark, edge, edge_df, empty_df):
+    rows = edge_df.select("doc_id", "text", sp_viterbi.encode(F.col("text")).alias("e")).withColumn("again", sp_viterbi.decode(F.col("e.ids"))).collect()
+    assert len(rows) == len(edge)
+    for r in rows:
+        assert r["e"]["round_trip"] and r["again"] == (r["text"] or "") and r["e"]["n_tokens"] == len(r["e"]["ids"])
+    assert empty_df.select(sp_viterbi.encode(F.col("text"))).collect() == []
+
+
+# --- secrets ----------------------------------------------------------------------------
+
+
+def brute_base_spans(text):
+    out = []
+    for m in re.finditer(r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):
+        if len(m[1]) >= 12:
+            out.append((m.start(), 0, "assign", m.end()))
+    out += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if m.end() - m.start() >= 18]
+    out += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if m.end() - m.start() >= 16]
+    return ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(out))
+
+
+def test_base_spans_equal_brute_force(spark, edge, edge_df, empty_df):
+    texts = ["API_KEY: 'abcdefghijkl' token==abcdef123456 toKen token = short", "paſſword=abcdefghijklmnop ToKEN=abcdefghijklmnop", "secretsecret=:= abcdefghijklmnop", "AKIA" * 9, "0" * 15 + "g" + "0" * 16, "password=" + "f" * 30]
+    df = spark.createDataFrame([(100 + i, t) for i, t in enumerate(texts)] + [r[:2] for r in edge], "doc_id bigint, text string")
+    for r in df.select("text", secret_scan.scan(F.col("text"), with_text=True).alias("s")).select("text", "s.*").collect():
+        base = brute_base_spans(r["text"] or "")
+        assert r["base_sha256"] == hashlib.sha256(base.encode()).hexdigest()
+        assert ",".join(s for s in r["spans"].split(",") if not s.startswith("format")) == base
+        assert (r["redacted"] is None) == (r["spans"] == "")
+        if r["redacted"]:
+            assert brute_base_spans(r["redacted"]) == ""
+    assert empty_df.select(secret_scan.scan(F.col("text"))).collect() == []
+
+
+def test_automata_tell_held_out_formats():
+    held, plain = secret_scan.labelled_credentials(60, 77), secret_scan.labelled_tokens(60, 78)
+    assert np.mean([secret_scan.likelihood_ratio(x) >= secret_scan.MARGIN for x in held]) > 0.99
+    assert np.mean([secret_scan.likelihood_ratio(x) >= secret_scan.MARGIN for x in plain]) < 0.01
+    found = secret_scan.spans("see ghp_A8sK2mZq91LxTtR0vBnYpQwErUiOaSdFgHjK and some_ordinary_identifier_name_42 here")
+    assert [(k, b - a) for a, k, b in found] == [("format", 40)]
+
+
+def test_inferred_automaton_is_small_and_exact():
+    strings = ["0" * (2 * k) for k in range(1, 9) for _ in range(200)]
+    a = secret_scan.infer(strings + ["h0"] * 100)
+    assert len(a.moves) < 20
+    assert a.score("0000") > a.score("000") and a.score("h0") > a.score("h00")
+
+
+# --- toxicity ----------------------------------------------------------------------------
+
+
+def test_toxicity_on_held_out_documents(spark, tmp_path):
+    d = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
+    chain = toxicity.train(docs, labels.filter("doc_id % 2 = 0"))
+    assert 0 < len(chain.names) <= toxicity.MAX_FEATURES and len(chain.models) == 3
+    test = docs.join(labels.filter("doc_id % 2 = 1"), "doc_id").select(F.col("toxic").alias("y"), toxicity.score(F.col("text"), chain).alias("t"))
+    rows = test.select("y", "t.toxic", "t.categories").collect()
+    toxic, clean = [r for r in rows if r["y"] == 1], [r for r in rows if r["y"] == 0]
+    assert len(toxic) > 20
+    assert np.mean([r["toxic"] for r in toxic]) > 0.85 and np.mean([r["toxic"] for r in clean]) < 0.01
+
+
+def test_toxicity_edge_cases(spark, edge, edge_df, empty_df):
+    labels = spark.createDataFrame([(4, 1, 0), (4, 1, 0), (5, 1, None), (None, 1, 1), (999, 0, 1)], "doc_id bigint, quality int, toxic int")
+    for table in (labels, labels.limit(0)):
+        chain = toxicity.train(edge_df, table)
+        rows = edge_df.select("doc_id", toxicity.score(F.col("text"), chain).alias("t")).select("doc_id", "t.*").collect()
+        assert len(rows) == len(edge) and not any(r["toxic"] for r in rows) and all(0 <= r["score"] < 0.5 for r in rows)
+    chain = toxicity.train(empty_df, labels)
+    assert empty_df.select(toxicity.score(F.col("text"), chain)).collect() == []
+
+
+def test_chain_feeds_out_of_fold_probabilities():
+    g = np.random.default_rng(1)
+    n = 600
+    y = (g.random(n) < 0.3).astype(int)
+    owner = np.repeat(np.arange(n), y * 4)
+    feature = g.integers(0, 10, len(owner))
+    places = np.bincount(owner, minlength=n)
+    chain = toxicity.Chain([f"f{i}" for i in range(10)]).fit(np.arange(n), owner, feature, places, np.full(n, 100), y)
+    assert [len(m.v) for m in chain.models] == [2, 3, 4]
+    assert ((chain.predict(owner, feature, places, np.full(n, 100))[2] > 0.5) == (y == 1)).mean() > 0.99
+
+
+# --- the chunk table -----------------------------------------------------------------------
+
+
+def test_a_full_chunk_table_changes_nothing():
+    g = random.Random(6)
+    texts = [[f"c{g.randrange(50)}" for _ in range(g.randint(0, 30))] for _ in range(80)]
+    small, large = (chunks.ChunkTable(lambda new: ([int(c[1:])] * (int(c[1:]) % 4) for c in new), limit=n) for n in (5, 10**6))
+    for t in texts:
+        assert small.ids(small.of([t])[0]).tolist() == large.ids(large.of([t])[0]).tolist() == [int(c[1:]) for c in t for _ in range(int(c[1:]) % 4)]
+    assert list(chunks.in_runs(["ab", "cd", "", "e"], 3)) == [(0, 2), (2, 4)] and list(chunks.in_runs([])) == []
