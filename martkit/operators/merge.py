@@ -39,7 +39,7 @@ def not_in(source: DataFrame, probe_key: str, target: DataFrame, target_key: str
         return source.limit(0)
     if stats["n"] == 0:
         return source
-    keys = target.select(F.col(target_key).alias("_ni_k")).distinct()
+    keys = target.select(F.col(target_key).alias("_ni_k"))
     return source.filter(F.col(probe_key).isNotNull()).join(
         keys, F.col(probe_key) == F.col("_ni_k"), "left_anti"
     )
@@ -106,23 +106,16 @@ def upsert(
     return kept.unionByName(new_keyed).select(*target.columns)
 
 
-# Above this many distinct partition values, pruning falls back to a join.
-MAX_PRUNE_VALUES = 10000
-
-
 def prune_to_partitions(table: DataFrame, part_col: str, wanted: DataFrame, wanted_col: str | None = None) -> DataFrame:
     """Rows of ``table`` in the partitions named by ``wanted``.
 
-    The distinct partition values (periods: bounded by the calendar, not by
-    the data) are collected and applied as a static filter, so the scan
-    lists and reads only those partition folders.  More than
-    ``MAX_PRUNE_VALUES`` values fall back to a semi join.
+    The distinct partition values are collected and applied as a static
+    filter, so the scan lists and reads only those partition folders.  They
+    are periods: as many as the calendar has in the table's span, which is
+    also the number of folders that the driver lists for any scan of it.
     """
-    col = wanted_col or part_col
-    vals = wanted.select(col).distinct().limit(MAX_PRUNE_VALUES + 1).collect()
-    if len(vals) <= MAX_PRUNE_VALUES:
-        return table.filter(F.col(part_col).isin([r[0] for r in vals]))
-    return table.join(wanted.select(F.col(col).alias(part_col)).distinct(), part_col, "left_semi")
+    vals = wanted.select(wanted_col or part_col).distinct().collect()
+    return table.filter(F.col(part_col).isin([r[0] for r in vals]))
 
 
 def upsert_partitions(
@@ -158,8 +151,7 @@ def upsert_partitions(
     merged = upsert(slice_.drop(part_col), src.drop(part_col), keys, surrogate, load_col, load_ts,
                     key_start=top + 1, touch_unchanged=touch_unchanged)
     staged = write_version(merged.withColumn(part_col, part_expr), staging_path, [part_col])
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    staged.write.mode("overwrite").partitionBy(part_col).parquet(table_path)
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(table_path)
     return spark.read.schema(staged.schema).parquet(table_path)
 
 
@@ -182,7 +174,7 @@ def write_version(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     Writing cuts the lineage (a written table in the shared folder), and the
     returned scan is what later steps read.
     """
-    w = df.write.mode("overwrite")
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if partition_by else "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

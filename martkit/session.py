@@ -3,8 +3,9 @@
 On a cluster the session is created by the platform; ``get_session`` only
 fills in settings that are still unset.  Scratch data (written tables that
 cut lineage, landed files, streaming checkpoints) always lives below the
-shared folder named by ``spark.checkpoint.dir``; a local folder is created
-only when that setting is missing, which is the case in tests.
+shared folder named by ``spark.checkpoint.dir``; where that setting is missing
+a local folder is created under a local master, and any other master is
+refused.
 """
 
 from __future__ import annotations
@@ -49,6 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        # One machine (tests): a local folder is shared by definition.
         d = tempfile.mkdtemp(prefix="martkit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -4,7 +4,7 @@ pass over the data)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,15 +88,18 @@ def read_increment_csv(spark: SparkSession, path: str) -> DataFrame:
 # ---------------------------------------------------------------- JSON lines
 
 
-def write_records(df: DataFrame, path: str, payload_cols: list[str] | None = None) -> None:
-    """Serialize rows as fixed-width JSON records (one per line)."""
-    cols = payload_cols or df.columns
-    line = F.rpad(F.to_json(F.struct(*cols)), RECORD_WIDTH, " ")
-    df.select(line.alias("value")).write.mode("overwrite").text(path)
+def padded(record: Column) -> Column:
+    """A JSON record filled up with spaces to the record width.  A longer
+    record is written whole: padding never cuts."""
+    return F.when(F.length(record) < RECORD_WIDTH, F.rpad(record, RECORD_WIDTH, " ")).otherwise(record)
 
 
 def scan_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read fixed-width JSON records, skipping ``{}`` tombstones."""
+    """Read JSON record lines of any length, skipping ``{}`` tombstones.
+
+    A damaged line fails the scan (``FAILFAST``) instead of becoming a row
+    of nulls.
+    """
     raw = spark.read.text(path).select(F.trim("value").alias("line"))
     live = raw.filter(F.col("line") != TOMBSTONE)
-    return live.select(F.from_json("line", schema).alias("r")).select("r.*")
+    return live.select(F.from_json("line", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
