@@ -5,9 +5,14 @@ The reference changes one record at a time through an index; here a batch
 of requests is validated against the table with joins and each request
 gets an outcome and a reason.  Only accepted requests change state, and all
 checks run before any change (a rejected sale leaves the car untouched).
-In-batch conflicts (two requests on one key) go to the first request in a
-stated order; the "first" is found with a min over a struct (partial
-aggregation) and a join back, not a per-key sort.
+
+A batch is judged against the tables as they are before it.  Requests that
+fail a table check are out first and block nothing; the others are taken in a
+stated order, each accepted unless an earlier accepted one used one of its
+keys (``operators/batches.accept_in_order``).  So a car is sold once and a
+sale number used once, and a rename takes each old and each new key once; a
+chain (A to B, B to C) is not followed, as B exists before the batch.  Every
+batch operator returns its outcomes and the new state of the tables.
 """
 
 from __future__ import annotations
@@ -18,9 +23,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.batches import accept_in_order
 from ..session import scratch_path
 from ..sources import fixtures as fx
-from ..sources.io import TOMBSTONE, RECORD_WIDTH, scan_records
+from ..sources.io import RECORD_WIDTH, TOMBSTONE, padded, scan_records
 
 # Car states.
 AVAILABLE, SOLD = "available", "sold"
@@ -53,10 +59,6 @@ def sale_record() -> Column:
     ))
 
 
-def pad(c: Column) -> Column:
-    return F.rpad(c, RECORD_WIDTH, " ")
-
-
 def typed_cars(raw: DataFrame) -> DataFrame:
     return raw.select(
         "vin", "model", F.col("price").cast("decimal(10,2)").alias("price"),
@@ -98,6 +100,71 @@ def revert_sales(cars: DataFrame, sales: DataFrame, requests: DataFrame) -> tupl
     return outcomes, new_cars, new_sales
 
 
+def judged(requests: DataFrame, table_reason: Column, keys: list[str], order: list[str], in_batch: Column) -> DataFrame:
+    """``requests`` with ``outcome`` and ``reason``: those without a
+    ``table_reason`` compete in ``order``; losers get ``in_batch``."""
+    cols = requests.columns
+    checked = requests.withColumn("reason", table_reason)
+    fair = accept_in_order(checked.filter(F.col("reason").isNull()).select(*cols), keys, order)
+    lost = fair.withColumn("reason", F.when(~F.col("accepted"), in_batch)).drop("accepted")
+    out = checked.filter(F.col("reason").isNotNull()).unionByName(lost)
+    return out.withColumn("outcome", F.when(F.col("reason").isNull(), "accepted").otherwise("rejected"))
+
+
+SELL_ORDER = ["sales_date", "sales_number", "car_vin"]
+
+
+def sell(cars: DataFrame, sales: DataFrame, requests: DataFrame) -> DataFrame:
+    """Outcomes of selling cars, requests taken by date, number and car."""
+    j = (
+        requests.select("sales_number", "car_vin", "sales_date")
+        .join(cars.select(F.col("vin").alias("car_vin"), "status"), "car_vin", "left")
+        .join(sales.select("sales_number", F.lit(True).alias("_taken")), "sales_number", "left")
+    )
+    reason = (
+        F.when(F.col("status").isNull(), "unknown car").when(F.col("status") == SOLD, "car already sold")
+        .when(F.col("_taken").isNotNull(), "duplicate sale number")
+    )
+    out = judged(j, reason, ["car_vin", "sales_number"], SELL_ORDER, F.lit("car or number taken in batch"))
+    return out.select("sales_number", "car_vin", "sales_date", "outcome", "reason")
+
+
+def apply_sales(cars: DataFrame, sales: DataFrame, requests: DataFrame, outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """New (cars, sales): accepted sales enter the sales table and mark
+    their car sold; rejected requests change nothing."""
+    won = outcomes.filter("outcome = 'accepted'").select("sales_number", "car_vin", "sales_date")
+    new_sales = sales.select("sales_number", "car_vin", "sales_date", "cost").unionByName(
+        requests.join(won, ["sales_number", "car_vin", "sales_date"], "left_semi").select("sales_number", "car_vin", "sales_date", "cost"))
+    sold = won.select(F.col("car_vin").alias("vin"), F.lit(True).alias("_sold"))
+    new_cars = cars.join(sold, "vin", "left").withColumn(
+        "status", F.when(F.col("_sold").isNotNull(), SOLD).otherwise(F.col("status"))).select(*cars.columns)
+    return new_cars, new_sales
+
+
+def rename(cars: DataFrame, requests: DataFrame) -> DataFrame:
+    """Outcomes of renaming keys, requests taken by new and old key."""
+    keys = cars.select("vin")
+    j = (
+        requests.select("vin", "new_vin")
+        .join(keys.withColumn("_old_ok", F.lit(True)), "vin", "left")
+        .join(keys.select(F.col("vin").alias("new_vin"), F.lit(True).alias("_new_taken")), "new_vin", "left")
+    )
+    reason = F.when(F.col("_old_ok").isNull(), "unknown key").when(F.col("_new_taken").isNotNull(), "new key exists")
+    out = judged(j, reason, ["vin", "new_vin"], ["new_vin", "vin"], F.lit("key taken in batch"))
+    return out.select("vin", "new_vin", "outcome", "reason")
+
+
+def apply_renames(cars: DataFrame, sales: DataFrame, outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """New (cars, sales): accepted renames cascade to the sales."""
+    m = outcomes.filter(F.col("outcome") == "accepted").select("vin", "new_vin")
+    new_cars = cars.join(m, "vin", "left").withColumn("vin", F.coalesce("new_vin", "vin")).select(*cars.columns)
+    new_sales = (
+        sales.join(m.withColumnRenamed("vin", "car_vin"), "car_vin", "left")
+        .withColumn("car_vin", F.coalesce("new_vin", "car_vin")).select(*sales.columns)
+    )
+    return new_cars, new_sales
+
+
 class Registry:
     def __init__(self, spark: SparkSession, d: str):
         self.spark, self.d = spark, d
@@ -108,7 +175,7 @@ class Registry:
     # ------------------------------------------------------------ files
 
     def serialize_cars(self) -> DataFrame:
-        return self.cars.select("vin", pad(car_record(self.cars)).alias("line"))
+        return self.cars.select("vin", padded(car_record(self.cars)).alias("line"))
 
     def write_cars(self) -> str:
         path = scratch_path(self.spark, "cars_records")
@@ -163,6 +230,12 @@ class Registry:
         return req.select("vin", "price", F.when(reason.isNull(), "accepted").otherwise("rejected").alias("outcome"),
                           reason.alias("reason"))
 
+    def keyed_insert_state(self) -> DataFrame:
+        """The table after the batch: its cars and the accepted requests."""
+        table = self.cars.filter(F.col("lot") <= 25).select("vin", "model", F.col("price").cast("decimal(12,2)").alias("price"), "status")
+        won = self.keyed_insert().filter("outcome = 'accepted'").select("vin", "price")
+        return table.unionByName(self.keyed_insert_requests.join(won, ["vin", "price"], "left_semi"))
+
     @cached_property
     def sell_state(self) -> tuple[DataFrame, DataFrame]:
         """Before the batch: cars with lot divisible by 5 are sold and have
@@ -174,69 +247,55 @@ class Registry:
 
     @cached_property
     def sell_requests(self) -> DataFrame:
-        """Every recorded sale, plus a sale of an unknown car for each car
-        with lot divisible by 7."""
-        unknown = (
-            self.sales.join(self.cars.filter(F.col("lot") % 7 == 0).select(F.col("vin").alias("car_vin")), "car_vin",
-                            "left_semi")
-            .select(F.concat("sales_number", F.lit("-U")).alias("sales_number"),
-                    F.concat(F.lit("UNKNOWN-"), "car_vin").alias("car_vin"), "sales_date", "cost")
-        )
-        return self.sales.unionByName(unknown)
+        """Every recorded sale; a sale of an unknown car for each car with lot
+        divisible by 7; for unsold cars with lot % 6 = 1 an earlier request
+        under a number that is taken, and for those with lot % 8 = 3 an
+        earlier request that all make under one new number."""
+        cars, sales = self.sell_state
+        taken = sales.agg(F.min("sales_number")).first()[0] or "S-NONE"
+
+        def of(where: Column) -> DataFrame:
+            return self.sales.join(self.cars.filter(where).select(F.col("vin").alias("car_vin")), "car_vin", "left_semi").select(
+                "sales_number", "car_vin", "sales_date", "cost")
+
+        unsold = F.col("lot") % 5 != 0
+        unknown = of(F.col("lot") % 7 == 0).select(
+            F.concat("sales_number", F.lit("-U")).alias("sales_number"),
+            F.concat(F.lit("UNKNOWN-"), "car_vin").alias("car_vin"), "sales_date", "cost")
+        blocked = of(unsold & (F.col("lot") % 6 == 1)).select(
+            F.lit(taken).alias("sales_number"), "car_vin", F.date_sub("sales_date", 1).alias("sales_date"), "cost")
+        same = of(unsold & (F.col("lot") % 8 == 3)).select(
+            F.lit("S-SAME").alias("sales_number"), "car_vin", F.date_sub("sales_date", 2).alias("sales_date"), "cost")
+        return self.sales.select("sales_number", "car_vin", "sales_date", "cost").unionByName(unknown).unionByName(
+            blocked).unionByName(same)
 
     def sell(self) -> DataFrame:
         cars, sales = self.sell_state
-        req = self.sell_requests
-        req = first_per_key(req, "car_vin", ["sales_date", "sales_number"], "_car_first")
-        req = first_per_key(req, "sales_number", ["sales_date", "car_vin"], "_num_first")
-        j = (
-            req.join(cars.select(F.col("vin").alias("car_vin"), "status"), "car_vin", "left")
-            .join(sales.select("sales_number", F.lit(True).alias("_taken")), "sales_number", "left")
-        )
-        reason = (
-            F.when(F.col("status").isNull(), "unknown car")
-            .when((F.col("status") == SOLD) | ~F.col("_car_first"), "car already sold")
-            .when(F.col("_taken").isNotNull() | ~F.col("_num_first"), "duplicate sale number")
-        )
-        return j.select("sales_number", "car_vin", F.when(reason.isNull(), "accepted").otherwise("rejected")
-                        .alias("outcome"), reason.alias("reason"))
+        return sell(cars, sales, self.sell_requests)
 
     @cached_property
     def rename_requests(self) -> DataFrame:
-        """Renames: lot % 9 == 0 to a fresh key, lot % 11 == 0 to the next
-        car's key (taken), lot % 13 == 0 from a key that does not exist."""
+        """Renames: lot % 9 == 0 to two fresh keys each, lot % 11 == 0 to the
+        next car's key (taken), lot % 13 == 0 from a key that does not exist,
+        and lot % 10 == 4 all to one new key, each after a request for it from
+        a key that does not exist."""
         c = self.cars
+        twice = c.filter(F.col("lot") % 9 == 0).select("vin", F.concat(F.lit("ALT"), F.col("vin").substr(4, 100)).alias("new_vin"))
+        same = c.filter(F.col("lot") % 10 == 4).select("vin", F.lit("NEW-ONE").alias("new_vin"))
+        blocked = c.filter(F.col("lot") % 10 == 4).select(F.concat(F.lit("0"), "vin").alias("vin"), F.lit("NEW-ONE").alias("new_vin"))
         fresh = c.filter(F.col("lot") % 9 == 0).select("vin", F.concat(F.lit("NEW"), F.col("vin").substr(4, 100)).alias("new_vin"))
         taken = c.filter(F.col("lot") % 11 == 0).select(
             "vin", F.concat(F.lit("VIN"), F.lpad((F.col("vin").substr(4, 100).cast("bigint") + 1).cast("string"), 8, "0")).alias("new_vin"))
         gone = c.filter(F.col("lot") % 13 == 0).select(F.concat(F.lit("X"), "vin").alias("vin"),
                                                        F.concat(F.lit("Y"), "vin").alias("new_vin"))
-        return fresh.unionByName(taken).unionByName(gone)
+        return fresh.unionByName(taken).unionByName(gone).unionByName(twice).unionByName(same).unionByName(blocked)
 
     def rename(self) -> DataFrame:
-        req = first_per_key(self.rename_requests, "new_vin", ["vin"], "_first")
-        keys = self.cars.select("vin")
-        j = (
-            req.join(keys.withColumn("_old_ok", F.lit(True)), "vin", "left")
-            .join(keys.select(F.col("vin").alias("new_vin"), F.lit(True).alias("_new_taken")), "new_vin", "left")
-        )
-        reason = (
-            F.when(F.col("_old_ok").isNull(), "unknown key")
-            .when(F.col("_new_taken").isNotNull(), "new key exists")
-            .when(~F.col("_first"), "new key taken in batch")
-        )
-        return j.select("vin", "new_vin", F.when(reason.isNull(), "accepted").otherwise("rejected").alias("outcome"),
-                        reason.alias("reason"))
+        return rename(self.cars, self.rename_requests)
 
     def apply_renames(self, outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
         """New cars and sales: accepted renames cascade to the sales."""
-        m = outcomes.filter(F.col("outcome") == "accepted").select("vin", "new_vin")
-        cars = self.cars.join(m, "vin", "left").withColumn("vin", F.coalesce("new_vin", "vin")).drop("new_vin")
-        sales = (
-            self.sales.join(m.withColumnRenamed("vin", "car_vin"), "car_vin", "left")
-            .withColumn("car_vin", F.coalesce("new_vin", "car_vin")).drop("new_vin")
-        )
-        return cars, sales
+        return apply_renames(self.cars, self.sales, outcomes)
 
     @cached_property
     def revert_requests(self) -> DataFrame:
@@ -255,16 +314,7 @@ class Registry:
         """New (cars, sales): accepted sales enter the sales table and mark
         their car sold; rejected requests change nothing."""
         cars, sales = self.sell_state
-        out = outcomes if outcomes is not None else self.sell()
-        acc = out.filter(F.col("outcome") == "accepted").select("sales_number", "car_vin")
-        new_sales = sales.unionByName(self.sell_requests.join(acc, ["sales_number", "car_vin"], "left_semi"))
-        sold = acc.select(F.col("car_vin").alias("vin"), F.lit(True).alias("_sold"))
-        new_cars = (
-            cars.join(sold, "vin", "left")
-            .withColumn("status", F.when(F.col("_sold").isNotNull(), SOLD).otherwise(F.col("status")))
-            .select(*cars.columns)
-        )
-        return new_cars, new_sales
+        return apply_sales(cars, sales, self.sell_requests, outcomes if outcomes is not None else self.sell())
 
     def write_sales_after_revert(self) -> str:
         """The sales file with every reverted sale's record replaced by a
@@ -273,7 +323,7 @@ class Registry:
         s = self.sales.join(rev, "sales_number", "left")
         line = F.when(F.col("_gone").isNotNull(), F.lit(TOMBSTONE)).otherwise(sale_record())
         path = scratch_path(self.spark, "sales_records")
-        s.select(pad(line).alias("value")).write.text(path)
+        s.select(padded(line).alias("value")).write.text(path)
         return path
 
     def scan_sales(self) -> DataFrame:
@@ -283,6 +333,16 @@ class Registry:
         return typed_cars(scan_records(self.spark, self.write_cars(), CAR_SCHEMA))
 
 
+def _renamed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    r = Registry(spark, d)
+    return r.apply_renames(r.rename())
+
+
+def _reverted(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    r = Registry(spark, d)
+    return revert_sales(r.cars, r.sales, r.revert_requests)
+
+
 QUERIES = {
     "registry_serialize": lambda sp, d: Registry(sp, d).serialize_cars(),
     "registry_scan": lambda sp, d: Registry(sp, d).scan_sales(),
@@ -291,9 +351,16 @@ QUERIES = {
     "car_full_info": lambda sp, d: Registry(sp, d).full_info(),
     "top3_models": lambda sp, d: Registry(sp, d).top_models(),
     "keyed_insert_batch": lambda sp, d: Registry(sp, d).keyed_insert(),
+    "keyed_insert_state": lambda sp, d: Registry(sp, d).keyed_insert_state(),
     "sell_cars_batch": lambda sp, d: Registry(sp, d).sell(),
+    "sell_cars_state": lambda sp, d: Registry(sp, d).apply_sales()[0].select("vin", "status"),
+    "sell_sales_state": lambda sp, d: Registry(sp, d).apply_sales()[1],
     "rename_keys_batch": lambda sp, d: Registry(sp, d).rename(),
+    "rename_cars_state": lambda sp, d: _renamed(sp, d)[0].select("vin", "model", "status"),
+    "rename_sales_state": lambda sp, d: _renamed(sp, d)[1].select("sales_number", "car_vin"),
     "revert_sales_batch": lambda sp, d: Registry(sp, d).revert(),
+    "revert_cars_state": lambda sp, d: _reverted(sp, d)[1].select("vin", "status"),
+    "revert_sales_state": lambda sp, d: _reverted(sp, d)[2].select("sales_number", "car_vin"),
 }
 
 # ---------------------------------------------------------------- oracle
@@ -301,6 +368,58 @@ QUERIES = {
 _CTES = fx.duck_with("registry_cars", "registry_sales")
 _OUT = "CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS outcome"
 
+
+def _one_by_one(fair: str, keys: list[str], order: str, names: list[str]) -> str:
+    """Taking requests one after the other: every request carries the list of
+    the earlier ones it competes with; a recursion over the requests' order
+    within each key group would need state, so the fixture's conflicts are
+    settled step by step until none is left (six steps are more than they have)."""
+    cols, steps = ", ".join(names), [f"q0 AS (SELECT {', '.join(names)}, CAST(NULL AS BOOLEAN) AS ok FROM {fair})"]
+    earlier = f"({order.replace('@', 'e')}) < ({order.replace('@', 'q')})"
+    for i in range(6):
+        rival = [f"(SELECT 1 FROM q{i} e WHERE e.{k} = q.{k} AND {earlier} AND e.ok IS" for k in keys]
+        lost = " OR ".join(f"EXISTS {r} TRUE)" for r in rival)
+        first = " AND ".join(f"NOT EXISTS {r} NULL)" for r in rival)
+        steps.append(f"q{i + 1} AS (SELECT {cols}, CASE WHEN ok IS NOT NULL THEN ok WHEN {lost} THEN false WHEN {first} THEN true END AS ok FROM q{i} q)")
+    return ",\n".join(steps)
+
+
+def _sell_sql() -> str:
+    return f""", cars AS (SELECT vin, CASE WHEN lot % 5 = 0 THEN '{SOLD}' ELSE '{AVAILABLE}' END AS status FROM registry_cars),
+sales AS (SELECT s.* FROM registry_sales s WHERE car_vin IN (SELECT vin FROM registry_cars WHERE lot % 5 = 0)),
+mine AS (SELECT s.*, c.lot FROM registry_sales s JOIN registry_cars c ON s.car_vin = c.vin),
+req AS (SELECT sales_number, car_vin, sales_date, cost FROM mine
+  UNION ALL SELECT sales_number || '-U', 'UNKNOWN-' || car_vin, sales_date, cost FROM mine WHERE lot % 7 = 0
+  UNION ALL SELECT (SELECT min(sales_number) FROM sales), car_vin, sales_date - 1, cost FROM mine WHERE lot % 5 <> 0 AND lot % 6 = 1
+  UNION ALL SELECT 'S-SAME', car_vin, sales_date - 2, cost FROM mine WHERE lot % 5 <> 0 AND lot % 8 = 3),
+seen AS (SELECT sales_number, car_vin, sales_date, CASE
+  WHEN car_vin NOT IN (SELECT vin FROM cars) THEN 'unknown car'
+  WHEN car_vin IN (SELECT vin FROM cars WHERE status = '{SOLD}') THEN 'car already sold'
+  WHEN sales_number IN (SELECT sales_number FROM sales) THEN 'duplicate sale number' END AS reason FROM req),
+fair AS (SELECT sales_number, car_vin, sales_date FROM seen WHERE reason IS NULL),
+""" + _one_by_one("fair", ["car_vin", "sales_number"], "@.sales_date, @.sales_number, @.car_vin", ["sales_number", "car_vin", "sales_date"]) + """,
+sell AS (SELECT sales_number, car_vin, sales_date, 'rejected' AS outcome, reason FROM seen WHERE reason IS NOT NULL
+  UNION ALL SELECT sales_number, car_vin, sales_date, CASE WHEN ok THEN 'accepted' ELSE 'rejected' END,
+    CASE WHEN NOT ok THEN 'car or number taken in batch' END FROM q6)
+"""
+
+
+def _rename_sql() -> str:
+    return """, want AS (SELECT vin, 'NEW' || substr(vin, 4) AS new_vin FROM registry_cars WHERE lot % 9 = 0
+  UNION ALL SELECT vin, 'ALT' || substr(vin, 4) FROM registry_cars WHERE lot % 9 = 0
+  UNION ALL SELECT vin, 'VIN' || lpad(CAST(CAST(substr(vin, 4) AS BIGINT) + 1 AS VARCHAR), 8, '0') FROM registry_cars WHERE lot % 11 = 0
+  UNION ALL SELECT 'X' || vin, 'Y' || vin FROM registry_cars WHERE lot % 13 = 0
+  UNION ALL SELECT vin, 'NEW-ONE' FROM registry_cars WHERE lot % 10 = 4
+  UNION ALL SELECT '0' || vin, 'NEW-ONE' FROM registry_cars WHERE lot % 10 = 4),
+seen AS (SELECT vin, new_vin, CASE WHEN vin NOT IN (SELECT vin FROM registry_cars) THEN 'unknown key'
+  WHEN new_vin IN (SELECT vin FROM registry_cars) THEN 'new key exists' END AS reason FROM want),
+fair AS (SELECT vin, new_vin FROM seen WHERE reason IS NULL),
+""" + _one_by_one("fair", ["vin", "new_vin"], "@.new_vin, @.vin", ["vin", "new_vin"]) + """,
+ren AS (SELECT vin, new_vin, 'rejected' AS outcome, reason FROM seen WHERE reason IS NOT NULL
+  UNION ALL SELECT vin, new_vin, CASE WHEN ok THEN 'accepted' ELSE 'rejected' END, CASE WHEN NOT ok THEN 'key taken in batch' END FROM q6)
+"""
+
+
 ORACLE = {
     "registry_serialize": _CTES
     + f"""SELECT vin, rpad(json_object('vin', vin, 'model', model, 'price', CAST(price AS VARCHAR),
@@ -328,29 +447,25 @@ r AS (SELECT *, row_number() OVER (PARTITION BY vin ORDER BY price, model, statu
        WHEN row_number() OVER (PARTITION BY vin ORDER BY price, model, status) > 1 THEN 'duplicate key in batch' END AS reason
   FROM req)
 SELECT vin, CAST(price AS DECIMAL(12,2)) AS price, {_OUT}, reason FROM r""",
-    "sell_cars_batch": _CTES
-    + f""", cars AS (SELECT vin, CASE WHEN lot % 5 = 0 THEN '{SOLD}' ELSE '{AVAILABLE}' END AS status FROM registry_cars),
-sales AS (SELECT s.* FROM registry_sales s WHERE car_vin IN (SELECT vin FROM registry_cars WHERE lot % 5 = 0)),
-req AS (SELECT * FROM registry_sales UNION ALL
-  SELECT sales_number || '-U', 'UNKNOWN-' || car_vin, sales_date, cost FROM registry_sales
-  WHERE car_vin IN (SELECT vin FROM registry_cars WHERE lot % 7 = 0)),
-r AS (SELECT req.*, c.status,
-  row_number() OVER (PARTITION BY req.car_vin ORDER BY sales_date, sales_number) AS car_rn,
-  row_number() OVER (PARTITION BY req.sales_number ORDER BY sales_date, req.car_vin) AS num_rn,
-  req.sales_number IN (SELECT sales_number FROM sales) AS taken
-  FROM req LEFT JOIN cars c ON c.vin = req.car_vin),
-x AS (SELECT sales_number, car_vin, CASE WHEN status IS NULL THEN 'unknown car'
-  WHEN status = '{SOLD}' OR car_rn > 1 THEN 'car already sold'
-  WHEN taken OR num_rn > 1 THEN 'duplicate sale number' END AS reason FROM r)
-SELECT sales_number, car_vin, {_OUT}, reason FROM x""",
-    "rename_keys_batch": _CTES
-    + """, req AS (SELECT vin, 'NEW' || substr(vin, 4) AS new_vin FROM registry_cars WHERE lot % 9 = 0
-  UNION ALL SELECT vin, 'VIN' || lpad(CAST(CAST(substr(vin, 4) AS BIGINT) + 1 AS VARCHAR), 8, '0') FROM registry_cars WHERE lot % 11 = 0
-  UNION ALL SELECT 'X' || vin, 'Y' || vin FROM registry_cars WHERE lot % 13 = 0),
-x AS (SELECT vin, new_vin, CASE WHEN vin NOT IN (SELECT vin FROM registry_cars) THEN 'unknown key'
-  WHEN new_vin IN (SELECT vin FROM registry_cars) THEN 'new key exists'
-  WHEN row_number() OVER (PARTITION BY new_vin ORDER BY vin) > 1 THEN 'new key taken in batch' END AS reason FROM req)
-SELECT vin, new_vin, CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS outcome, reason FROM x""",
+    "keyed_insert_state": _CTES
+    + """SELECT vin, model, CAST(price AS DECIMAL(12,2)) AS price, status FROM registry_cars""",
+    "sell_cars_batch": _CTES + _sell_sql() + "SELECT * FROM sell",
+    "sell_cars_state": _CTES + _sell_sql()
+    + f"SELECT vin, CASE WHEN vin IN (SELECT car_vin FROM sell WHERE outcome = 'accepted') THEN '{SOLD}' ELSE status END AS status FROM cars",
+    "sell_sales_state": _CTES + _sell_sql()
+    + """SELECT sales_number, car_vin, sales_date, cost FROM sales UNION ALL
+SELECT r.sales_number, r.car_vin, r.sales_date, r.cost FROM req r SEMI JOIN (SELECT * FROM sell WHERE outcome = 'accepted') a
+  USING (sales_number, car_vin, sales_date)""",
+    "rename_keys_batch": _CTES + _rename_sql() + "SELECT * FROM ren",
+    "rename_cars_state": _CTES + _rename_sql()
+    + "SELECT coalesce(a.new_vin, c.vin) AS vin, c.model, c.status FROM registry_cars c LEFT JOIN (SELECT * FROM ren WHERE outcome = 'accepted') a USING (vin)",
+    "rename_sales_state": _CTES + _rename_sql()
+    + """SELECT s.sales_number, coalesce(a.new_vin, s.car_vin) AS car_vin FROM registry_sales s
+LEFT JOIN (SELECT * FROM ren WHERE outcome = 'accepted') a ON a.vin = s.car_vin""",
+    "revert_cars_state": _CTES
+    + f"""SELECT vin, CASE WHEN lot % 4 = 0 AND vin IN (SELECT car_vin FROM registry_sales) THEN '{AVAILABLE}' ELSE status END AS status FROM registry_cars""",
+    "revert_sales_state": _CTES
+    + """SELECT sales_number, car_vin FROM registry_sales ANTI JOIN (SELECT vin AS car_vin FROM registry_cars WHERE lot % 4 = 0) USING (car_vin)""",
     "revert_sales_batch": _CTES
     + f""", req AS (SELECT DISTINCT sales_number FROM (
   SELECT sales_number FROM registry_sales WHERE car_vin IN (SELECT vin FROM registry_cars WHERE lot % 4 = 0)
