@@ -16,6 +16,12 @@ NAMES = [
     ("John Smith MD", None, "John", "Smith"),  # MD is a prefix title only
     ("Missy Elliot", None, "Missy", "Elliot"),  # a title needs a space after it
     ("John Smith III", None, "John", "Smith"),
+    ("Mary Ann Smith Jr.", "Jr.", "Mary", "Smith"),  # before a closing title: the last word
+    ("Mary Ann Smith", None, "Mary", "Ann"),
+    ("Mrs.  Eve   Ray II", "Mrs.", "Eve", "Ray"),
+    ("Conan O'Brien", None, "Conan", "O'Brien"),
+    ("Mr. Bean", "Mr.", "Bean", "Bean"),
+    ("DVM", None, "DVM", "DVM"),  # a title alone is a name
     ("Cher", None, "Cher", "Cher"),  # no second word: the name is kept whole
 ]
 
@@ -30,6 +36,15 @@ def test_person_parser(spark):
     assert by[None] == (None, None, None)
 
 
+def test_person_parser_oracle_agrees():
+    import duckdb
+
+    for n, t, f, last in NAMES:
+        name = "'" + n.replace("'", "''") + "'"
+        got = duckdb.connect().execute(f"SELECT {tx.sql_person_title(name)}, {tx.sql_first_name(name)}, {tx.sql_last_name(name)}").fetchone()
+        assert got == (t, f, last), n
+
+
 def test_car_parser(spark):
     df = spark.createDataFrame(
         [("Tesla Model 3, red",), ("Hyundai Elantra GT, blue",), ("BMW, ",), ("Lada",)], "a string")
