@@ -31,9 +31,8 @@ def money(x: Column | str, precision: int = 18) -> Column:
 
 
 def int_div(a: Column | str, b: Column | str) -> Column:
-    """Integral division of non-negative integers (SQL ``div``), exact."""
-    a, b = _c(a).cast("bigint"), _c(b).cast("bigint")
-    return ((a - F.pmod(a, b)).cast("decimal(38,0)") / b).cast("bigint")
+    """Integral division (SQL ``div``), exact; null when ``b`` is 0."""
+    return F.call_function("div", _c(a).cast("bigint"), F.nullif(_c(b).cast("bigint"), F.lit(0)))
 
 
 def div_round(num: Column | str, den: Column | str) -> Column:

@@ -54,7 +54,7 @@ def changed_rows(
 
 
 def split_keys(affected: DataFrame, existing: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    ek = existing.select(*keys).distinct()
+    ek = existing.select(*keys)
     return affected.join(ek, list(keys), "left_semi"), affected.join(ek, list(keys), "left_anti")
 
 

@@ -20,7 +20,7 @@ def unique_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def fk_violations(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose non-null reference has no parent row."""
-    keys = parent.select(F.col(pk).alias("_pk")).distinct()
+    keys = parent.select(F.col(pk).alias("_pk"))
     return child.filter(F.col(fk).isNotNull()).join(keys, F.col(fk) == F.col("_pk"), "left_anti")
 
 
@@ -52,6 +52,14 @@ def fits_decimal(col: str, precision: int, scale: int) -> Column:
     return F.col(col).isNull() | F.col(col).try_cast(f"decimal({precision},{scale})").isNotNull()
 
 
+def count_rows(df: DataFrame, rules: Sequence[tuple[str, str, Column]]) -> DataFrame:
+    """``(rule, severity, n_bad)`` of any number of row rules in one scan;
+    each rule's column is true for a bad row."""
+    counts = df.agg(*[F.count_if(bad).alias(f"r{i}") for i, (_, _, bad) in enumerate(rules)])
+    rows = [F.struct(F.lit(n).alias("rule"), F.lit(s).alias("severity"), F.col(f"r{i}").alias("n_bad")) for i, (n, s, _) in enumerate(rules)]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def summarize(rules: Sequence[tuple[str, str, DataFrame]]) -> DataFrame:
     """One ``(rule, severity, n_bad)`` row per rule (each a global count)."""
     out = None

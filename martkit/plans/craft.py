@@ -258,7 +258,8 @@ class CraftWarehouse:
     @cached_property
     def stage_fact2(self) -> DataFrame:
         l2 = self.load2_dims
-        return stage_fact(self.stage2, l2["d_craftsman"], l2["d_customer"], l2["d_product"])
+        # Written once: the touched months, the new keys and the merge all read it.
+        return self._save(stage_fact(self.stage2, l2["d_craftsman"], l2["d_customer"], l2["d_product"]), "tmp_sources_fact")
 
     @cached_property
     def load2_dims(self) -> dict[str, DataFrame]:
@@ -403,9 +404,9 @@ def _refresh(sp, d) -> CraftWarehouse:
 
 QUERIES = {
     "stage_external_orders": lambda sp, d: stage_external_orders(sp, d, 2),
-    "merge_dim_craftsman": lambda sp, d: _wh(sp, d).load2["d_craftsman"],
-    "merge_dim_product": lambda sp, d: _wh(sp, d).load2["d_product"],
-    "merge_dim_customer": lambda sp, d: _wh(sp, d).load2["d_customer"],
+    "merge_dim_craftsman": lambda sp, d: _wh(sp, d).load2_dims["d_craftsman"],
+    "merge_dim_product": lambda sp, d: _wh(sp, d).load2_dims["d_product"],
+    "merge_dim_customer": lambda sp, d: _wh(sp, d).load2_dims["d_customer"],
     "stage_fact_orders": lambda sp, d: _wh(sp, d).stage_fact2,
     "merge_fact_orders": lambda sp, d: _wh(sp, d).load2["f_order"].select(*FACT_COLUMNS),
     "mart_delta": lambda sp, d: _refresh(sp, d).delta,

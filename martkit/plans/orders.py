@@ -124,16 +124,9 @@ def calendar(log: DataFrame) -> DataFrame:
 def sales_fact(log: DataFrame, days: tuple[dt.date, dt.date] | None = None) -> DataFrame:
     """Signed sales rows (refunds negative) for the days in ``days``
     (inclusive range; ``None`` = all days, i.e. a back-fill)."""
-    src = log
-    if days is not None:
-        lo, hi = days
-        # Half-open timestamp range: Parquet statistics prune row groups.
-        src = src.filter(
-            (F.col("date_time") >= ntz(lo))
-            & (F.col("date_time") < ntz(hi + dt.timedelta(days=1)))
-        )
-    # The calendar has one row per day of the log's span: a bounded broadcast.
-    cal = F.broadcast(calendar(log))
+    src = between_days(log, days) if days is not None else log
+    # One row per day of the rows in hand; AQE decides how to join it.
+    cal = calendar(src)
     refunded = F.col("status") == "refunded"
     j = src.join(cal, src.date_time.cast("date") == cal.date_actual, "left")
     return j.select(
@@ -150,7 +143,6 @@ def daily_sales_slice(spark: SparkSession, d: str) -> DataFrame:
     dynamic partition overwrite per day, so a re-run replaces, not appends."""
     log = fx.user_order_log(spark, d)
     path = scratch_path(spark, "f_sales")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     out = write_version(sales_fact(log), path, ["sale_date"])
     return out.select("date_id", "item_id", "customer_id", "city_id", "quantity", "payment_amount", "status")
 
@@ -216,42 +208,79 @@ def weekly_customer_retention(spark: SparkSession, d: str) -> DataFrame:
         "period_id", F.col("period_id").cast("int")).select(*cols)
 
 
+def week_of(ds: dt.date) -> tuple[dt.date, dt.date]:
+    """First and last day of the ISO week of ``ds``."""
+    monday = ds - dt.timedelta(days=ds.weekday())
+    return monday, monday + dt.timedelta(days=6)
+
+
+def between_days(log: DataFrame, days: tuple[dt.date, dt.date]) -> DataFrame:
+    """Rows of an inclusive range of days, as a half-open timestamp range:
+    Parquet statistics prune row groups."""
+    lo, hi = days
+    return log.filter((F.col("date_time") >= ntz(lo)) & (F.col("date_time") < ntz(hi + dt.timedelta(days=1))))
+
+
 def run_day(spark: SparkSession, log: DataFrame, ds: dt.date, fact_path: str, retention_path: str) -> None:
     """One scheduled day: the day's fact partition and its week's retention
     partition are overwritten (idempotent re-runs)."""
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    sales_fact(log, (ds, ds)).write.mode("overwrite").partitionBy("sale_date").parquet(fact_path)
-    iso_year, week, _ = ds.isocalendar()
-    week_rows = log.filter(
-        (F.expr("extract(YEAROFWEEK FROM date_time)") == iso_year) & (F.weekofyear("date_time") == week)
-    )
-    weekly_retention(week_rows).write.mode("overwrite").partitionBy("period_year", "period_id").parquet(
+    day = sales_fact(log, (ds, ds)).repartition("sale_date")
+    day.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sale_date").parquet(fact_path)
+    week = weekly_retention(between_days(log, week_of(ds))).repartition("period_year", "period_id")
+    week.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period_year", "period_id").parquet(
         retention_path
     )
 
 
+# The business date of the registered one-day runs.
+RUN_DATE = dt.date(2024, 1, 10)
+
+
+def sales_of_one_day(spark: SparkSession, d: str, ds: dt.date = RUN_DATE) -> DataFrame:
+    """The fact rows that the run of one business date writes."""
+    out = sales_fact(fx.user_order_log(spark, d), (ds, ds))
+    return out.select("date_id", "item_id", "customer_id", "city_id", "quantity", "payment_amount", "status")
+
+
+def retention_of_one_week(spark: SparkSession, d: str, ds: dt.date = RUN_DATE) -> DataFrame:
+    """The retention rows that the run of one business date writes."""
+    return weekly_retention(between_days(fx.user_order_log(spark, d), week_of(ds)))
+
+
 # ---------------------------------------------------------------- oracle
 
 _LOG = fx.duck_with("user_order_log")
 _CUT = "date_time < TIMESTAMP '2024-01-15 00:00:00'"
 
+
+def _retention_sql(rows: str) -> str:
+    """A customer's kind is found per row with windows over its (item, week),
+    one row per customer is marked, and a single grouping adds up."""
+    return _LOG + f""", tagged AS (
+  SELECT item_id, isoyear(date_time) AS y, week(date_time) AS w, payment_amount AS paid, status = 'refunded' AS back,
+    bool_or(status = 'refunded') OVER mine AS ever_back,
+    min(uniq_id) OVER mine <> max(uniq_id) OVER mine AS several,
+    row_number() OVER (PARTITION BY item_id, isoyear(date_time), week(date_time), customer_id ORDER BY uniq_id, payment_amount) = 1 AS mark
+  FROM user_order_log WHERE {rows}
+  WINDOW mine AS (PARTITION BY item_id, isoyear(date_time), week(date_time), customer_id))
+SELECT item_id, CAST(y AS INTEGER) AS period_year, CAST(w AS INTEGER) AS period_id, 'weekly' AS period_name,
+  CAST(count_if(mark AND NOT ever_back AND NOT several) AS BIGINT) AS new_customers_count,
+  CAST(count_if(mark AND NOT ever_back AND several) AS BIGINT) AS returning_customers_count,
+  CAST(count_if(mark AND ever_back) AS BIGINT) AS refunded_customers_count,
+  CAST(coalesce(sum(paid) FILTER (WHERE NOT ever_back AND NOT several), 0) AS DECIMAL(12,2)) AS new_customers_revenue,
+  CAST(coalesce(sum(paid) FILTER (WHERE NOT ever_back AND several), 0) AS DECIMAL(12,2)) AS returning_customers_revenue,
+  CAST(coalesce(sum(paid) FILTER (WHERE back), 0) AS DECIMAL(12,2)) AS refund_amount, CAST(count_if(back) AS BIGINT) AS refund_count
+FROM tagged GROUP BY item_id, y, w"""
+
+
 ORACLE = {
-    "weekly_customer_retention": _LOG + """,
-l1 AS (SELECT item_id, customer_id, CAST(isoyear(date_time) AS INTEGER) AS period_year,
-         CAST(weekofyear(date_time) AS INTEGER) AS period_id, count(DISTINCT uniq_id) AS order_count,
-         sum(CASE WHEN status = 'refunded' THEN 1 ELSE 0 END) AS refund_count,
-         sum(CASE WHEN status != 'refunded' THEN payment_amount ELSE 0 END) AS total_revenue,
-         sum(CASE WHEN status = 'refunded' THEN payment_amount ELSE 0 END) AS total_refund
-       FROM user_order_log GROUP BY 1, 2, 3, 4)
-SELECT count(DISTINCT CASE WHEN order_count = 1 AND refund_count = 0 THEN customer_id END) AS new_customers_count,
-  count(DISTINCT CASE WHEN order_count > 1 AND refund_count = 0 THEN customer_id END) AS returning_customers_count,
-  count(DISTINCT CASE WHEN refund_count > 0 THEN customer_id END) AS refunded_customers_count,
-  'weekly' AS period_name, period_year, period_id, item_id,
-  CAST(sum(CASE WHEN order_count = 1 AND refund_count = 0 THEN total_revenue ELSE 0 END) AS DECIMAL(12,2)) AS new_customers_revenue,
-  CAST(sum(CASE WHEN order_count > 1 AND refund_count = 0 THEN total_revenue ELSE 0 END) AS DECIMAL(12,2)) AS returning_customers_revenue,
-  CAST(sum(total_refund) AS DECIMAL(12,2)) AS refund_amount,
-  CAST(sum(refund_count) AS BIGINT) AS refund_count
-FROM l1 GROUP BY item_id, period_year, period_id""",
+    "weekly_customer_retention": _retention_sql("true"),
+    "retention_of_one_week": _retention_sql(f"CAST(date_time AS DATE) BETWEEN DATE '{week_of(RUN_DATE)[0]}' AND DATE '{week_of(RUN_DATE)[1]}'"),
+    "sales_of_one_day": _LOG + f"""
+SELECT CAST(year(date_time) * 10000 + month(date_time) * 100 + day(date_time) AS INTEGER) AS date_id, item_id, customer_id, city_id,
+  (1 - 2 * CAST(status = 'refunded' AS INTEGER)) * quantity AS quantity,
+  CAST((1 - 2 * CAST(status = 'refunded' AS INTEGER)) * payment_amount AS DECIMAL(10,2)) AS payment_amount, status
+FROM user_order_log WHERE CAST(date_time AS DATE) = DATE '{RUN_DATE}'""",
     "daily_sales_slice": _LOG + """
 SELECT CAST(strftime(CAST(date_time AS DATE), '%Y%m%d') AS INTEGER) AS date_id, item_id, customer_id, city_id,
   CASE WHEN status = 'refunded' THEN -quantity ELSE quantity END AS quantity,
@@ -277,6 +306,8 @@ SELECT item_id, min(item_name) FROM user_order_log WHERE item_id NOT IN (SELECT
 QUERIES = {
     "weekly_customer_retention": weekly_customer_retention,
     "daily_sales_slice": daily_sales_slice,
+    "sales_of_one_day": sales_of_one_day,
+    "retention_of_one_week": retention_of_one_week,
     "conform_order_increment": conform_order_increment,
     "insert_absent_city": insert_absent_city,
     "insert_absent_customer": insert_absent_customer,
