@@ -106,25 +106,32 @@ def successors(ids: DataFrame, key: str) -> DataFrame:
     return kept.withColumn("_inside", inside).join(then, "_part").withColumn("next", F.coalesce("_inside", "_then")).drop("_part", "_inside", "_then")
 
 
+def _quarter(text: Column) -> Column:
+    return F.floor(F.length(text) / 4).cast("int")
+
+
 def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every document's sketch, its edited text (the last quarter replaced by
     the beginning of its successor) and that text's and the successor's sketch."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("key", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_FIRST))).withColumn("n_chars", F.length("text").cast("bigint"))
-    quarter = F.floor(F.col("n_chars") / 4).cast("int")
-    ids = rows.groupBy("key").agg(F.max(quarter).alias("need"))
+    rows = docs.select(
+        F.coalesce(F.col(id_col).cast("bigint"), F.lit(_FIRST)).alias("key"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
+    )
+    ids = rows.groupBy("key").agg(F.max(_quarter(F.col("text"))).alias("need"))
     wanted = successors(ids, "key").select(F.col("next").alias("key"), F.col("key").alias("before"), "need")
 
-    # One shuffle of the texts by key serves both the documents and the heads.
-    placed = with_sketch(rows, "text", "sketch").join(wanted, "key")
-    heads = placed.groupBy(F.col("before").alias("key")).agg(
+    # The same three columns, dealt by key, serve the heads and the documents:
+    # texts are shuffled and sketched once (the exchange is reused).
+    placed = with_sketch(rows, "text", "sketch").select("key", "text", "sketch")
+    heads = placed.join(wanted, "key").groupBy(F.col("before").alias("key")).agg(
         F.min(F.struct(F.xxhash64("text").alias("th"), F.expr("substring(text, 1, need)").alias("head"), "sketch")).alias("next")
     )
+    quarter = _quarter(F.col("text"))
+    kept = F.substring("text", F.lit(1), F.length("text") - quarter)
     joined = placed.join(heads, "key").select(
-        "doc_id",
-        "n_chars",
+        F.when(F.col("key") != _FIRST, F.col("key")).alias("doc_id"),
+        F.length("text").cast("bigint").alias("n_chars"),
         "sketch",
-        F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - quarter), F.substring(F.col("next.head"), F.lit(1), quarter)).alias("edited"),
+        F.concat(kept, F.substring(F.col("next.head"), F.lit(1), quarter)).alias("edited"),
         F.col("next.sketch").alias("next_sketch"),
     )
     return with_sketch(joined, "edited", "edited_sketch")
