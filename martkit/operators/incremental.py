@@ -2,14 +2,13 @@
 
 * ``read_mark``        - ``coalesce(max(load_dttm), floor)`` as one scalar
 * ``changed_rows``     - rows whose own load time, or a referenced
-  dimension row's load time, is newer than the mark; each condition is a
-  filter or a semi join *before* any join of the big table, so an
-  increment never shuffles the whole fact
+  dimension row's load time, is newer than the mark, found in one scan of
+  the fact against the changed keys
 * ``split_keys``       - affected keys -> existing / new (semi / anti join)
 * ``next_mark``        - greatest of the delta's load times; unchanged
   when the delta is empty (a clock value would skip late rows)
-* ``apply_keyed``      - new table state: untouched rows + updated rows
-  (keep their ids) + inserted rows (ids continue after the maximum)
+* ``apply_keyed``      - new table state: untouched rows + recomputed rows
+  (known ones keep their ids, new ones continue after the maximum)
 """
 
 from __future__ import annotations
@@ -38,19 +37,20 @@ def changed_rows(
     fact_load: str,
     mark: dt.datetime,
     dims: Sequence[tuple[DataFrame, str, str]],
-    row_key: str,
 ) -> DataFrame:
     """Fact rows newer than ``mark`` or pointing at a dimension row newer
-    than ``mark``.  ``dims`` = (dimension, key column, load column)."""
+    than ``mark``.  ``dims`` = (dimension, its unique key column, load column).
+
+    One scan of the fact: each dimension's changed keys (one column, a part
+    of the dimension) mark the rows by a left join, and one filter follows.
+    """
     m = ntz(mark)
-    parts = [fact.filter(F.col(fact_load) > m)]
-    for dim, key, load in dims:
-        changed = dim.filter(F.col(load) > m).select(key)
-        parts.append(fact.join(changed, key, "left_semi"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.dropDuplicates([row_key])
+    out, changed = fact, F.col(fact_load) > m
+    for i, (dim, key, load) in enumerate(dims):
+        flag = f"_changed{i}"
+        out = out.join(dim.filter(F.col(load) > m).select(key, F.lit(True).alias(flag)), key, "left")
+        changed = changed | F.col(flag).isNotNull()
+    return out.filter(changed).select(*fact.columns)
 
 
 def split_keys(affected: DataFrame, existing: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -64,13 +64,18 @@ def next_mark(delta: DataFrame, load_cols: Sequence[str], current: dt.datetime)
     return max(vals) if vals else current
 
 
-def apply_keyed(
-    table: DataFrame, updates: DataFrame, inserts: DataFrame, keys: Sequence[str], id_col: str
-) -> DataFrame:
-    """One new version of a keyed table (read the old, write the new)."""
+def with_known_id(rows: DataFrame, table: DataFrame, keys: Sequence[str], id_col: str) -> DataFrame:
+    """``rows`` with the id that ``table`` has for their key, else null."""
+    return rows.join(table.select(*keys, id_col), list(keys), "left")
+
+
+def apply_keyed(table: DataFrame, rows: DataFrame, keys: Sequence[str], id_col: str) -> DataFrame:
+    """One new version of a keyed table (read the old, write the new).
+    ``rows`` carry their known id or null (``with_known_id``)."""
     cols = table.columns
-    untouched = table.join(updates.select(*keys), list(keys), "left_anti")
-    updated = updates.join(table.select(*keys, id_col), list(keys))
+    untouched = table.join(rows.select(*keys), list(keys), "left_anti")
     top = table.agg(F.max(id_col)).first()[0] or 0
-    inserted = dense_keys(inserts, list(keys), id_col, start=top + 1)
+    new = rows.filter(F.col(id_col).isNull()).drop(id_col)
+    inserted = dense_keys(new, list(keys), id_col, start=top + 1)
+    updated = rows.filter(F.col(id_col).isNotNull())
     return untouched.select(*cols).unionByName(updated.select(*cols)).unionByName(inserted.select(*cols))

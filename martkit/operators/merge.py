@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .keys import dense_keys
 
 
@@ -97,7 +98,9 @@ def upsert(
                 same = same & F.col(f"_s_{a}").eqNullSafe(F.col(a))
             stamp = stamp & (F.col("_t").isNull() | ~same)
         merged_cols.append(F.when(stamp, load_ts).otherwise(F.col(load_col)).alias(load_col))
-    merged = j.select(*keys, surrogate, "_t", *merged_cols)
+    # Written once: the rows kept and the rows that get keys are both read from it.
+    spark = target.sparkSession
+    merged = write_version(j.select(*keys, surrogate, "_t", *merged_cols), scratch_path(spark, "merged"))
     kept = merged.filter(F.col("_t").isNotNull()).drop("_t")
     new = merged.filter(F.col("_t").isNull()).drop("_t", surrogate)
     if key_start is None:

@@ -16,7 +16,6 @@ the reference loads its raw tables once before its queries run.
 from __future__ import annotations
 
 import functools
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +26,20 @@ from ..session import scratch_path
 from .tables import table
 
 # Materialized input views: (application id, folder, view) -> written table.
-_TABLES: dict[tuple[str, str, str], str] = {}
+_TABLES: dict[tuple, str] = {}
+
+
+def input_version(spark: SparkSession, d: str) -> int:
+    """Changes whenever a table file in ``d`` is added, removed or rewritten
+    (names, sizes and times, read through Spark's own file systems)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(d)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = fs.listFiles(path, True)
+    seen = []
+    while files.hasNext():
+        f = files.next()
+        seen.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return hash(tuple(sorted(seen)))
 
 
 def materialized(builder):
@@ -36,7 +48,7 @@ def materialized(builder):
 
     @functools.wraps(builder)
     def get(spark: SparkSession, d: str) -> DataFrame:
-        key = (spark.sparkContext.applicationId, os.path.abspath(d), builder.__name__)
+        key = (spark.sparkContext.applicationId, d, input_version(spark, d), builder.__name__)
         path = _TABLES.get(key)
         if path is None:
             path = scratch_path(spark, f"input_{builder.__name__}")

@@ -78,7 +78,7 @@ def test_changed_rows_union_of_conditions(spark):
     fact = spark.createDataFrame([(1, 10, old), (2, 20, new), (3, 30, old), (4, 10, new)],
                                  "order_id long, customer_id long, load_dttm timestamp_ntz")
     cust = spark.createDataFrame([(10, old), (30, new)], "customer_id long, load_dttm timestamp_ntz")
-    got = inc.changed_rows(fact, "load_dttm", mark, [(cust, "customer_id", "load_dttm")], "order_id")
+    got = inc.changed_rows(fact, "load_dttm", mark, [(cust, "customer_id", "load_dttm")])
     assert sorted(r.order_id for r in got.collect()) == [2, 3, 4]
 
 
