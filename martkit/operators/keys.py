@@ -70,7 +70,14 @@ def dense_keys(
     )
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike]) -> DataFrame:
+def hash_key(*cols: ColumnLike) -> Column:
+    """A deterministic key from natural-key columns: SHA-256 of their text,
+    separated by a unit separator; a null is told apart from an empty text."""
+    parts = [F.coalesce(c.cast("string"), F.lit("\u0000")) for c in _cols(cols)]
+    return F.sha2(F.concat_ws("\u001f", *parts), 256)
+
+
+def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike], pick=F.min) -> DataFrame:
     """One row per ``keys``: the first in ``order`` (a total order).
 
     Implemented as ``min`` of a struct (order columns first, then the row),
@@ -87,20 +94,10 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike])
             F.struct(*payload).alias("_row"),
         ).alias("_k"),
     )
-    best = ranked.groupBy(*keys).agg(F.min("_k").alias("_k"))
+    best = ranked.groupBy(*keys).agg(pick("_k").alias("_k"))
     return best.select(*keys, "_k._row.*").select(*df.columns)
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike]) -> DataFrame:
     """One row per ``keys``: the last in ``order`` (see ``keep_first``)."""
-    order_cols = _cols(order)
-    payload = [c for c in df.columns if c not in keys]
-    ranked = df.select(
-        *keys,
-        F.struct(
-            *[c.alias(f"_o{i}") for i, c in enumerate(order_cols)],
-            F.struct(*payload).alias("_row"),
-        ).alias("_k"),
-    )
-    best = ranked.groupBy(*keys).agg(F.max("_k").alias("_k"))
-    return best.select(*keys, "_k._row.*").select(*df.columns)
+    return keep_first(df, keys, order, F.max)

@@ -30,6 +30,17 @@ def catalog_from_json(root: DataFrame, body: str = "body") -> DataFrame:
     return root.select(F.explode(F.from_json(body, "map<string,string>")).alias("category", "url"))
 
 
+def root_payloads(spark: SparkSession, d: str) -> DataFrame:
+    """The catalog as delivered: one JSON object of ``"category": "url"``
+    members for each first two letters of the category."""
+    entries = F.map_from_entries(F.collect_list(F.struct("category", "url")))
+    return catalog_categories(spark, d).groupBy(F.substring("category", 1, 2)).agg(F.to_json(entries).alias("body"))
+
+
+def catalog_rows(spark: SparkSession, d: str) -> DataFrame:
+    return catalog_from_json(root_payloads(spark, d))
+
+
 def land(pages: DataFrame, path: str) -> None:
     pages.select("category", "body").write.mode("overwrite").partitionBy("category").option(
         "lineSep", LINE_SEP
@@ -56,12 +67,14 @@ def land_by_category(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "catalog_categories": catalog_categories,
+    "catalog_rows": catalog_rows,
     "land_by_category": land_by_category,
 }
 
 _CTES = fx.duck_with("page_hosts")
 ORACLE = {
     "catalog_categories": _CTES + "SELECT category, min(url) AS url, count(*) AS n_pages FROM page_hosts GROUP BY category",
+    "catalog_rows": _CTES + "SELECT category, min(url) AS url FROM page_hosts GROUP BY category",
     "land_by_category": _CTES
     + "SELECT category, count(*) AS n_pages, CAST(sum(length(body)) AS BIGINT) AS n_chars FROM page_hosts GROUP BY category",
 }

@@ -74,6 +74,12 @@ def _existing_dims_cutoff(log: DataFrame) -> DataFrame:
     return log.filter(F.col("date_time") < F.lit("2024-01-15").cast("timestamp_ntz"))
 
 
+def conform_without_status(spark: SparkSession, d: str) -> DataFrame:
+    """An early delivery, whose file has no ``status``: every row is shipped."""
+    log = fx.user_order_log(spark, d).drop("status")
+    return conform_increment(log.unionByName(log).withColumn("id", F.col("uniq_id")))
+
+
 def _dim_city(log: DataFrame) -> DataFrame:
     return log.groupBy("city_id").agg(F.min("city_name").alias("city_name"))
 
@@ -287,6 +293,7 @@ SELECT CAST(strftime(CAST(date_time AS DATE), '%Y%m%d') AS INTEGER) AS date_id,
   CASE WHEN status = 'refunded' THEN -payment_amount ELSE payment_amount END AS payment_amount, status
 FROM user_order_log""",
     "conform_order_increment": _LOG + "SELECT * FROM user_order_log",
+    "conform_without_status": _LOG + "SELECT * REPLACE ('shipped' AS status) FROM user_order_log",
     "insert_absent_city": _LOG + f""",
 existing AS (SELECT city_id, min(city_name) AS city_name FROM user_order_log WHERE {_CUT} GROUP BY city_id)
 SELECT * FROM existing UNION ALL
@@ -309,6 +316,7 @@ QUERIES = {
     "sales_of_one_day": sales_of_one_day,
     "retention_of_one_week": retention_of_one_week,
     "conform_order_increment": conform_order_increment,
+    "conform_without_status": conform_without_status,
     "insert_absent_city": insert_absent_city,
     "insert_absent_customer": insert_absent_customer,
     "insert_absent_item": insert_absent_item,

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import jsonops as js
 from ..functions.numeric import avg_cents, cents, cents_to_decimal, div_round
-from ..operators.keys import dense_keys
+from ..operators.keys import dense_keys, hash_key
 from ..operators.merge import update_from, write_version
 from ..session import scratch_path
 from ..sources import fixtures as fx
@@ -183,11 +183,25 @@ def menu_price_update(n: Network) -> DataFrame:
 
 
 def menu_json(rows: DataFrame) -> DataFrame:
-    """Menu rows -> one JSON document per venue, prices as JSON numbers."""
-    sections = rows.groupBy("restaurant_name", "section").agg(
-        F.map_from_entries(F.collect_list(F.struct("item", "price"))).alias("items"))
-    return sections.groupBy("restaurant_name").agg(
-        F.to_json(F.map_from_entries(F.collect_list(F.struct("section", "items")))).alias("menu"))
+    """Menu rows -> one JSON document per venue, sections and items by name,
+    prices as JSON numbers."""
+    items = F.map_from_entries(F.array_sort(F.collect_list(F.struct("item", "price"))))
+    sections = rows.groupBy("restaurant_name", "section").agg(F.to_json(items).alias("items"))
+    parts = F.array_sort(F.collect_list(F.concat(F.to_json(F.array("section")), F.lit(":"), F.col("items"))))
+    # ["name"]:{...} with the brackets off, joined into one object.
+    members = F.transform(parts, lambda x: F.regexp_replace(x, r'^\[(".*?")\]:', "$1:"))
+    return sections.groupBy("restaurant_name").agg(F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}")).alias("menu"))
+
+
+def menu_documents(n: Network) -> DataFrame:
+    """The menus after the price update, as JSON documents again."""
+    return menu_json(menu_price_update(n))
+
+
+def venue_hash_keys(n: Network) -> DataFrame:
+    """A key that follows from the natural key alone: the same in every run
+    and on every machine, with no lookup (in place of random identifiers)."""
+    return n.restaurants.select("name", hash_key("name", "restaurant_type").alias("venue_key"))
 
 
 def manager_phone_array(n: Network) -> DataFrame:
@@ -216,6 +230,8 @@ QUERIES = {
     "largest_menu_with_ties": lambda sp, d: largest_menu_with_ties(Network(sp, d)),
     "priciest_item_per_venue": lambda sp, d: priciest_item_per_venue(Network(sp, d)),
     "menu_price_update": lambda sp, d: menu_price_update(Network(sp, d)),
+    "menu_documents": lambda sp, d: menu_documents(Network(sp, d)),
+    "venue_hash_keys": lambda sp, d: venue_hash_keys(Network(sp, d)),
     "manager_phone_array": lambda sp, d: manager_phone_array(Network(sp, d)),
 }
 
@@ -252,6 +268,16 @@ def _dec(x: str) -> str:
     return f"CAST(CAST({x} AS DECIMAL(38,0)) / 100 AS DECIMAL(12,2))"
 
 
+_MENU = f""", s AS (SELECT name AS restaurant_name, restaurant_type, sec, json_extract(menu, '$."' || sec || '"') AS items
+    FROM (SELECT *, unnest(json_keys(menu)) AS sec FROM restaurants)),
+i AS (SELECT restaurant_name, restaurant_type, sec AS section, it AS item,
+    CAST(json_extract_string(items, '$."' || it || '"') AS DECIMAL(10,2)) AS price
+    FROM (SELECT *, unnest(json_keys(items)) AS it FROM s)),
+priced AS (SELECT restaurant_name, section, item,
+  CASE WHEN restaurant_type = 'coffee_shop' AND section = '{COFFEE}' AND item = '{CAPPUCCINO}'
+       THEN CAST(price * {PRICE_FACTOR} AS DECIMAL(10,2)) ELSE price END AS price FROM i)
+"""
+
 ORACLE = {
     "venue_classify_menu": _CTES + "SELECT * FROM restaurants",
     "manager_dim": _CTES + "SELECT * FROM managers",
@@ -281,15 +307,13 @@ SELECT restaurant_name, pizza_count FROM c WHERE pizza_count = (SELECT max(pizza
     + f""", i AS (SELECT restaurant_name, pizza_name, CAST(price_text AS INTEGER) AS price,
     row_number() OVER (PARTITION BY restaurant_name ORDER BY CAST(price_text AS INTEGER) DESC, pizza_name) AS rk FROM pizza_items)
 SELECT restaurant_name, '{PIZZA}' AS dish_type, pizza_name, price FROM i WHERE rk = 1""",
-    "menu_price_update": _CTES
-    + f""", s AS (SELECT name AS restaurant_name, restaurant_type, sec, json_extract(menu, '$."' || sec || '"') AS items
-    FROM (SELECT *, unnest(json_keys(menu)) AS sec FROM restaurants)),
-i AS (SELECT restaurant_name, restaurant_type, sec AS section, it AS item,
-    CAST(json_extract_string(items, '$."' || it || '"') AS DECIMAL(10,2)) AS price
-    FROM (SELECT *, unnest(json_keys(items)) AS it FROM s))
-SELECT restaurant_name, section, item,
-  CASE WHEN restaurant_type = 'coffee_shop' AND section = '{COFFEE}' AND item = '{CAPPUCCINO}'
-       THEN CAST(price * {PRICE_FACTOR} AS DECIMAL(10,2)) ELSE price END AS price FROM i""",
+    "menu_price_update": _CTES + _MENU + "SELECT * FROM priced",
+    "menu_documents": _CTES + _MENU
+    + """, sec AS (SELECT restaurant_name, section, string_agg('"' || item || '":' || price, ',' ORDER BY item) AS items
+  FROM priced GROUP BY ALL)
+SELECT restaurant_name, '{' || string_agg('"' || section || '":{' || items || '}', ',' ORDER BY section) || '}' AS menu
+FROM sec GROUP BY restaurant_name""",
+    "venue_hash_keys": _CTES + "SELECT name, sha256(name || chr(31) || restaurant_type) AS venue_key FROM restaurants",
     "manager_phone_array": _CTES
     + f"""SELECT manager_id, name,
   ['{PHONE_PREFIX}' || CAST(row_number() OVER (ORDER BY name, phone) + {PHONE_NUMBER_OFFSET} AS VARCHAR), phone] AS phone_numbers
