@@ -96,6 +96,31 @@ class ChunkTable:
         return self.flat.a[at + np.arange(total)]
 
 
+class Remembered(dict):
+    """chunk -> its ids as bytes; a new chunk is encoded when it is met.
+
+    When ``limit`` chunks are held, those of the time before are forgotten;
+    the last ``limit`` stay known for as long again.
+    """
+
+    def __init__(self, encode: Callable[[bytes], bytes], limit: int = 150_000):
+        self.encode, self.limit, self.before = encode, limit, {}
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        ids = self.before.get(chunk)
+        if ids is None:
+            ids = self.encode(chunk)
+        self[chunk] = ids
+        return ids
+
+    def joined(self, chunks: Iterable[bytes]) -> bytes:
+        """The ids of chunks in a row."""
+        if len(self) >= self.limit:
+            self.before = dict(self)
+            self.clear()
+        return b"".join(map(self.__getitem__, chunks))
+
+
 def in_runs(values: Sequence, weight: int = 4_000_000) -> Iterator[tuple[int, int]]:
     """Slices of ``values`` (strings) of about ``weight`` characters, which
     bound what one step holds."""

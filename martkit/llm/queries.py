@@ -59,8 +59,7 @@ def op6_site_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_streaming_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The piece ids of every document, and whether they decode to its text."""
-    docs = documents(spark, sf_dir)
-    return docs.select("doc_id", sp_viterbi.encode(F.col("text")).alias("e")).select("doc_id", "e.*")
+    return sp_viterbi.encode(documents(spark, sf_dir))
 
 
 def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,20 +21,24 @@ space off.
 
 Edge cases: null and empty texts have no ids and decode to an empty text; a
 text of any length without a space is read in the same bounded way; rows are
-independent, so repeated rows get equal results; other columns are untouched.
+independent, so repeated rows get equal results; null ids stay; other columns
+are ignored.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import ChunkTable, in_runs
+from .chunks import Remembered, in_runs
+from .common import keyed_text
 
 MARK = "▁"
 #: Stands for a literal space mark; no text has a lone surrogate.
@@ -146,38 +150,46 @@ class Pieces:
         """The ids of a text (with its space mark in front) as a whole."""
         return [i for run in self.segments(text) for token in run for i in self._ids(token)]
 
+    def decode_bytes(self, ids: Iterable[int]) -> bytes:
+        return b"".join(map(self.bytes_of.__getitem__, ids)).removeprefix(b" ")
+
     def decode(self, ids: Iterable[int]) -> str:
-        out = b"".join(map(self.bytes_of.__getitem__, ids))
-        return (out[1:] if out.startswith(b" ") else out).decode("utf-8", errors="replace")
+        return self.decode_bytes(ids).decode("utf-8", errors="replace")
+
+
+#: Stands between two cuts of a text; no UTF-8 text has this byte.
+_CUT = b"\xff"
 
 
 class Encoder:
+    """Ids of texts, given as UTF-8 bytes."""
+
     def __init__(self, model: str):
         self.pieces = Pieces(model)
         self.cut_marks = not self.pieces.mark_inside
         self.cut_feeds = self.cut_marks and not self.pieces.feed_inside
-        self.table = ChunkTable(self._encode, np.int32, limit=400_000)
+        self.dtype, self.code = (np.uint16, "H") if len(self.pieces.bytes_of) <= 1 << 16 else (np.uint32, "I")
+        self.known = Remembered(self._encode)
         self.is_byte = np.zeros(len(self.pieces.bytes_of), bool)
         self.is_byte[self.pieces.byte_ids] = True
 
-    def _encode(self, cuts: list[str]) -> Iterator[list[int]]:
-        for cut in cuts:
-            yield self.pieces.encode(cut)
+    def _encode(self, cut: bytes) -> bytes:
+        text = cut.decode("utf-8").replace(MARK, _LITERAL).replace(" ", MARK)
+        return array(self.code, self.pieces.encode(text)).tobytes()
 
-    def _cuts(self, text: str) -> list[str]:
-        if not text:
-            return []
-        marked = MARK + text.replace(MARK, _LITERAL).replace(" ", MARK)
+    def _cuts(self, raw: bytes) -> Iterable[bytes]:
+        if not raw:
+            return ()
+        raw = b" " + raw
         if not self.cut_marks:
-            return [marked]
-        # No space is left in the text, so one can say where to cut.
-        cut = marked.replace(MARK, " " + MARK)
+            return (raw,)
+        cut = raw.replace(b" ", _CUT + b" ")
         if self.cut_feeds:
-            cut = cut.replace("\n", " \n ")
-        return [c for c in cut.split(" ") if c]
+            cut = cut.replace(b"\n", _CUT + b"\n" + _CUT)
+        return filter(None, cut.split(_CUT))
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [self.table.ids(x) for x in self.table.of([self._cuts(t) for t in texts])]
+    def ids(self, raw: bytes) -> np.ndarray:
+        return np.frombuffer(self.known.joined(self._cuts(raw)), self.dtype)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -193,23 +205,33 @@ def _path(model: str | None) -> str:
     return model or public_tokenizers.path("piece_bpe_32k.model")
 
 
-def encode(text: Column, model: str | None = None) -> Column:
-    """struct(ids, n_tokens, n_byte_tokens, round_trip) of each text;
+_SCHEMA = "doc_id bigint, ids array<int>, n_tokens bigint, n_byte_tokens bigint, round_trip boolean"
+
+
+def _encoded(batches: Iterator[pa.RecordBatch], model: str) -> Iterator[pa.RecordBatch]:
+    enc = _encoder(model)
+    for batch in batches:
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        for lo, hi in in_runs(texts, 1_000_000):  # small results: a row's ids are as long as its text
+            ids = [enc.ids(t) for t in texts[lo:hi]]
+            sizes = np.fromiter(map(len, ids), np.int32, len(ids))
+            flat = np.concatenate(ids).astype(np.int32)
+            same = [enc.pieces.decode_bytes(x.tolist()) == t for x, t in zip(ids, texts[lo:hi], strict=True)]
+            columns = [
+                batch.column("doc_id").slice(lo, hi - lo),
+                pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), pa.array(flat)),
+                pa.array(sizes.astype(np.int64)),
+                pa.array([int(enc.is_byte[x].sum()) for x in ids], pa.int64()),
+                pa.array(same, pa.bool_()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, [x.split(" ")[0] for x in _SCHEMA.split(", ")])
+
+
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str | None = None) -> DataFrame:
+    """(doc_id, ids, n_tokens, n_byte_tokens, round_trip) of every document;
     ``round_trip`` says whether the ids decode to the text."""
     path = _path(model)
-
-    @F.pandas_udf("ids array<int>, n_tokens bigint, n_byte_tokens bigint, round_trip boolean")
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        enc = _encoder(path)
-        for texts in batches:
-            t = ["" if x is None else x for x in texts]
-            rows = []
-            for lo, hi in in_runs(t):
-                for x, ids in zip(t[lo:hi], enc.ids(t[lo:hi]), strict=True):
-                    rows.append((ids, len(ids), int(enc.is_byte[ids].sum()), enc.pieces.decode(ids.tolist()) == x))
-            yield pd.DataFrame(rows, columns=["ids", "n_tokens", "n_byte_tokens", "round_trip"])
-
-    return encoded(text.cast("string"))
+    return keyed_text(docs, id_col, text_col).mapInArrow(lambda it: _encoded(it, path), _SCHEMA)
 
 
 def decode(ids: Column, model: str | None = None) -> Column:
