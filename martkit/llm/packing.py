@@ -1,8 +1,8 @@
 """Packing along a space-filling curve.
 
-A document's words are hashed and summed into a vector, projected to ``DIMS``
-dimensions (each word hash is its own random projection, so this is the
-projection of the hashed word counts), scaled to unit length and quantised;
+A document's tokens are hashed and summed into a vector, projected to ``DIMS``
+dimensions (each token's hash is its own random projection, so this is the
+projection of the hashed token counts), scaled to unit length and quantised;
 the Hilbert key of that cell is its place on the curve.  Documents are
 range-sorted by (key, id) and their tokens laid end to end along the curve:
 token g of the whole run is token ``g % length`` of sequence ``g // length``.
@@ -29,6 +29,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .chunks import ChunkTable, in_runs
+from .chunks import Remembered
 from .common import written
 
 LENGTH = 2048
@@ -80,9 +81,9 @@ def hilbert_keys(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-def _directions(words: list[bytes]) -> np.ndarray:
-    """A random direction for each word, from its hash."""
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+def _directions(vocabulary: int) -> np.ndarray:
+    """A random direction for each token id, from its hash."""
+    h = np.fromiter((xxhash.xxh3_64_intdigest(i.to_bytes(4, "little")) for i in range(vocabulary)), np.uint64, vocabulary)
     return h.view(np.int16).reshape(-1, 4)[:, :DIMS].astype(np.float32) / 32768
 
 
@@ -106,47 +107,51 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
-        self.model = self.tok.model
-        self.dtype = np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.uint32
+        self.tokenize = self.tok.model.tokenize
+        size = self.tok.get_vocab_size()
+        self.dtype = np.uint16 if size <= 1 << 16 else np.uint32
+        self.code = "H" if size <= 1 << 16 else "I"
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         # Letters below U+0250 whose lower case is one letter there too.
         letters = [c for c in map(chr, range(0x250)) if c.isalpha() and len(c.lower()) == 1 and ord(c.lower()) < 0x250]
         self.bytes_of = {ord(c): level.pre_tokenize_str(c)[0][0] for c in letters}
         self.marks = {c: self.tok.encode(c, add_special_tokens=False).ids for c in ".,"}
-        self.simple = re.compile(f"([{''.join(letters)}]+)([.,]?)")
+        self.latin = re.compile(f"[{''.join(letters)}]+").fullmatch
+        self.plain = True
         self.plain = self._agrees()
-        self.table = ChunkTable(self._encode, self.dtype, _directions, DIMS, limit=400_000)
+        self.known = Remembered(self._encode)
+        self.directions = _directions(size)
 
     def _agrees(self) -> bool:
         """Whether the direct way gives the tokenizer's own ids on a probe."""
         probe = ["word", "Straße.", "été,", "Unbelievably", "Ñandú"]
-        return [self._word(m) for m in map(self.simple.fullmatch, probe)] == [self.tok.encode(x, add_special_tokens=False).ids for x in probe]
-
-    def _word(self, m: re.Match) -> list[int]:
-        return [t.id for t in self.model.tokenize(m[1].lower().translate(self.bytes_of))] + self.marks.get(m[2], [])
-
-    def _encode(self, new: list[bytes]) -> list:
-        words = [w.decode("utf-8") for w in new]
-        out: list = [None] * len(words)
-        rest = []
-        for i, w in enumerate(words):
-            if self.plain and (m := self.simple.fullmatch(w)):
-                out[i] = self._word(m)
-            else:
-                rest.append(i)
-        for i, e in zip(rest, self.tok.encode_batch_fast([words[i] for i in rest], add_special_tokens=False), strict=True):
-            out[i] = e.ids
-        return out
+        own = [array(self.code, self.tok.encode(x, add_special_tokens=False).ids).tobytes() for x in probe]
+        return [self._encode(x.encode("utf-8").lower()) for x in probe] == own
+
+    def _encode(self, chunk: bytes) -> bytes:
+        text = chunk.decode("utf-8")
+        mark = self.marks.get(text[-1], ())
+        word = text[:-1] if mark else text
+        if self.plain and word.isalpha():
+            if chunk.isascii():
+                return array(self.code, [t.id for t in self.tokenize(word.lower())] + [*mark]).tobytes()
+            if self.latin(word):
+                return array(self.code, [t.id for t in self.tokenize(word.lower().translate(self.bytes_of))] + [*mark]).tobytes()
+        return array(self.code, self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _chunks(self, text: str) -> list[bytes]:
         raw = text.encode("utf-8")
         # The tokenizer lower-cases all but its special tokens.
         return (raw.lower() if self.plain and b"<|" not in raw else raw).split()
 
-    def ids_and_keys(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
-        numbers = self.table.of([self._chunks(t) for t in texts])
-        vectors = np.array([self.table.more.a[x].sum(axis=0, dtype=np.float64) for x in numbers]).reshape(-1, DIMS)
-        return [self.table.ids(x) for x in numbers], hilbert_keys(_cells(vectors))
+    def encode(self, texts: list[str]) -> tuple[list[bytes], np.ndarray]:
+        """The ids of each text, as bytes, and its curve key."""
+        out, vectors = [], np.zeros((len(texts), DIMS))
+        for i, t in enumerate(texts):
+            ids = self.known.joined(self._chunks(t))
+            out.append(ids)
+            vectors[i] = self.directions[np.frombuffer(ids, self.dtype)].sum(axis=0, dtype=np.float64)
+        return out, hilbert_keys(_cells(vectors))
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -160,14 +165,10 @@ def _encoded(text: Column, path: str, closing_id: int) -> Column:
         enc = _ENCODERS[path]
         for texts in batches:
             t = ["" if x is None else x for x in texts]
-            keys, n, ids = [], [], []
+            ids, keys = enc.encode(t)
             close = np.array([closing_id], enc.dtype).tobytes()
-            for lo, hi in in_runs(t):
-                found, k = enc.ids_and_keys(t[lo:hi])
-                keys.append(k)
-                n += [len(x) + 1 for x in found]
-                ids += [x.tobytes() + close for x in found]
-            yield pd.DataFrame({"key": np.concatenate(keys or [np.empty(0, np.int64)]), "n": n, "ids": ids})
+            width = len(close)
+            yield pd.DataFrame({"key": keys, "n": [len(x) // width + 1 for x in ids], "ids": [x + close for x in ids]})
 
     return encoded(text.cast("string"))
 
