@@ -133,8 +133,8 @@ def apply_sales(cars: DataFrame, sales: DataFrame, requests: DataFrame, outcomes
     """New (cars, sales): accepted sales enter the sales table and mark
     their car sold; rejected requests change nothing."""
     won = outcomes.filter("outcome = 'accepted'").select("sales_number", "car_vin", "sales_date")
-    new_sales = sales.select("sales_number", "car_vin", "sales_date", "cost").unionByName(
-        requests.join(won, ["sales_number", "car_vin", "sales_date"], "left_semi").select("sales_number", "car_vin", "sales_date", "cost"))
+    new_sales = sales.unionByName(
+        requests.join(won, ["sales_number", "car_vin", "sales_date"], "left_semi").select(*sales.columns))
     sold = won.select(F.col("car_vin").alias("vin"), F.lit(True).alias("_sold"))
     new_cars = cars.join(sold, "vin", "left").withColumn(
         "status", F.when(F.col("_sold").isNotNull(), SOLD).otherwise(F.col("status"))).select(*cars.columns)
