@@ -10,12 +10,13 @@ sampled (1 / threshold on average, decided by the node alone) and the set
 follows the child of each sampled token, so two sets with similarity s stay
 together in s / threshold children a level.  Nodes with at most ``small`` sets
 are compared by brute force on their sketches; larger nodes are split again, up
-to ``depth`` levels.  Runs are repeated until a pair at the threshold meets
-with probability ``recall`` (`runs_needed`).  What is still large at the
-last level is a crowd of similar sets: each is compared with one pivot a round
-(by the triangle inequality of the Jaccard distance, a set that is close to
-the pivot has all its partners in the pivot's component), and what is left
-after ``rounds`` is brute-forced in pairs of blocks.  Nothing is capped.
+to ``depth`` levels.  Before that each set of a large node is compared with one pivot: by
+the triangle inequality of the Jaccard distance, a set that is close to the
+pivot has all its partners in the pivot's component and needs no further
+search, so that a crowd of near copies is not carried down.  What is still
+large at the last level is brute-forced in pairs of blocks.  Runs are repeated
+until a pair at the threshold meets with probability ``recall``
+(`runs_needed`).  Nothing is capped.
 
 *Links.*  The sketch bound is generous, so linked sets are in one candidate
 component.  Inside a component all pairs are compared exactly: a large
@@ -47,7 +48,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import ChunkTable, in_runs
+from .chunks import Remembered, in_runs
 from .common import written
 
 N = 5
@@ -56,12 +57,12 @@ WIDTH = 128
 SMALL = 100
 DEPTH = 4
 RECALL = 0.9999
-ROUNDS = 2
-#: Sketch similarity from which sets are candidates, and from which a set's
-#: partners are all candidates of the pivot too.  The standard error of a
-#: sketch is 0.035 at 0.8.
-LOOSE, CLOSE = 0.62, 0.85
-PIVOT_LOOSE = 0.45
+#: Sketch similarity from which sets are candidates; from which a set is close
+#: to a pivot; and from which it gets an edge to the pivot.  A partner of a
+#: close set has a Jaccard similarity of 0.55 or more to the pivot.  The
+#: standard error of a sketch is 0.035 at 0.8 and 0.044 at 0.55.
+LOOSE, CLOSE = 0.62, 0.75
+PIVOT_LOOSE = 0.4
 #: Shingles and sets that a block holds at most on average.
 BLOCK_WEIGHT, BLOCK_SETS = 1_000_000, 512
 
@@ -81,22 +82,15 @@ def runs_needed(recall: float, threshold: float, depth: int) -> int:
 # --- shingles and sketches -------------------------------------------------
 
 
-def _hash_row(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)).view(np.float32).reshape(-1, 2)
-
-
 class Shingler:
     """Sorted distinct 64-bit shingle hashes of texts."""
 
     def __init__(self, n: int):
         self.n = n
-        self.table = ChunkTable(lambda new: [()] * len(new), extra=_hash_row, extra_width=2)
+        self.known = Remembered(xxhash.xxh3_64_digest, 50_000)
 
-    def sets(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.lower().encode("utf-8").split() for t in texts]
-        numbers = self.table.of(split)
-        known = self.table.more.a[: self.table.more.n].reshape(-1).view(np.uint64)
-        return [self._shingles(known[x]) for x in numbers]
+    def set_of(self, text: str) -> np.ndarray:
+        return self._shingles(np.frombuffer(self.known.joined(text.lower().encode("utf-8").split()), np.uint64))
 
     def _shingles(self, w: np.ndarray) -> np.ndarray:
         if not len(w):
@@ -124,16 +118,34 @@ def minhash(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return best
 
 
-def _first_picks(runs: int, width: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """(run, coordinate) of the nodes below the roots."""
+def _first_picks(runs: int, width: int, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(run, coordinate, coordinate below it) of the nodes two levels below
+    the roots.  Each node samples one coordinate, or two of them as often as
+    makes 1 / threshold on average."""
     g = np.random.default_rng(7)
-    run, at = [], []
+    two = 1 / threshold - 1
+    picks, nodes = [], 0
+
+    def sampled():
+        nonlocal nodes
+        nodes += 1
+        return g.choice(width, 2 if nodes * two % 1 < two else 1, replace=False)
+
     for r in range(runs):
-        k = 2 if (r + 1) * (1 / threshold - 1) % 1 < (1 / threshold - 1) else 1
-        for c in g.choice(width, k, replace=False):
-            run.append(r)
-            at.append(c)
-    return np.array(run, np.uint64), np.array(at)
+        picks += [(r, c, below) for c in sampled() for below in sampled()]
+    run, at, below = np.array(picks).T
+    return run.astype(np.uint64), at, below
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(32))
+
+
+def node_ids(h: np.ndarray, run: np.ndarray, at: np.ndarray, below: np.ndarray) -> np.ndarray:
+    """The paths that a set with MinHash tokens ``h`` follows."""
+    x = _mixed((run * np.uint64(0xC2B2AE3D27D4EB4F)) ^ ((at.astype(np.uint64) << np.uint64(32)) | h[at]))
+    return _mixed(x ^ ((below.astype(np.uint64) << np.uint64(32)) | h[below])).view(np.int64)
 
 
 _SHINGLERS: dict[int, Shingler] = {}
@@ -143,19 +155,17 @@ _SKETCH = "doc_id bigint, th bigint, sethash binary, n_shingles bigint, sketch b
 def _sketches(batches: Iterator[pd.DataFrame], n: int, width: int, runs: int, threshold: float) -> Iterator[pd.DataFrame]:
     shingler = _SHINGLERS.setdefault(n, Shingler(n))
     a, b = _coefficients(width)
-    run, at = _first_picks(runs, width, threshold)
+    run, at, below = _first_picks(runs, width, threshold)
     for batch in batches:
         texts = batch["text"].tolist()
-        for lo, hi in in_runs(texts):
+        for lo, hi in in_runs(texts, 1_000_000):
             rows = []
-            for s in shingler.sets(texts[lo:hi]):
+            for s in map(shingler.set_of, texts[lo:hi]):
                 sketch, nodes = b"", []
                 if len(s):
                     h = minhash(s, a, b)
                     sketch = ((h * np.uint32(0x9E3779B1)) >> np.uint32(24)).astype(np.uint8).tobytes()
-                    x = (run * np.uint64(0xC2B2AE3D27D4EB4F)) ^ ((at.astype(np.uint64) << np.uint64(32)) | h[at])
-                    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
-                    nodes = (x ^ (x >> np.uint64(32))).view(np.int64)
+                    nodes = node_ids(h, run, at, below)
                 rows.append((xxhash.xxh3_128_digest(s.tobytes()), len(s), sketch, nodes))
             part = batch.iloc[lo:hi]
             out = pd.DataFrame(rows, columns=["sethash", "n_shingles", "sketch", "nodes"])
@@ -260,41 +270,52 @@ def _counted(rows: DataFrame, name: str) -> DataFrame:
     return written(rows.join(sizes, "node"), name)
 
 
-def candidates(reps: DataFrame, width: int, threshold: float, small: int, depth: int, rounds: int) -> DataFrame:
+def _pivoted(large: DataFrame, width: int, name: str) -> tuple[DataFrame, DataFrame]:
+    """(edges, rest): each large node's sets against the node's first set.
+
+    A set close to the pivot is done: all its partners get an edge to the
+    pivot as well (triangle inequality).  The rest is to be searched further.
+    """
+    pivots = large.groupBy("node").agg(F.min("rep").alias("pivot"))
+    sketch = large.select("node", F.col("rep").alias("pivot"), F.col("sketch").alias("pivot_sketch"))
+    paired = large.select("node", "rep", "sketch").join(pivots.join(sketch, ["node", "pivot"]), "node")
+    schema = "node bigint, rep bigint, sketch binary, pivot bigint, pivot_sketch binary, likeness double"
+    compared = written(
+        paired.select("node", "rep", "sketch", "pivot", "pivot_sketch").mapInPandas(lambda it: _by_pivot(it, width), schema).drop("pivot_sketch"),
+        name,
+    )
+    others = compared.filter(F.col("rep") != F.col("pivot"))
+    edges = others.filter(F.col("likeness") >= PIVOT_LOOSE).select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
+    return edges, others.filter(F.col("likeness") < CLOSE).select("node", "rep", "sketch")
+
+
+def candidates(reps: DataFrame, width: int, threshold: float, small: int, depth: int) -> DataFrame:
     """(a, b): edges that connect all sets that may be linked.
 
-    ``reps`` has ``rep``, ``sketch`` and ``nodes`` (the first level).
+    ``reps`` has ``rep``, ``sketch`` and ``nodes`` (the second level: nearly
+    every child of a root would be split).
     """
     rows = reps.select("rep", "sketch", F.explode("nodes").alias("node"))
     edges = []
-    for level in range(1, depth + 1):
+    for level in range(2, depth + 1):
         level_rows = _counted(rows, f"paths-{level}")
         edges.append(_brute_nodes(level_rows.filter(F.col("size") <= small), width, LOOSE))
         large = level_rows.filter(F.col("size") > small)
         if large.isEmpty():
             return _distinct(edges)
-        rows = _children(large, width, threshold) if level < depth else large.drop("size")
-    for k in range(rounds):
-        now = level_rows.filter(F.col("size") > small) if k == 0 else level_rows
-        pivots = now.groupBy("node").agg(F.min("rep").alias("pivot"))
-        sketch = now.select("node", F.col("rep").alias("pivot"), F.col("sketch").alias("pivot_sketch"))
-        paired = now.select("node", "rep", "sketch").join(pivots.join(sketch, ["node", "pivot"]), "node")
-        schema = "node bigint, rep bigint, sketch binary, pivot bigint, pivot_sketch binary, likeness double"
-        compared = written(
-            paired.select("node", "rep", "sketch", "pivot", "pivot_sketch")
-            .mapInPandas(lambda it: _by_pivot(it, width), schema).drop("pivot_sketch"),
-            f"pivots-{k}",
-        )
-        near = compared.filter((F.col("likeness") >= PIVOT_LOOSE) & (F.col("rep") != F.col("pivot")))
-        edges.append(near.select(F.col("pivot").alias("a"), F.col("rep").alias("b")))
-        rest = compared.filter((F.col("likeness") < CLOSE) & (F.col("rep") != F.col("pivot")))
-        level_rows = _counted(rest.select("node", "rep", "sketch"), f"rest-{k}")
-        if level_rows.isEmpty():
+        near, rest = _pivoted(large, width, f"pivots-{level}")
+        edges.append(near)
+        rest_rows = _counted(rest, f"rest-{level}")
+        edges.append(_brute_nodes(rest_rows.filter(F.col("size") <= small), width, LOOSE))
+        large = rest_rows.filter(F.col("size") > small)
+        if large.isEmpty():
             return _distinct(edges)
+        if level < depth:
+            rows = _children(large, width, threshold)
     blocks = F.ceil(F.col("size") / small)
     own = F.pmod(F.xxhash64("rep", "node"), blocks)
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("other")
-    pairs = level_rows.select("*", own.alias("own"), other)
+    pairs = large.select("*", own.alias("own"), other)
     node = F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other"))
     edges.append(_brute_nodes(pairs.select(node.alias("node"), "rep", "sketch"), width, LOOSE))
     return _distinct(edges)
@@ -395,9 +416,9 @@ def _shingle_rows(batches: Iterator[pd.DataFrame], n: int) -> Iterator[pd.DataFr
     shingler = _SHINGLERS.setdefault(n, Shingler(n))
     for batch in batches:
         texts = batch["text"].tolist()
-        for lo, hi in in_runs(texts):
+        for lo, hi in in_runs(texts, 1_000_000):
             part = batch.iloc[lo:hi].drop(columns="text")
-            yield part.assign(shingles=[s.tobytes() for s in shingler.sets(texts[lo:hi])])
+            yield part.assign(shingles=[shingler.set_of(t).tobytes() for t in texts[lo:hi]])
 
 
 def links(members: DataFrame, texts: DataFrame, n: int, threshold: float) -> DataFrame:
@@ -459,7 +480,6 @@ def similar_classes(
     small: int = SMALL,
     depth: int = DEPTH,
     recall: float = RECALL,
-    rounds: int = ROUNDS,
 ) -> DataFrame:
     """(doc_id, th, class_id, class_size, n_links, class_row) of every document.
 
@@ -478,7 +498,7 @@ def similar_classes(
     first = sketched.select(F.col("row").alias("rep"), "doc_id", "th", "n_shingles", "sketch", "nodes")
     reps = written(copies.join(first, "rep"), "sets")
 
-    found = components(candidates(reps.filter("n_shingles > 0"), width, threshold, small, depth, rounds))
+    found = components(candidates(reps.filter("n_shingles > 0"), width, threshold, small, depth))
     members = reps.join(found.withColumnRenamed("node", "rep"), "rep")
     linked = written(links(members.select("rep", "doc_id", "th", "root", "n_shingles", "copies"), rows, n, threshold), "links")
     classes = components(linked.filter("rep <> root").select(F.col("root").alias("a"), F.col("rep").alias("b")))
