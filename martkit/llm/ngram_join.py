@@ -536,3 +536,23 @@ def first_of_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     once = rows.filter("times = 1").select("row")
     repeated = rows.filter("times > 1").groupBy("doc", "th").agg(F.min("row").alias("row")).select("row")
     return once.unionByName(repeated).select("row.*")
+
+
+#: The same rows in DuckDB by brute force: all pairs that share a shingle.
+ORACLE = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ \\t\\n\\v\\f\\r]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS sh FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 10 * c >= 8 * (x.n + y.n - c)
+  UNION ALL SELECT x.doc_id, y.doc_id FROM w x JOIN w y ON len(x.w) = 0 AND len(y.w) = 0 AND x.doc_id < y.doc_id),
+two_way AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, two_way.b FROM reach JOIN two_way ON two_way.a = reach.other),
+degree AS (SELECT a AS doc_id, count(*) AS n_links FROM two_way GROUP BY a)
+SELECT doc_id, min(other) AS class_id, count(*) AS class_size, coalesce(any_value(n_links), 0) AS n_links
+FROM reach LEFT JOIN degree USING (doc_id) GROUP BY doc_id
+"""

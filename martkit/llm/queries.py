@@ -105,5 +105,6 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op4_chosen_path": ngram_join.ORACLE,
     "op6_site_spread": line_dedup.ORACLE,
 }
