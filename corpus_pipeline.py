@@ -31,7 +31,8 @@ def _with_text(rows: DataFrame, columns: list[str], text: Column) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return docs.filter(fertility.fertility(F.col("text"), F.col("lang"))["kept"])
+    rows = fertility.judged(docs, docs.columns).filter(F.col("m.kept"))
+    return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def line_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

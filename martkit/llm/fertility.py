@@ -3,13 +3,24 @@
 A public vocabulary with byte fallback is measured on every word of a text:
 characters per token, the share of tokens that are byte fallbacks, and the
 entropy of the text's own token distribution.  Each has a band per language
-(or, where the language is unknown, per script), as has the share of symbols
-among the characters; a text outside a band is rejected.  Plain counts (symbols, repeated lines, words in repeated 5-word
-windows) form a base rule that rejects by itself.
+(or, where the language is unknown, per script); a text outside a band is
+rejected.  ``judged`` takes the bands from the corpus: one aggregation over
+all documents gives the quartiles of each measure per language and text
+length (half octaves of the number of tokens, as all three depend on it), and
+a band ends ``FENCE`` quartile distances beyond them.  Groups of fewer than
+``LEAST_TEXTS`` different texts have no known spread and keep ``BANDS``.
+
+Two rules are no part of the method: the share of symbols among the characters
+has a fixed limit, and words in repeated 5-word windows and a least number of
+words form a base rule; each rejects by itself.
 
 Words are ``[^\\x20\\x09-\\x0D]+``.  Entropy grows with the number of tokens,
 so its band is a share of the largest entropy that many tokens can have,
 log2(min(n_tokens, vocabulary)), and holds from ``entropy_from`` tokens on.
+Copies count once in the spread, so that a text that stands often cannot
+narrow the bands; distances are at least ``LEAST_DISTANCE``.  Measures are
+rounded to three digits for it, so quartiles are exact, repeatable and made
+from a bounded number of values.
 
 Edge cases: a null or empty text has no words, fails the base rule and has
 null measures; an unknown or null language uses the band of the script that
@@ -25,16 +36,24 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import public_tokenizers
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import ChunkTable, in_runs
+from .common import written
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 ENTROPY_FROM = 50
-
-#: Least and most characters per token, most byte-fallback share, least
+FENCE = 3.0
+LEAST_TEXTS = 50
+#: Least quartile distance: of characters per token and of the entropy share
+#: as a share of the median, of the byte share as it is.
+LEAST_DISTANCE = (0.01, 0.004, 0.01)
+#: Characters per token are counted up to here in the spread.
+MOST_CHARS = 20.0
+
+#: Where the corpus gives no spread: least and most characters per token, most byte-fallback share, least
 #: share of the possible entropy, most symbols per character.  The bands are
 #: wide: running prose of any length lies well inside its own.  Languages of
 #: one script share its limits except where their words are cut differently.
@@ -176,3 +195,101 @@ def fertility(text: Column, lang: Column, model: str | None = None, bands: dict
             yield pd.DataFrame(rows, columns=names)
 
     return measured(text.cast("string"), lang.cast("string"))
+
+
+# --- bands from the corpus ---------------------------------------------------
+
+#: Why a text is rejected, one flag each.
+REASONS = ("base", "chars", "bytes", "entropy", "symbols")
+
+
+def _length() -> Column:
+    """Half octaves of the number of tokens."""
+    return F.floor(2 * F.log2(F.greatest(F.col("m.n_tokens"), F.lit(1)))).cast("int")
+
+
+def limits(measured: DataFrame) -> DataFrame:
+    """The bands of each language and length, from all rows (``m``: measures,
+    ``h``: hash of the text) that pass the base rule: few rows of
+    (band, length, texts, chars_low, chars_high, bytes_high, entropy_low, entropy_high)."""
+    rows = measured.filter(~F.col("m.base_failed") & (F.col("m.n_tokens") > 0)).select(
+        F.col("m.band").alias("band"),
+        _length().alias("length"),
+        "h",
+        F.round(F.least("m.chars_per_token", F.lit(MOST_CHARS)), 3).alias("chars"),
+        F.round("m.byte_share", 3).alias("bytes"),
+        F.round("m.entropy_share", 3).alias("entropy"),
+    )
+    points = F.array(*[F.lit(x) for x in (0.25, 0.5, 0.75)])
+    spread = rows.distinct().groupBy("band", "length").agg(
+        F.count("*").alias("texts"), *[F.percentile(c, points).alias(c) for c in ("chars", "bytes", "entropy")]
+    )
+
+    def fence(name: str, least: Column, side: int) -> Column:
+        q = F.col(name)
+        return q[1 + side] + side * FENCE * F.greatest(q[2] - q[0], least)
+
+    least_chars, least_bytes, least_entropy = LEAST_DISTANCE
+    return spread.filter(F.col("texts") >= LEAST_TEXTS).select(
+        "band",
+        "length",
+        "texts",
+        fence("chars", least_chars * F.col("chars")[1], -1).alias("chars_low"),
+        fence("chars", least_chars * F.col("chars")[1], 1).alias("chars_high"),
+        fence("bytes", F.lit(least_bytes), 1).alias("bytes_high"),
+        fence("entropy", least_entropy * F.col("entropy")[1], -1).alias("entropy_low"),
+        fence("entropy", least_entropy * F.col("entropy")[1], 1).alias("entropy_high"),
+    )
+
+
+def _fixed(bands: dict, at: int, band: Column) -> Column:
+    return F.create_map(*[F.lit(x) for name, b in bands.items() for x in (name, float(b[at]))])[band]
+
+
+def judged(docs: DataFrame, keep: list[str], model: str | None = None, bands: dict | None = None) -> DataFrame:
+    """(row, m, out): a struct of the columns ``keep``, the measures with the
+    verdict by the corpus's bands, and a struct of the flags ``REASONS``.
+
+    Texts are measured once, in a written table; both passes read that.
+    """
+    use = bands or BANDS
+    measured = written(
+        docs.select(
+            F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"),
+            fertility(F.col("text"), F.col("lang"), model, use).alias("m"),
+            F.xxhash64(F.col("text").cast("string")).alias("h"),
+        ),
+        "fertility-measures",
+    )
+    # One row a band and length: at most some hundreds.
+    known = F.broadcast(limits(measured).select(F.struct("band", "length").alias("at"), F.struct("*").alias("l")))
+    rows = measured.withColumn("at", F.struct(F.col("m.band").alias("band"), _length().alias("length"))).join(known, "at", "left")
+    band = F.col("m.band")
+
+    def limit(name: str, at: int | None) -> Column:
+        return F.coalesce(F.col(f"l.{name}"), _fixed(use, at, band) if at is not None else F.lit(1.0))
+
+    cpt, share, entropy = F.col("m.chars_per_token"), F.col("m.byte_share"), F.col("m.entropy_share")
+    out = {
+        "base": F.col("m.base_failed"),
+        "chars": cpt.isNull() | (cpt < limit("chars_low", 0)) | (cpt > limit("chars_high", 1)),
+        "bytes": share > limit("bytes_high", 2),
+        "entropy": (F.col("m.n_tokens") >= ENTROPY_FROM) & ((entropy < limit("entropy_low", 3)) | (entropy > limit("entropy_high", None))),
+        "symbols": F.col("m.n_symbols") > _fixed(use, 4, band) * F.col("m.word_chars"),
+    }
+    flags = F.struct(*[F.coalesce(out[r], F.lit(False)).alias(r) for r in REASONS])
+    kept = ~F.exists(F.array(*[F.col(f"out.{r}") for r in REASONS]), lambda x: x)
+    return rows.withColumn("out", flags).select("row", F.col("m").withField("kept", kept).alias("m"), "out")
+
+
+def report(judgement: DataFrame) -> DataFrame:
+    """One row: documents, those rejected, and for each reason how many
+    documents it rejects (``n_``) and how many it rejects alone (``alone_``)."""
+    flags = {r: F.col(f"out.{r}") for r in REASONS}
+    hits = sum(f.cast("int") for f in flags.values())
+    return judgement.agg(
+        F.count("*").alias("documents"),
+        F.count_if(~F.col("m.kept")).alias("rejected"),
+        *[F.count_if(f).alias(f"n_{r}") for r, f in flags.items()],
+        *[F.count_if(f & (hits == 1)).alias(f"alone_{r}") for r, f in flags.items()],
+    )

@@ -47,8 +47,7 @@ def op4_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fertility measures and verdict of every document."""
-    docs = documents(spark, sf_dir)
-    return docs.select("doc_id", fertility.fertility(F.col("text"), F.col("lang")).alias("m")).select("doc_id", "m.*")
+    return fertility.judged(documents(spark, sf_dir), ["doc_id"]).select("row.doc_id", "m.*")
 
 
 def op6_site_spread(spark: SparkSession, sf_dir: str) -> DataFrame:

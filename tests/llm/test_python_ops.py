@@ -226,6 +226,48 @@ def test_labelled_good_documents_are_kept(spark):
     assert sum(r["kept"] for r in rows if r["quality"] == 0) <= 0.1 * sum(r["quality"] == 0 for r in rows)
 
 
+def test_bands_follow_the_corpus(spark):
+    """Junk without symbols, inside the fixed bands, is rejected by each
+    measure; running text and a text that stands often change nothing."""
+    g = random.Random(8)
+    syllables = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "of", "or"]
+
+    def text(n, pool):
+        return " ".join("".join(g.choice(pool) for _ in range(g.randint(1, 4))) for _ in range(n))
+
+    good = [text(200, syllables) for _ in range(300)]
+    few = [text(1, syllables) for _ in range(12)]
+    heavy = "information government development international university president department community experience education".split()
+    dull = [" ".join(g.choice(few) for _ in range(200)) for _ in range(2)]
+    long = [" ".join(g.choice(heavy) if g.random() < 0.5 else text(1, syllables) for _ in range(250)) for _ in range(2)]
+    odd = [text(190, syllables) + " \U000103a0" * 2 for _ in range(2)]
+    texts = good + dull + long + odd + [good[0]] * 2000
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string").repartition(3)
+    judged = fertility.judged(df, ["doc_id"])
+    got = {r["doc_id"]: r for r in judged.select("row.doc_id", "m.kept", "m.base_failed", "out.*").collect()}
+    assert len(got) == len(texts)
+    by = {n: [got[300 + 2 * k], got[301 + 2 * k]] for k, n in enumerate(("entropy", "chars", "bytes"))}
+    for name, rows in by.items():
+        assert all(r[name] and not r["kept"] and not r["base_failed"] and not r["symbols"] for r in rows)
+    assert sum(got[i]["kept"] for i in range(300)) >= 297 and got[0]["kept"] and got[len(texts) - 1]["kept"]
+    fixed = df.filter("doc_id between 300 and 305").select(fertility.fertility(F.col("text"), F.col("lang"))["kept"].alias("k"))
+    assert all(r["k"] for r in fixed.collect())
+    r = fertility.report(judged).first()
+    assert r["documents"] == len(texts) and r["alone_bytes"] == 2 and r["n_symbols"] == 0
+    assert min(r["n_chars"], r["n_entropy"]) >= 2 and r["rejected"] >= 6
+
+
+def test_verdicts_on_labelled_documents(spark):
+    """The measures alone, without the symbol share, find most labelled junk."""
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    judged = fertility.judged(docs, ["doc_id"]).select("row.doc_id", "m.kept", "out.*")
+    rows = judged.join(labels, "doc_id").filter("not base").select("quality", "kept", (F.col("chars") | F.col("bytes") | F.col("entropy")).alias("measured")).collect()
+    junk, good = [r for r in rows if r["quality"] == 0], [r for r in rows if r["quality"] == 1]
+    assert len(junk) > 200 and sum(r["measured"] for r in junk) > 0.5 * len(junk)
+    assert sum(r["kept"] for r in good) > 0.99 * len(good)
+
+
 # --- Viterbi --------------------------------------------------------------------------
 
 
