@@ -5,8 +5,8 @@ automata add spans that no pattern names: ALERGIA grammar inference builds the
 prefix tree of labelled credentials over character classes, merges states
 whose outgoing frequencies agree within a Hoeffding bound, and so learns one
 probabilistic automaton of credentials and one of ordinary long tokens
-(identifiers, paths, numbers, words).  Every candidate token of a text is
-scored by the difference of its log-likelihoods per character; candidates at
+(identifiers, paths, numbers, words).  Every token of a text that is as long as
+the shortest labelled format is scored by the difference of its log-likelihoods per character; candidates at
 or above ``MARGIN`` become ``format`` spans.  Base spans always stay.
 
 The labelled strings are drawn, with a fixed seed, from the public formats
@@ -16,7 +16,7 @@ worker, and does not depend on the data scanned.
 Spans are code point offsets, end exclusive.  Edge cases: a null text is an
 empty one and has no span; texts of any length are scanned whole; spans of
 different kinds may overlap and are all reported (a redaction merges them);
-a ``format`` span never repeats a base span's place; rows are independent, so
+a token inside one base span is not scored, one that reaches beyond it is; rows are independent, so
 repeated rows get equal results; other columns are untouched.
 """
 
@@ -37,9 +37,6 @@ KINDS = ("assign", "access", "hex", "format")
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
-#: A candidate is a long token with a digit.
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,64}[0-9])[A-Za-z0-9+/_=-]{20,}(?:\.[A-Za-z0-9+/_=-]{10,})*")
-_DIGIT = re.compile(r"[0-9]")
 _KEYWORD = re.compile(r"(?ai:password|passwd|secret|token|api_?key)")
 
 SAMPLES = 300
@@ -77,6 +74,19 @@ FORMATS = [
     ("", "0123456789ABCDEF", 32, 40),
 ]
 
+#: A candidate is a token as long as the shortest format, with the prefix of a
+#: format that has a dot in it, and with long parts that follow after dots.
+LEAST_CHARS = min(len(p) + lo for p, _, lo, _ in FORMATS)
+_DOTTED = "|".join(re.escape(p) for p, *_ in FORMATS if "." in p)
+CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/_=-])(?:{_DOTTED})?[A-Za-z0-9+/_=-]{{{LEAST_CHARS},}}(?:\.[A-Za-z0-9+/_=-]{{10,}})*")
+
+#: Parts of long words in several languages, for tokens that are no credentials.
+_PARTS = (
+    "the and ing tion ment ness able ship less ful over under inter trans counter ent con dis pre st ble ther "
+    "ver ge be sch lich keit heit ung chen schaft zu auf ein nicht und sicht stadt recht "
+    "eur eux elle que aire ique oire eau anti ción dad mente ado idad amiento"
+).split()
+
 
 def labelled_credentials(samples: int = SAMPLES, seed: int = 11) -> list[str]:
     g = random.Random(seed)
@@ -91,6 +101,12 @@ def labelled_tokens(samples: int = SAMPLES, seed: int = 12) -> list[str]:
     def word():
         return "".join(g.choice(syllables) for _ in range(g.randint(1, 4)))
 
+    def long_word():
+        w = ""
+        while len(w) < LEAST_CHARS:
+            w += g.choice(_PARTS)
+        return w
+
     makers = [
         lambda: word() + word() + word() + word() + word(),
         lambda: "_".join(word() for _ in range(g.randint(3, 6))) + g.choice(["", str(g.randint(0, 99))]),
@@ -103,6 +119,9 @@ def labelled_tokens(samples: int = SAMPLES, seed: int = 12) -> list[str]:
         lambda: f"{g.randint(1990, 2030)}-{g.randint(1, 12):02d}-{g.randint(1, 28):02d}T" + "-".join(f"{g.randint(0, 59):02d}" for _ in range(4)),
         lambda: word() + g.choice("=-_+/") * g.randint(12, 30) + word(),
         lambda: word() + str(g.randint(0, 999)) + word() + word() + word() + word(),
+        lambda: long_word(),
+        lambda: long_word().capitalize(),
+        lambda: long_word().upper(),
     ]
     return [m() for m in makers for _ in range(2 * samples)]
 
@@ -235,17 +254,16 @@ def spans(text: str, margin: float = MARGIN) -> list[tuple[int, str, int]]:
         found += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[1]) >= 12]
     if "AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 18]
-    if _DIGIT.search(text):
-        candidates = [(m.start(), m.end()) for m in CANDIDATE.finditer(text)]
-    else:
-        candidates = []
     found += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    if candidates:
-        base = sorted((a, b) for a, _, b in found)
-        for a, b in candidates:
-            # a place that a base span covers, or that covers one, is known
-            if not any(x < b and a < y for x, y in base) and likelihood_ratio(text[a:b]) >= margin:
-                found.append((a, 3, b))
+    base, k, reach = sorted((a, b) for a, _, b in found), 0, 0
+    for m in CANDIDATE.finditer(text):
+        a, b = m.span()
+        while k < len(base) and base[k][0] <= a:
+            reach = max(reach, base[k][1])
+            k += 1
+        # a place inside a base span is known
+        if b > reach and likelihood_ratio(m[0]) >= margin:
+            found.append((a, 3, b))
     return [(a, KINDS[k], b) for a, k, b in sorted(found)]
 
 
