@@ -1,8 +1,8 @@
 """Signature rules of the license scan.
 
 A rule is a regular expression over a text's words (lower case, one space
-between words, punctuation gone), gated by a keyword that the text must
-contain.  Rules come from three hand-written lists: license names, which a
+between words, punctuation gone), gated by a keyword that is in everything the
+pattern matches; alternatives without a common keyword are rules of their own.  Rules come from three hand-written lists: license names, which a
 few phrasings turn into title, notice and identifier rules each; clauses that
 tell a license by its wording; and clues.  Priority 3 is a notice or clause
 (decisive), 2 a name, 1 a clue; a rule is suppressed where a rule of the
@@ -29,7 +29,8 @@ BASE = {
     "mit license": "mit",
 }
 
-# Label, keyword of the gate, name as words, SPDX identifier as words.
+# Label, keyword of the gate, name as words, SPDX identifier as words
+# (none where an earlier entry has it).
 NAMES = [
     ("gpl-1.0", "gnu", "gnu (?:general public license|gpl) (?:version |v)1(?: 0)?", "gpl 1 0(?: only| or later)?"),
     ("gpl-2.0", "gnu", "gnu (?:general public license|gpl) (?:version |v)2(?: 0)?", "gpl 2 0(?: only| or later)?"),
@@ -58,7 +59,8 @@ NAMES = [
     ("epl-1.0", "eclipse", "eclipse public license (?:version |v)?1 0", "epl 1 0"),
     ("epl-2.0", "eclipse", "eclipse public license (?:version |v)?2 0", "epl 2 0"),
     ("edl-1.0", "eclipse", "eclipse distribution license(?: (?:version |v)?1 0)?", "edl 1 0"),
-    ("cddl-1.0", "cddl", "common development and distribution license(?: cddl)?(?: version 1 [01])?|cddl(?: (?:version |v)?1 [01])?", "cddl 1 [01]"),
+    ("cddl-1.0", "development", "common development and distribution license(?: cddl)?(?: version 1 [01])?", "cddl 1 [01]"),
+    ("cddl-1.0", "cddl", "cddl(?: (?:version |v)?1 [01])?", None),
     ("cpl-1.0", "common", "common public license(?: version 1 0)?", "cpl 1 0"),
     ("cpal-1.0", "common", "common public attribution license(?: version 1 0)?", "cpal 1 0"),
     ("eupl", "european", "european union public licen[cs]e(?: (?:version |v)?1 [012])?", "eupl 1 [012]"),
@@ -71,7 +73,7 @@ NAMES = [
     ("curl", "curl", "(?:the )?curl license", "curl"),
     ("ncsa", "ncsa", "(?:university of illinois )?ncsa open source license", "ncsa"),
     ("postgresql", "postgresql", "(?:the )?postgresql license", "postgresql"),
-    ("python-2.0", "python", "(?:python software foundation|psf) license(?: version 2)?", "(?:psf|python) 2 0"),
+    ("python-2.0", "license", "(?:python software foundation|psf) license(?: version 2)?", "(?:psf|python) 2 0"),
     ("php-3.01", "php", "(?:the )?php license(?: version 3 01)?", "php 3 0?1"),
     ("ruby", "ruby", "(?:the )?ruby license", "ruby"),
     ("ms-pl", "microsoft", "microsoft public license(?: ms pl)?", "ms pl"),
@@ -79,7 +81,8 @@ NAMES = [
     ("osl-3.0", "open software", "open software license(?: (?:version |v)?[123] [01])?", "osl [123] [01]"),
     ("afl-3.0", "academic", "academic free license(?: (?:version |v)?[123] [01])?", "afl [123] [01]"),
     ("unlicense", "unlicense", "(?:the )?unlicense", "unlicense"),
-    ("wtfpl", "public license", "do what the fuck you want to public license|wtfpl", "wtfpl"),
+    ("wtfpl", "fuck", "do what the fuck you want to public license", "wtfpl"),
+    ("wtfpl", "wtfpl", "wtfpl", None),
     ("beerware", "beer", "(?:the )?beer ?ware license", "beerware"),
     ("ofl-1.1", "sil", "sil open font license(?: (?:version |v)?1 [01])?", "ofl 1 [01]"),
     ("odbl-1.0", "open d", "open (?:data commons open )?database license(?: odbl)?(?: (?:version |v)?1 0)?", "odbl 1 0"),
@@ -118,7 +121,7 @@ CLAUSES = [
     ("apache-2.0", "contributor", "each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable"),
     ("mit", "permission", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
     ("mit", "permission", "the above copyright notice and this permission notice shall be included in all copies or substantial portions"),
-    ("mit-or-x11", "warrant", "in no event shall the authors or copyright holders be liable for any claim damages or other liability"),
+    ("mit-or-x11", "liable", "in no event shall the authors or copyright holders be liable for any claim damages or other liability"),
     ("bsd", "redistribut", "redistributions? of source code must retain the above copyright notice this list of conditions"),
     ("bsd", "redistribut", "redistributions? in binary form must reproduce the above copyright notice this list of conditions"),
     ("bsd-3-clause", "endorse", "neither the names? of (?:the )?.{1,80}? nor the names of its contributors may be used to endorse or promote products"),
@@ -138,19 +141,19 @@ CLAUSES = [
     ("wtfpl", "fuck", "you just do what the fuck you want to"),
     ("beerware", "beer", "you can buy me a beer in return"),
     ("ofl-1.1", "font", "this font software is licensed under the sil open font license"),
-    ("python-2.0", "python", "psf hereby grants licensee a nonexclusive royalty free world wide license"),
+    ("python-2.0", "psf hereby", "psf hereby grants licensee a nonexclusive royalty free world wide license"),
     ("openssl", "openssl", "this product includes software developed by the openssl project"),
     ("postgresql", "california", "in no event shall the university of california be liable to any party"),
     ("proprietary", "confidential", "(?:this (?:software|document) is )?(?:confidential and proprietary|proprietary and confidential)"),
     ("proprietary", "unauthorized", "unauthorized (?:copying|reproduction|distribution|use) (?:of this (?:file|document|work) )?(?:is )?(?:strictly )?prohibited"),
-    ("non-commercial", "commercial", "(?:for|free for) (?:non commercial|noncommercial|personal|academic|research) use only"),
+    ("non-commercial", "use only", "(?:for|free for) (?:non commercial|noncommercial|personal|academic|research) use only"),
 ]
 
 # Label, keyword, words that hint at a license.
 CLUES = [
     ("unknown-spdx", "spdx", "spdx license identifier [a-z0-9]+"),
-    ("unknown-license", "license", "(?:licensed|released|distributed|available) under (?:the )?(?:terms of )?(?:the )?[a-z0-9]+(?: [a-z0-9]+){0,4}? (?:license|licence)"),
-    ("license-file", "license", "see (?:the )?(?:accompanying )?(?:license|licence|copying)(?: file| txt| md)"),
+    ("unknown-license", "under", "(?:licensed|released|distributed|available) under (?:the )?(?:terms of )?(?:the )?[a-z0-9]+(?: [a-z0-9]+){0,4}? (?:license|licence)"),
+    ("license-file", "see ", "see (?:the )?(?:accompanying )?(?:license|licence|copying)(?: file| txt| md)"),
     ("copyright", "copyright", "copyright (?:c )?(?:19|20)[0-9]{2}(?: (?:19|20)?[0-9]{2})?"),
     ("copyright", "reserved", "all rights reserved"),
     ("gpl", "gpl", "gpl(?: ?v?[123](?: 0)?)?"),
@@ -173,7 +176,8 @@ def rules() -> list[Rule]:
     for label, keyword, name, spdx in NAMES:
         out.append(Rule(label, 2, keyword, f"(?:{name})"))
         out.append(Rule(label, 3, keyword, f"{_NOTICE}(?:{name})"))
-        out.append(Rule(label, 3, "spdx", f"spdx license identifier {spdx}"))
+        if spdx:
+            out.append(Rule(label, 3, "spdx", f"spdx license identifier {spdx}"))
     out += [Rule(label, 3, keyword, wording) for label, keyword, wording in CLAUSES]
     out += [Rule(label, 1, keyword, words) for label, keyword, words in CLUES]
     return out

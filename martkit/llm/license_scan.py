@@ -31,7 +31,7 @@ from .license_rules import BASE, Rule, rules
 STEMS = (
     "licen", "gnu", "apache", "mit no", " cc", "creative", "bsd", "spdx", "copyright", "reserved", "gpl", "redistribut",
     "permission", "warrant", "public domain", "cddl", "wtfpl", "rail", "proprietary", "prohibited", "use only", "opensource", "contributor",
-    "endorse", "advertising", "misrepresented", "exception", "nonexclusive", "openssl", "california", "waive", "fuck", "a beer",
+    "endorse", "advertising", "misrepresented", "exception", "nonexclusive", "openssl", "california", "waive", "fuck", "a beer", "copying",
 )
 #: How sure a detection of each priority is.
 WEIGHT = {1: 0.5, 2: 0.8, 3: 1.0}

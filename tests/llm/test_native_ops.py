@@ -2,6 +2,7 @@
 line dedup, sharding; each against brute force."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -76,6 +77,46 @@ def test_every_name_clause_and_clue_rule_can_fire(spark):
     assert each.count() >= len(table)
 
 
+def drawn(g, tree):
+    """A random text that a parsed pattern matches."""
+    out = ""
+    for op, a in tree:
+        match str(op):
+            case "LITERAL":
+                out += chr(a)
+            case "BRANCH":
+                out += drawn(g, g.choice(a[1]))
+            case "SUBPATTERN":
+                out += drawn(g, a[3])
+            case "MAX_REPEAT" | "MIN_REPEAT":
+                out += "".join(drawn(g, a[2]) for _ in range(g.randint(a[0], min(int(a[1]), a[0] + 2))))
+            case "IN":
+                kind, value = g.choice(a)
+                out += chr(value if str(kind) == "LITERAL" else g.randint(*value))
+            case "ANY":
+                out += "x"
+            case _:
+                raise ValueError(op)
+    return out
+
+
+def test_gates_lose_no_match(spark):
+    """The keyword and stem gates change nothing: equal to all patterns tried on every text."""
+    g, texts = random.Random(4), []
+    for r in rules():
+        tree = re._parser.parse(r.pattern)
+        for x in sorted({drawn(g, tree) for _ in range(300)}):
+            assert re.fullmatch(r.pattern, x) and r.keyword in f" {x} " and any(s in f" {x} " for s in license_scan.STEMS), (r, x)
+        texts += [f"q {drawn(g, tree)} q" for _ in range(2)]
+    texts += ["see copying file", "See the COPYING.txt", "WTFPL", "psf license version 2", "Common Development and Distribution License, version 1.0", "for personal use only", "released under the foo licence"]
+    ungated = [r._replace(keyword=" ") for r in rules()]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    got = license_rows(df)
+    assert got == Counter((i, *brute_licenses(t, ungated)) for i, t in rows)
+    assert all(r[6] for r in got)
+
+
 def test_overlaps_by_priority_and_containment(spark):
     table = [Rule("wide", 2, "apache", "the apache license text"), Rule("narrow", 3, "apache", "apache license"), Rule("same", 2, "apache", "the apache license text"), Rule("clue", 1, "apache", "license text")]
     df = spark.createDataFrame([(1, "see the Apache License text")], "doc_id int, text string")
