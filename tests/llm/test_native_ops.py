@@ -186,6 +186,20 @@ def test_containment_and_merge(spark):
     assert r["n"] == pytest.approx(2996 / doc_sketch.SCALE, rel=0.25)
 
 
+def test_containment_of_short_texts_in_long_ones(spark):
+    """A contained text is never "not contained": all of it, or unknown."""
+    w = [f"w{i}" for i in range(3000)]
+    for n, unknown in ((5, 0.51), (10, 0.26), (20, 0.07)):
+        rows = [(" ".join(w[k : k + n + 4]), " ".join(w)) for k in range(0, 2900, 15)]
+        df = spark.createDataFrame(rows, "a string, b string").repartition(4)
+        df = doc_sketch.with_sketch(doc_sketch.with_sketch(df, "a", "sa"), "b", "sb")
+        got = [r[0] for r in df.select(doc_sketch.containment(F.col("sa"), F.col("sb"))).collect()]
+        assert set(got) == {None, 1.0} and got.count(None) / len(got) == pytest.approx(unknown, abs=0.12)
+    ends = spark.createDataFrame([("", ""), ("", "a b"), ("a b", ""), ("a b", "a b")], "a string, b string")
+    ends = doc_sketch.with_sketch(doc_sketch.with_sketch(ends, "a", "sa"), "b", "sb")
+    assert [r[0] for r in ends.select(doc_sketch.containment(F.col("sa"), F.col("sb"))).collect()] == [1.0, 0.0, 0.0, 1.0]
+
+
 # --- line dedup --------------------------------------------------------------------
 
 
