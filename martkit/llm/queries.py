@@ -10,7 +10,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import doc_sketch, fertility, license_scan, line_dedup, ngram_join, packing, secret_scan, sharding, sp_viterbi, toxicity
+from . import conv_trie, doc_sketch, fertility, lang_mix, license_scan, line_dedup, ngram_join, packing, secret_scan, sharding, source_audit, sp_viterbi, toxicity
 from .common import documents
 
 
@@ -89,6 +89,22 @@ def op10_classifier_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", toxicity.score(F.col("text"), chain).alias("t")).select("doc_id", "t.*")
 
 
+def op11_depth_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all rebuilt conversations."""
+    return conv_trie.trie(conv_trie.rebuilt_paths(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
+def op12_level_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every language's sources, and their overused terms."""
+    return source_audit.audit(documents(spark, sf_dir))
+
+
+def op13_em_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, and the proportions of its languages."""
+    share = F.expr("concat_ws(',', transform(array_sort(map_entries(languages)), x -> concat(x.key, ':', format_number(x.value, '0.000'))))")
+    return lang_mix.predicted(documents(spark, sf_dir)).withColumn("languages", share)
+
+
 QUERIES = {
     "op1_signatures": op1_signatures,
     "op2_scaled_sketch": op2_scaled_sketch,
@@ -100,10 +116,15 @@ QUERIES = {
     "op8_virtual_slots": op8_virtual_slots,
     "op9_grammar": op9_grammar,
     "op10_classifier_chain": op10_classifier_chain,
+    "op11_depth_bands": op11_depth_bands,
+    "op12_level_products": op12_level_products,
+    "op13_em_mixture": op13_em_mixture,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {
     "op4_chosen_path": ngram_join.ORACLE,
     "op6_site_spread": line_dedup.ORACLE,
+    "op11_depth_bands": conv_trie.ORACLE,
+    "op12_level_products": source_audit.ORACLE,
 }
