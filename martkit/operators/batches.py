@@ -1,17 +1,31 @@
-"""Batches of requests that compete for keys.
-
-``accept_in_order`` gives the outcome of taking requests one by one in a
-stated total order, where a request is accepted unless an earlier *accepted*
-one used one of its keys; a rejected request blocks nothing.  It works in
-rounds of joins: a request that is first for all its keys among those left is
-accepted, and all others on its keys are out.  Every round decides at least
-the first request of every group, so the loop ends; independent conflicts are
-settled in the same round.
+"""Batches of requests that are settled as if they came one after the other.
+
+A request touches keys.  Each touch needs its key to be in use or to be free
+and, if the whole request is accepted, leaves it in use or free: a sale needs
+its car and its number free and leaves both in use; a rename needs the old key
+in use and the new one free and leaves them the other way round.  A request is
+accepted when all its touches find what they need at its turn; a rejected one
+changes nothing.
+
+``settle`` numbers the requests in their order (range-partitioned, sorted and
+written once, so equal requests have numbers of their own) and then splits the
+work by what can affect what:
+
+* a request that shares no key is settled from the tables alone, as is, where
+  every touch takes a free key, one whose key is in use from the start;
+* the others are parted into the connected components of requests that share
+  keys (``components``; not needed while all of them together are at most
+  ``FOLD_LIMIT``); a component of at most ``FOLD_LIMIT`` requests is read in
+  order by one pass that remembers the state of its keys;
+* a larger component is settled in rounds of joins, each of which decides every
+  request that is first for all its keys (and, where keys are only ever taken,
+  rejects all on a key that has been taken).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,32 +33,217 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .merge import write_version
 
+#: Requests that share keys and that one task may read in order.
+FOLD_LIMIT = 500_000
+_OUTCOME = "_row bigint, failed int, at_start boolean"
+
+
+class Touch(NamedTuple):
+    """``column`` names a key of ``space``; ``needs`` and ``leaves``: whether
+    the key is in use before and after."""
+
+    column: str
+    space: str
+    needs: bool = False
+    leaves: bool = True
+
+
+def in_sequence(requests: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``requests`` with ``_row``, a number that grows along ``order`` (equal
+    requests in any order, fixed by writing them once)."""
+    cols = [*order, "_tie"]
+    ranged = requests.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*cols).sortWithinPartitions(*cols)
+    numbered = ranged.drop("_tie").withColumn("_row", F.monotonically_increasing_id())
+    return write_version(numbered, scratch_path(requests.sparkSession, "batch"))
+
+
+def components(edges: DataFrame) -> tuple[DataFrame, int]:
+    """((node, label) of every node, rounds) for ``edges`` (a, b) of numbers.
+
+    Alternating star steps: every node's larger neighbours are linked to its
+    smallest one, then its smaller neighbours are.  The rounds grow with the
+    logarithm of a component's size; minima are combined on the map side.
+    """
+    spark = edges.sparkSession
+
+    def kept(df: DataFrame) -> DataFrame:
+        return write_version(df, scratch_path(spark, "stars"))
+
+    def mark(df: DataFrame):
+        return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+
+    now = kept(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    seen, rounds = mark(now), 0
+    while True:
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        large = kept(both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        pulled = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        now = kept(pulled.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        rounds += 1
+        before, seen = seen, mark(now)
+        if seen == before:
+            roots = now.select("v").distinct().select(F.col("v").alias("node"), F.col("v").alias("label"))
+            return now.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(roots), rounds
+
+
+def _fold(batches: Iterator, touches: list[Touch]) -> Iterator:
+    """Requests sorted by (component, number), settled one by one."""
+    import pandas as pd
 
-def accept_in_order(requests: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """``requests`` with boolean ``accepted``.  Each of ``keys`` is a column
-    with no null; ``order`` columns identify a request."""
-    spark = requests.sparkSession
-    left = requests
-    decided: DataFrame | None = None
+    label, state = None, {}
+    steps = [(i, t.needs, t.leaves) for i, t in enumerate(touches)]
+    for batch in batches:
+        out = []
+        columns = [batch["_label"], batch["_row"], *[batch[f"_k{i}"] for i, _, _ in steps], *[batch[f"_u{i}"] for i, _, _ in steps]]
+        for here, row, *rest in zip(*columns):
+            if here != label:
+                label, state = here, {}
+            keys, start = rest[: len(steps)], rest[len(steps) :]
+            failed = next((i for i, needs, _ in steps if state.get(keys[i], start[i]) != needs), None)
+            if failed is None:
+                state.update((keys[i], leaves) for i, _, leaves in steps)
+            out.append((row, failed, None if failed is None else bool(start[failed] != steps[failed][1])))
+        yield pd.DataFrame(out, columns=["_row", "failed", "at_start"]).astype({"failed": "Int32", "at_start": "boolean"})
+
+
+def _from_start(rows: DataFrame, touches: list[Touch]) -> DataFrame:
+    """Requests settled from the state at the start alone."""
+    failed = F.coalesce(*[F.when(F.col(f"_u{i}") != t.needs, i) for i, t in enumerate(touches)])
+    return rows.select("_row", failed.cast("int").alias("failed"), F.when(failed.isNotNull(), True).alias("at_start"))
+
+
+def _rounds(rows: DataFrame, touches: list[Touch]) -> DataFrame:
+    """``rows`` (_row, _k0.., _u0..) settled in rounds of joins."""
+    spark, n = rows.sparkSession, len(touches)
+    taking = all(not t.needs and t.leaves for t in touches)
+
+    def kept(df: DataFrame) -> DataFrame:
+        return write_version(df, scratch_path(spark, "batch_round"))
+
+    keys = F.array(*[F.col(f"_k{i}") for i in range(n)])
+    touched = F.explode(F.array(*[F.struct(F.col(f"_k{i}").alias("key"), F.col(f"_u{i}").alias("used")) for i in range(n)]))
+    state = kept(rows.select(touched.alias("t")).select("t.*").distinct())
+    left, done = rows, None
     while True:
-        marked = left.withColumn("_o", F.struct(*order))
-        wins = F.lit(True)
-        for i, k in enumerate(keys):
-            first = marked.groupBy(k).agg(F.min("_o").alias(f"_first{i}"))
-            marked = marked.join(first, k)
-            wins = wins & (F.col("_o") == F.col(f"_first{i}"))
-        judged = write_version(marked.select(*requests.columns, wins.alias("accepted")), scratch_path(spark, "batch_round"))
-        won = judged.filter("accepted")
-        rest = judged.filter("NOT accepted").drop("accepted")
-        out_now = F.lit(False)
-        for i, k in enumerate(keys):
-            used = won.select(k, F.lit(True).alias(f"_used{i}"))  # one winner per key value
-            rest = rest.join(used, k, "left")
-            out_now = out_now | F.col(f"_used{i}").isNotNull()
-        rest = rest.withColumn("_out", out_now)
-        rest = write_version(rest.select(*requests.columns, "_out"), scratch_path(spark, "batch_rest"))
-        out = won.unionByName(rest.filter("_out").select(*requests.columns, F.lit(False).alias("accepted")))
-        decided = out if decided is None else decided.unionByName(out)
-        left = rest.filter("NOT _out").drop("_out")
+        firsts = left.select("_row", F.explode(F.array_distinct(keys)).alias("key")).groupBy("key").agg(F.min("_row").alias("_row"))
+        heads = firsts.groupBy("_row").agg(F.count(F.lit(1)).alias("n"))
+        now = left.join(heads, "_row").filter(F.col("n") == F.size(F.array_distinct(keys))).drop("n")
+        for i in range(n):  # a key belongs to one head at most
+            now = now.join(state.select(F.col("key").alias(f"_k{i}"), F.col("used").alias(f"_s{i}")), f"_k{i}")
+        failed = F.coalesce(*[F.when(F.col(f"_s{i}") != t.needs, i) for i, t in enumerate(touches)])
+        at_start = F.coalesce(*[F.when(failed == i, F.col(f"_u{i}") != t.needs) for i, t in enumerate(touches)])
+        now = kept(now.select("_row", *[f"_k{i}" for i in range(n)], failed.cast("int").alias("failed"), at_start.alias("at_start")))
+        settled = now.select("_row", "failed", "at_start")
+        change = F.explode(F.array(*[F.struct(F.col(f"_k{i}").alias("key"), F.lit(t.leaves).alias("new")) for i, t in enumerate(touches)]))
+        changed = now.filter("failed IS NULL").select(change.alias("c")).select("c.*")
+        left = left.join(now.select("_row"), "_row", "left_anti")
+        if taking:  # all others on a taken key are out; which key it was is looked up at the end
+            settled = settled.filter("failed IS NULL")
+            for i in range(n):
+                left = left.join(changed.select(F.col("key").alias(f"_k{i}")), f"_k{i}", "left_anti")
+        left = kept(left)
+        state = kept(state.join(changed, "key", "left").select("key", F.coalesce("new", "used").alias("used")))
+        done = settled if done is None else done.unionByName(settled)
         if left.isEmpty():
-            return decided
+            break
+    if not taking:
+        return done
+    won = kept(rows.join(done.select("_row"), "_row", "left_semi"))
+    lost = rows.join(done.select("_row"), "_row", "left_anti")
+    for i in range(n):
+        lost = lost.join(won.select(F.col(f"_k{i}"), F.col("_row").alias(f"_w{i}")), f"_k{i}", "left")
+    first = F.coalesce(*[F.when(F.col(f"_w{i}") < F.col("_row"), i) for i in range(n)])
+    return done.unionByName(lost.select("_row", first.cast("int").alias("failed"), F.lit(False).alias("at_start")))
+
+
+def settle(
+    requests: DataFrame, touches: Sequence[Touch], order: Sequence[str], in_use: dict[str, DataFrame], fold_limit: int = FOLD_LIMIT
+) -> DataFrame:
+    """``requests`` with ``_row`` (their number in ``order``), ``failed`` (the
+    number of the first touch that did not find what it needs; null: accepted)
+    and ``at_start`` (whether that touch would have failed before the batch
+    too).  ``in_use`` holds, per space, one column of its keys in use.
+
+    A request with a null key fails at that touch and takes no part; where all
+    touches take a free key, a key that is in use from the start is the reason
+    given before any that the batch has taken.  Every request has exactly one
+    outcome.
+    """
+    spark, touches = requests.sparkSession, list(touches)
+    n = len(touches)
+    numbered = in_sequence(requests, order)
+    rows = numbered
+    for i, t in enumerate(touches):
+        used = in_use[t.space]
+        used = used.select(F.col(used.columns[0]).alias(t.column)).filter(F.col(t.column).isNotNull()).distinct()
+        rows = rows.join(used.withColumn(f"_u{i}", F.lit(True)), t.column, "left")
+    key = [F.concat(F.lit(f"{t.space}:"), F.col(t.column).cast("string")).alias(f"_k{i}") for i, t in enumerate(touches)]
+    used = [F.col(f"_u{i}").isNotNull().alias(f"_u{i}") for i in range(n)]
+    rows = write_version(rows.select("_row", *key, *used), scratch_path(spark, "batch_keys"))
+
+    keyless = F.coalesce(*[F.when(F.col(f"_k{i}").isNull(), i) for i in range(n)])
+    out = rows.filter(keyless.isNotNull()).select("_row", keyless.cast("int").alias("failed"), F.lit(True).alias("at_start"))
+    rows = rows.filter(keyless.isNull())
+    if all(not t.needs and t.leaves for t in touches):  # a key in use stays so
+        hopeless = F.greatest(*[F.col(f"_u{i}") for i in range(n)], F.lit(False))
+        out = out.unionByName(_from_start(rows.filter(hopeless), touches))
+        rows = rows.filter(~hopeless)
+
+    keys = F.array_distinct(F.array(*[F.col(f"_k{i}") for i in range(n)]))
+    touched = rows.select("_row", F.explode(keys).alias("key"))
+    shared = touched.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    contested = touched.join(shared, "key", "left_semi").select("_row").distinct()
+    contested = write_version(contested, scratch_path(spark, "batch_contested"))
+    out = out.unionByName(_from_start(rows.join(contested, "_row", "left_anti"), touches))
+    rows = rows.join(contested, "_row", "left_semi")
+
+    node = [F.xxhash64(f"_k{i}") for i in range(n)]
+    if contested.count() <= fold_limit:  # few enough for one task, whatever they share
+        labelled = rows.withColumn("_label", F.lit(0).cast("bigint"))
+    elif n == 1:
+        labelled = rows.withColumn("_label", node[0])
+    else:  # equal hashes of two keys only join two components
+        links = rows.select(F.explode(F.array(*[F.struct(node[0].alias("a"), x.alias("b")) for x in node[1:]])).alias("e")).select("e.*")
+        labels = components(links)[0].select(F.col("node").alias("_node"), F.col("label").alias("_label"))
+        labelled = rows.withColumn("_node", node[0]).join(labels, "_node", "left").withColumn("_label", F.coalesce("_label", "_node")).drop("_node")
+    labelled = write_version(labelled, scratch_path(spark, "batch_components"))
+    sizes = labelled.groupBy("_label").agg(F.count(F.lit(1)).alias("_size"))
+    large = write_version(sizes.filter(F.col("_size") > fold_limit).select("_label"), scratch_path(spark, "batch_large"))
+    small = labelled.join(large, "_label", "left_anti").repartition("_label").sortWithinPartitions("_label", "_row")
+    out = out.unionByName(small.mapInPandas(lambda batches: _fold(batches, touches), _OUTCOME))
+    if not large.isEmpty():
+        out = out.unionByName(_rounds(labelled.join(large, "_label", "left_semi").drop("_label"), touches))
+    out = write_version(out, scratch_path(spark, "batch_outcomes"))
+    return numbered.join(out, "_row")
+
+
+def final_keys(log: DataFrame) -> tuple[DataFrame, int]:
+    """((key, last_key), rounds) for every key that an accepted rename moved
+    first: where its record stands after the whole ``log`` (_row, old, new).
+
+    A rename points to the next one away from its new key; pointers are
+    doubled until none moves, so a chain of n renames takes log(n) rounds.
+    """
+    from pyspark.sql import Window
+
+    spark = log.sparkSession
+    ends = log.select("_row", F.explode(F.array(F.struct(F.col("old").alias("key"), F.lit(False).alias("comes")),
+                                                F.struct(F.col("new").alias("key"), F.lit(True).alias("comes")))).alias("x")).select("_row", "x.*")
+    along = Window.partitionBy("key").orderBy("_row")
+    ends = ends.withColumn("next", F.lead("_row").over(along)).withColumn("earlier", F.lag("_row").over(along))
+    ends = write_version(ends, scratch_path(spark, "rename_log"))
+    at = write_version(ends.filter("comes").select("_row", F.coalesce("next", "_row").alias("end")), scratch_path(spark, "rename_ends"))
+    rounds = 0
+    while True:
+        far = at.select(F.col("_row").alias("end"), F.col("end").alias("further"))
+        at = write_version(at.join(far, "end").select("_row", F.col("further").alias("end"), (F.col("further") != F.col("end")).alias("moved")),
+                           scratch_path(spark, "rename_ends"))
+        rounds += 1
+        if at.filter("moved").isEmpty():
+            break
+        at = at.drop("moved")
+    first = ends.filter("NOT comes AND earlier IS NULL").select("_row", "key")
+    last = log.select(F.col("_row").alias("end"), F.col("new").alias("last_key"))
+    return first.join(at, "_row").join(last, "end").select("key", "last_key"), rounds

@@ -6,13 +6,12 @@ of requests is validated against the table with joins and each request
 gets an outcome and a reason.  Only accepted requests change state, and all
 checks run before any change (a rejected sale leaves the car untouched).
 
-A batch is judged against the tables as they are before it.  Requests that
-fail a table check are out first and block nothing; the others are taken in a
-stated order, each accepted unless an earlier accepted one used one of its
-keys (``operators/batches.accept_in_order``).  So a car is sold once and a
-sale number used once, and a rename takes each old and each new key once; a
-chain (A to B, B to C) is not followed, as B exists before the batch.  Every
-batch operator returns its outcomes and the new state of the tables.
+A batch gives what the same requests give one after the other in a stated
+order (``operators/batches.settle``): a car is sold once and a sale number used
+once, an equal request is a request of its own, a request without a key is
+rejected, and a rename sees the keys as the renames before it left them, so
+chains, swaps and cycles are followed.  Every batch operator returns one
+outcome per request and the new state of the tables.
 """
 
 from __future__ import annotations
@@ -23,7 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.batches import accept_in_order
+from ..operators.batches import Touch, final_keys, settle
+from ..operators.merge import write_version
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources.io import RECORD_WIDTH, TOMBSTONE, padded, scan_records
@@ -33,6 +33,9 @@ AVAILABLE, SOLD = "available", "sold"
 TOP_MODELS = 3
 ISO_TS = "yyyy-MM-dd'T'HH:mm:ss"
 
+#: The fixtures' conflicts stay in blocks of this many cars; so many open a chain.
+BLOCK, CHAIN = 200, 20
+
 CAR_SCHEMA = T.StructType([
     T.StructField("vin", T.StringType()), T.StructField("model", T.LongType()),
     T.StructField("price", T.StringType()), T.StructField("date_start", T.StringType()),
@@ -44,6 +47,14 @@ SALE_SCHEMA = T.StructType([
 ])
 
 
+def _block() -> Column:
+    return F.floor((F.col("car_no") - 1) / BLOCK)
+
+
+def _vin_of(car_no: Column) -> Column:
+    return F.concat(F.lit("VIN"), F.lpad(car_no.cast("string"), 10, "0"))
+
+
 def car_record(df: DataFrame) -> Column:
     """Decimal -> string, timestamp -> ISO text, enum -> its value."""
     return F.to_json(F.struct(
@@ -73,13 +84,6 @@ def typed_sales(raw: DataFrame) -> DataFrame:
     )
 
 
-def first_per_key(df: DataFrame, key: str, order: list[str], flag: str) -> DataFrame:
-    """Add boolean ``flag``: the row is the first of its ``key`` in ``order``
-    (``order`` plus the key must identify the row)."""
-    best = df.groupBy(key).agg(F.min(F.struct(*order)).alias("_fpk_min"))
-    return df.join(best, key).withColumn(flag, F.struct(*order) == F.col("_fpk_min")).drop("_fpk_min")
-
-
 def revert_sales(cars: DataFrame, sales: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Revert sales by number: (outcomes, new cars, new sales).  A known sale
     is deleted and its car becomes available again; an unknown number is
@@ -100,15 +104,17 @@ def revert_sales(cars: DataFrame, sales: DataFrame, requests: DataFrame) -> tupl
     return outcomes, new_cars, new_sales
 
 
-def judged(requests: DataFrame, table_reason: Column, keys: list[str], order: list[str], in_batch: Column) -> DataFrame:
-    """``requests`` with ``outcome`` and ``reason``: those without a
-    ``table_reason`` compete in ``order``; losers get ``in_batch``."""
-    cols = requests.columns
-    checked = requests.withColumn("reason", table_reason)
-    fair = accept_in_order(checked.filter(F.col("reason").isNull()).select(*cols), keys, order)
-    lost = fair.withColumn("reason", F.when(~F.col("accepted"), in_batch)).drop("accepted")
-    out = checked.filter(F.col("reason").isNotNull()).unionByName(lost)
-    return out.withColumn("outcome", F.when(F.col("reason").isNull(), "accepted").otherwise("rejected"))
+def _judged(settled: DataFrame, reasons: list[Column]) -> DataFrame:
+    """Settled requests with ``outcome`` and ``reason`` (one per touch)."""
+    reason = F.coalesce(*[F.when(F.col("failed") == i, r) for i, r in enumerate(reasons)])
+    return settled.withColumn("reason", reason).withColumn("outcome", F.when(F.col("failed").isNull(), "accepted").otherwise("rejected"))
+
+
+def insert_keyed(table: DataFrame, requests: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Requests with the outcome of inserting them by ``key`` in ``order``."""
+    settled = settle(requests, [Touch(key, "key")], order, {"key": table.select(key)})
+    reason = F.when(F.col(key).isNull(), "no key").when(F.col("at_start"), "key exists").otherwise("duplicate key in batch")
+    return _judged(settled, [reason])
 
 
 SELL_ORDER = ["sales_date", "sales_number", "car_vin"]
@@ -116,51 +122,53 @@ SELL_ORDER = ["sales_date", "sales_number", "car_vin"]
 
 def sell(cars: DataFrame, sales: DataFrame, requests: DataFrame) -> DataFrame:
     """Outcomes of selling cars, requests taken by date, number and car."""
-    j = (
-        requests.select("sales_number", "car_vin", "sales_date")
-        .join(cars.select(F.col("vin").alias("car_vin"), "status"), "car_vin", "left")
-        .join(sales.select("sales_number", F.lit(True).alias("_taken")), "sales_number", "left")
+    # A car that is not in the table is one that needs it there and fails.
+    known = requests.join(cars.select(F.col("vin").alias("car_vin"), F.lit(True).alias("_known")), "car_vin", "left")
+    unknown = F.col("car_vin").isNotNull() & F.col("_known").isNull()
+    asked = known.withColumn("_car", F.when(~unknown, F.col("car_vin"))).drop("_known")
+    settled = settle(
+        asked, [Touch("_car", "sold"), Touch("sales_number", "number")], SELL_ORDER,
+        {"sold": cars.filter(F.col("status") == SOLD).select("vin"), "number": sales.select("sales_number")},
     )
-    reason = (
-        F.when(F.col("status").isNull(), "unknown car").when(F.col("status") == SOLD, "car already sold")
-        .when(F.col("_taken").isNotNull(), "duplicate sale number")
+    car = (
+        F.when(F.col("car_vin").isNull(), "no car").when(F.col("_car").isNull(), "unknown car")
+        .when(F.col("at_start"), "car already sold").otherwise("car sold in batch")
     )
-    out = judged(j, reason, ["car_vin", "sales_number"], SELL_ORDER, F.lit("car or number taken in batch"))
-    return out.select("sales_number", "car_vin", "sales_date", "outcome", "reason")
+    number = (
+        F.when(F.col("sales_number").isNull(), "no sale number").when(F.col("at_start"), "duplicate sale number")
+        .otherwise("number taken in batch")
+    )
+    return _judged(settled, [car, number]).drop("_car")
 
 
-def apply_sales(cars: DataFrame, sales: DataFrame, requests: DataFrame, outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def apply_sales(cars: DataFrame, sales: DataFrame, outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """New (cars, sales): accepted sales enter the sales table and mark
     their car sold; rejected requests change nothing."""
-    won = outcomes.filter("outcome = 'accepted'").select("sales_number", "car_vin", "sales_date")
-    new_sales = sales.unionByName(
-        requests.join(won, ["sales_number", "car_vin", "sales_date"], "left_semi").select(*sales.columns))
+    won = outcomes.filter("outcome = 'accepted'")
+    new_sales = sales.unionByName(won.select(*sales.columns))
     sold = won.select(F.col("car_vin").alias("vin"), F.lit(True).alias("_sold"))
     new_cars = cars.join(sold, "vin", "left").withColumn(
         "status", F.when(F.col("_sold").isNotNull(), SOLD).otherwise(F.col("status"))).select(*cars.columns)
     return new_cars, new_sales
 
 
-def rename(cars: DataFrame, requests: DataFrame) -> DataFrame:
-    """Outcomes of renaming keys, requests taken by new and old key."""
-    keys = cars.select("vin")
-    j = (
-        requests.select("vin", "new_vin")
-        .join(keys.withColumn("_old_ok", F.lit(True)), "vin", "left")
-        .join(keys.select(F.col("vin").alias("new_vin"), F.lit(True).alias("_new_taken")), "new_vin", "left")
-    )
-    reason = F.when(F.col("_old_ok").isNull(), "unknown key").when(F.col("_new_taken").isNotNull(), "new key exists")
-    out = judged(j, reason, ["vin", "new_vin"], ["new_vin", "vin"], F.lit("key taken in batch"))
-    return out.select("vin", "new_vin", "outcome", "reason")
+def rename(cars: DataFrame, requests: DataFrame, order: list[str]) -> DataFrame:
+    """Outcomes of renaming keys, requests taken in ``order``."""
+    settled = settle(requests, [Touch("vin", "vin", True, False), Touch("new_vin", "vin")], order, {"vin": cars.select("vin")})
+    old = F.when(F.col("vin").isNull(), "no key").otherwise("unknown key")
+    return _judged(settled, [old, F.when(F.col("new_vin").isNull(), "no new key").otherwise("new key exists")])
 
 
 def apply_renames(cars: DataFrame, sales: DataFrame, outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """New (cars, sales): accepted renames cascade to the sales."""
-    m = outcomes.filter(F.col("outcome") == "accepted").select("vin", "new_vin")
-    new_cars = cars.join(m, "vin", "left").withColumn("vin", F.coalesce("new_vin", "vin")).select(*cars.columns)
+    """New (cars, sales): a car stands under the last key of its chain of
+    accepted renames, and so do its sales."""
+    log = outcomes.filter(F.col("outcome") == "accepted").select("_row", F.col("vin").alias("old"), F.col("new_vin").alias("new"))
+    m = final_keys(log)[0]
+    m = write_version(m.select(F.col("key").alias("vin"), "last_key"), scratch_path(cars.sparkSession, "renamed"))
+    new_cars = cars.join(m, "vin", "left").withColumn("vin", F.coalesce("last_key", "vin")).select(*cars.columns)
     new_sales = (
         sales.join(m.withColumnRenamed("vin", "car_vin"), "car_vin", "left")
-        .withColumn("car_vin", F.coalesce("new_vin", "car_vin")).select(*sales.columns)
+        .withColumn("car_vin", F.coalesce("last_key", "car_vin")).select(*sales.columns)
     )
     return new_cars, new_sales
 
@@ -216,25 +224,28 @@ class Registry:
 
     @cached_property
     def keyed_insert_requests(self) -> DataFrame:
-        """Existing table: cars with lot <= 25.  Requests: every car, and the
-        cars with lot divisible by 10 a second time at a higher price."""
+        """Existing table: cars with lot <= 25.  Requests: every car, the cars
+        with lot divisible by 10 again at a higher price, those with lot
+        divisible by 15 once more as they are, and those with lot 7 without a
+        key."""
         again = self.cars.filter(F.col("lot") % 10 == 0).withColumn("price", F.col("price") + F.lit(1))
-        return self.cars.unionByName(again).select(
+        equal = self.cars.filter(F.col("lot") % 15 == 0)
+        keyless = self.cars.filter(F.col("lot") == 7).withColumn("vin", F.lit(None).cast("string"))
+        return self.cars.unionByName(again).unionByName(equal).unionByName(keyless).select(
             "vin", "model", F.col("price").cast("decimal(12,2)").alias("price"), "status")
 
-    def keyed_insert(self) -> DataFrame:
+    @cached_property
+    def inserted(self) -> DataFrame:
         table = self.cars.filter(F.col("lot") <= 25).select("vin")
-        req = first_per_key(self.keyed_insert_requests, "vin", ["price", "model", "status"], "_first")
-        req = req.join(table.withColumn("_exists", F.lit(True)), "vin", "left")
-        reason = F.when(F.col("_exists").isNotNull(), "key exists").when(~F.col("_first"), "duplicate key in batch")
-        return req.select("vin", "price", F.when(reason.isNull(), "accepted").otherwise("rejected").alias("outcome"),
-                          reason.alias("reason"))
+        return insert_keyed(table, self.keyed_insert_requests, "vin", ["price", "model", "status"])
+
+    def keyed_insert(self) -> DataFrame:
+        return self.inserted.select("vin", "price", "outcome", "reason")
 
     def keyed_insert_state(self) -> DataFrame:
         """The table after the batch: its cars and the accepted requests."""
         table = self.cars.filter(F.col("lot") <= 25).select("vin", "model", F.col("price").cast("decimal(12,2)").alias("price"), "status")
-        won = self.keyed_insert().filter("outcome = 'accepted'").select("vin", "price")
-        return table.unionByName(self.keyed_insert_requests.join(won, ["vin", "price"], "left_semi"))
+        return table.unionByName(self.inserted.filter("outcome = 'accepted'").select(*table.columns))
 
     @cached_property
     def sell_state(self) -> tuple[DataFrame, DataFrame]:
@@ -247,55 +258,93 @@ class Registry:
 
     @cached_property
     def sell_requests(self) -> DataFrame:
-        """Every recorded sale; a sale of an unknown car for each car with lot
-        divisible by 7; for unsold cars with lot % 6 = 1 an earlier request
-        under a number that is taken, and for those with lot % 8 = 3 an
-        earlier request that all make under one new number."""
+        """Every recorded sale; again, unchanged, that of cars with lot
+        divisible by 12; under an unknown car for lot divisible by 7; without a
+        car or a number for lot 9 and 8; for unsold cars with lot % 6 = 1 an
+        earlier request under a number that is taken, and for those with lot % 8
+        = 3 an earlier one that all of a block make under one new number; and
+        in each block a chain in which a number competes for two cars and a car
+        for two numbers."""
         cars, sales = self.sell_state
         taken = sales.agg(F.min("sales_number")).first()[0] or "S-NONE"
+        mine = self.sales.join(self.cars.select(F.col("vin").alias("car_vin"), "lot", "car_no"), "car_vin")
+
+        def of(where: Column, number=F.col("sales_number"), car=F.col("car_vin"), days: int = 0) -> DataFrame:
+            return mine.filter(where).select(
+                number.cast("string").alias("sales_number"), car.cast("string").alias("car_vin"),
+                F.date_sub("sales_date", days).alias("sales_date"), "cost")
+
+        lot, unsold, none = F.col("lot"), F.col("lot") % 5 != 0, F.lit(None)
+        asked = [
+            of(F.lit(True)),
+            of(lot % 12 == 0),
+            of(lot % 7 == 0, F.concat("sales_number", F.lit("-U")), F.concat(F.lit("UNKNOWN-"), "car_vin")),
+            of(lot == 9, car=none),
+            of(lot == 8, number=none),
+            of(unsold & (lot % 6 == 1), F.lit(taken), days=1),
+            of(unsold & (lot % 8 == 3), F.concat(F.lit("S-SAME-"), _block().cast("string")), days=2),
+        ]
+        chain = self.cars.filter((F.col("car_no") - 1) % BLOCK < CHAIN)
+        for step in (0, 1):
+            asked.append(chain.select(
+                F.concat(F.lit("C"), F.col("car_no").cast("string")).alias("sales_number"), _vin_of(F.col("car_no") + step).alias("car_vin"),
+                F.date_add(F.lit("1990-01-01").cast("date"), F.pmod(F.col("car_no") * 7 + step * 3, F.lit(11)).cast("int")).alias("sales_date"),
+                F.col("price").cast("decimal(12,2)").alias("cost")))
+        out = asked[0]
+        for more in asked[1:]:
+            out = out.unionByName(more)
+        return out
 
-        def of(where: Column) -> DataFrame:
-            return self.sales.join(self.cars.filter(where).select(F.col("vin").alias("car_vin")), "car_vin", "left_semi").select(
-                "sales_number", "car_vin", "sales_date", "cost")
-
-        unsold = F.col("lot") % 5 != 0
-        unknown = of(F.col("lot") % 7 == 0).select(
-            F.concat("sales_number", F.lit("-U")).alias("sales_number"),
-            F.concat(F.lit("UNKNOWN-"), "car_vin").alias("car_vin"), "sales_date", "cost")
-        blocked = of(unsold & (F.col("lot") % 6 == 1)).select(
-            F.lit(taken).alias("sales_number"), "car_vin", F.date_sub("sales_date", 1).alias("sales_date"), "cost")
-        same = of(unsold & (F.col("lot") % 8 == 3)).select(
-            F.lit("S-SAME").alias("sales_number"), "car_vin", F.date_sub("sales_date", 2).alias("sales_date"), "cost")
-        return self.sales.select("sales_number", "car_vin", "sales_date", "cost").unionByName(unknown).unionByName(
-            blocked).unionByName(same)
-
-    def sell(self) -> DataFrame:
+    @cached_property
+    def sold(self) -> DataFrame:
         cars, sales = self.sell_state
         return sell(cars, sales, self.sell_requests)
 
+    def sell(self) -> DataFrame:
+        return self.sold.select("sales_number", "car_vin", "sales_date", "outcome", "reason")
+
     @cached_property
     def rename_requests(self) -> DataFrame:
-        """Renames: lot % 9 == 0 to two fresh keys each, lot % 11 == 0 to the
-        next car's key (taken), lot % 13 == 0 from a key that does not exist,
-        and lot % 10 == 4 all to one new key, each after a request for it from
-        a key that does not exist."""
-        c = self.cars
-        twice = c.filter(F.col("lot") % 9 == 0).select("vin", F.concat(F.lit("ALT"), F.col("vin").substr(4, 100)).alias("new_vin"))
-        same = c.filter(F.col("lot") % 10 == 4).select("vin", F.lit("NEW-ONE").alias("new_vin"))
-        blocked = c.filter(F.col("lot") % 10 == 4).select(F.concat(F.lit("0"), "vin").alias("vin"), F.lit("NEW-ONE").alias("new_vin"))
-        fresh = c.filter(F.col("lot") % 9 == 0).select("vin", F.concat(F.lit("NEW"), F.col("vin").substr(4, 100)).alias("new_vin"))
-        taken = c.filter(F.col("lot") % 11 == 0).select(
-            "vin", F.concat(F.lit("VIN"), F.lpad((F.col("vin").substr(4, 100).cast("bigint") + 1).cast("string"), 8, "0")).alias("new_vin"))
-        gone = c.filter(F.col("lot") % 13 == 0).select(F.concat(F.lit("X"), "vin").alias("vin"),
-                                                       F.concat(F.lit("Y"), "vin").alias("new_vin"))
-        return fresh.unionByName(taken).unionByName(gone).unionByName(twice).unionByName(same).unionByName(blocked)
+        """Renames with the number of the call: lot % 9 = 0 to two fresh keys
+        each, lot % 11 = 0 to the next car's key, lot % 13 = 0 from a key that
+        does not exist, lot % 10 = 4 all of a block to one new key, lot % 12 = 5
+        twice the same, lot 7 and 8 without a key, lot % 14 = 3 a chain of three
+        and back, and in lot % 16 = 1 a swap with the next car."""
+        c = self.cars.withColumn("next", _vin_of(F.col("car_no") + 1)).withColumn("inner", F.col("car_no") % BLOCK != 0)
+        lot, vin, none = F.col("lot"), F.col("vin"), F.lit(None).cast("string")
+
+        def key(mark: str) -> Column:
+            return F.concat(F.lit(mark), F.col("car_no").cast("string"))
+
+        def of(where: Column, call: int, old: Column, new: Column) -> DataFrame:
+            return c.filter(where).select((F.col("car_no") * 10 + call).alias("call"), old.alias("vin"), new.alias("new_vin"))
+
+        hop, swap = lot % 14 == 3, F.col("inner") & (lot % 16 == 1)
+        asked = [
+            of(lot % 9 == 0, 5, vin, key("NEW")), of(lot % 9 == 0, 2, vin, key("ALT")),
+            of((lot % 11 == 0) & F.col("inner"), 6, vin, F.col("next")),
+            of(lot % 13 == 0, 1, key("X"), key("Y")),
+            of(lot % 10 == 4, 3, vin, F.concat(F.lit("ONE"), _block().cast("string"))),
+            of(lot % 12 == 5, 4, vin, key("EQ")), of(lot % 12 == 5, 4, vin, key("EQ")),
+            of(lot == 7, 1, none, key("N")), of(lot == 8, 1, vin, none),
+            of(hop, 1, vin, key("H1-")), of(hop, 2, key("H1-"), key("H2-")), of(hop, 3, key("H2-"), key("H3-")), of(hop, 7, key("H3-"), vin),
+            of(swap, 4, vin, key("T")), of(swap, 8, F.col("next"), vin), of(swap, 9, key("T"), F.col("next")),
+        ]
+        out = asked[0]
+        for more in asked[1:]:
+            out = out.unionByName(more)
+        return out
+
+    @cached_property
+    def renamed(self) -> DataFrame:
+        return rename(self.cars, self.rename_requests, ["call", "vin", "new_vin"])
 
     def rename(self) -> DataFrame:
-        return rename(self.cars, self.rename_requests)
+        return self.renamed.select("call", "vin", "new_vin", "outcome", "reason")
 
-    def apply_renames(self, outcomes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def apply_renames(self) -> tuple[DataFrame, DataFrame]:
         """New cars and sales: accepted renames cascade to the sales."""
-        return apply_renames(self.cars, self.sales, outcomes)
+        return apply_renames(self.cars, self.sales, self.renamed)
 
     @cached_property
     def revert_requests(self) -> DataFrame:
@@ -303,18 +352,16 @@ class Registry:
         numbers for unsold cars with lot divisible by 4."""
         l4 = self.cars.filter(F.col("lot") % 4 == 0)
         known = self.sales.join(l4.select(F.col("vin").alias("car_vin")), "car_vin", "left_semi").select("sales_number")
-        unknown = l4.filter(F.col("status") == AVAILABLE).select(
-            F.concat(F.lit("S"), F.col("vin").substr(4, 100).cast("bigint").cast("string")).alias("sales_number"))
+        unknown = l4.filter(F.col("status") == AVAILABLE).select(F.concat(F.lit("S"), F.col("car_no").cast("string")).alias("sales_number"))
         return known.unionByName(unknown).distinct()
 
     def revert(self) -> DataFrame:
         return revert_sales(self.cars, self.sales, self.revert_requests)[0]
 
-    def apply_sales(self, outcomes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    def apply_sales(self) -> tuple[DataFrame, DataFrame]:
         """New (cars, sales): accepted sales enter the sales table and mark
         their car sold; rejected requests change nothing."""
-        cars, sales = self.sell_state
-        return apply_sales(cars, sales, self.sell_requests, outcomes if outcomes is not None else self.sell())
+        return apply_sales(*self.sell_state, self.sold)
 
     def write_sales_after_revert(self) -> str:
         """The sales file with every reverted sale's record replaced by a
@@ -334,8 +381,7 @@ class Registry:
 
 
 def _renamed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    r = Registry(spark, d)
-    return r.apply_renames(r.rename())
+    return Registry(spark, d).apply_renames()
 
 
 def _reverted(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -366,57 +412,73 @@ QUERIES = {
 # ---------------------------------------------------------------- oracle
 
 _CTES = fx.duck_with("registry_cars", "registry_sales")
+_RECURSIVE = "WITH RECURSIVE" + _CTES.removeprefix("WITH")
 _OUT = "CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS outcome"
 
 
-def _one_by_one(fair: str, keys: list[str], order: str, names: list[str]) -> str:
-    """Taking requests one after the other: every request carries the list of
-    the earlier ones it competes with; a recursion over the requests' order
-    within each key group would need state, so the fixture's conflicts are
-    settled step by step until none is left (six steps are more than they have)."""
-    cols, steps = ", ".join(names), [f"q0 AS (SELECT {', '.join(names)}, CAST(NULL AS BOOLEAN) AS ok FROM {fair})"]
-    earlier = f"({order.replace('@', 'e')}) < ({order.replace('@', 'q')})"
-    for i in range(6):
-        rival = [f"(SELECT 1 FROM q{i} e WHERE e.{k} = q.{k} AND {earlier} AND e.ok IS" for k in keys]
-        lost = " OR ".join(f"EXISTS {r} TRUE)" for r in rival)
-        first = " AND ".join(f"NOT EXISTS {r} NULL)" for r in rival)
-        steps.append(f"q{i + 1} AS (SELECT {cols}, CASE WHEN ok IS NOT NULL THEN ok WHEN {lost} THEN false WHEN {first} THEN true END AS ok FROM q{i} q)")
-    return ",\n".join(steps)
+_GRP = f"(car_no - 1) // {BLOCK}"
 
 
 def _sell_sql() -> str:
+    """One after the other: a recursion per block of cars takes its next
+    request and carries the cars and numbers that are taken."""
+    part = "SELECT {} AS sales_number, {} AS car_vin, sales_date - {} AS sales_date, cost, car_no FROM mine WHERE {}"
+    asked = [
+        ("sales_number", "car_vin", 0, "true"), ("sales_number", "car_vin", 0, "lot % 12 = 0"),
+        ("sales_number || '-U'", "'UNKNOWN-' || car_vin", 0, "lot % 7 = 0"), ("sales_number", "NULL", 0, "lot = 9"), ("NULL", "car_vin", 0, "lot = 8"),
+        ("(SELECT min(sales_number) FROM sales)", "car_vin", 1, "lot % 5 <> 0 AND lot % 6 = 1"),
+        (f"'S-SAME-' || CAST({_GRP} AS VARCHAR)", "car_vin", 2, "lot % 5 <> 0 AND lot % 8 = 3"),
+    ]
+    chain = [f"""SELECT 'C' || car_no, 'VIN' || lpad(CAST(car_no + {k} AS VARCHAR), 10, '0'),
+  DATE '1990-01-01' + CAST((car_no * 7 + {k} * 3) % 11 AS INTEGER), CAST(price AS DECIMAL(12,2)), car_no
+  FROM registry_cars WHERE (car_no - 1) % {BLOCK} < {CHAIN}""" for k in (0, 1)]
     return f""", cars AS (SELECT vin, CASE WHEN lot % 5 = 0 THEN '{SOLD}' ELSE '{AVAILABLE}' END AS status FROM registry_cars),
 sales AS (SELECT s.* FROM registry_sales s WHERE car_vin IN (SELECT vin FROM registry_cars WHERE lot % 5 = 0)),
-mine AS (SELECT s.*, c.lot FROM registry_sales s JOIN registry_cars c ON s.car_vin = c.vin),
-req AS (SELECT sales_number, car_vin, sales_date, cost FROM mine
-  UNION ALL SELECT sales_number || '-U', 'UNKNOWN-' || car_vin, sales_date, cost FROM mine WHERE lot % 7 = 0
-  UNION ALL SELECT (SELECT min(sales_number) FROM sales), car_vin, sales_date - 1, cost FROM mine WHERE lot % 5 <> 0 AND lot % 6 = 1
-  UNION ALL SELECT 'S-SAME', car_vin, sales_date - 2, cost FROM mine WHERE lot % 5 <> 0 AND lot % 8 = 3),
-seen AS (SELECT sales_number, car_vin, sales_date, CASE
-  WHEN car_vin NOT IN (SELECT vin FROM cars) THEN 'unknown car'
-  WHEN car_vin IN (SELECT vin FROM cars WHERE status = '{SOLD}') THEN 'car already sold'
-  WHEN sales_number IN (SELECT sales_number FROM sales) THEN 'duplicate sale number' END AS reason FROM req),
-fair AS (SELECT sales_number, car_vin, sales_date FROM seen WHERE reason IS NULL),
-""" + _one_by_one("fair", ["car_vin", "sales_number"], "@.sales_date, @.sales_number, @.car_vin", ["sales_number", "car_vin", "sales_date"]) + """,
-sell AS (SELECT sales_number, car_vin, sales_date, 'rejected' AS outcome, reason FROM seen WHERE reason IS NOT NULL
-  UNION ALL SELECT sales_number, car_vin, sales_date, CASE WHEN ok THEN 'accepted' ELSE 'rejected' END,
-    CASE WHEN NOT ok THEN 'car or number taken in batch' END FROM q6)
+mine AS (SELECT s.*, c.lot, c.car_no FROM registry_sales s JOIN registry_cars c ON s.car_vin = c.vin),
+req AS ({" UNION ALL ".join([*(part.format(*x) for x in asked), *chain])}),
+seen AS (SELECT sales_number, car_vin, sales_date, cost, {_GRP} AS grp, CASE
+  WHEN car_vin IS NULL THEN 'no car' WHEN c.vin IS NULL THEN 'unknown car' WHEN sales_number IS NULL THEN 'no sale number'
+  WHEN c.status = '{SOLD}' THEN 'car already sold'
+  WHEN sales_number IN (SELECT sales_number FROM sales) THEN 'duplicate sale number' END AS reason FROM req LEFT JOIN cars c ON c.vin = car_vin),
+fair AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY sales_date, sales_number, car_vin) AS i FROM seen WHERE reason IS NULL),
+run AS (SELECT DISTINCT grp, 0::BIGINT AS i, []::VARCHAR[] AS used, ''::VARCHAR AS sales_number, ''::VARCHAR AS car_vin,
+    NULL::DATE AS sales_date, NULL::DECIMAL(12,2) AS cost, NULL::VARCHAR AS reason FROM fair
+  UNION ALL SELECT grp, i, CASE WHEN why IS NULL THEN list_concat(used, ['c' || car_vin, 'n' || sales_number]) ELSE used END,
+    sales_number, car_vin, sales_date, cost, why FROM (
+    SELECT q.*, r.used, CASE WHEN list_contains(r.used, 'c' || q.car_vin) THEN 'car sold in batch'
+      WHEN list_contains(r.used, 'n' || q.sales_number) THEN 'number taken in batch' END AS why FROM run r JOIN fair q ON q.grp = r.grp AND q.i = r.i + 1)),
+sell AS (SELECT sales_number, car_vin, sales_date, cost, {_OUT}, reason FROM (
+  SELECT sales_number, car_vin, sales_date, cost, reason FROM seen WHERE reason IS NOT NULL
+  UNION ALL SELECT sales_number, car_vin, sales_date, cost, reason FROM run WHERE i > 0))
 """
 
 
 def _rename_sql() -> str:
-    return """, want AS (SELECT vin, 'NEW' || substr(vin, 4) AS new_vin FROM registry_cars WHERE lot % 9 = 0
-  UNION ALL SELECT vin, 'ALT' || substr(vin, 4) FROM registry_cars WHERE lot % 9 = 0
-  UNION ALL SELECT vin, 'VIN' || lpad(CAST(CAST(substr(vin, 4) AS BIGINT) + 1 AS VARCHAR), 8, '0') FROM registry_cars WHERE lot % 11 = 0
-  UNION ALL SELECT 'X' || vin, 'Y' || vin FROM registry_cars WHERE lot % 13 = 0
-  UNION ALL SELECT vin, 'NEW-ONE' FROM registry_cars WHERE lot % 10 = 4
-  UNION ALL SELECT '0' || vin, 'NEW-ONE' FROM registry_cars WHERE lot % 10 = 4),
-seen AS (SELECT vin, new_vin, CASE WHEN vin NOT IN (SELECT vin FROM registry_cars) THEN 'unknown key'
-  WHEN new_vin IN (SELECT vin FROM registry_cars) THEN 'new key exists' END AS reason FROM want),
-fair AS (SELECT vin, new_vin FROM seen WHERE reason IS NULL),
-""" + _one_by_one("fair", ["vin", "new_vin"], "@.new_vin, @.vin", ["vin", "new_vin"]) + """,
-ren AS (SELECT vin, new_vin, 'rejected' AS outcome, reason FROM seen WHERE reason IS NOT NULL
-  UNION ALL SELECT vin, new_vin, CASE WHEN ok THEN 'accepted' ELSE 'rejected' END, CASE WHEN NOT ok THEN 'key taken in batch' END FROM q6)
+    """One after the other, per block of cars: the recursion carries where
+    the record of each key that a request names stands."""
+    key = lambda mark: f"'{mark}' || car_no"
+    nxt, inner = "'VIN' || lpad(CAST(car_no + 1 AS VARCHAR), 10, '0')", f"car_no % {BLOCK} <> 0"
+    hop, swap = "lot % 14 = 3", f"{inner} AND lot % 16 = 1"
+    asked = [
+        ("lot % 9 = 0", 5, "vin", key("NEW")), ("lot % 9 = 0", 2, "vin", key("ALT")), (f"lot % 11 = 0 AND {inner}", 6, "vin", nxt),
+        ("lot % 13 = 0", 1, key("X"), key("Y")), ("lot % 10 = 4", 3, "vin", f"'ONE' || CAST({_GRP} AS VARCHAR)"),
+        ("lot % 12 = 5", 4, "vin", key("EQ")), ("lot % 12 = 5", 4, "vin", key("EQ")), ("lot = 7", 1, "NULL", key("N")), ("lot = 8", 1, "vin", "NULL"),
+        (hop, 1, "vin", key("H1-")), (hop, 2, key("H1-"), key("H2-")), (hop, 3, key("H2-"), key("H3-")), (hop, 7, key("H3-"), "vin"),
+        (swap, 4, "vin", key("T")), (swap, 8, nxt, "vin"), (swap, 9, key("T"), nxt),
+    ]
+    union = " UNION ALL ".join(f"SELECT car_no * 10 + {n} AS call, {old} AS vin, {new} AS new_vin, {_GRP} AS grp FROM registry_cars WHERE {w}" for w, n, old, new in asked)
+    return f""", req AS ({union}),
+fair AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY call, vin, new_vin) AS i FROM req WHERE vin IS NOT NULL AND new_vin IS NOT NULL),
+named AS (SELECT DISTINCT grp, k FROM (SELECT grp, vin AS k FROM fair UNION ALL SELECT grp, new_vin FROM fair) WHERE k IN (SELECT vin FROM registry_cars)),
+run AS (SELECT f.grp, 0::BIGINT AS i, coalesce((SELECT list({{'o': k, 'k': k}}) FROM named n WHERE n.grp = f.grp), []) AS st, 0::BIGINT AS call,
+    ''::VARCHAR AS vin, ''::VARCHAR AS new_vin, NULL::VARCHAR AS reason FROM (SELECT DISTINCT grp FROM fair) f
+  UNION ALL SELECT grp, i, CASE WHEN why IS NULL THEN list_transform(st, lambda x: CASE WHEN x.k = vin THEN {{'o': x.o, 'k': new_vin}} ELSE x END) ELSE st END,
+    call, vin, new_vin, why FROM (
+    SELECT q.*, r.st, CASE WHEN NOT list_contains(list_transform(r.st, lambda x: x.k), q.vin) THEN 'unknown key'
+      WHEN list_contains(list_transform(r.st, lambda x: x.k), q.new_vin) THEN 'new key exists' END AS why FROM run r JOIN fair q ON q.grp = r.grp AND q.i = r.i + 1)),
+ren AS (SELECT call, vin, new_vin, {_OUT}, reason FROM (SELECT call, vin, new_vin, reason FROM run WHERE i > 0
+  UNION ALL SELECT call, vin, new_vin, CASE WHEN vin IS NULL THEN 'no key' ELSE 'no new key' END FROM req WHERE vin IS NULL OR new_vin IS NULL)),
+moved AS (SELECT unnest(st, recursive := true) FROM (SELECT st, i = max(i) OVER (PARTITION BY grp) AS last FROM run) WHERE last)
 """
 
 
@@ -441,27 +503,26 @@ FROM registry_sales s JOIN registry_cars c ON s.car_vin = c.vin JOIN registry_mo
 GROUP BY m.id, m.name, m.brand ORDER BY sales_number DESC, car_model_name, m.brand LIMIT {TOP_MODELS}""",
     "keyed_insert_batch": _CTES
     + f""", req AS (SELECT vin, model, price, status FROM registry_cars
-  UNION ALL SELECT vin, model, price + 1, status FROM registry_cars WHERE lot % 10 = 0),
-r AS (SELECT *, row_number() OVER (PARTITION BY vin ORDER BY price, model, status) AS rn,
-  CASE WHEN vin IN (SELECT vin FROM registry_cars WHERE lot <= 25) THEN 'key exists'
+  UNION ALL SELECT vin, model, price + 1, status FROM registry_cars WHERE lot % 10 = 0
+  UNION ALL SELECT vin, model, price, status FROM registry_cars WHERE lot % 15 = 0
+  UNION ALL SELECT NULL, model, price, status FROM registry_cars WHERE lot = 7),
+r AS (SELECT *, CASE WHEN vin IS NULL THEN 'no key' WHEN vin IN (SELECT vin FROM registry_cars WHERE lot <= 25) THEN 'key exists'
        WHEN row_number() OVER (PARTITION BY vin ORDER BY price, model, status) > 1 THEN 'duplicate key in batch' END AS reason
   FROM req)
 SELECT vin, CAST(price AS DECIMAL(12,2)) AS price, {_OUT}, reason FROM r""",
     "keyed_insert_state": _CTES
     + """SELECT vin, model, CAST(price AS DECIMAL(12,2)) AS price, status FROM registry_cars""",
-    "sell_cars_batch": _CTES + _sell_sql() + "SELECT * FROM sell",
-    "sell_cars_state": _CTES + _sell_sql()
+    "sell_cars_batch": _RECURSIVE + _sell_sql() + "SELECT sales_number, car_vin, sales_date, outcome, reason FROM sell",
+    "sell_cars_state": _RECURSIVE + _sell_sql()
     + f"SELECT vin, CASE WHEN vin IN (SELECT car_vin FROM sell WHERE outcome = 'accepted') THEN '{SOLD}' ELSE status END AS status FROM cars",
-    "sell_sales_state": _CTES + _sell_sql()
-    + """SELECT sales_number, car_vin, sales_date, cost FROM sales UNION ALL
-SELECT r.sales_number, r.car_vin, r.sales_date, r.cost FROM req r SEMI JOIN (SELECT * FROM sell WHERE outcome = 'accepted') a
-  USING (sales_number, car_vin, sales_date)""",
-    "rename_keys_batch": _CTES + _rename_sql() + "SELECT * FROM ren",
-    "rename_cars_state": _CTES + _rename_sql()
-    + "SELECT coalesce(a.new_vin, c.vin) AS vin, c.model, c.status FROM registry_cars c LEFT JOIN (SELECT * FROM ren WHERE outcome = 'accepted') a USING (vin)",
-    "rename_sales_state": _CTES + _rename_sql()
-    + """SELECT s.sales_number, coalesce(a.new_vin, s.car_vin) AS car_vin FROM registry_sales s
-LEFT JOIN (SELECT * FROM ren WHERE outcome = 'accepted') a ON a.vin = s.car_vin""",
+    "sell_sales_state": _RECURSIVE + _sell_sql()
+    + """SELECT sales_number, car_vin, sales_date, cost FROM sales
+UNION ALL SELECT sales_number, car_vin, sales_date, cost FROM sell WHERE outcome = 'accepted'""",
+    "rename_keys_batch": _RECURSIVE + _rename_sql() + "SELECT * FROM ren",
+    "rename_cars_state": _RECURSIVE + _rename_sql()
+    + "SELECT coalesce(m.k, c.vin) AS vin, c.model, c.status FROM registry_cars c LEFT JOIN moved m ON m.o = c.vin",
+    "rename_sales_state": _RECURSIVE + _rename_sql()
+    + "SELECT s.sales_number, coalesce(m.k, s.car_vin) AS car_vin FROM registry_sales s LEFT JOIN moved m ON m.o = s.car_vin",
     "revert_cars_state": _CTES
     + f"""SELECT vin, CASE WHEN lot % 4 = 0 AND vin IN (SELECT car_vin FROM registry_sales) THEN '{AVAILABLE}' ELSE status END AS status FROM registry_cars""",
     "revert_sales_state": _CTES
@@ -469,7 +530,7 @@ LEFT JOIN (SELECT * FROM ren WHERE outcome = 'accepted') a ON a.vin = s.car_vin"
     "revert_sales_batch": _CTES
     + f""", req AS (SELECT DISTINCT sales_number FROM (
   SELECT sales_number FROM registry_sales WHERE car_vin IN (SELECT vin FROM registry_cars WHERE lot % 4 = 0)
-  UNION ALL SELECT 'S' || CAST(CAST(substr(vin, 4) AS BIGINT) AS VARCHAR) FROM registry_cars WHERE lot % 4 = 0 AND status = '{AVAILABLE}'))
+  UNION ALL SELECT 'S' || CAST(car_no AS VARCHAR) FROM registry_cars WHERE lot % 4 = 0 AND status = '{AVAILABLE}'))
 SELECT sales_number, CASE WHEN sales_number IN (SELECT sales_number FROM registry_sales) THEN 'reverted' ELSE 'rejected' END AS outcome,
   CASE WHEN sales_number IN (SELECT sales_number FROM registry_sales) THEN NULL ELSE 'unknown sale' END AS reason FROM req""",
 }

@@ -3,10 +3,10 @@ the driver tables (see FIXTURES.md).
 
 Each view exists twice: as a Spark DataFrame builder (joins and aggregates
 that Catalyst plans) and as DuckDB SQL text used by ``oracle_sql()``.  The
-scalar expressions are shared text where both dialects agree.  Two places
+scalar expressions are shared text where both dialects agree.  Two numbers
 differ on purpose: ``raw_sales.id`` is a global row number (Spark: the
-scalable ``dense_keys``; SQL: ``row_number()``), and the first sale per part
-uses ``min`` over a struct in Spark instead of a per-part window.
+scalable ``dense_keys``; SQL: ``row_number()``), and so is the car number of
+the registry.
 
 The expensive views are ``materialized``: written once per Spark
 application below the checkpoint folder and scanned from there, the way
@@ -17,11 +17,11 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import cents, cents_to_decimal
-from ..operators.keys import dense_keys, keep_first
+from ..operators.keys import dense_keys
 from ..session import scratch_path
 from .tables import table
 
@@ -30,16 +30,12 @@ _TABLES: dict[tuple, str] = {}
 
 
 def input_version(spark: SparkSession, d: str) -> int:
-    """Changes whenever a table file in ``d`` is added, removed or rewritten
-    (names, sizes and times, read through Spark's own file systems)."""
+    """Changes whenever a table in ``d`` is replaced or files are added to or
+    removed from its folder (one entry per table, however many files it has;
+    read through Spark's own file systems)."""
     path = spark._jvm.org.apache.hadoop.fs.Path(d)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    files = fs.listFiles(path, True)
-    seen = []
-    while files.hasNext():
-        f = files.next()
-        seen.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
-    return hash(tuple(sorted(seen)))
+    tables = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return hash(tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in tables)))
 
 
 def materialized(builder):
@@ -137,21 +133,23 @@ SELECT s_suppkey AS craftsman_id, s_name AS craftsman_name, p_partkey AS product
 FROM lineitem JOIN orders ON l_orderkey=o_orderkey JOIN customer ON o_custkey=c_custkey
 JOIN part ON l_partkey=p_partkey JOIN supplier ON l_suppkey=s_suppkey""",
     "registry_models": "SELECT min(p_partkey) AS id, p_name AS name, p_brand AS brand FROM part GROUP BY p_brand, p_name",
+    "registry_lines": """
+SELECT CAST(row_number() OVER (ORDER BY l_orderkey,l_linenumber,l_partkey,l_suppkey,l_shipdate,l_quantity,l_extendedprice,l_returnflag) AS BIGINT) AS car_no,
+  l_partkey, l_shipdate, l_extendedprice, l_returnflag FROM lineitem""",
     "registry_cars": f"""
-SELECT concat('VIN', lpad(cast(p_partkey AS string), 8, '0')) AS vin, m.id AS model,
+SELECT concat('VIN', lpad(cast(car_no AS string), 10, '0')) AS vin, m.id AS model,
   {_sql_money('p_retailprice', 10)} AS price, TIMESTAMP '{REGISTRY_DATE_START}' AS date_start,
-  CASE WHEN p_partkey % 3 <> 0 THEN 'sold' ELSE 'available' END AS status, p_size AS lot
-FROM part p JOIN registry_models m ON p.p_brand=m.brand AND p.p_name=m.name""",
+  CASE WHEN l_returnflag = 'R' THEN 'available' ELSE 'sold' END AS status, p_size AS lot, car_no
+FROM registry_lines l JOIN part p ON l.l_partkey=p.p_partkey JOIN registry_models m ON p.p_brand=m.brand AND p.p_name=m.name""",
     "registry_sales": f"""
-SELECT concat('S', cast(l_partkey AS string)) AS sales_number, concat('VIN', lpad(cast(l_partkey AS string), 8, '0')) AS car_vin,
+SELECT concat('S', cast(car_no AS string)) AS sales_number, concat('VIN', lpad(cast(car_no AS string), 10, '0')) AS car_vin,
   cast(l_shipdate AS date) AS sales_date, {_sql_money('l_extendedprice', 12)} AS cost
-FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_quantity) AS rn
-      FROM lineitem WHERE l_partkey % 3 <> 0) x WHERE rn = 1""",
+FROM registry_lines WHERE l_returnflag <> 'R'""",
     "page_hosts": "SELECT regexp_extract(url,'^https?://([^/]+)',1) AS category, page_id, url, html AS body FROM pages",
 }
 
 # Views that other views read.
-_DEPENDS = {"registry_cars": ["registry_models"]}
+_DEPENDS = {"registry_cars": ["registry_models", "registry_lines"], "registry_sales": ["registry_lines"]}
 
 
 def duck_with(*names: str) -> str:
@@ -287,28 +285,40 @@ def registry_models(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@materialized
+def registry_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Every order line is a car of the part's model; its number is the
+    line's place in a total order."""
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_returnflag"]
+    lines = dense_keys(table(spark, d, "lineitem").select(*order), order, "car_no")
+    return lines.select("car_no", "l_partkey", "l_shipdate", "l_extendedprice", "l_returnflag")
+
+
+def _vin() -> Column:
+    return F.concat(F.lit("VIN"), F.lpad(F.col("car_no").cast("string"), 10, "0"))
+
+
+@materialized
 def registry_cars(spark: SparkSession, d: str) -> DataFrame:
     part = table(spark, d, "part")
     m = registry_models(spark, d)
-    j = part.join(m, (part.p_brand == m.brand) & (part.p_name == m.name))
-    return j.select(
-        F.concat(F.lit("VIN"), F.lpad(F.col("p_partkey").cast("string"), 8, "0")).alias("vin"),
+    models = part.join(m, (part.p_brand == m.brand) & (part.p_name == m.name)).select("p_partkey", "id", "p_retailprice", "p_size")
+    return registry_lines(spark, d).join(models, F.col("l_partkey") == F.col("p_partkey")).select(
+        _vin().alias("vin"),
         F.col("id").alias("model"),
         cents_to_decimal(cents("p_retailprice"), 10).alias("price"),
         F.lit(REGISTRY_DATE_START).cast("timestamp_ntz").alias("date_start"),
-        F.when(F.col("p_partkey") % 3 != 0, "sold").otherwise("available").alias("status"),
+        F.when(F.col("l_returnflag") == "R", "available").otherwise("sold").alias("status"),
         F.col("p_size").alias("lot"),
+        "car_no",
     )
 
 
-@materialized
 def registry_sales(spark: SparkSession, d: str) -> DataFrame:
-    li = table(spark, d, "lineitem").filter(F.col("l_partkey") % 3 != 0)
-    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quantity"]
-    first = keep_first(li.select("l_partkey", *order), ["l_partkey"], order)
-    return first.select(
-        F.concat(F.lit("S"), F.col("l_partkey").cast("string")).alias("sales_number"),
-        F.concat(F.lit("VIN"), F.lpad(F.col("l_partkey").cast("string"), 8, "0")).alias("car_vin"),
+    """One sale for every car that was not returned."""
+    return registry_lines(spark, d).filter(F.col("l_returnflag") != "R").select(
+        F.concat(F.lit("S"), F.col("car_no").cast("string")).alias("sales_number"),
+        _vin().alias("car_vin"),
         F.col("l_shipdate").cast("date").alias("sales_date"),
         cents_to_decimal(cents("l_extendedprice"), 12).alias("cost"),
     )

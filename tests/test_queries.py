@@ -91,7 +91,7 @@ def test_registry_batches_reject_with_reasons(spark, sf):
     assert sell.filter(F.col("outcome") == "accepted").join(sold_before, "car_vin").count() == 0
     ren = r.rename()
     assert {"unknown key", "new key exists"} <= {row.reason for row in ren.collect()}
-    new_cars, new_sales = r.apply_renames(ren)
+    new_cars, new_sales = r.apply_renames()
     accepted = ren.filter(F.col("outcome") == "accepted").select(F.col("new_vin").alias("car_vin"))
     # Renames cascade: every sale still points at an existing car.
     assert new_sales.join(new_cars.select(F.col("vin").alias("car_vin")), "car_vin", "left_anti").count() == 0
