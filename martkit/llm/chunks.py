@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 
 
 class _Numbers(dict):
@@ -121,6 +122,50 @@ class Remembered(dict):
         return b"".join(map(self.__getitem__, chunks))
 
 
+class KnownChunks:
+    """Ids of chunks of many texts at a time.
+
+    The chunks of a run of texts are numbered in Arrow, so each distinct one is
+    looked up once a run; those not known yet are encoded together (``encode``:
+    chunks to their ids as bytes).  When ``limit`` chunks are held, those of the
+    time before are forgotten; the last ``limit`` stay known for as long again.
+    """
+
+    def __init__(self, encode: Callable[[list[bytes]], list[bytes]], dtype, limit: int = 250_000):
+        self.encode, self.dtype, self.limit = encode, np.dtype(dtype), limit
+        self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
+
+    def _of(self, distinct: list[bytes]) -> list[bytes]:
+        if len(self.known) >= self.limit:
+            self.before, self.known = self.known, {}
+        found = list(map(self.known.get, distinct))
+        missing = [i for i, x in enumerate(found) if x is None]
+        for i in missing:
+            found[i] = self.before.get(distinct[i])
+        new = [i for i in missing if found[i] is None]
+        for i, ids in zip(new, self.encode([distinct[i] for i in new]), strict=True):
+            found[i] = ids
+        self.known.update((distinct[i], found[i]) for i in missing)
+        return found
+
+    def ids(self, chunks: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """(the ids of all texts in a row, where each text's ids end), from
+        the chunks of each text."""
+        offsets = np.asarray(chunks.offsets)
+        coded = chunks.flatten().dictionary_encode()
+        numbers = coded.indices.to_numpy(zero_copy_only=False)
+        found = self._of(coded.dictionary.cast(pa.binary()).to_pylist())
+        flat = np.frombuffer(b"".join(found), self.dtype)
+        size = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        n = size[numbers]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        # Places in ``flat``; a run of texts has far fewer than 2**31 ids.
+        at = np.repeat(((np.cumsum(size) - size)[numbers] - ends[:-1]).astype(np.int32), n)
+        at += np.arange(ends[-1], dtype=np.int32)
+        return flat[at], ends[offsets[1:] - offsets[0]]
+
+
 def in_runs(values: Sequence, weight: int = 4_000_000) -> Iterator[tuple[int, int]]:
     """Slices of ``values`` (strings) of about ``weight`` characters, which
     bound what one step holds."""

@@ -28,18 +28,22 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .chunks import Remembered
+from .chunks import KnownChunks, in_runs
 from .common import written
 
 LENGTH = 2048
@@ -96,10 +100,11 @@ def _cells(vectors: np.ndarray) -> np.ndarray:
 class Encoder:
     """Ids and curve keys of texts under one tokenizer file.
 
-    A new chunk that is one Latin word, with or without a full stop or comma,
-    goes to the tokenizer's model directly: of its normaliser only lower case
-    applies, and its splitter leaves the word whole.  Any other chunk goes
-    through the whole tokenizer.
+    A new chunk that is one Latin word, with or without a run of ASCII
+    punctuation behind it, goes to the tokenizer's model directly: of its
+    normaliser only lower case applies, and its splitter parts the word from
+    the run and leaves both whole.  Any other chunk goes through the whole
+    tokenizer.
     """
 
     def __init__(self, path: str):
@@ -115,42 +120,51 @@ class Encoder:
         # Letters below U+0250 whose lower case is one letter there too.
         letters = [c for c in map(chr, range(0x250)) if c.isalpha() and len(c.lower()) == 1 and ord(c.lower()) < 0x250]
         self.bytes_of = {ord(c): level.pre_tokenize_str(c)[0][0] for c in letters}
-        self.marks = {c: self.tok.encode(c, add_special_tokens=False).ids for c in ".,"}
+        self.marks = lru_cache(10_000)(lambda run: tuple(self.tok.encode(run, add_special_tokens=False).ids))
         self.latin = re.compile(f"[{''.join(letters)}]+").fullmatch
         self.plain = True
         self.plain = self._agrees()
-        self.known = Remembered(self._encode)
+        self.known = KnownChunks(self._encode, self.dtype)
         self.directions = _directions(size)
 
     def _agrees(self) -> bool:
         """Whether the direct way gives the tokenizer's own ids on a probe."""
-        probe = ["word", "Straße.", "été,", "Unbelievably", "Ñandú"]
-        own = [array(self.code, self.tok.encode(x, add_special_tokens=False).ids).tobytes() for x in probe]
-        return [self._encode(x.encode("utf-8").lower()) for x in probe] == own
-
-    def _encode(self, chunk: bytes) -> bytes:
-        text = chunk.decode("utf-8")
-        mark = self.marks.get(text[-1], ())
-        word = text[:-1] if mark else text
+        probe = ["word", "Straße.", "été,", "Unbelievably", "Ñandú", "word***", "was'!?", "é..."]
+        own = [self.tok.encode(x, add_special_tokens=False).ids for x in probe]
+        return [self._ids(x.encode("utf-8").lower().decode("utf-8")) for x in probe] == own
+
+    def _ids(self, text: str) -> list[int]:
+        word = text.rstrip(string.punctuation)
         if self.plain and word.isalpha():
-            if chunk.isascii():
-                return array(self.code, [t.id for t in self.tokenize(word.lower())] + [*mark]).tobytes()
+            marks = self.marks(text[len(word) :]) if len(word) < len(text) else ()
+            if word.isascii():
+                return [*[t.id for t in self.tokenize(word.lower())], *marks]
             if self.latin(word):
-                return array(self.code, [t.id for t in self.tokenize(word.lower().translate(self.bytes_of))] + [*mark]).tobytes()
-        return array(self.code, self.tok.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def _chunks(self, text: str) -> list[bytes]:
-        raw = text.encode("utf-8")
-        # The tokenizer lower-cases all but its special tokens.
-        return (raw.lower() if self.plain and b"<|" not in raw else raw).split()
+                return [*[t.id for t in self.tokenize(word.lower().translate(self.bytes_of))], *marks]
+        return self.tok.encode(text, add_special_tokens=False).ids
+
+    def _encode(self, chunks: list[bytes]) -> list[bytes]:
+        flat, ends = [], [0]
+        for chunk in chunks:
+            flat += self._ids(chunk.decode("utf-8"))
+            ends.append(len(flat))
+        raw, width = array(self.code, flat).tobytes(), array(self.code).itemsize
+        return [raw[a * width : b * width] for a, b in zip(ends, ends[1:])]
+
+    def _chunks(self, texts: list[str]) -> pa.ListArray:
+        raw = pa.array(texts, pa.string())
+        if self.plain:  # the tokenizer lower-cases all but its special tokens
+            raw = pc.if_else(pc.match_substring(raw, "<|"), raw, pc.ascii_lower(raw))
+        return pc.ascii_split_whitespace(raw)
 
     def encode(self, texts: list[str]) -> tuple[list[bytes], np.ndarray]:
         """The ids of each text, as bytes, and its curve key."""
         out, vectors = [], np.zeros((len(texts), DIMS))
-        for i, t in enumerate(texts):
-            ids = self.known.joined(self._chunks(t))
-            out.append(ids)
-            vectors[i] = self.directions[np.frombuffer(ids, self.dtype)].sum(axis=0, dtype=np.float64)
+        for lo, hi in in_runs(texts):
+            ids, ends = self.known.ids(self._chunks(texts[lo:hi]))
+            for i, (a, b) in enumerate(zip([0, *ends.tolist()], ends.tolist()), lo):
+                out.append(ids[a:b].tobytes())
+                vectors[i] = self.directions[ids[a:b]].sum(axis=0, dtype=np.float64)
         return out, hilbert_keys(_cells(vectors))
 
 
