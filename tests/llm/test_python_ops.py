@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -331,6 +332,69 @@ def test_commits_come_early(viterbi):
     assert committed == 5000 and lag < 8 * viterbi.pieces.longest
 
 
+def test_lanes_equal_the_stream(viterbi):
+    """Many short cuts in step, and one after the other."""
+    g = random.Random(8)
+    words = ["".join(g.choice("abcdeéthinors▁中.=") for _ in range(g.randint(1, 32))) for _ in range(3000)]
+    words += ["", "▁", "▁the", "a" * 32, "ing" * 10]
+    for w, ids in zip(words, viterbi.lanes.search(words)):
+        if ids is None:  # left to the stream
+            assert any("" not in viterbi.pieces.tree.get(c, {}) for c in w)
+        else:
+            assert np.frombuffer(ids, viterbi.dtype).tolist() == viterbi.pieces.encode(w)
+
+
+def unigram_model(path, pieces):
+    """A SentencePiece file with the given scores, nothing trained: the
+    message's fields are written by hand."""
+
+    def number(n):
+        out = bytearray()
+        while n > 127:
+            out.append(n & 127 | 128)
+            n >>= 7
+        return bytes([*out, n])
+
+    def message(field, raw):
+        return number(field << 3 | 2) + number(len(raw)) + raw
+
+    rows = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3), *((f"<0x{b:02X}>", 0.0, 6) for b in range(256)), *((p, x, 1) for p, x in pieces)]
+    out = b"".join(message(1, message(1, p.encode()) + b"\x15" + np.float32(x).tobytes() + b"\x18" + number(kind)) for p, x, kind in rows)
+    out += message(2, b"\x18\x01" + number(35 << 3) + b"\x01")  # unigram, byte fallback
+    out += message(3, b"\x18\x01\x20\x00\x28\x01")  # a space in front, no space removed
+    path.write_bytes(out)
+    return str(path)
+
+
+def test_ids_equal_the_library_on_log_probabilities(tmp_path):
+    import sentencepiece
+
+    g = random.Random(12)
+    words = ["▁" + "".join(g.choice(["th", "er", "on", "an", "re", "é", "中", "in", "at"]) for _ in range(g.randint(1, 7))) for _ in range(300)]
+    parts = {w[a : a + g.randint(1, 6)] for w in words for a in range(len(w))} | {c for w in words for c in w}
+    path = unigram_model(tmp_path / "unigram.model", [(p, -g.uniform(3, 14)) for p in sorted(parts)])
+    sp, enc = sentencepiece.SentencePieceProcessor(model_file=path), sp_viterbi.Encoder(path)
+    texts = [" ".join(g.choice(words)[1:] for _ in range(g.randint(1, 60))) for _ in range(200)] + ["thxyz qér  ★on", "theron" * 40]
+    assert [enc.ids(t.encode()).tolist() for t in texts] == [sp.encode(t) for t in texts]
+
+
+def test_ranks_become_log_probabilities(spark, viterbi):
+    """Close to the merges' own number of pieces, though not to their ids."""
+    import sentencepiece
+
+    assert sp_viterbi.log_probabilities([-1.5, -2.0]) == [-1.5, -2.0]
+    made = sp_viterbi.log_probabilities([0.0, -1.0, -2.0, -3.0])
+    assert abs(sum(np.exp(made)) - 1) < 1e-12 and made == sorted(made, reverse=True)
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    pieces = [sp.id_to_piece(int(i)) for i in viterbi.ids(b"internationalization of the documents")]
+    assert pieces == ["▁international", "ization", "▁of", "▁the", "▁documents"]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = [r.text or "" for r in docs.select("text").collect()]
+    ours = sp_viterbi.encode(docs).agg(F.sum("n_tokens")).first()[0]
+    theirs = sum(len(x) for x in sp.encode(texts, num_threads=1))
+    assert abs(ours / theirs - 1) < 0.03
+
+
 def test_encode_and_decode_columns(spark, edge, edge_df, empty_df, viterbi):
     rows = sp_viterbi.encode(edge_df).withColumn("again", sp_viterbi.decode(F.col("ids"))).collect()
     assert Counter((r["doc_id"], r["again"]) for r in rows) == Counter((r[0], r[1] or "") for r in edge)
@@ -451,4 +515,10 @@ def test_a_full_chunk_table_changes_nothing():
     few, many = (chunks.Remembered(bytes.upper, n) for n in (3, 10**6))
     for t in texts:
         assert few.joined(c.encode() for c in t) == many.joined(c.encode() for c in t) == "".join(t).upper().encode()
+    for n in (3, 10**6):
+        table = chunks.KnownChunks(lambda new: [c * 2 for c in new], np.uint8, n)
+        for lo in range(0, len(texts), 7):
+            flat, ends = table.ids(pa.array([[c.encode() for c in t] for t in texts[lo : lo + 7]], pa.list_(pa.binary())))
+            got = [flat[a:b].tobytes() for a, b in zip([0, *ends], ends)]
+            assert got == ["".join(2 * c for c in t).encode() for t in texts[lo : lo + 7]]
     assert list(chunks.in_runs(["ab", "cd", "", "e"], 3)) == [(0, 2), (2, 4)] and list(chunks.in_runs([])) == []
