@@ -17,8 +17,8 @@ of the price against both counts being zero,
 
 where the second and third sum follow from the diagonal of the product.
 
-Documents are counted in Python per batch of texts, one row per (language,
-source, term) of the batch leaves a task, and everything else is joins and sums.
+Documents are counted in Arrow per run of texts, one row per (language,
+source, term) of the run leaves a task, and everything else is joins and sums.
 A block holds about ``BLOCK`` terms and the sources of at most two tiles of
 about ``TILE`` sources, so a block's memory does not grow with the input; more
 sources make more tiles.  The result itself has a row per pair of sources.
@@ -35,15 +35,16 @@ from collections import Counter
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .chunks import in_runs
 from .common import written
 
 LEAST_DOCS = 3
 SCALE = 1_000_000_000
 TOP_TERMS = 200
 BLOCK, TILE = 4096, 256
-#: Columns of one product, and distinct terms that a task counts before it passes them on.
-COLUMNS, HELD = 1024, 300_000
-SLICE = 1 << 20
+#: Columns of one product; bytes of text that a task counts at a time, and bytes of a very long text.
+COLUMNS = 1024
+RUN, SLICE = 8_000_000, 1 << 20
 
 # Terms are runs of letters A-Z, a-z and of characters beyond ASCII; as all
 # bytes of the latter are over 127, bytes can be cut without decoding.
@@ -61,32 +62,54 @@ def terms_of(text: bytes):
         at = end
 
 
-def _count(batches):
+def _counted(group, texts: list[bytes]):
+    """(group, term, n, docs) of a run of texts, as arrays."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    low = pa.array([t.translate(_LOWER) for t in texts], pa.binary()).view(pa.string())
+    words = pc.ascii_split_whitespace(low)
+    coded = words.flatten().dictionary_encode()
+    terms, code = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+    wide = max(len(terms), 1)
+    here = np.sort(np.repeat(np.arange(len(texts)), np.diff(np.asarray(words.offsets))) * wide + code)
+    first = np.flatnonzero(np.diff(here, prepend=-1))  # a text and a term of it
+    n = np.diff(first, append=len(here))
+    key = np.asarray(group, np.int64)[here[first] // wide] * wide + here[first] % wide
+    order = np.argsort(key, kind="stable")
+    key, n = key[order], n[order]
+    start = np.flatnonzero(np.diff(key, prepend=-1))
+    n, docs, key = np.add.reduceat(n, start) if len(start) else n, np.diff(start, append=len(key)), key[start]
+    word = terms.take(pa.array(key % wide))
+    held = pc.not_equal(word, "").to_numpy(zero_copy_only=False)
+    return key[held] // wide, word.filter(pa.array(held)).view(pa.binary()), n[held], docs[held]
+
+
+def _count(batches, run: int):
+    import numpy as np
     import pyarrow as pa
 
-    held: dict[tuple, tuple[Counter, Counter]] = {}
-
-    def out():
-        rows = [(lang, source, t, n, d[t]) for (lang, source), (c, d) in held.items() for t, n in c.items()]
-        held.clear()
-        cols = list(zip(*rows)) if rows else [[]] * 5
-        kinds = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["lang", "source", "term", "n", "docs"])
+    def out(names, group, terms, n, docs):
+        lang, source = (pa.array([x[k] for x in names], pa.string()).take(pa.array(group, pa.int64())) for k in (0, 1))
+        return pa.RecordBatch.from_arrays([lang, source, terms, pa.array(n, pa.int64()), pa.array(docs, pa.int64())], names=["lang", "source", "term", "n", "docs"])
 
     for batch in batches:
-        for lang, source, text in zip(*(batch.column(c) for c in ("lang", "source", "text"))):
-            n, docs = held.setdefault((lang.as_py(), source.as_py()), (Counter(), Counter()))
-            seen = set()
-            for terms in terms_of(text.as_py()):
-                n.update(terms)
-                seen.update(terms)
-            docs.update(seen)
-        if sum(len(n) for n, _ in held.values()) >= HELD:
-            yield out()
-    yield out()
-
-
-def term_vectors(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
+        names = list(zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist()))
+        texts = batch.column("text").to_pylist()
+        for lo, hi in in_runs(texts, run):
+            if len(texts[hi - 1]) > run:  # a very long text, in slices
+                hi -= 1
+                n = Counter()
+                for terms in terms_of(texts[hi]):
+                    n.update(terms)
+                yield out(names[hi : hi + 1], [0] * len(n), pa.array(list(n), pa.binary()), list(n.values()), [1] * len(n))
+            if hi > lo:
+                places = {x: i for i, x in enumerate(dict.fromkeys(names[lo:hi]))}
+                yield out(list(places), *_counted(np.array([places[x] for x in names[lo:hi]]), texts[lo:hi]))
+
+
+def term_vectors(docs: DataFrame, least_docs: int = LEAST_DOCS, run: int = RUN) -> DataFrame:
     """(lang, term, total, counts): each language's terms in at least
     ``least_docs`` of its documents, with their count per source."""
     rows = docs.select(
@@ -94,7 +117,7 @@ def term_vectors(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"),
     )
-    counted = rows.mapInArrow(_count, "lang string, source string, term binary, n bigint, docs bigint")
+    counted = rows.mapInArrow(lambda batches: _count(batches, run), "lang string, source string, term binary, n bigint, docs bigint")
     # One shuffle: rows of a term in one language lie together for both sums.
     counted = counted.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     return (
@@ -110,7 +133,7 @@ def _share(count, size):
     return F.expr(f"1 + (CAST({SCALE} AS DECIMAL(10, 0)) * CAST({count} + 1 AS DECIMAL(19, 0))) div CAST({size} AS DECIMAL(20, 0))")
 
 
-def _block_sums(key, left, right):
+def _block_sums(key, left, right, columns: int):
     """What a block of terms adds to the price of each pair of sources."""
     import numpy as np
     import pyarrow as pa
@@ -137,7 +160,7 @@ def _block_sums(key, left, right):
     def product(lo: int, hi: int) -> None:
         here = slice(starts[lo], starts[hi] if hi < len(starts) else len(row))
         levels, column = np.unique(count[here] * len(names) + group[here], return_inverse=True)
-        if len(levels) > COLUMNS and hi - lo > 1:
+        if len(levels) > columns and hi - lo > 1:
             product(lo, (lo + hi) // 2)
             product((lo + hi) // 2, hi)
             return
@@ -173,7 +196,7 @@ def _tile(name):
     return F.pmod(F.xxhash64(name), F.col("tiles")).cast("int")
 
 
-def pair_prices(vectors: DataFrame, groups: DataFrame) -> DataFrame:
+def pair_prices(vectors: DataFrame, groups: DataFrame, columns: int = COLUMNS) -> DataFrame:
     """(lang, source, item, value) for every ordered pair of a language's
     sources.  ``groups``: (lang, source, size, kept, tiles, blocks)."""
     of_lang = groups.groupBy("lang").agg(F.max("tiles").alias("tiles"), F.max("blocks").alias("blocks"))
@@ -187,14 +210,18 @@ def pair_prices(vectors: DataFrame, groups: DataFrame) -> DataFrame:
         .select("lang", "block", F.col("t.a").alias("a"), F.col("t.b").alias("b"), "total", "counts")
     )
     right = (
-        groups.withColumn("tile", _tile("source"))
+        groups.filter("kept > 0").withColumn("tile", _tile("source"))
         .withColumn("t", F.explode(pairs))
         .filter((F.col("tile") == F.col("t.a")) | (F.col("tile") == F.col("t.b")))
         .withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)")))
         .select("lang", "block", F.col("t.a").alias("a"), F.col("t.b").alias("b"), "source", "tile", "size")
     )
     keys = ["lang", "block", "a", "b"]
-    parts = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_block_sums, "lang string, source string, item string, value bigint")
+
+    def sums_of(key, rows, sources):
+        return _block_sums(key, rows, sources, columns)
+
+    parts = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(sums_of, "lang string, source string, item string, value bigint")
     sums = parts.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 
     zero = groups.select("lang", "source", "kept", F.when(F.col("kept") > 0, _share("0", "size")).alias("p"))
@@ -205,10 +232,10 @@ def pair_prices(vectors: DataFrame, groups: DataFrame) -> DataFrame:
         "lang", "source", "item", (F.col("base") + F.coalesce("value", F.lit(0).cast("bigint"))).alias("value"))
 
 
-def audit(docs: DataFrame, top_terms: int = TOP_TERMS) -> DataFrame:
+def audit(docs: DataFrame, top_terms: int = TOP_TERMS, columns: int = COLUMNS, run: int = RUN) -> DataFrame:
     """(lang, source, part, item, value, rank): how far each source lies from
     the other sources of its language, and its most overused terms."""
-    vectors = written(term_vectors(docs), "audit-vectors")
+    vectors = written(term_vectors(docs, run=run), "audit-vectors")
     of_lang = vectors.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("total").alias("lang_n"))
     held = vectors.select("lang", F.explode("counts").alias("c")).groupBy("lang", "c.source").agg(F.sum("c.n").alias("n"))
     names = docs.select(
@@ -238,7 +265,7 @@ def audit(docs: DataFrame, top_terms: int = TOP_TERMS) -> DataFrame:
     )
     rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), F.asc("item")))
     terms = terms.withColumn("rank", rank).filter(F.col("rank") <= top_terms)
-    pairs = pair_prices(vectors, groups).withColumn("rank", rank)
+    pairs = pair_prices(vectors, groups, columns).withColumn("rank", rank)
     return (
         pairs.withColumn("part", F.lit("pair")).unionByName(terms.withColumn("part", F.lit("term")))
         .select("lang", "source", "part", "item", "value", "rank")
