@@ -4,28 +4,35 @@ A public vocabulary with byte fallback is measured on every word of a text:
 characters per token, the share of tokens that are byte fallbacks, and the
 entropy of the text's own token distribution.  Each has a band per language
 (or, where the language is unknown, per script); a text outside a band is
-rejected.  ``judged`` takes the bands from the corpus: one aggregation over
-all documents gives the quartiles of each measure per language and text
-length (half octaves of the number of tokens, as all three depend on it), and
-a band ends ``FENCE`` quartile distances beyond them.  Groups of fewer than
-``LEAST_TEXTS`` different texts have no known spread and keep ``BANDS``.
-
-Two rules are no part of the method: the share of symbols among the characters
-has a fixed limit, and words in repeated 5-word windows and a least number of
-words form a base rule; each rejects by itself.
-
-Words are ``[^\\x20\\x09-\\x0D]+``.  Entropy grows with the number of tokens,
-so its band is a share of the largest entropy that many tokens can have,
-log2(min(n_tokens, vocabulary)), and holds from ``entropy_from`` tokens on.
-Copies count once in the spread, so that a text that stands often cannot
-narrow the bands; distances are at least ``LEAST_DISTANCE``.  Measures are
-rounded to three digits for it, so quartiles are exact, repeatable and made
-from a bounded number of values.
+rejected, and that is the verdict.
+
+The entropy is the one of order two, -log2 of the chance that two tokens of the
+text, drawn without replacement, are equal.  That chance (``repeat_share``) has
+the same mean at every length, and a few tokens that stand very often move it
+more than Shannon's entropy, which grows with the length of a text.
+
+A text must lie in two bands.  ``BANDS`` are fixed and wide: running prose lies
+well inside.  ``judged`` adds bands from the corpus: aggregations over all
+documents give each measure's quartiles per language, and the quartiles of its
+distance from the median times the square root of the text's tokens.  The
+first are the spread between texts and the second the chance spread within
+one, so a text of n tokens may lie ``FENCE`` times (spread + chance spread /
+sqrt(n)) beyond the quartiles.  One rule holds for texts and languages of every
+size.  Copies count once in the spread, so that a text that stands often cannot
+narrow the bands; spreads are at least ``LEAST_SPREAD``.  Measures are rounded
+for it, so quartiles are exact, repeatable and made from a bounded number of
+values.
+
+The base rule (a least number of words, words in repeated 5-word windows) is no
+part of the method and rejects by itself.  Symbols are counted and reported as
+``symbol_share``; they decide nothing.  Words are ``[^\\x20\\x09-\\x0D]+``.
 
 Edge cases: a null or empty text has no words, fails the base rule and has
-null measures; an unknown or null language uses the band of the script that
-most of its letters have; equal texts of one language get equal verdicts;
-other columns are untouched (the result is one struct column).
+null measures; a text in which no token repeats has no entropy and repeat
+share 0; an unknown or null language uses the band of the script that most of
+its letters have; equal texts of one language get equal verdicts; the only text
+of a language lies in the corpus's band; other columns are untouched (the
+result is one struct column).
 """
 
 from __future__ import annotations
@@ -44,30 +51,25 @@ from .common import written
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
-ENTROPY_FROM = 50
-FENCE = 3.0
-LEAST_TEXTS = 50
-#: Least quartile distance: of characters per token and of the entropy share
-#: as a share of the median, of the byte share as it is.
-LEAST_DISTANCE = (0.01, 0.004, 0.01)
-#: Characters per token are counted up to here in the spread.
-MOST_CHARS = 20.0
-
-#: Where the corpus gives no spread: least and most characters per token, most byte-fallback share, least
-#: share of the possible entropy, most symbols per character.  The bands are
-#: wide: running prose of any length lies well inside its own.  Languages of
-#: one script share its limits except where their words are cut differently.
+FENCE = 2.0
+#: Least spread: of characters per token and of the repeat share as a share of
+#: the median, of the byte share as it is.
+LEAST_SPREAD = (0.01, 0.004, 0.01)
+
+#: Least and most characters per token, most byte-fallback share, least entropy
+#: in bits.  Languages of one script share its limits except where their words
+#: are cut differently.
 BANDS = {
-    "en": (1.3, 6.0, 0.02, 0.30, 0.05),
-    "de": (1.3, 6.0, 0.02, 0.30, 0.05),
-    "fr": (1.2, 6.0, 0.02, 0.30, 0.05),
-    "es": (1.1, 6.0, 0.02, 0.30, 0.05),
-    "latin": (1.0, 6.5, 0.05, 0.28, 0.05),
-    "cyrillic": (0.9, 6.0, 0.10, 0.28, 0.05),
-    "greek": (0.6, 4.0, 0.40, 0.25, 0.05),
-    "hebrew_arabic": (0.6, 4.0, 0.40, 0.25, 0.05),
-    "cjk": (0.3, 2.5, 0.80, 0.25, 0.05),
-    "other": (0.2, 7.0, 0.95, 0.20, 0.10),
+    "en": (1.3, 6.0, 0.02, 3.5),
+    "de": (1.3, 6.0, 0.02, 3.5),
+    "fr": (1.2, 6.0, 0.02, 3.5),
+    "es": (1.1, 6.0, 0.02, 3.5),
+    "latin": (1.0, 6.5, 0.05, 3.0),
+    "cyrillic": (0.9, 6.0, 0.10, 3.0),
+    "greek": (0.6, 4.0, 0.40, 2.5),
+    "hebrew_arabic": (0.6, 4.0, 0.40, 2.5),
+    "cjk": (0.3, 2.5, 0.80, 2.5),
+    "other": (0.2, 7.0, 0.95, 2.0),
 }
 
 #: First and last letter of the scripts told apart.
@@ -81,7 +83,7 @@ SCRIPTS = {
 
 _SCHEMA = (
     "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
-    "n_tokens bigint, chars_per_token double, byte_share double, entropy_share double, band string, "
+    "n_tokens bigint, chars_per_token double, byte_share double, repeat_share double, token_entropy double, symbol_share double, band string, "
     "base_failed boolean, kept boolean"
 )
 
@@ -136,17 +138,17 @@ def _measure(model: str):
     sp = sentencepiece.SentencePieceProcessor(model_file=model)
     is_byte = np.array([sp.is_byte(i) for i in range(sp.vocab_size())])
     table = ChunkTable(lambda new: sp.encode([w.decode("utf-8") for w in new], num_threads=1))
-    return sp.vocab_size(), is_byte, table
+    return is_byte, table
 
 
 _TABLES: dict[str, tuple] = {}
 
 
-def measures(texts: list[str], langs: list, model: str, bands: dict, entropy_from: int = ENTROPY_FROM) -> list[tuple]:
-    """One row of ``_SCHEMA`` per text."""
+def measures(texts: list[str], langs: list, model: str, bands: dict) -> list[tuple]:
+    """One row of ``_SCHEMA`` per text, with the verdict of the fixed bands."""
     if model not in _TABLES:
         _TABLES[model] = _measure(model)
-    vocab, is_byte, table = _TABLES[model]
+    is_byte, table = _TABLES[model]
     split = [t.encode("utf-8").split() for t in texts]
     rows = []
     for text, lang, numbers in zip(texts, langs, table.of(split), strict=True):
@@ -156,24 +158,16 @@ def measures(texts: list[str], langs: list, model: str, bands: dict, entropy_fro
         base_failed = n < 10 or 100 * repeated > 20 * n
         ids = table.ids(numbers)
         band = band_of(lang, text, bands)
-        cpt = share = entropy = None
-        if len(ids):
-            counts = np.bincount(ids)
-            counts = counts[counts > 0]
-            p = counts / len(ids)
-            most = np.log2(min(len(ids), vocab)) if len(ids) > 1 else 1.0
-            cpt, share = chars / len(ids), float(is_byte[ids].mean())
-            entropy = float(max(0.0, -(p * np.log2(p)).sum()) / most)
+        cpt = share = again = entropy = None
+        if tokens := len(ids):
+            counts = np.bincount(ids).astype(np.int64)
+            again = int((counts * (counts - 1)).sum()) / max(tokens * (tokens - 1), 1)
+            cpt, share = chars / tokens, float(is_byte[ids].mean())
+            entropy = float(-np.log2(again)) if again else None
         symbols = sum(map(text.count, SYMBOLS))
-        low, high, bytes_most, entropy_least, symbols_most = bands[band]
-        inside = (
-            cpt is not None
-            and low <= cpt <= high
-            and share <= bytes_most
-            and (len(ids) < entropy_from or entropy >= entropy_least)
-            and symbols <= symbols_most * chars
-        )
-        rows.append((n, chars, symbols, repeated_lines(text), repeated, len(ids), cpt, share, entropy, band, base_failed, not base_failed and inside))
+        low, high, bytes_most, entropy_least = bands[band]
+        inside = cpt is not None and low <= cpt <= high and share <= bytes_most and again <= 2**-entropy_least
+        rows.append((n, chars, symbols, repeated_lines(text), repeated, tokens, cpt, share, again, entropy, symbols / chars if chars else None, band, base_failed, not base_failed and inside))
     return rows
 
 
@@ -200,57 +194,47 @@ def fertility(text: Column, lang: Column, model: str | None = None, bands: dict
 # --- bands from the corpus ---------------------------------------------------
 
 #: Why a text is rejected, one flag each.
-REASONS = ("base", "chars", "bytes", "entropy", "symbols")
+REASONS = ("base", "chars", "bytes", "entropy")
+_MEASURES = {"chars": ("chars_per_token", 3), "bytes": ("byte_share", 3), "entropy": ("repeat_share", 4)}
 
 
-def _length() -> Column:
-    """Half octaves of the number of tokens."""
-    return F.floor(2 * F.log2(F.greatest(F.col("m.n_tokens"), F.lit(1)))).cast("int")
+def _significant(x: Column) -> Column:
+    """Three significant digits."""
+    unit = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(x))) - 2)
+    return F.when(x == 0, F.lit(0.0)).otherwise(F.round(x / unit) * unit)
 
 
 def limits(measured: DataFrame) -> DataFrame:
-    """The bands of each language and length, from all rows (``m``: measures,
-    ``h``: hash of the text) that pass the base rule: few rows of
-    (band, length, texts, chars_low, chars_high, bytes_high, entropy_low, entropy_high)."""
+    """(band, and for each measure its first and third quartile, spread and
+    chance spread), one row a language or script, from all rows (``m``:
+    measures, ``h``: hash of the text) that pass the base rule."""
     rows = measured.filter(~F.col("m.base_failed") & (F.col("m.n_tokens") > 0)).select(
-        F.col("m.band").alias("band"),
-        _length().alias("length"),
-        "h",
-        F.round(F.least("m.chars_per_token", F.lit(MOST_CHARS)), 3).alias("chars"),
-        F.round("m.byte_share", 3).alias("bytes"),
-        F.round("m.entropy_share", 3).alias("entropy"),
-    )
+        F.col("m.band").alias("band"), "h", F.col("m.n_tokens").cast("double").alias("n"),
+        *[F.round(F.col(f"m.{c}"), digits).alias(name) for name, (c, digits) in _MEASURES.items()],
+    ).distinct()
     points = F.array(*[F.lit(x) for x in (0.25, 0.5, 0.75)])
-    spread = rows.distinct().groupBy("band", "length").agg(
-        F.count("*").alias("texts"), *[F.percentile(c, points).alias(c) for c in ("chars", "bytes", "entropy")]
-    )
+    between = rows.groupBy("band").agg(*[F.percentile(name, points).alias(f"q_{name}") for name in _MEASURES])
+    off = rows.join(between, "band").select(
+        "band", *[_significant((F.col(name) - F.col(f"q_{name}")[1]) * F.sqrt("n")).alias(name) for name in _MEASURES])
+    within = off.groupBy("band").agg(*[F.percentile(name, points).alias(f"r_{name}") for name in _MEASURES])
 
-    def fence(name: str, least: Column, side: int) -> Column:
-        q = F.col(name)
-        return q[1 + side] + side * FENCE * F.greatest(q[2] - q[0], least)
-
-    least_chars, least_bytes, least_entropy = LEAST_DISTANCE
-    return spread.filter(F.col("texts") >= LEAST_TEXTS).select(
-        "band",
-        "length",
-        "texts",
-        fence("chars", least_chars * F.col("chars")[1], -1).alias("chars_low"),
-        fence("chars", least_chars * F.col("chars")[1], 1).alias("chars_high"),
-        fence("bytes", F.lit(least_bytes), 1).alias("bytes_high"),
-        fence("entropy", least_entropy * F.col("entropy")[1], -1).alias("entropy_low"),
-        fence("entropy", least_entropy * F.col("entropy")[1], 1).alias("entropy_high"),
-    )
+    def spread(name: str, least: float) -> Column:
+        q = F.col(f"q_{name}")
+        floor = F.lit(least) if name == "bytes" else least * q[1]
+        return F.greatest(q[2] - q[0], floor)
 
-
-def _fixed(bands: dict, at: int, band: Column) -> Column:
-    return F.create_map(*[F.lit(x) for name, b in bands.items() for x in (name, float(b[at]))])[band]
+    columns = []
+    for name, least in zip(_MEASURES, LEAST_SPREAD):
+        q, r = F.col(f"q_{name}"), F.col(f"r_{name}")
+        columns += [q[0].alias(f"{name}_low"), q[2].alias(f"{name}_high"), spread(name, least).alias(f"{name}_spread"), (r[2] - r[0]).alias(f"{name}_chance")]
+    return between.join(within, "band").select("band", *columns)
 
 
 def judged(docs: DataFrame, keep: list[str], model: str | None = None, bands: dict | None = None) -> DataFrame:
     """(row, m, out): a struct of the columns ``keep``, the measures with the
-    verdict by the corpus's bands, and a struct of the flags ``REASONS``.
+    verdict, and a struct of the flags ``REASONS``.
 
-    Texts are measured once, in a written table; both passes read that.
+    Texts are measured once, in a written table; all passes read that.
     """
     use = bands or BANDS
     measured = written(
@@ -261,21 +245,24 @@ def judged(docs: DataFrame, keep: list[str], model: str | None = None, bands: di
         ),
         "fertility-measures",
     )
-    # One row a band and length: at most some hundreds.
-    known = F.broadcast(limits(measured).select(F.struct("band", "length").alias("at"), F.struct("*").alias("l")))
-    rows = measured.withColumn("at", F.struct(F.col("m.band").alias("band"), _length().alias("length"))).join(known, "at", "left")
-    band = F.col("m.band")
+    # One row a band, of which ``bands`` names all.
+    known = F.broadcast(limits(measured).select(F.col("band").alias("at"), F.struct("*").alias("l")))
+    rows = measured.join(known, F.col("m.band") == F.col("at"), "left")
+
+    def fixed(at: int) -> Column:
+        return F.create_map(*[F.lit(x) for name, b in use.items() for x in (name, float(b[at]))])[F.col("m.band")]
 
-    def limit(name: str, at: int | None) -> Column:
-        return F.coalesce(F.col(f"l.{name}"), _fixed(use, at, band) if at is not None else F.lit(1.0))
+    def beyond(name: str, x: Column, both: bool = True) -> Column:
+        width = FENCE * (F.col(f"l.{name}_spread") + F.col(f"l.{name}_chance") / F.sqrt(F.greatest(F.col("m.n_tokens"), F.lit(1))))
+        over = x > F.col(f"l.{name}_high") + width
+        return over | (x < F.col(f"l.{name}_low") - width) if both else over
 
-    cpt, share, entropy = F.col("m.chars_per_token"), F.col("m.byte_share"), F.col("m.entropy_share")
+    cpt, share, again = (F.col(f"m.{c}") for c, _ in _MEASURES.values())
     out = {
         "base": F.col("m.base_failed"),
-        "chars": cpt.isNull() | (cpt < limit("chars_low", 0)) | (cpt > limit("chars_high", 1)),
-        "bytes": share > limit("bytes_high", 2),
-        "entropy": (F.col("m.n_tokens") >= ENTROPY_FROM) & ((entropy < limit("entropy_low", 3)) | (entropy > limit("entropy_high", None))),
-        "symbols": F.col("m.n_symbols") > _fixed(use, 4, band) * F.col("m.word_chars"),
+        "chars": cpt.isNull() | (cpt < fixed(0)) | (cpt > fixed(1)) | beyond("chars", cpt),
+        "bytes": (share > fixed(2)) | beyond("bytes", share, both=False),
+        "entropy": (again > F.pow(F.lit(2.0), -fixed(3))) | beyond("entropy", again),
     }
     flags = F.struct(*[F.coalesce(out[r], F.lit(False)).alias(r) for r in REASONS])
     kept = ~F.exists(F.array(*[F.col(f"out.{r}") for r in REASONS]), lambda x: x)

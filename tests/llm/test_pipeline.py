@@ -11,14 +11,14 @@ from tokenizers import Tokenizer
 
 from .conftest import SCHEMA
 from .test_native_ops import brute_lines
-from .test_python_ops import brute_base, brute_classes, check_pieces
+from .test_python_ops import brute_base, brute_classes, brute_verdicts, check_pieces
 
-from martkit.llm import fertility, line_dedup, packing, secret_scan
+from martkit.llm import line_dedup, packing, secret_scan
 
 
 def test_registered():
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries() and [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "ngram_jaccard", "secret_scan", "packing"]
 
 
@@ -33,8 +33,7 @@ def test_stages_equal_brute_force(spark, edge, edge_df, tmp_path):
         docs = spark.read.schema(out.schema).parquet(path)
         seen.append([tuple(r) for r in docs.collect()] if name != "packing" else docs.collect())
 
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    kept = [r for r in edge if fertility.measures([r[1] or ""], [r[2]], model, fertility.BANDS)[0][-1]]
+    kept = [r for r, ok in zip(edge, brute_verdicts([(r[1], r[2]) for r in edge])) if ok]
     assert kept and not any(brute_base(r[1])[-1] for r in kept)
     assert Counter(seen[0]) == Counter(kept)
 
