@@ -62,7 +62,8 @@ def op7_streaming_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents in shards 0 to 39; law ``bytes``: shard sizes near equal."""
+    """All documents in shards 0 to 39, placed by the stored slot map's newest
+    version; law ``bytes``: shard sizes near equal."""
     placed, _ = sharding.assign(documents(spark, sf_dir), 40)
     return placed.select(
         F.col("doc_id"),

@@ -7,7 +7,14 @@ the slots round robin; ``rebalance`` edits a map into the next version by
 moving single slots (or exchanging two) between the heaviest and the lightest
 shard until their bytes are near equal, so that a rebalanced record moves
 only when its slot does.  ``save_map`` and ``load_map`` keep all versions as
-a Parquet table.
+a Parquet table; ``assign`` takes the map in force from there, places the
+records by its edit and stores that as the next version.
+
+A record's slot is decided by its id.  An id with more than 1/``n_slots`` of all
+rows (null included) is dealt over the slots by id and text, and an (id, text)
+pair with more than that by a row number that is written once; at most
+``n_slots`` of either can exist, so their list is broadcast.  So no slot holds
+much more than a hundredth of a shard, whatever repeats.
 
 A record's number in its shard (``slot_in_shard``, gapless from 0) is the
 number of rows in the earlier slots of the shard plus its number in its own
@@ -15,15 +22,20 @@ slot, so no task ever sorts more than one slot.
 
 Edge cases: a null text has no bytes, CRC 0 and the fixed overhead as its
 size; null ids hash like any other value and come first in their slot;
-repeated rows land in one slot and take consecutive numbers; an empty table
-gives an empty result; other columns are ignored.
+repeated rows land in one slot and take consecutive numbers unless they are
+more than 1/``n_slots`` of all; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .common import written
 
 N_SLOTS = 8192
@@ -103,6 +115,14 @@ def save_map(spark, path: str, version: int, slot_map: list[int]) -> None:
     slots.withColumn("shard", map_column(slot_map, F.col("slot"))).coalesce(1).write.mode("append").parquet(path)
 
 
+def saved_versions(spark, path: str) -> list[int]:
+    """The versions stored at ``path``, none where there is no table yet."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return []
+    return [r[0] for r in spark.read.parquet(path).select("version").distinct().orderBy("version").collect()]
+
+
 def load_map(spark, path: str, version: int | None = None) -> list[int]:
     """One version of a saved slot map, the newest unless named."""
     saved = spark.read.parquet(path)
@@ -112,33 +132,60 @@ def load_map(spark, path: str, version: int | None = None) -> list[int]:
     return [r[0] for r in rows]
 
 
+def _dealt(recs: DataFrame, n_slots: int) -> DataFrame:
+    """``recs`` (doc_id, size, text_crc32, row) with their virtual slot."""
+    total = recs.count()
+
+    def frequent(*keys: str) -> DataFrame:
+        found = recs.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") * n_slots > total)
+        return F.broadcast(found.select(*[F.col(k).alias(f"_{k}") for k in keys], F.lit(True).alias("_hot_" + keys[-1])))
+
+    ids, texts = frequent("doc_id"), frequent("doc_id", "text_crc32")
+    same = F.col("doc_id").eqNullSafe(F.col("_doc_id"))
+    by_id = recs.join(ids, same, "left").drop("_doc_id")
+    by_text = by_id.join(texts, same & (F.col("text_crc32") == F.col("_text_crc32")), "left").drop("_doc_id", "_text_crc32")
+    slot = (
+        F.when(F.col("_hot_text_crc32"), slot_of(F.struct("doc_id", "text_crc32", "row"), n_slots))
+        .when(F.col("_hot_doc_id"), slot_of(F.struct("doc_id", "text_crc32"), n_slots))
+        .otherwise(slot_of(F.col("doc_id"), n_slots))
+    )
+    return by_text.select("doc_id", "size", "text_crc32", slot.alias("virtual_slot"))
+
+
 def assign(
     docs: DataFrame,
     n_shards: int,
     id_col: str = "doc_id",
     text_col: str = "text",
     n_slots: int = N_SLOTS,
-    slot_map: list[int] | None = None,
-) -> tuple[DataFrame, list[list[int]]]:
-    """(rows with shard and number in it, the versions of the slot map).
+    map_path: str | None = None,
+) -> tuple[DataFrame, str]:
+    """(rows with shard and number in it, the path of the slot map's versions).
 
-    ``slot_map`` is the map in force (default: version 0); its rebalanced
-    edit is the version that places the rows.
+    The newest map at ``map_path`` is in force (version 0, dealt round robin,
+    where there is none yet); its rebalanced edit is stored as the next version
+    and places the rows.
     """
+    spark = docs.sparkSession
+    path = map_path or os.path.join(ensure_checkpoint_dir(spark), "martkit-llm", f"slot-map-{uuid.uuid4().hex}")
     raw = F.encode(F.col(text_col).cast("string"), "UTF-8")
-    recs = written(
+    numbered = written(
         docs.select(
             F.col(id_col).alias("doc_id"),
             (F.coalesce(F.octet_length(raw), F.lit(0)).cast("bigint") + ROW_OVERHEAD).alias("size"),
             F.coalesce(F.crc32(raw), F.lit(0).cast("bigint")).alias("text_crc32"),
-            slot_of(F.col(id_col), n_slots).alias("virtual_slot"),
+            F.monotonically_increasing_id().alias("row"),
         ),
         "shard-records",
     )
+    recs = written(_dealt(numbered, n_slots), "shard-slots")
     per_slot = recs.groupBy("virtual_slot").agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n"))
     stats = {r["virtual_slot"]: (r["b"], r["n"]) for r in per_slot.collect()}  # n_slots rows at most
-    before = slot_map or initial_map(n_shards, n_slots)
-    after = rebalance(before, {s: b for s, (b, _) in stats.items()}, n_shards)
+    if not saved_versions(spark, path):
+        save_map(spark, path, 0, initial_map(n_shards, n_slots))
+    version = max(saved_versions(spark, path))
+    save_map(spark, path, version + 1, rebalance(load_map(spark, path, version), {s: b for s, (b, _) in stats.items()}, n_shards))
+    after = load_map(spark, path)
 
     first, filled = [], [0] * n_shards  # rows of the shard in earlier slots
     for slot, shard in enumerate(after):
@@ -154,4 +201,4 @@ def assign(
         (F.element_at(starts, F.col("virtual_slot") + 1) + F.col("_n") - 1).alias("slot_in_shard"),
         "virtual_slot",
     )
-    return placed, [before, after]
+    return placed, path
