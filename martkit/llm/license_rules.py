@@ -125,7 +125,7 @@ CLAUSES = [
     ("bsd", "redistribut", "redistributions? of source code must retain the above copyright notice this list of conditions"),
     ("bsd", "redistribut", "redistributions? in binary form must reproduce the above copyright notice this list of conditions"),
     ("bsd-3-clause", "endorse", "neither the names? of (?:the )?.{1,80}? nor the names of its contributors may be used to endorse or promote products"),
-    ("bsd-4-clause", "advertising", "all advertising materials mentioning features or use of this software must display the following acknowledg"),
+    ("bsd-4-clause", "advertising", "all advertising materials mentioning features or use of this software must display the following acknowledge?ments?"),
     ("isc", "permission", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
     ("ntp", "permission", "permission to use copy modify and distribute this software and its documentation for any purpose and without fee is hereby granted"),
     ("zlib", "warrant", "this software is provided as is without any express or implied warranty in no event will the authors be held liable"),
