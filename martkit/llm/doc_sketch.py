@@ -4,10 +4,14 @@ A sketch keeps every hash of a text's 5-word shingles that lies below a fixed
 fraction (1 / ``SCALE``) of the hash range.  Its size follows the text's, so
 sketches of very unequal documents stay comparable: `containment` estimates
 how much of a small document a large one holds, and the union of two sketches
-is the sketch of both texts together (`merged`).  A text with fewer than
-``WHOLE_BELOW`` distinct shingles keeps all of them (scale 1); two sketches are compared
-at the coarser of their scales, which needs nothing but dropping the hashes
-above its threshold.
+is the sketch of both texts together (`merged`).
+
+The fraction is 1 for a text with fewer than ``whole_below`` distinct shingles
+(a parameter of the method, ``WHOLE_BELOW`` unless given; 0 gives every text
+the one fraction): below it the one fraction would leave a few hashes or none,
+and a comparison of short texts would say nothing.  A sketch names its scale,
+and two sketches are compared and merged at the coarser of their scales, which
+needs nothing but dropping the hashes above its threshold.
 
 All of it is DataFrame functions.  A document's successor in id order is found
 without a task that sees all ids: ids alone are range-partitioned and written
@@ -38,7 +42,7 @@ WHOLE_BELOW = 128
 _FIRST = -(1 << 63)
 
 
-def with_sketch(df: DataFrame, text: str, out: str) -> DataFrame:
+def with_sketch(df: DataFrame, text: str, out: str, whole_below: int = WHOLE_BELOW) -> DataFrame:
     """``df`` with the sketch of its column ``text``: struct(scale, hashes)."""
     words = F.filter(F.split(F.lower(F.col(text)), r"[\x20\x09-\x0D]+"), lambda w: w != "")
     # The hashes of the words are a column of their own, read (not computed
@@ -53,7 +57,7 @@ def with_sketch(df: DataFrame, text: str, out: str) -> DataFrame:
     )
     distinct = hashed.withColumn("_sk_all", F.array_distinct(shingles)).drop("_sk_words")
     every = F.col("_sk_all")
-    small = F.size(every) < WHOLE_BELOW
+    small = F.size(every) < max(whole_below, 1)  # a text without shingles has scale 1
     low = F.filter(every, lambda x: F.shiftrightunsigned(x, 64 - SCALE_BITS) == 0)
     sketch = F.struct(
         F.when(small, F.lit(1)).otherwise(F.lit(SCALE)).alias("scale"), F.array_sort(F.when(small, every).otherwise(low)).alias("hashes")
@@ -89,7 +93,8 @@ def containment(a: Column, b: Column) -> Column:
     scale = F.greatest(a["scale"], b["scale"])
     x = coarser(a, scale)
     shared = F.size(F.array_intersect(x, coarser(b, scale))) / F.size(x)
-    return F.when(F.size(a["hashes"]) == 0, (a == b).cast("double")).when(F.size(x) > 0, shared)
+    none = (F.size(a["hashes"]) == 0) & (a["scale"] == 1)
+    return F.when(none, (a == b).cast("double")).when(F.size(x) > 0, shared)
 
 
 def merged(a: Column, b: Column) -> Column:
@@ -119,7 +124,7 @@ def _quarter(text: Column) -> Column:
     return F.floor(F.length(text) / 4).cast("int")
 
 
-def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole_below: int = WHOLE_BELOW) -> DataFrame:
     """Every document's sketch, its edited text (the last quarter replaced by
     the beginning of its successor) and that text's and the successor's sketch."""
     rows = docs.select(
@@ -130,7 +135,7 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     # The same three columns, dealt by key, serve the heads and the documents:
     # texts are shuffled and sketched once (the exchange is reused).
-    placed = with_sketch(rows, "text", "sketch").select("key", "text", "sketch")
+    placed = with_sketch(rows, "text", "sketch", whole_below).select("key", "text", "sketch")
     heads = placed.join(wanted, "key").groupBy(F.col("before").alias("key")).agg(
         F.min(F.struct(F.xxhash64("text").alias("th"), F.expr("substring(text, 1, need)").alias("head"), "sketch")).alias("next")
     )
@@ -143,4 +148,4 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.concat(kept, F.substring(F.col("next.head"), F.lit(1), quarter)).alias("edited"),
         F.col("next.sketch").alias("next_sketch"),
     )
-    return with_sketch(joined, "edited", "edited_sketch")
+    return with_sketch(joined, "edited", "edited_sketch", whole_below)

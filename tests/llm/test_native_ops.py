@@ -117,6 +117,32 @@ def test_gates_lose_no_match(spark):
     assert all(r[6] for r in got)
 
 
+def test_clauses_in_the_licenses_own_words(spark):
+    """Passages as the licenses print them, with their line breaks and marks."""
+    passages = {
+        "gpl": "This program is free software; you can redistribute it and/or modify\n it under the terms of the GNU General Public License",
+        "gpl-2.0-or-later": "GNU General Public License as published by the Free Software Foundation; either version 2\nof the License, or (at your option) any later version.",
+        "apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file',
+        "mit": 'Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software")',
+        "mit-or-x11": "IN NO EVENT SHALL THE\nAUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER\nLIABILITY, WHETHER IN AN ACTION OF CONTRACT",
+        "bsd": "* Redistributions of source code must retain the above copyright notice, this\n  list of conditions and the following disclaimer.",
+        "bsd-3-clause": "Neither the name of the copyright holder nor the names of its\n contributors may be used to endorse or promote products derived from",
+        "bsd-4-clause": "3. All advertising materials mentioning features or use of this software\n   must display the following acknowledgement:\n   This product includes software",
+        "isc": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above",
+        "zlib": "The origin of this software must not be misrepresented; you must not\n   claim that you wrote the original software.",
+        "boost-1.0": "Permission is hereby granted, free of charge, to any person or organization\nobtaining a copy of the software and accompanying documentation covered by",
+        "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\n  License, v. 2.0. If a copy of the MPL was not",
+        "epl-2.0": "This program and the accompanying materials are made\navailable under the terms of the Eclipse Public License 2.0",
+        "unlicense": "This is free and unencumbered software released into the public domain.",
+        "ofl-1.1": "This Font Software is licensed under the SIL Open Font License, Version 1.1.",
+        "openssl": "This product includes software developed by the OpenSSL Project\n for use in the OpenSSL Toolkit",
+    }
+    df = spark.createDataFrame(list(passages.items()), "doc_id string, text string")
+    for spelling in (df, df.withColumn("text", F.replace("text", F.lit("acknowledgement"), F.lit("acknowledgment")))):
+        got = {r["doc_id"]: set(r["labels"].split(",")) for r in license_scan.licenses(spelling).collect()}
+        assert {k: k in v for k, v in got.items()} == dict.fromkeys(passages, True)
+
+
 def test_overlaps_by_priority_and_containment(spark):
     table = [Rule("wide", 2, "apache", "the apache license text"), Rule("narrow", 3, "apache", "apache license"), Rule("same", 2, "apache", "the apache license text"), Rule("clue", 1, "apache", "license text")]
     df = spark.createDataFrame([(1, "see the Apache License text")], "doc_id int, text string")
@@ -186,6 +212,26 @@ def test_containment_and_merge(spark):
     assert r["n"] == pytest.approx(2996 / doc_sketch.SCALE, rel=0.25)
 
 
+@pytest.mark.parametrize("whole_below", [0, 128, 10**6])
+def test_sketches_on_both_sides_of_the_limit(spark, whole_below):
+    """Texts of 126 to 130 shingles, and far from there: which hashes a
+    sketch holds, and comparison and merging across the limit."""
+    words = [f"w{i}" for i in range(700)]
+    sizes = [1, 5, 126, 127, 128, 129, 130, 600]
+    df = spark.createDataFrame([(n, " ".join(words[: n + 4])) for n in sizes], "n int, text string")
+    sk = doc_sketch.with_sketch(doc_sketch.with_sketch(df, "text", "own", whole_below), "text", "every", 10**6)
+    pairs = sk.alias("a").join(sk.alias("b"), F.col("a.n") <= F.col("b.n")).select(
+        F.col("a.n").alias("x"), F.col("b.n").alias("y"), F.col("a.own").alias("own"), F.col("a.every").alias("every"),
+        doc_sketch.containment(F.col("a.own"), F.col("b.own")).alias("within"), doc_sketch.merged(F.col("a.own"), F.col("b.own")).alias("both"),
+        F.col("b.own").alias("other"))
+    for r in pairs.collect():
+        limit = 2**64 // doc_sketch.SCALE
+        low = [h for h in r["every"]["hashes"] if h % 2**64 < limit]
+        assert len(r["every"]["hashes"]) == r["x"] and r["own"]["scale"] == (1 if r["x"] < whole_below else doc_sketch.SCALE)
+        assert r["own"]["hashes"] == (r["every"]["hashes"] if r["x"] < whole_below else low)
+        assert r["within"] in (1.0, None) and r["both"] == r["other"]  # the shorter text begins the longer one
+
+
 def test_containment_of_short_texts_in_long_ones(spark):
     """A contained text is never "not contained": all of it, or unknown."""
     w = [f"w{i}" for i in range(3000)]
@@ -250,8 +296,9 @@ def test_lines_of_an_empty_table(empty_df):
 
 
 def test_shards_equal_brute_force(edge, edge_df):
-    placed, (before, after) = sharding.assign(edge_df, 5)
+    placed, path = sharding.assign(edge_df, 5)
     rows = placed.collect()
+    before, after = (sharding.load_map(edge_df.sparkSession, path, v) for v in (0, 1))
     raw = [(r[1] or "").encode() for r in edge]
     assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == Counter((r[0], len(t) + 16, zlib.crc32(t)) for r, t in zip(edge, raw, strict=True))
     held = defaultdict(list)
@@ -264,12 +311,41 @@ def test_shards_equal_brute_force(edge, edge_df):
 
 def test_shard_sizes_near_equal(spark):
     df = spark.range(20000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), (F.col("id") * 7919 % 1000).cast("int")).alias("text"))
-    placed, (before, after) = sharding.assign(df, 40)
+    placed, path = sharding.assign(df, 40)
+    before, after = sharding.load_map(spark, path, 0), sharding.load_map(spark, path)
     sizes = [r["b"] for r in placed.groupBy("shard").agg(F.sum("size").alias("b")).collect()]
     assert len(sizes) == 40 and max(sizes) < 1.002 * min(sizes)
     assert sum(a != b for a, b in zip(before, after, strict=True)) < 0.2 * len(after)  # an edit, not a new map
 
 
+@pytest.mark.parametrize("repeated", ["null", "id", "row"])
+def test_shard_sizes_with_a_hot_id(spark, repeated):
+    """A third of the rows without an id, under one id, or equal."""
+    hot = F.col("id") % 3 == 0
+    own = F.repeat(F.lit("x"), (F.col("id") * 7919 % 100).cast("int"))
+    df = spark.range(200_000).select(
+        F.when(~hot, F.col("id")).otherwise(F.lit(None if repeated == "null" else 3).cast("bigint")).alias("doc_id"),
+        F.when(hot & F.lit(repeated == "row"), F.lit("x" * 50)).otherwise(own).alias("text"))
+    placed, _ = sharding.assign(df, 40)
+    per = placed.groupBy("shard").agg(F.sum("size").alias("b"), F.count("*").alias("n"), F.max("slot_in_shard").alias("top"), F.countDistinct("slot_in_shard").alias("d"))
+    rows = per.collect()
+    assert len(rows) == 40 and max(r["b"] for r in rows) < 1.01 * min(r["b"] for r in rows)
+    assert all(r["n"] == r["d"] == r["top"] + 1 for r in rows) and sum(r["n"] for r in rows) == 200_000
+    assert placed.groupBy("virtual_slot").count().agg(F.max("count")).first()[0] < 10 * 200_000 / sharding.N_SLOTS
+
+
+def test_the_stored_map_is_edited(spark, tmp_path):
+    df = spark.range(5000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), (F.col("id") % 97).cast("int")).alias("text"))
+    path = str(tmp_path / "slots")
+    first = {r["doc_id"]: r["shard"] for r in sharding.assign(df, 8, map_path=path)[0].collect()}
+    again = {r["doc_id"]: r["shard"] for r in sharding.assign(df, 8, map_path=path)[0].collect()}
+    assert sharding.saved_versions(spark, path) == [0, 1, 2]
+    assert sum(first[k] != again[k] for k in first) < 0.02 * len(first)  # already near equal
+    more = df.unionByName(spark.range(5000, 6000).select(F.col("id").alias("doc_id"), F.lit("x" * 500).alias("text")))
+    later = {r["doc_id"]: r["shard"] for r in sharding.assign(more, 8, map_path=path)[0].collect()}
+    assert sum(again[k] != later[k] for k in again) < 0.5 * len(again)
+
+
 def test_slot_map_versions(spark, tmp_path, empty_df):
     path = str(tmp_path / "map")
     first = sharding.initial_map(3, 12)
