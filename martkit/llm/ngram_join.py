@@ -9,14 +9,18 @@ every run a set starts at the root; at a node one or two coordinates are
 sampled (1 / threshold on average, decided by the node alone) and the set
 follows the child of each sampled token, so two sets with similarity s stay
 together in s / threshold children a level.  Nodes with at most ``small`` sets
-are compared by brute force on their sketches; larger nodes are split again, up
-to ``depth`` levels.  Before that each set of a large node is compared with one pivot: by
+are compared by brute force on their sketches; larger nodes are split again.
+Before that each set of a large node is compared with one pivot: by
 the triangle inequality of the Jaccard distance, a set that is close to the
 pivot has all its partners in the pivot's component and needs no further
-search, so that a crowd of near copies is not carried down.  What is still
-large at the last level is brute-forced in pairs of blocks.  Runs are repeated
-until a pair at the threshold meets with probability ``recall``
-(`runs_needed`).  Nothing is capped.
+search, so that a crowd of near copies is not carried down.  This goes on until
+every node is small; from level ``depth`` on every node samples two
+coordinates, so the chance that a pair stays together does not fall to nothing
+however deep the recursion gets.  Only where a level no longer shrinks what is
+large (sets that agree in all that is sampled without being close) are the
+nodes brute-forced in pairs of blocks.  Runs are repeated until a pair at the
+threshold meets with probability ``recall`` at any depth (`runs_needed`).
+Nothing is capped.
 
 *Links.*  The sketch bound is generous, so linked sets are in one candidate
 component.  Inside a component all pairs are compared exactly: a large
@@ -70,9 +74,11 @@ _MASK = (1 << 64) - 1
 
 
 def runs_needed(recall: float, threshold: float, depth: int) -> int:
-    """Runs until a pair at the threshold meets in a last-level node."""
+    """Runs until a pair at the threshold meets, however deep the small
+    nodes lie: a pair stays together for ever below level ``depth``, where all
+    nodes sample two coordinates, with the chance m = 1 - (1 - t m)**2."""
     two = 1 / threshold - 1  # share of nodes that sample two coordinates
-    meet = 1.0
+    meet = (2 * threshold - 1) / threshold**2
     for _ in range(depth):
         miss = 1 - threshold * meet
         meet = 1 - ((1 - two) * miss + two * miss * miss)
@@ -252,14 +258,15 @@ def _brute_nodes(rows: DataFrame, width: int, least: float) -> DataFrame:
     return dealt.mapInPandas(lambda it: _brute(it, width, least), "a bigint, b bigint")
 
 
-def _children(rows: DataFrame, width: int, threshold: float) -> DataFrame:
-    """The next level below the nodes of ``rows``."""
+def _children(rows: DataFrame, width: int, share: float) -> DataFrame:
+    """The next level below the nodes of ``rows``, of which the ``share``
+    samples two coordinates."""
 
     def child(k: int):
         at = F.pmod(F.xxhash64("node", F.lit(k)), F.lit(width)).cast("int")
         return F.xxhash64("node", at, F.substring("sketch", at + 1, F.lit(1)))
 
-    second = F.pmod(F.xxhash64("node", F.lit(-1)), F.lit(1000)) < int(1000 * (1 / threshold - 1))
+    second = F.pmod(F.xxhash64("node", F.lit(-1)), F.lit(1000)) < int(1000 * share)
     nodes = F.when(second, F.array_distinct(F.array(child(0), child(1)))).otherwise(F.array(child(0)))
     return rows.select("rep", "sketch", F.explode(nodes).alias("node"))
 
@@ -296,8 +303,8 @@ def candidates(reps: DataFrame, width: int, threshold: float, small: int, depth:
     every child of a root would be split).
     """
     rows = reps.select("rep", "sketch", F.explode("nodes").alias("node"))
-    edges = []
-    for level in range(2, depth + 1):
+    edges, level, before = [], 2, None
+    while True:
         level_rows = _counted(rows, f"paths-{level}")
         edges.append(_brute_nodes(level_rows.filter(F.col("size") <= small), width, LOOSE))
         large = level_rows.filter(F.col("size") > small)
@@ -308,10 +315,13 @@ def candidates(reps: DataFrame, width: int, threshold: float, small: int, depth:
         rest_rows = _counted(rest, f"rest-{level}")
         edges.append(_brute_nodes(rest_rows.filter(F.col("size") <= small), width, LOOSE))
         large = rest_rows.filter(F.col("size") > small)
-        if large.isEmpty():
+        work = large.agg(F.sum("size")).first()[0] or 0  # comparisons that brute force would take
+        if not work:
             return _distinct(edges)
-        if level < depth:
-            rows = _children(large, width, threshold)
+        if level > depth and before is not None and work > 0.9 * before:
+            break
+        before, share = work, 1 / threshold - 1 if level < depth else 1.0
+        rows, level = _children(large, width, share), level + 1
     blocks = F.ceil(F.col("size") / small)
     own = F.pmod(F.xxhash64("rep", "node"), blocks)
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("other")
