@@ -158,6 +158,20 @@ def test_join_with_large_nodes_and_blocks(spark, monkeypatch, seed, depth):
     check_classes(ngram_join.similar_classes(df, small=5, depth=depth).collect(), docs)
 
 
+def test_recall_in_nodes_that_stay_large(spark):
+    """A crowd of 260 sets with a Jaccard similarity near 0.6 to one another,
+    among them 60 pairs just over 0.8; nodes of at most 5 sets are small."""
+    g = random.Random(6)
+    common = [f"c{i}" for i in range(180)]
+    docs = [" ".join(common + [f"t{g.randrange(10**6)}" for _ in range(55)]) for _ in range(200)]
+    for i in range(60):
+        w = docs[i].split()
+        docs.append(" ".join(w[: len(w) - g.randint(15, 24)] + [f"p{i}"]))
+    rows = list(enumerate(docs))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    check_classes(ngram_join.similar_classes(df, small=5, depth=2).collect(), rows)
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i + 1, i) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)] + [(200, 201)]
     df = spark.createDataFrame(edges, "a bigint, b bigint").repartition(5)
@@ -528,16 +542,81 @@ def test_toxicity_edge_cases(spark, edge, edge_df, empty_df):
     assert empty_df.select(toxicity.score(F.col("text"), chain)).collect() == []
 
 
+def test_evidence_equals_plain_counts(spark):
+    """Counts, sets of evidence for all rows and without each fold."""
+    g = random.Random(13)
+    bad, plain = [f"vile{c}" for c in "abcdefgh"], [f"word{c}{d}" for c in "abcdef" for d in "uvwxyz"]
+    rows = []
+    for i in range(400):
+        y = int(g.random() < 0.3)
+        rows.append((i, " ".join([g.choice(plain) for _ in range(12)] + [g.choice(bad) for _ in range(2 * y)]), y))
+    sample = spark.createDataFrame(rows, "doc_id bigint, text string, y int").repartition(3)
+
+    def brute(keep):
+        t, c = Counter(), Counter()
+        for i, text, y in rows:
+            if keep(toxicity.fold_of(np.array([i]))[0]):
+                (t if y else c).update(set(toxicity.features(text)))
+        own = [y for i, _, y in rows if keep(toxicity.fold_of(np.array([i]))[0])]
+        n_t, n_c = sum(own), len(own) - sum(own)
+        out = set()
+        for f, a in t.items():
+            b, share = c[f], n_t / (n_t + n_c)
+            lift = np.log((a + 0.5) / (n_t + 1)) - np.log((b + 0.5) / (n_c + 1))
+            q = a / (a + b)
+            surprise = (a + b) * (q * np.log(q / share) + ((1 - q) * np.log((1 - q) / (1 - share)) if q < 1 else 0))
+            if lift >= toxicity.LEAST_LIFT and surprise >= -np.log(toxicity.MOST_CHANCE):
+                out.add(f)
+        return out
+
+    sets = toxicity.evidence(sample, 10_000)
+    assert len(sets) == toxicity.FOLDS + 1 and set(sets[-1]) == brute(lambda k: True) > set()
+    for k in range(toxicity.FOLDS):
+        assert set(sets[k]) == brute(lambda x, k=k: x != k)
+    flipped = sample.withColumn("y", F.when(toxicity.fold_column() == 2, 1 - F.col("y")).otherwise(F.col("y")))
+    assert toxicity.evidence(flipped, 10_000)[2] == sets[2]  # a fold's labels do not touch its own evidence
+
+
+def test_logistic_fit_is_the_optimum():
+    """The gradient of the penalised likelihood is nought at the fit."""
+    g = np.random.default_rng(2)
+    n, m = 300, 12
+    x = (g.random((n, m)) < 0.2).astype(float)
+    dense = g.normal(size=(n, 2))
+    y = (g.random(n) < 1 / (1 + np.exp(-(x @ g.normal(size=m) + dense[:, 0])))).astype(float)
+    owner, feature = np.nonzero(x)
+    model = toxicity.Model(m, 2).fit(owner, feature, dense, y, steps=6000)
+    p = 1 / (1 + np.exp(-(x @ model.w + dense @ model.v + model.b)))
+    assert np.allclose(model.predict(owner, feature, dense), p)
+    assert max(np.abs(x.T @ (p - y) + model.w).max(), np.abs(dense.T @ (p - y) + 0.1 * model.v).max(), abs((p - y).sum())) < 0.5
+
+
+def test_one_id_with_several_texts(spark):
+    docs = spark.createDataFrame([(1, "b text"), (1, "a text"), (1, None), (2, "c")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, 1), (None, 1)], "doc_id bigint, toxic int")
+    first = min(["b text", "a text", ""], key=lambda t: spark.range(1).select(F.xxhash64(F.lit(t))).first()[0])
+    got = toxicity.labelled_sample(docs, labels, "doc_id", "text", 10, 10).collect()
+    assert {(r["doc_id"], r["text"], r["y"]) for r in got} == {(1, first, 1), (2, "c", 0)}
+
+
 def test_chain_feeds_out_of_fold_probabilities():
     g = np.random.default_rng(1)
     n = 600
     y = (g.random(n) < 0.3).astype(int)
+    early = y * (g.random(n) < 0.5)
     owner = np.repeat(np.arange(n), y * 4)
-    feature = g.integers(0, 10, len(owner))
-    places = np.bincount(owner, minlength=n)
-    chain = toxicity.Chain([f"f{i}" for i in range(10)]).fit(np.arange(n), owner, feature, places, np.full(n, 100), y)
+    feature = np.where(early[owner] == 1, g.integers(0, 5, len(owner)), g.integers(5, 10, len(owner)))
+    places, words = np.bincount(owner, minlength=n), np.full(n, 100)
+    fold = toxicity.fold_of(np.arange(n))
+    assert set(fold) == set(range(toxicity.FOLDS))
+    views = [(10, owner, feature, places)] * (toxicity.FOLDS + 1)
+    chain = toxicity.Chain([f"f{i}" for i in range(10)]).fit(fold, views, words, [early, y, y])
     assert [len(m.v) for m in chain.models] == [2, 3, 4]
-    assert ((chain.predict(owner, feature, places, np.full(n, 100))[2] > 0.5) == (y == 1)).mean() > 0.99
+    p = chain.predict(owner, feature, places, words)
+    assert ((p[0] > 0.5) == (early == 1)).mean() > 0.99 and ((p[2] > 0.5) == (y == 1)).mean() > 0.99
+    # A view that knows nothing: its fold's unseen probabilities are the others' mean.
+    blind = [(0, owner[:0], feature[:0], np.zeros(n, int))] * toxicity.FOLDS + views[-1:]
+    assert toxicity.Chain([f"f{i}" for i in range(10)]).fit(fold, blind, words, [early, y, y]).models[1].v[2] != chain.models[1].v[2]
 
 
 # --- the chunk table -----------------------------------------------------------------------
