@@ -69,12 +69,13 @@ def with_known_id(rows: DataFrame, table: DataFrame, keys: Sequence[str], id_col
     return rows.join(table.select(*keys, id_col), list(keys), "left")
 
 
-def apply_keyed(table: DataFrame, rows: DataFrame, keys: Sequence[str], id_col: str) -> DataFrame:
+def apply_keyed(table: DataFrame, rows: DataFrame, keys: Sequence[str], id_col: str, last: int) -> DataFrame:
     """One new version of a keyed table (read the old, write the new).
-    ``rows`` carry their known id or null (``with_known_id``)."""
+    ``rows`` carry their known id or null (``with_known_id``); new ids go on
+    after ``last``."""
     cols = table.columns
     untouched = table.join(rows.select(*keys), list(keys), "left_anti")
-    top = table.agg(F.max(id_col)).first()[0] or 0
+    top = last
     new = rows.filter(F.col(id_col).isNull()).drop(id_col)
     inserted = dense_keys(new, list(keys), id_col, start=top + 1)
     updated = rows.filter(F.col(id_col).isNotNull())

@@ -2,7 +2,8 @@
 
 Parquet tables have no ``MERGE``/``UPDATE``; every operator here returns the
 *new table state* as a DataFrame.  ``write_version`` then writes it to a new
-directory (never over the one being read).
+directory (never over the one being read); ``upsert_version`` replaces the
+touched parts of a versioned table (``operators/versions``).
 
 * ``insert_absent``  - null-aware ``INSERT … WHERE k NOT IN (SELECT k …)``
 * ``upsert``         - type-1 ``MERGE`` on a natural key with surrogate keys
@@ -16,8 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
 from .keys import dense_keys
+from .versions import Pointer, Versions, parts_of
 
 
 def not_in(source: DataFrame, probe_key: str, target: DataFrame, target_key: str) -> DataFrame:
@@ -71,91 +72,70 @@ def upsert(
 ) -> DataFrame:
     """Type-1 merge of ``source`` into ``target`` on natural ``keys``.
 
-    ``source`` must hold one row per key (see ``keys.keep_last``) and no null
-    key (null keys never match in SQL and would be inserted again each run;
-    reject them with a quality rule first).  Matched rows take the source's
+    ``source`` must hold one row per key (see ``keys.keep_last``).  A source row
+    with a null key is left out: null keys never match in SQL, so it would be
+    inserted again by every run (``quality.null_keys`` reports such rows).  Matched rows take the source's
     attributes and a new ``load_ts``; unmatched source rows get surrogate keys
     continuing after ``max(target.surrogate)`` in natural-key order; target
     rows not in the source are kept unchanged.  ``key_start`` overrides the
     first new key when ``target`` is only a slice of the table (see
-    ``upsert_partitions``).  ``touch_unchanged=True`` stamps every matched
+    ``upsert_version``).  ``touch_unchanged=True`` stamps every matched
     row with ``load_ts`` (what ``MERGE … WHEN MATCHED THEN UPDATE`` does);
     ``False`` keeps the old load time when no attribute changed, so a later
     high-water-mark delta only carries real changes.
     """
     attrs = [c for c in target.columns if c not in (*keys, surrogate) and c != load_col]
-    s = source.select(*keys, *attrs).withColumn("_s", F.lit(True))
-    t = target.withColumn("_t", F.lit(True))
-    j = t.join(s.select(*keys, *[F.col(a).alias(f"_s_{a}") for a in attrs], "_s"), list(keys), "full_outer")
-    merged_cols = [
-        F.when(F.col("_s").isNotNull(), F.col(f"_s_{a}")).otherwise(F.col(a)).alias(a) for a in attrs
-    ]
+    named = F.lit(True)
+    for k in keys:
+        named = named & F.col(k).isNotNull()
+    s = source.filter(named).select(*keys, *attrs)
+    mine = s.select(*keys, *[F.col(a).alias(f"_s_{a}") for a in attrs], F.lit(True).alias("_s"))
+    kept = target.join(mine, list(keys), "left")
+    merged_cols = [F.when(F.col("_s").isNotNull(), F.col(f"_s_{a}")).otherwise(F.col(a)).alias(a) for a in attrs]
     if load_col:
         stamp = F.col("_s").isNotNull()
         if not touch_unchanged:
             same = F.lit(True)
             for a in attrs:
                 same = same & F.col(f"_s_{a}").eqNullSafe(F.col(a))
-            stamp = stamp & (F.col("_t").isNull() | ~same)
+            stamp = stamp & ~same
         merged_cols.append(F.when(stamp, load_ts).otherwise(F.col(load_col)).alias(load_col))
-    # Written once: the rows kept and the rows that get keys are both read from it.
-    spark = target.sparkSession
-    merged = write_version(j.select(*keys, surrogate, "_t", *merged_cols), scratch_path(spark, "merged"))
-    kept = merged.filter(F.col("_t").isNotNull()).drop("_t")
-    new = merged.filter(F.col("_t").isNull()).drop("_t", surrogate)
+    kept = kept.select(*keys, surrogate, *merged_cols)
+    new = s.join(target.select(*keys), list(keys), "left_anti")
+    if load_col:
+        new = new.withColumn(load_col, load_ts)
     if key_start is None:
         key_start = (target.agg(F.max(surrogate)).first()[0] or 0) + 1
     new_keyed = dense_keys(new, list(keys), surrogate, start=key_start)
     return kept.unionByName(new_keyed).select(*target.columns)
 
 
-def prune_to_partitions(table: DataFrame, part_col: str, wanted: DataFrame, wanted_col: str | None = None) -> DataFrame:
-    """Rows of ``table`` in the partitions named by ``wanted``.
-
-    The distinct partition values are collected and applied as a static
-    filter, so the scan lists and reads only those partition folders.  They
-    are periods: as many as the calendar has in the table's span, which is
-    also the number of folders that the driver lists for any scan of it.
-    """
-    vals = wanted.select(wanted_col or part_col).distinct().collect()
-    return table.filter(F.col(part_col).isin([r[0] for r in vals]))
-
-
-def upsert_partitions(
-    spark,
-    table_path: str,
+def upsert_version(
+    store: Versions,
+    table: str,
+    schema,
     source: DataFrame,
     keys: Sequence[str],
     surrogate: str,
-    part_col: str,
-    part_expr: Column,
+    part: Column,
     load_col: str,
     load_ts: Column,
-    staging_path: str,
-    table_schema=None,
     touch_unchanged: bool = True,
-) -> DataFrame:
-    """``upsert`` of a table partitioned by ``part_col`` that rewrites only
-    the partitions the source touches.
-
-    The touched partition values are few (one per period in the batch) and
-    prune the scan to those partitions (``prune_to_partitions``); the rest
-    of the table is neither read nor shuffled.  The
-    merged partitions are first written to ``staging_path`` and then copied
-    over the table with dynamic partition overwrite, so the table is never
-    overwritten while it is being read.
+) -> Pointer:
+    """``upsert`` of a versioned table that reads and writes only the parts
+    the source touches; readers see the old version until the new one is whole.
+
+    The last surrogate key is a note of the pointer, so no scan looks for it;
+    the new one comes from the rows just written.
     """
-    src = source.withColumn(part_col, part_expr)
-    touched = src.select(part_col).distinct()
-    reader = spark.read.schema(table_schema) if table_schema is not None else spark.read
-    current = reader.parquet(table_path)
-    top = current.agg(F.max(surrogate)).first()[0] or 0
-    slice_ = prune_to_partitions(current, part_col, touched)
-    merged = upsert(slice_.drop(part_col), src.drop(part_col), keys, surrogate, load_col, load_ts,
-                    key_start=top + 1, touch_unchanged=touch_unchanged)
-    staged = write_version(merged.withColumn(part_col, part_expr), staging_path, [part_col])
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(table_path)
-    return spark.read.schema(staged.schema).parquet(table_path)
+    upon = store.current()
+    parts = parts_of(source, part)
+    merged = upsert(store.read(table, schema, parts, upon), source, keys, surrogate, load_col, load_ts,
+                    key_start=upon.notes.get(f"last_{surrogate}", 0) + 1, touch_unchanged=touch_unchanged)
+    staged = store.stage(upon, {table: (merged, part)}, parts)
+    last = store.read(table, schema, parts, staged).agg(F.max(surrogate)).first()[0] or 0
+    staged.notes[f"last_{surrogate}"] = max(last, upon.notes.get(f"last_{surrogate}", 0))
+    return store.publish(staged)
 
 
 def update_from(

@@ -18,6 +18,14 @@ def unique_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
+def null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows without a whole natural key, which a merge leaves out."""
+    bad = F.lit(False)
+    for k in keys:
+        bad = bad | F.col(k).isNull()
+    return df.filter(bad)
+
+
 def fk_violations(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose non-null reference has no parent row."""
     keys = parent.select(F.col(pk).alias("_pk"))

@@ -11,9 +11,9 @@ stays short.
 Differences from the reference's statements, on purpose:
 * a merge source holds one row per natural key (latest order wins);
 * several orders on one fact key collapse to the latest completion;
-* the delta only *identifies* affected (customer, month) keys; their metrics
-  are recomputed from the whole fact, so the mart always equals a full
-  recompute;
+* the delta only *identifies* affected (customer, month) keys; the mart is kept
+  by signed contributions of the orders before and after a change
+  (``operators/contributions``), so it always equals a full recompute;
 * one mart row per key: most frequent category (ties: alphabetical) and
   craftsman (ties: smallest id);
 * an empty delta leaves the mark unchanged;
@@ -25,15 +25,17 @@ from __future__ import annotations
 import datetime as dt
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timeutil import ntz
 from ..functions.numeric import avg_cents, cents, cents_to_decimal, div_round
 from ..operators import incremental as inc
+from ..operators.contributions import Figures, changes, image
 from ..operators.keys import dense_keys, keep_last
-from ..operators.merge import prune_to_partitions, upsert, upsert_partitions, write_version
+from ..operators.merge import upsert, upsert_version, write_version
+from ..operators.versions import Pointer, Versions, parts_of
 from ..session import run_concurrently, scratch_path
 from ..sources import fixtures as fx
 
@@ -48,9 +50,8 @@ CUSTOMER_KEYS = ["customer_name", "customer_email"]
 CUSTOMER_ATTRS = ["customer_address", "customer_birthday"]
 FACT_KEYS = ["product_id", "craftsman_id", "customer_id", "order_created_date"]
 MART_KEYS = ["customer_id", "report_period"]
-# The order fact is partitioned by the month of the order: an increment
-# rewrites only the months it touches.
-FACT_PART = "order_month"
+# The order fact is kept by the month of the order: an increment replaces only
+# the months it touches.
 FACT_COLUMNS = ["order_id", *FACT_KEYS, "order_completion_date", "order_status", "load_dttm"]
 MART_COLUMNS = [
     "id", "customer_id", "customer_name", "customer_address", "customer_birthday", "customer_email",
@@ -156,16 +157,44 @@ def period(col: str = "order_created_date"):
     return F.date_format(col, "yyyy-MM")
 
 
+def _done_days() -> Column:
+    done = (F.col("order_status") == STATUS_DONE) & F.col("order_completion_date").isNotNull()
+    return F.when(done, F.datediff("order_completion_date", "order_created_date"))
+
+
+def mart_figures() -> Figures:
+    """What an order contributes to its customer and month."""
+    st = F.col("order_status")
+
+    def counted(where: Column) -> Column:
+        return F.when(where, 1).otherwise(0)
+
+    return Figures(
+        tuple(MART_KEYS),
+        {
+            "money_c": cents("product_price"), "count_order_created": counted(st == STATUS_CREATED),
+            "count_order_in_progress": counted(st == STATUS_IN_PROGRESS), "count_order_delivery": counted(st == STATUS_DELIVERY),
+            "count_order_done": counted(st == STATUS_DONE), "count_order_not_done": counted(st != STATUS_DONE),
+        },
+        {"top_product_category": ("text", F.col("product_type")), "top_craftsman_id": ("num", F.col("craftsman_id")),
+         "median_days": ("num", _done_days())},
+    )
+
+
+def mart_metrics(state: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """The mart's metrics from the contributions behind them."""
+    g = mart_figures().rows(state, ["top_product_category", "top_craftsman_id"], ["median_days"])
+    return _metrics(g.withColumn("count_order", F.col("n")))
+
+
 def mart_stats(j: DataFrame) -> DataFrame:
+    """The same metrics in one aggregation of all orders."""
     st = F.col("order_status")
-    pc = cents("product_price")
-    days = F.when((st == STATUS_DONE) & F.col("order_completion_date").isNotNull(),
-                  F.datediff("order_completion_date", "order_created_date"))
-    g = j.groupBy(*MART_KEYS).agg(
-        F.sum(pc).alias("money_c"),
+    return _metrics(j.groupBy(*MART_KEYS).agg(
+        F.sum(cents("product_price")).alias("money_c"),
         F.count("order_id").alias("count_order"),
         F.count(F.lit(1)).alias("n"),
-        F.median(days).alias("median_days"),
+        F.median(_done_days()).alias("median_days"),
         # Ties to the smallest value; the counts are combined on the map side.
         F.mode("product_type", True).alias("top_product_category"),
         F.mode("craftsman_id", True).alias("top_craftsman_id"),
@@ -174,7 +203,10 @@ def mart_stats(j: DataFrame) -> DataFrame:
         F.sum(F.when(st == STATUS_DELIVERY, 1).otherwise(0)).alias("count_order_delivery"),
         F.sum(F.when(st == STATUS_DONE, 1).otherwise(0)).alias("count_order_done"),
         F.sum(F.when(st != STATUS_DONE, 1).otherwise(0)).alias("count_order_not_done"),
-    )
+    ))
+
+
+def _metrics(g: DataFrame) -> DataFrame:
     return g.select(
         *MART_KEYS,
         cents_to_decimal("money_c", 15).alias("customer_money"),
@@ -189,21 +221,25 @@ def mart_stats(j: DataFrame) -> DataFrame:
     )
 
 
+def with_customers(metrics: DataFrame, customers: DataFrame) -> DataFrame:
+    """Mart rows (without id): metrics and the customer's attributes."""
+    cust = customers.select("customer_id", *CUSTOMER_KEYS[:1], "customer_address", "customer_birthday", "customer_email")
+    return metrics.join(cust, "customer_id").select(*[c for c in MART_COLUMNS if c != "id"])
+
+
+def priced(orders: DataFrame, products: DataFrame) -> DataFrame:
+    """Orders with their month and what the mart needs of their product."""
+    j = orders.join(products.select("product_id", "product_price", "product_type"), "product_id")
+    return j.withColumn("report_period", period())
+
+
 def mart_rows(fact: DataFrame, customers: DataFrame, products: DataFrame, keys: DataFrame | None = None) -> DataFrame:
-    """Mart rows (without id) for ``keys`` (None = every key), from the whole fact."""
-    f = fact.withColumn("report_period", period())
+    """Mart rows (without id) for ``keys`` (None = every key), from all orders
+    of their months."""
+    f = priced(fact, products)
     if keys is not None:
-        if FACT_PART in f.columns:
-            # Read only the affected months, then keep the affected keys.
-            k = keys.select("customer_id", F.col("report_period").alias(FACT_PART))
-            f = prune_to_partitions(f, FACT_PART, k).join(k, ["customer_id", FACT_PART], "left_semi")
-        else:
-            f = f.join(keys.select(*MART_KEYS), MART_KEYS, "left_semi")
-    j = f.join(products.select("product_id", "product_price", "product_type"), "product_id")
-    stats = mart_stats(j)
-    cust = customers.select("customer_id", *CUSTOMER_KEYS[:1], "customer_address", "customer_birthday", "customer_email")
-    out = stats.join(cust, "customer_id")
-    return out.select(*[c for c in MART_COLUMNS if c != "id"])
+        f = f.join(keys.select(*MART_KEYS), MART_KEYS, "left_semi")
+    return with_customers(mart_stats(f), customers)
 
 
 class CraftWarehouse:
@@ -240,13 +276,28 @@ class CraftWarehouse:
             lambda: self._save(merge_dim(None, s, PRODUCT_KEYS, PRODUCT_ATTRS, "product_id", T1), "d_product"),
             lambda: self._save(merge_dim(None, s, CUSTOMER_KEYS, CUSTOMER_ATTRS, "customer_id", T1), "d_customer"),
         )
-        fo = write_version(merge_fact(None, stage_fact(s, dc, dcu, dp), T1).withColumn(FACT_PART, period()),
-                           self.fact_path, [FACT_PART])
-        return {"d_craftsman": dc, "d_product": dp, "d_customer": dcu, "f_order": fo}
+        return {"d_craftsman": dc, "d_product": dp, "d_customer": dcu}
+
+    @cached_property
+    def store(self) -> Versions:
+        """The order fact, the mart and the contributions behind it, by month."""
+        return Versions(self.spark, scratch_path(self.spark, "warehouse"))
 
     @cached_property
-    def fact_path(self) -> str:
-        return scratch_path(self.spark, "f_order")
+    def stage_fact1(self) -> DataFrame:
+        l1 = self.load1
+        return stage_fact(self.stage1, l1["d_craftsman"], l1["d_customer"], l1["d_product"])
+
+    @property
+    def staged_facts(self) -> tuple[DataFrame, DataFrame]:
+        return self.stage_fact1, self.stage_fact2
+
+    @cached_property
+    def fact1(self) -> tuple[DataFrame, Pointer]:
+        fo = merge_fact(None, self.stage_fact1, T1)
+        fo = write_version(fo, scratch_path(self.spark, "f_order"))
+        pointer = self.store.commit(Pointer(), {"f_order": (fo, period())}, parts_of(fo, period()), {"last_order_id": fo.count()})
+        return self.store.read("f_order", fo.schema, pointer=pointer), pointer
 
     @cached_property
     def stage_fact2(self) -> DataFrame:
@@ -270,27 +321,31 @@ class CraftWarehouse:
 
     @cached_property
     def load2(self) -> dict[str, DataFrame]:
-        # The first mart refresh reads the fact as of load 1: finish it
-        # before load 2 rewrites the fact's partitions in place.
-        _ = self.run1
-        out = dict(self.load2_dims)
-        out["f_order"] = upsert_partitions(
-            self.spark, self.fact_path, self.stage_fact2, FACT_KEYS, "order_id", FACT_PART, period(),
-            "load_dttm", ntz(T2), scratch_path(self.spark, "f_order_staging"),
-            table_schema=self.load1["f_order"].schema, touch_unchanged=self.touch_unchanged,
-        )
-        return out
+        return {**self.load2_dims, "f_order": self.fact2[0]}
+
+    @cached_property
+    def fact2(self) -> tuple[DataFrame, Pointer]:
+        _ = self.run1  # the first mart is a version before the second load's
+        schema = self.fact1[0].schema
+        pointer = upsert_version(self.store, "f_order", schema, self.stage_fact2, FACT_KEYS, "order_id", period(),
+                                 "load_dttm", ntz(T2), self.touch_unchanged)
+        return self.store.read("f_order", schema, pointer=pointer), pointer
 
     # mart after run 1 (first build: the whole fact is the delta)
     @cached_property
     def run1(self) -> dict:
-        l1 = self.load1
-        rows = mart_rows(l1["f_order"], l1["d_customer"], l1["d_product"])
+        fact, upon = self.fact1
+        orders = priced(fact, self.load1["d_product"])
+        sums, counts = (self._save(t, n) for t, n in zip(mart_figures().contributions(orders), ("mart_sums", "mart_counts")))
+        rows = with_customers(mart_metrics((sums, counts)), self.load1["d_customer"])
         mart = self._save(dense_keys(rows, MART_KEYS, "id").select(*MART_COLUMNS), "customer_report_datamart")
+        month = F.col("report_period")
+        pointer = self.store.commit(
+            upon, {"sums": (sums, month), "counts": (counts, month), "mart": (mart, month)}, parts_of(sums, month), {"last_id": mart.count()})
         marks = self.spark.createDataFrame(
             [(1, T1)], T.StructType([T.StructField("id", T.LongType()), T.StructField("load_dttm", T.TimestampNTZType())])
         )
-        return {"mart": mart, "marks": marks}
+        return {"mart": mart, "marks": marks, "pointer": pointer, "schemas": {"sums": sums.schema, "counts": counts.schema, "mart": mart.schema}}
 
     # run 2: refresh after the increment
     @cached_property
@@ -343,20 +398,72 @@ class CraftWarehouse:
     def split(self) -> tuple[DataFrame, DataFrame]:
         return self.rows2.filter("id IS NOT NULL").drop("id"), self.rows2.filter("id IS NULL").drop("id")
 
+    @cached_property
+    def changed_orders(self) -> DataFrame:
+        """Orders whose contribution to the mart changed, with the images
+        before and after: those of the months that the second load replaced,
+        and those of products that got another category."""
+        (fact1, before), (fact2, after) = self.fact1, self.fact2
+        months = self.store.changed_parts("f_order", before, after)
+        old, new = (self.store.read("f_order", fact1.schema, months, p) for p in (before, after))
+        new = new.filter(F.col("load_dttm") > ntz(self.mark))
+        p1, p2 = (p.select("product_id", "product_price", "product_type") for p in (self.load1["d_product"], self.load2_dims["d_product"]))
+        retyped = changes(p1, p2, ["product_id"], ["product_type"]).filter("known").select("product_id")
+        if not retyped.isEmpty():
+            old, new = (f.join(retyped, "product_id", "left_semi").select(*g.columns).unionByName(g).distinct() for f, g in ((fact1, old), (fact2, new)))
+        values = [*FACT_KEYS, "order_completion_date", "order_status", "product_price", "product_type"]
+        ch = changes(old.join(p1, "product_id"), new.join(p2, "product_id"), ["order_id"], values)
+        return self._save(ch, "changed_orders")
+
     @cached_property
     def applied(self) -> dict:
-        counts = self.rows2.agg(F.count_if(F.col("id").isNull()), F.count_if(F.col("id").isNotNull())).first()
-        mart = self._save(inc.apply_keyed(self.run1["mart"], self.rows2, MART_KEYS, "id").select(*MART_COLUMNS), "customer_report_datamart")
+        """The mart after the increment: signed contributions of what changed,
+        and new attributes of customers that changed."""
+        figures, schemas, month = mart_figures(), self.run1["schemas"], F.col("report_period")
+        upon = self.fact2[1]
+        values = [c.removeprefix("new_") for c in self.changed_orders.columns if c.startswith("new_")]
+        sides = [image(self.changed_orders, side, ["order_id"], values).withColumn("report_period", period()) for side in ("new", "old")]
+        keys = self._save(sides[0].unionByName(sides[1]).select(*MART_KEYS).distinct(), "changed_keys")
+        months = parts_of(keys, month)
+        held = tuple(self.store.read(t, schemas[t], months, upon) for t in ("sums", "counts"))
+        state = figures.merged(held, figures.contributions(sides[0]), figures.contributions(sides[1], -1))
+        state = tuple(self._save(t, "mart_state") for t in state)
+        metrics = mart_metrics(tuple(t.join(keys, MART_KEYS, "left_semi") for t in state))
+
+        attributes = ["customer_name", "customer_address", "customer_birthday", "customer_email"]
+        moved = changes(self.load1["d_customer"], self.load2_dims["d_customer"], ["customer_id"], attributes).filter("known").select("customer_id")
+        mart = self.run1["mart"]
+        own = mart.join(moved, "customer_id", "left_semi").join(keys, MART_KEYS, "left_anti").select(*metrics.columns)
+        rows = with_customers(metrics.unionByName(own), self.load2_dims["d_customer"])
+        rows = self._save(inc.with_known_id(rows, mart, MART_KEYS, "id"), "mart_rows")
+        replaced = parts_of(rows, month)
+        gone = keys.join(rows, MART_KEYS, "left_anti")  # keys that lost their last order
+        part = self.store.read("mart", schemas["mart"], sorted({*replaced, *months}), upon).join(gone, MART_KEYS, "left_anti")
+        new = inc.apply_keyed(part, rows, MART_KEYS, "id", upon.notes["last_id"]).select(*MART_COLUMNS)
+        fork = self.store.fork(scratch_path(self.spark, "refreshed"), upon)
+        staged = fork.stage(upon, {"mart": (new, month)}, {*replaced, *months})
+        staged = fork.stage(staged, {"sums": (state[0], month), "counts": (state[1], month)}, months)
+        n_new = rows.filter("id IS NULL").count()
+        staged.notes["last_id"] += n_new
+        pointer = fork.publish(staged)
+
+        return {"mart": fork.read("mart", schemas["mart"], pointer=pointer), "store": fork}
+
+    @cached_property
+    def books(self) -> dict:
+        """The high-water marks and the counts of a refresh, from its delta."""
+        keyed = self.delta.groupBy(*MART_KEYS).agg(F.max("exist_customer_id").alias("known"))
+        counts = keyed.agg(F.count_if(F.col("known").isNull()), F.count_if(F.col("known").isNotNull())).first()
         mark2 = inc.next_mark(self.delta, ["customer_load_dttm", "product_load_dttm", "order_load_dttm"], self.mark)
         marks_added = 1 if mark2 != self.mark else 0
         marks = self.run1["marks"]
         if marks_added:
             marks = marks.unionByName(self.spark.createDataFrame([(2, mark2)], marks.schema))
-        return {"mart": mart, "marks": marks, "counts": (int(counts[0]), int(counts[1]), marks_added)}
+        return {"marks": marks, "counts": (int(counts[0]), int(counts[1]), marks_added)}
 
 
 def mart_load_counts(w: CraftWarehouse) -> DataFrame:
-    ins, upd, marks = w.applied["counts"]
+    ins, upd, marks = w.books["counts"]
     return w.spark.createDataFrame(
         [(ins, upd, marks)], "inserted_rows bigint, updated_rows bigint, load_dates_inserted bigint"
     )
@@ -371,10 +478,10 @@ def _wh(sp, d) -> CraftWarehouse:
 # against existing warehouse tables, as the reference's step 3 does; the
 # loads themselves are what the ``merge_*`` keys measure.
 _LOADED: dict[tuple, CraftWarehouse] = {}
-_PRE_REFRESH = ("stage1", "stage2", "fact_path", "load1", "run1", "load2_dims", "stage_fact2", "load2")
+_PRE_REFRESH = ("stage1", "stage2", "store", "load1", "stage_fact1", "fact1", "run1", "load2_dims", "stage_fact2", "fact2", "load2")
 
 
-def _refresh(sp, d) -> CraftWarehouse:
+def loaded_warehouse(sp: SparkSession, d: str) -> CraftWarehouse:
     key = (sp.sparkContext.applicationId, d, fx.input_version(sp, d))
     base = _LOADED.get(key)
     if base is None:
@@ -388,23 +495,28 @@ def _refresh(sp, d) -> CraftWarehouse:
     return w
 
 
+def _both_loads(first: DataFrame, second: DataFrame) -> DataFrame:
+    """The stage of each load, with the load's number."""
+    return first.withColumn("load", F.lit(1)).unionByName(second.withColumn("load", F.lit(2)))
+
+
 QUERIES = {
-    "stage_external_orders": lambda sp, d: stage_external_orders(sp, d, 2),
+    "stage_external_orders": lambda sp, d: _both_loads(*(stage_external_orders(sp, d, load) for load in (1, 2))),
     "merge_dim_craftsman": lambda sp, d: _wh(sp, d).load2_dims["d_craftsman"],
     "merge_dim_product": lambda sp, d: _wh(sp, d).load2_dims["d_product"],
     "merge_dim_customer": lambda sp, d: _wh(sp, d).load2_dims["d_customer"],
-    "stage_fact_orders": lambda sp, d: _wh(sp, d).stage_fact2,
+    "stage_fact_orders": lambda sp, d: _both_loads(*_wh(sp, d).staged_facts),
     "merge_fact_orders": lambda sp, d: _wh(sp, d).load2["f_order"].select(*FACT_COLUMNS),
-    "mart_delta": lambda sp, d: _refresh(sp, d).delta,
-    "mart_update_keys": lambda sp, d: _refresh(sp, d).update_keys,
-    "mart_customer_stats": lambda sp, d: _refresh(sp, d).rows2.drop("top_product_category", "top_craftsman_id", "id"),
-    "mart_top_category": lambda sp, d: _refresh(sp, d).rows2.select(*MART_KEYS, "top_product_category"),
-    "mart_top_craftsman": lambda sp, d: _refresh(sp, d).rows2.select(*MART_KEYS, "top_craftsman_id"),
-    "mart_insert_rows": lambda sp, d: _refresh(sp, d).split[1],
-    "mart_update_rows": lambda sp, d: _refresh(sp, d).split[0],
-    "mart_apply": lambda sp, d: _refresh(sp, d).applied["mart"],
-    "mart_high_water_mark": lambda sp, d: _refresh(sp, d).applied["marks"],
-    "mart_load_counts": lambda sp, d: mart_load_counts(_refresh(sp, d)),
+    "mart_delta": lambda sp, d: loaded_warehouse(sp, d).delta,
+    "mart_update_keys": lambda sp, d: loaded_warehouse(sp, d).update_keys,
+    "mart_customer_stats": lambda sp, d: loaded_warehouse(sp, d).rows2.drop("top_product_category", "top_craftsman_id", "id"),
+    "mart_top_category": lambda sp, d: loaded_warehouse(sp, d).rows2.select(*MART_KEYS, "top_product_category"),
+    "mart_top_craftsman": lambda sp, d: loaded_warehouse(sp, d).rows2.select(*MART_KEYS, "top_craftsman_id"),
+    "mart_insert_rows": lambda sp, d: loaded_warehouse(sp, d).split[1],
+    "mart_update_rows": lambda sp, d: loaded_warehouse(sp, d).split[0],
+    "mart_apply": lambda sp, d: loaded_warehouse(sp, d).applied["mart"],
+    "mart_high_water_mark": lambda sp, d: loaded_warehouse(sp, d).books["marks"],
+    "mart_load_counts": lambda sp, d: mart_load_counts(loaded_warehouse(sp, d)),
 }
 
 # ---------------------------------------------------------------- oracle
@@ -529,11 +641,11 @@ mart2 AS (SELECT m.id, f.* FROM full2 f JOIN mart1 m USING (customer_id, report_
 _STATS_COLS = ", ".join(c for c in MART_COLUMNS if c not in ("id", "top_product_category", "top_craftsman_id"))
 
 ORACLE = {
-    "stage_external_orders": _CTES + "SELECT * FROM stage2",
+    "stage_external_orders": _CTES + "SELECT *, 1 AS load FROM stage1 UNION ALL SELECT *, 2 FROM stage2",
     "merge_dim_craftsman": _CTES + "SELECT * FROM d_craftsman_2",
     "merge_dim_product": _CTES + "SELECT * FROM d_product_2",
     "merge_dim_customer": _CTES + "SELECT * FROM d_customer_2",
-    "stage_fact_orders": _CTES + "SELECT * FROM sf2",
+    "stage_fact_orders": _CTES + "SELECT *, 1 AS load FROM sf1 UNION ALL SELECT *, 2 FROM sf2",
     "merge_fact_orders": _CTES + "SELECT * FROM f_order_2",
     "mart_delta": _CTES + "SELECT * FROM delta",
     "mart_update_keys": _CTES + "SELECT DISTINCT customer_id, report_period FROM delta WHERE exist_customer_id IS NOT NULL",
