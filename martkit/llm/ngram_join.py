@@ -14,11 +14,13 @@ Before that each set of a large node is compared with one pivot: by
 the triangle inequality of the Jaccard distance, a set that is close to the
 pivot has all its partners in the pivot's component and needs no further
 search, so that a crowd of near copies is not carried down.  This goes on until
-every node is small; from level ``depth`` on every node samples two
-coordinates, so the chance that a pair stays together does not fall to nothing
-however deep the recursion gets.  Only where a level no longer shrinks what is
-large (sets that agree in all that is sampled without being close) are the
-nodes brute-forced in pairs of blocks.  Runs are repeated until a pair at the
+every node is small, or comparing all sets of the nodes that are not takes at
+most ``COMPARED`` comparisons a set of the input; these nodes are then
+brute-forced in pairs of blocks, which costs in proportion to the input.  From
+level ``depth`` on every node samples two coordinates, so the chance that a pair
+stays together does not fall to nothing however deep the recursion gets.  Where
+a level no longer shrinks what is large (sets that agree in all that is sampled
+without being close) blocks are all that is left.  Runs are repeated until a pair at the
 threshold meets with probability ``recall`` at any depth (`runs_needed`).
 Nothing is capped.
 
@@ -60,6 +62,7 @@ THRESHOLD = 0.8
 WIDTH = 128
 SMALL = 100
 DEPTH = 4
+COMPARED = 500
 RECALL = 0.9999
 #: Sketch similarity from which sets are candidates; from which a set is close
 #: to a pivot; and from which it gets an edge to the pivot.  A partner of a
@@ -303,7 +306,7 @@ def candidates(reps: DataFrame, width: int, threshold: float, small: int, depth:
     every child of a root would be split).
     """
     rows = reps.select("rep", "sketch", F.explode("nodes").alias("node"))
-    edges, level, before = [], 2, None
+    edges, level, before, n_sets = [], 2, math.inf, reps.count()
     while True:
         level_rows = _counted(rows, f"paths-{level}")
         edges.append(_brute_nodes(level_rows.filter(F.col("size") <= small), width, LOOSE))
@@ -318,7 +321,7 @@ def candidates(reps: DataFrame, width: int, threshold: float, small: int, depth:
         work = large.agg(F.sum("size")).first()[0] or 0  # comparisons that brute force would take
         if not work:
             return _distinct(edges)
-        if level > depth and before is not None and work > 0.9 * before:
+        if work <= COMPARED * n_sets or level > depth and work > 0.9 * before:
             break
         before, share = work, 1 / threshold - 1 if level < depth else 1.0
         rows, level = _children(large, width, share), level + 1

@@ -151,6 +151,7 @@ def family_docs(seed):
 @pytest.mark.parametrize(("seed", "depth"), [(1, 2), (2, 3)])
 def test_join_with_large_nodes_and_blocks(spark, monkeypatch, seed, depth):
     """Small limits: nodes are split, compared with pivots and in blocks."""
+    monkeypatch.setattr(ngram_join, "COMPARED", 3)
     monkeypatch.setattr(ngram_join, "BLOCK_WEIGHT", 900)
     monkeypatch.setattr(ngram_join, "BLOCK_SETS", 6)
     docs = family_docs(seed)
@@ -158,9 +159,11 @@ def test_join_with_large_nodes_and_blocks(spark, monkeypatch, seed, depth):
     check_classes(ngram_join.similar_classes(df, small=5, depth=depth).collect(), docs)
 
 
-def test_recall_in_nodes_that_stay_large(spark):
+@pytest.mark.parametrize("compared", [0, 20])
+def test_recall_in_nodes_that_stay_large(spark, monkeypatch, compared):
     """A crowd of 260 sets with a Jaccard similarity near 0.6 to one another,
     among them 60 pairs just over 0.8; nodes of at most 5 sets are small."""
+    monkeypatch.setattr(ngram_join, "COMPARED", compared)
     g = random.Random(6)
     common = [f"c{i}" for i in range(180)]
     docs = [" ".join(common + [f"t{g.randrange(10**6)}" for _ in range(55)]) for _ in range(200)]
