@@ -30,23 +30,27 @@ def money(x: Column | str, precision: int = 18) -> Column:
     return cents_to_decimal(cents(x), precision)
 
 
-def int_div(a: Column | str, b: Column | str) -> Column:
-    """Integral division (SQL ``div``), exact; null when ``b`` is 0."""
-    return F.call_function("div", _c(a).cast("bigint"), F.nullif(_c(b).cast("bigint"), F.lit(0)))
+def int_div(a: Column | str, b: Column | str, guarded: bool = True) -> Column:
+    """Integral division (SQL ``div``), exact.  When ``b`` is 0: null if
+    ``guarded`` (the reference's CASE guard), else an error."""
+    n, d = _c(a).cast("bigint"), _c(b).cast("bigint")
+    return F.call_function("div", n, F.nullif(d, F.lit(0)) if guarded else d)
 
 
-def div_round(num: Column | str, den: Column | str) -> Column:
-    """``round(num / den)`` on integers, half away from zero, for ``den > 0``.
-
-    Null when ``den`` is null or 0 (guarded division, as the reference's
-    CASE guard does).
-    """
+def div_round(num: Column | str, den: Column | str, guarded: bool = True) -> Column:
+    """``round(num / den)`` on integers, half away from zero, for ``den > 0``;
+    null when ``den`` is null, and when it is 0 as in ``int_div``."""
     n, d = _c(num).cast("bigint"), _c(den).cast("bigint")
-    safe_d = F.when(d != 0, d)
-    mag = int_div(F.abs(n) * 2 + safe_d, safe_d * 2)
+    mag = int_div(F.abs(n) * 2 + d, d * 2, guarded)
     return F.when(n < 0, -mag).otherwise(mag)
 
 
+def typed(x: Column | str, type_: str, lenient: bool = False) -> Column:
+    """A text as a number: a text that is none is an error, or null if
+    ``lenient``."""
+    return _c(x).try_cast(type_) if lenient else _c(x).cast(type_)
+
+
 def avg_cents(sum_cents: Column | str, n: Column | str) -> Column:
     """Average of cents rounded to whole cents."""
     return div_round(sum_cents, n)

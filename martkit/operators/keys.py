@@ -71,10 +71,11 @@ def dense_keys(
 
 
 def hash_key(*cols: ColumnLike) -> Column:
-    """A deterministic key from natural-key columns: SHA-256 of their text,
-    separated by a unit separator; a null is told apart from an empty text."""
-    parts = [F.coalesce(c.cast("string"), F.lit("\u0000")) for c in _cols(cols)]
-    return F.sha2(F.concat_ws("\u001f", *parts), 256)
+    """A deterministic key from natural-key columns: SHA-256 of their texts,
+    each after its length, so no value can run into the next; a null has no
+    length and differs from every text."""
+    parts = [F.coalesce(F.concat(F.length(c.cast("string")).cast("string"), F.lit(":"), c.cast("string")), F.lit("-:")) for c in _cols(cols)]
+    return F.sha2(F.concat(*parts), 256)
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike], pick=F.min) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .keys import dense_keys
-from .versions import Pointer, Versions, parts_of
+from .versions import DEALT, Pointer, Versions, parts_of
 
 
 def not_in(source: DataFrame, probe_key: str, target: DataFrame, target_key: str) -> DataFrame:
@@ -151,15 +151,25 @@ def update_from(
     return j.select(*out)
 
 
+def by_period(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows dealt for a write that is partitioned by ``cols``: a small period
+    is one file, a large one as many as the advisory partition size makes of
+    it (the REBALANCE hint, from the sizes that the shuffle measured), so
+    the files are about periods + bytes / target, not tasks times periods.
+    ``DEALT`` shuffle partitions keep large periods apart; small ones are
+    merged again at run time."""
+    return df.hint("rebalance", DEALT, *[F.col(c) for c in cols])
+
+
 def write_version(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` as a new table version and return a scan of it.
 
     Writing cuts the lineage (a written table in the shared folder), and the
     returned scan is what later steps read.
     """
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if partition_by else "static")
     if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+        by_period(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
     # The known schema: no inference pass, and an empty version reads fine.
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -32,6 +32,30 @@ def fk_violations(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> Data
     return child.filter(F.col(fk).isNotNull()).join(keys, F.col(fk) == F.col("_pk"), "left_anti")
 
 
+def reference_counts(references: Sequence[tuple[str, str, str, str, str]], tables: dict[str, DataFrame]) -> DataFrame:
+    """``(rule, n_bad)`` of all references in one pass.
+
+    ``references`` are (rule, child, foreign key, parent, key).  Each child
+    is scanned once for all of its foreign keys and each parent once for all
+    of its keys; the (rule, value) pairs of both are stacked and reduced in one
+    aggregation, so a value that many rows hold is one partial row per task.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    stacked = None
+    for table in dict.fromkeys(t for r in references for t in (r[1], r[3])):
+        pairs = [
+            F.struct(F.lit(i).alias("i"), F.col(col).cast("string").alias("value"), F.lit(own).alias("here"))
+            for i, (_, child, fk, parent, pk) in enumerate(references)
+            for own, t, col in ((False, child, fk), (True, parent, pk)) if t == table
+        ]
+        rows = tables[table].select(F.explode(F.array(*pairs)).alias("x")).select("x.*").filter("value IS NOT NULL")
+        stacked = rows if stacked is None else stacked.unionByName(rows)
+    values = stacked.groupBy("i", "value").agg(F.count_if(~F.col("here")).alias("n"), F.max("here").alias("known"))
+    bad = values.groupBy("i").agg(F.sum(F.when(~F.col("known"), F.col("n")).otherwise(0)).alias("n_bad"))
+    rules = F.inline(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(r[0]).alias("rule")) for i, r in enumerate(references)]))
+    return spark.range(1).select(rules).join(bad, "i", "left").select("rule", F.coalesce("n_bad", F.lit(0).cast("bigint")).alias("n_bad"))
+
+
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """``(column_name, null_count)`` for every column, in one scan."""
     cols = list(cols or df.columns)

@@ -22,8 +22,11 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _PART = "_version_part"
+#: Shuffle partitions of a write by parts, before small ones are merged.
+DEALT = 500
 
 
 class Conflict(RuntimeError):
@@ -98,7 +101,8 @@ class Versions:
         folders = {t: dict(f) for t, f in upon.folders.items()}
         for name, (rows, part) in tables.items():
             place = f"{self.root}/data/{name}/{upon.version + 1:010d}-{uuid.uuid4().hex[:8]}"
-            rows.withColumn(_PART, part).write.partitionBy(_PART).parquet(place)
+            # A part is one file, or as many as its size asks for.
+            rows.withColumn(_PART, part).hint("rebalance", DEALT, F.col(_PART)).write.partitionBy(_PART).parquet(place)
             fs, path = self._at(place)
             found = {f.getPath().getName().partition("=")[2]: f.getPath().getName() for f in fs.listStatus(path) if f.isDirectory()}
             held = folders.setdefault(name, {})

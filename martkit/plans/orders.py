@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.timeutil import ntz
 from ..functions.numeric import cents, cents_to_decimal
 from ..operators.keys import keep_first
-from ..operators.merge import insert_absent, write_version
+from ..operators.merge import by_period, insert_absent, write_version
 from ..session import scratch_path
 from ..sources import fixtures as fx
 from ..sources.io import read_increment_csv, write_csv
@@ -230,9 +230,9 @@ def between_days(log: DataFrame, days: tuple[dt.date, dt.date]) -> DataFrame:
 def run_day(spark: SparkSession, log: DataFrame, ds: dt.date, fact_path: str, retention_path: str) -> None:
     """One scheduled day: the day's fact partition and its week's retention
     partition are overwritten (idempotent re-runs)."""
-    day = sales_fact(log, (ds, ds)).repartition("sale_date")
+    day = by_period(sales_fact(log, (ds, ds)), ["sale_date"])
     day.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sale_date").parquet(fact_path)
-    week = weekly_retention(between_days(log, week_of(ds))).repartition("period_year", "period_id")
+    week = by_period(weekly_retention(between_days(log, week_of(ds))), ["period_year", "period_id"])
     week.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period_year", "period_id").parquet(
         retention_path
     )

@@ -11,13 +11,14 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import jsonops as js
-from ..functions.numeric import avg_cents, cents, cents_to_decimal, div_round
+from ..functions.numeric import avg_cents, cents, cents_to_decimal, div_round, typed
 from ..operators.keys import dense_keys, hash_key
 from ..operators.merge import update_from, write_version
+from ..operators.ranks import with_ranks
 from ..session import scratch_path
 from ..sources import fixtures as fx
 
@@ -107,7 +108,7 @@ def yoy_avg_check_change(spark: SparkSession, n: Network, excluded_year: int = E
     """Yearly average check per venue, the previous available year's value
     and the change in percent; stored as a snapshot (materialized view)."""
     yearly = (
-        n.sales.filter(F.year("date") != excluded_year)
+        n.sales.filter((F.col("date") < F.lit(f"{excluded_year}-01-01").cast("date")) | (F.col("date") > F.lit(f"{excluded_year}-12-31").cast("date")))
         .groupBy(F.year("date").alias("year"), "restaurant_id")
         .agg(F.sum(cents("avg_check")).alias("c"), F.count(F.lit(1)).alias("n"))
         .select("year", "restaurant_id", avg_cents("c", "n").alias("cur_c"))
@@ -140,6 +141,13 @@ def pizza_items(n: Network) -> DataFrame:
     )
 
 
+def menu_ranks(n: Network) -> DataFrame:
+    """Every pizzeria's place by its number of pizzas, with and without gaps
+    after ties."""
+    counts = pizza_items(n).groupBy("restaurant_name").agg(F.count_distinct("pizza_name").alias("pizza_count"))
+    return with_ranks(counts, ["pizza_count"], True, "menu_rank", "menu_dense_rank")
+
+
 def largest_menu_with_ties(n: Network) -> DataFrame:
     """Pizzerias with the most pizzas, all of them when several tie.  Joined
     to the global maximum (an equi-join on a one-row aggregate) instead of a
@@ -149,10 +157,12 @@ def largest_menu_with_ties(n: Network) -> DataFrame:
     return counts.join(F.broadcast(top), "pizza_count").select("restaurant_name", "pizza_count")
 
 
-def priciest_item_per_venue(n: Network) -> DataFrame:
+def priciest_item_per_venue(n: Network, lenient: bool = False) -> DataFrame:
     """Most expensive pizza per pizzeria (ties: first name), as a min over a
-    struct (map-side partial aggregation, no per-venue sort)."""
-    items = pizza_items(n).select("restaurant_name", "pizza_name", F.col("price_text").cast("int").alias("price"))
+    struct (map-side partial aggregation, no per-venue sort).  A price that is
+    no number fails the query; if ``lenient``, that item is left out."""
+    items = pizza_items(n).select("restaurant_name", "pizza_name", typed("price_text", "int", lenient).alias("price"))
+    items = items.filter("price IS NOT NULL")
     best = items.groupBy("restaurant_name").agg(F.min(F.struct(-F.col("price"), F.col("pizza_name"))).alias("b"))
     return best.select(
         "restaurant_name", F.lit(PIZZA).alias("dish_type"),
@@ -186,11 +196,13 @@ def menu_json(rows: DataFrame) -> DataFrame:
     """Menu rows -> one JSON document per venue, sections and items by name,
     prices as JSON numbers."""
     items = F.map_from_entries(F.array_sort(F.collect_list(F.struct("item", "price"))))
-    sections = rows.groupBy("restaurant_name", "section").agg(F.to_json(items).alias("items"))
-    parts = F.array_sort(F.collect_list(F.concat(F.to_json(F.array("section")), F.lit(":"), F.col("items"))))
-    # ["name"]:{...} with the brackets off, joined into one object.
-    members = F.transform(parts, lambda x: F.regexp_replace(x, r'^\[(".*?")\]:', "$1:"))
-    return sections.groupBy("restaurant_name").agg(F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}")).alias("menu"))
+    sections = rows.groupBy("restaurant_name", "section").agg(items.alias("items"))
+
+    def by_name(a: Column, b: Column) -> Column:
+        return F.when(a["section"] < b["section"], -1).when(a["section"] > b["section"], 1).otherwise(0)
+
+    entries = F.array_sort(F.collect_list(F.struct("section", "items")), by_name)
+    return sections.groupBy("restaurant_name").agg(F.to_json(F.map_from_entries(entries)).alias("menu"))
 
 
 def menu_documents(n: Network) -> DataFrame:
@@ -231,6 +243,7 @@ QUERIES = {
     "priciest_item_per_venue": lambda sp, d: priciest_item_per_venue(Network(sp, d)),
     "menu_price_update": lambda sp, d: menu_price_update(Network(sp, d)),
     "menu_documents": lambda sp, d: menu_documents(Network(sp, d)),
+    "menu_ranks": lambda sp, d: menu_ranks(Network(sp, d)),
     "venue_hash_keys": lambda sp, d: venue_hash_keys(Network(sp, d)),
     "manager_phone_array": lambda sp, d: manager_phone_array(Network(sp, d)),
 }
@@ -300,6 +313,9 @@ FROM l JOIN restaurants r USING (restaurant_id)""",
     + f"""SELECT r.name AS restaurant_name, count(DISTINCT t.manager_id) AS manager_count
 FROM tenure t JOIN restaurants r USING (restaurant_id) GROUP BY r.restaurant_id, r.name
 ORDER BY manager_count DESC, restaurant_name LIMIT {TOP_K}""",
+    "menu_ranks": _CTES
+    + """, c AS (SELECT restaurant_name, count(DISTINCT pizza_name) AS pizza_count FROM pizza_items GROUP BY 1)
+SELECT *, rank() OVER (ORDER BY pizza_count DESC) AS menu_rank, dense_rank() OVER (ORDER BY pizza_count DESC) AS menu_dense_rank FROM c""",
     "largest_menu_with_ties": _CTES
     + """, c AS (SELECT restaurant_name, count(DISTINCT pizza_name) AS pizza_count FROM pizza_items GROUP BY 1)
 SELECT restaurant_name, pizza_count FROM c WHERE pizza_count = (SELECT max(pizza_count) FROM c)""",
@@ -313,7 +329,7 @@ SELECT restaurant_name, '{PIZZA}' AS dish_type, pizza_name, price FROM i WHERE r
   FROM priced GROUP BY ALL)
 SELECT restaurant_name, '{' || string_agg('"' || section || '":{' || items || '}', ',' ORDER BY section) || '}' AS menu
 FROM sec GROUP BY restaurant_name""",
-    "venue_hash_keys": _CTES + "SELECT name, sha256(name || chr(31) || restaurant_type) AS venue_key FROM restaurants",
+    "venue_hash_keys": _CTES + "SELECT name, sha256(length(name) || ':' || name || length(restaurant_type) || ':' || restaurant_type) AS venue_key FROM restaurants",
     "manager_phone_array": _CTES
     + f"""SELECT manager_id, name,
   ['{PHONE_PREFIX}' || CAST(row_number() OVER (ORDER BY name, phone) + {PHONE_NUMBER_OFFSET} AS VARCHAR), phone] AS phone_numbers

@@ -4,10 +4,12 @@ pass over the data)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_path
+
 # CSV dialect of the reference's import (header, comma, the
 # word null for missing values) and the record layout of its registry files
 # (500 characters of JSON padded with spaces, then a newline; "{}" marks a
@@ -17,6 +19,7 @@ CSV_DELIMITER = ","
 RECORD_WIDTH = 500
 TOMBSTONE = "{}"
 
+_CORRUPT = "_corrupt_record"
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 RAW_SALES_SCHEMA = T.StructType(
@@ -80,6 +83,33 @@ def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType, mode: s
     )
 
 
+class TooManyBadRows(ValueError):
+    """A delivery has a larger share of damaged lines than it may have."""
+
+
+def read_csv_quarantined(spark: SparkSession, path: str, schema: T.StructType, most_bad: float = 0.01) -> tuple[DataFrame, DataFrame]:
+    """(rows, damaged lines) of one read of a delivery.
+
+    A line whose fields do not fit the schema goes, as it is, to the second
+    table (column ``line``); every other line is a typed row of the first.  Both
+    are counted while the read is written once; more than the share
+    ``most_bad`` of damaged lines fails the import.
+    """
+    marked = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    read = (
+        spark.read.schema(marked).option("header", True).option("sep", CSV_DELIMITER).option("nullValue", CSV_NULL)
+        .option("timestampNTZFormat", TS_FORMAT).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT).csv(path)
+    )
+    seen = Observation("delivery")
+    staged = scratch_path(spark, "delivery")
+    read.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(F.col(_CORRUPT).isNotNull()).alias("bad")).write.parquet(staged)
+    n, bad = seen.get["n"], seen.get["bad"]
+    if bad > most_bad * n:
+        raise TooManyBadRows(f"{bad} of {n} lines of {path} do not fit the schema")
+    kept = spark.read.schema(marked).parquet(staged)
+    return kept.filter(F.col(_CORRUPT).isNull()).drop(_CORRUPT), kept.filter(F.col(_CORRUPT).isNotNull()).select(F.col(_CORRUPT).alias("line"))
+
+
 def read_increment_csv(spark: SparkSession, path: str) -> DataFrame:
     """One or many delivered increment files (a folder or a glob)."""
     return read_csv_typed(spark, path, ORDER_INCREMENT_SCHEMA)
