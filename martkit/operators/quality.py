@@ -26,6 +26,13 @@ def null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.filter(bad)
 
 
+def lost_versions(df: DataFrame, keys: Sequence[str], attrs: Sequence[str]) -> DataFrame:
+    """``keys`` and ``n_lost``: how many different attribute sets of a key a
+    merge with one row per key does not take."""
+    versions = df.groupBy(*keys, *attrs).agg(F.count(F.lit(1)).alias("n"))
+    return versions.groupBy(*keys).agg((F.count(F.lit(1)) - 1).alias("n_lost")).filter("n_lost > 0")
+
+
 def fk_violations(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose non-null reference has no parent row."""
     keys = parent.select(F.col(pk).alias("_pk"))

@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 from ..functions.timeutil import ntz
 from ..functions.numeric import avg_cents, cents, cents_to_decimal, div_round
 from ..operators import incremental as inc
+from ..operators import quality
 from ..operators.contributions import Figures, changes, image
 from ..operators.keys import dense_keys, keep_last
 from ..operators.merge import upsert, upsert_version, write_version
@@ -495,6 +496,30 @@ def loaded_warehouse(sp: SparkSession, d: str) -> CraftWarehouse:
     return w
 
 
+MERGES = [
+    ("d_craftsman", CRAFTSMAN_KEYS, CRAFTSMAN_ATTRS), ("d_product", PRODUCT_KEYS, PRODUCT_ATTRS), ("d_customer", CUSTOMER_KEYS, CUSTOMER_ATTRS),
+]
+
+
+def merge_losses(stage: DataFrame) -> DataFrame:
+    """(rule, n_rows) of a staged load: what its merges do not take.  Rows
+    without a whole natural key; attribute sets of a key beside the latest
+    one; orders that collapse into another one of the same fact key (the
+    natural keys stand for the surrogate ones)."""
+    def row(rule: str, n: Column, df: DataFrame) -> DataFrame:
+        return df.agg(F.coalesce(n, F.lit(0)).cast("bigint").alias("n_rows")).select(F.lit(rule).alias("rule"), "n_rows")
+
+    out = None
+    for table, keys, attrs in MERGES:
+        lost = quality.lost_versions(stage.dropna(subset=keys), keys, attrs)
+        parts = [row(f"no key {table}", F.count(F.lit(1)), quality.null_keys(stage, keys)), row(f"lost {table}", F.sum("n_lost"), lost)]
+        for part in parts:
+            out = part if out is None else out.unionByName(part)
+    fact = [*PRODUCT_KEYS, *CRAFTSMAN_KEYS, *CUSTOMER_KEYS, "order_created_date"]
+    per = stage.groupBy(*fact).agg((F.count(F.lit(1)) - 1).alias("more"))
+    return out.unionByName(row("collapsed f_order", F.sum("more"), per))
+
+
 def _both_loads(first: DataFrame, second: DataFrame) -> DataFrame:
     """The stage of each load, with the load's number."""
     return first.withColumn("load", F.lit(1)).unionByName(second.withColumn("load", F.lit(2)))
@@ -502,6 +527,7 @@ def _both_loads(first: DataFrame, second: DataFrame) -> DataFrame:
 
 QUERIES = {
     "stage_external_orders": lambda sp, d: _both_loads(*(stage_external_orders(sp, d, load) for load in (1, 2))),
+    "merge_losses": lambda sp, d: _both_loads(*(merge_losses(stage_external_orders(sp, d, load)) for load in (1, 2))),
     "merge_dim_craftsman": lambda sp, d: _wh(sp, d).load2_dims["d_craftsman"],
     "merge_dim_product": lambda sp, d: _wh(sp, d).load2_dims["d_product"],
     "merge_dim_customer": lambda sp, d: _wh(sp, d).load2_dims["d_customer"],
@@ -638,10 +664,24 @@ mart2 AS (SELECT m.id, f.* FROM full2 f JOIN mart1 m USING (customer_id, report_
   FROM full2 f WHERE NOT EXISTS (SELECT 1 FROM mart1 m WHERE m.customer_id = f.customer_id AND m.report_period = f.report_period))
 """
 
+
+def _losses_sql(n: int) -> str:
+    fact = ", ".join([*PRODUCT_KEYS, *CRAFTSMAN_KEYS, *CUSTOMER_KEYS, "order_created_date"])
+    parts = [f"SELECT 'collapsed f_order' AS rule, count(*) - count(DISTINCT ({fact})) AS n_rows, {n} AS load FROM stage{n}"]
+    for table, keys, attrs in MERGES:
+        null = " OR ".join(f"{k} IS NULL" for k in keys)
+        k, a = ", ".join(keys), ", ".join(attrs)
+        parts.append(f"SELECT 'no key {table}', count(*) FILTER ({null}), {n} FROM stage{n}")
+        parts.append(f"SELECT 'lost {table}', CAST((SELECT count(*) FROM (SELECT DISTINCT {k}, {a} FROM stage{n} WHERE NOT ({null}))) - "
+                     f"(SELECT count(*) FROM (SELECT DISTINCT {k} FROM stage{n} WHERE NOT ({null}))) AS BIGINT), {n}")
+    return " UNION ALL ".join(parts)
+
+
 _STATS_COLS = ", ".join(c for c in MART_COLUMNS if c not in ("id", "top_product_category", "top_craftsman_id"))
 
 ORACLE = {
     "stage_external_orders": _CTES + "SELECT *, 1 AS load FROM stage1 UNION ALL SELECT *, 2 FROM stage2",
+    "merge_losses": _CTES + "\nUNION ALL ".join(_losses_sql(n) for n in (1, 2)),
     "merge_dim_craftsman": _CTES + "SELECT * FROM d_craftsman_2",
     "merge_dim_product": _CTES + "SELECT * FROM d_product_2",
     "merge_dim_customer": _CTES + "SELECT * FROM d_customer_2",

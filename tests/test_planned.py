@@ -129,6 +129,21 @@ def test_divisions_and_casts(spark):
         one.select(typed(F.lit("x"), "int")).collect()
 
 
+def test_losses_of_a_merge(spark, sf):
+    from martkit.plans import craft
+
+    stage = craft.stage_external_orders(spark, sf, 2).limit(200).cache()
+    n = stage.count()
+    other = stage.limit(1).withColumn("customer_address", F.lit("elsewhere")).withColumn("order_completion_date", F.lit(None).cast("date"))
+    keyless = stage.limit(3).withColumn("craftsman_email", F.lit(None).cast("string"))
+    was = {r.rule: r.n_rows for r in craft.merge_losses(stage).collect()}
+    now = {r.rule: r.n_rows for r in craft.merge_losses(stage.unionByName(other).unionByName(keyless)).collect()}
+    assert n == 200 and {k: now[k] - was[k] for k in now} == {
+        "no key d_craftsman": 3, "lost d_craftsman": 0, "no key d_product": 0, "lost d_product": 0,
+        "no key d_customer": 0, "lost d_customer": 1, "collapsed f_order": now["collapsed f_order"] - was["collapsed f_order"]}
+    assert now["collapsed f_order"] > was["collapsed f_order"] >= 0
+
+
 def test_rows_without_a_key_are_reported(spark):
     df = spark.createDataFrame([("a", 1), (None, 2), ("b", None)], "k string, j int")
     assert {(r.k, r.j) for r in null_keys(df, ["k", "j"]).collect()} == {(None, 2), ("b", None)}
