@@ -54,7 +54,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import Remembered, in_runs
+from .chunks import Remembered, give_back, in_runs, kept_alone
 from .common import written
 
 N = 5
@@ -62,7 +62,7 @@ THRESHOLD = 0.8
 WIDTH = 128
 SMALL = 100
 DEPTH = 4
-COMPARED = 500
+COMPARED = 100
 RECALL = 0.9999
 #: Sketch similarity from which sets are candidates; from which a set is close
 #: to a pivot; and from which it gets an edge to the pivot.  A partner of a
@@ -157,12 +157,11 @@ def node_ids(h: np.ndarray, run: np.ndarray, at: np.ndarray, below: np.ndarray)
     return _mixed(x ^ ((below.astype(np.uint64) << np.uint64(32)) | h[below])).view(np.int64)
 
 
-_SHINGLERS: dict[int, Shingler] = {}
 _SKETCH = "doc_id bigint, th bigint, sethash binary, n_shingles bigint, sketch binary, nodes array<bigint>"
 
 
 def _sketches(batches: Iterator[pd.DataFrame], n: int, width: int, runs: int, threshold: float) -> Iterator[pd.DataFrame]:
-    shingler = _SHINGLERS.setdefault(n, Shingler(n))
+    shingler = kept_alone(("shingles", n), lambda: Shingler(n))
     a, b = _coefficients(width)
     run, at, below = _first_picks(runs, width, threshold)
     for batch in batches:
@@ -181,6 +180,7 @@ def _sketches(batches: Iterator[pd.DataFrame], n: int, width: int, runs: int, th
             out.insert(0, "th", part["th"].to_numpy())
             out.insert(0, "doc_id", part["doc_id"].array)
             yield out
+    give_back()
 
 
 # --- brute force in small nodes ----------------------------------------------
@@ -247,6 +247,7 @@ def _brute(batches: Iterator[pd.DataFrame], width: int, least: float) -> Iterato
             yield pd.DataFrame(held, columns=["a", "b"])
             held, known = [], set()
     yield pd.DataFrame(held, columns=["a", "b"]).astype("int64")
+    give_back()
 
 
 def _by_pivot(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
@@ -423,15 +424,17 @@ def _units(batches: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.Dat
         root = _forest(a, b, len(g))
         at = np.flatnonzero(links)
         yield pd.DataFrame({"rep": ids[at], "root": ids[root[at]], "links": links[at].astype(np.int64)})
+    give_back()
 
 
 def _shingle_rows(batches: Iterator[pd.DataFrame], n: int) -> Iterator[pd.DataFrame]:
-    shingler = _SHINGLERS.setdefault(n, Shingler(n))
+    shingler = kept_alone(("shingles", n), lambda: Shingler(n))
     for batch in batches:
         texts = batch["text"].tolist()
         for lo, hi in in_runs(texts, 1_000_000):
             part = batch.iloc[lo:hi].drop(columns="text")
             yield part.assign(shingles=[shingler.set_of(t).tobytes() for t in texts[lo:hi]])
+    give_back()
 
 
 def links(members: DataFrame, texts: DataFrame, n: int, threshold: float) -> DataFrame:
