@@ -10,6 +10,7 @@ worker's memory and changes no result.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
@@ -166,6 +167,29 @@ class KnownChunks:
         return flat[at], ends[offsets[1:] - offsets[0]]
 
 
+_HELD: dict = {}
+
+
+def kept_alone(key, make: Callable[[], object]):
+    """What a worker keeps from task to task, made when it is first asked for.
+    Only the operator that ran last keeps anything, so the memories of a
+    pipeline's stages do not add up."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def give_back() -> None:
+    """Return freed memory to the machine at the end of a task: a worker that
+    waits for its next one would hold on to the most it ever used."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def in_runs(values: Sequence, weight: int = 4_000_000) -> Iterator[tuple[int, int]]:
     """Slices of ``values`` (strings) of about ``weight`` characters, which
     bound what one step holds."""

@@ -46,7 +46,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .chunks import ChunkTable, in_runs
+from .chunks import ChunkTable, give_back, in_runs, kept_alone
 from .common import written
 
 SYMBOLS = "#*$%&|<>"
@@ -137,18 +137,13 @@ def _measure(model: str):
 
     sp = sentencepiece.SentencePieceProcessor(model_file=model)
     is_byte = np.array([sp.is_byte(i) for i in range(sp.vocab_size())])
-    table = ChunkTable(lambda new: sp.encode([w.decode("utf-8") for w in new], num_threads=1))
+    table = ChunkTable(lambda new: sp.encode([w.decode("utf-8") for w in new], num_threads=1), limit=100_000)
     return is_byte, table
 
 
-_TABLES: dict[str, tuple] = {}
-
-
 def measures(texts: list[str], langs: list, model: str, bands: dict) -> list[tuple]:
     """One row of ``_SCHEMA`` per text, with the verdict of the fixed bands."""
-    if model not in _TABLES:
-        _TABLES[model] = _measure(model)
-    is_byte, table = _TABLES[model]
+    is_byte, table = kept_alone(("fertility", model), lambda: _measure(model))
     split = [t.encode("utf-8").split() for t in texts]
     rows = []
     for text, lang, numbers in zip(texts, langs, table.of(split), strict=True):
@@ -185,8 +180,9 @@ def fertility(text: Column, lang: Column, model: str | None = None, bands: dict
     def measured(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for texts, langs in batches:
             t, g = ["" if x is None else x for x in texts], list(langs)
-            rows = [r for lo, hi in in_runs(t) for r in measures(t[lo:hi], g[lo:hi], path, use)]
+            rows = [r for lo, hi in in_runs(t, 1_000_000) for r in measures(t[lo:hi], g[lo:hi], path, use)]
             yield pd.DataFrame(rows, columns=names)
+        give_back()
 
     return measured(text.cast("string"), lang.cast("string"))
 

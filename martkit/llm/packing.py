@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .chunks import KnownChunks, in_runs
+from .chunks import KnownChunks, give_back, in_runs, kept_alone
 from .common import written
 
 LENGTH = 2048
@@ -168,21 +168,17 @@ class Encoder:
         return out, hilbert_keys(_cells(vectors))
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def _encoded(text: Column, path: str, closing_id: int) -> Column:
     @F.pandas_udf("key bigint, n bigint, ids binary")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        if path not in _ENCODERS:
-            _ENCODERS[path] = Encoder(path)
-        enc = _ENCODERS[path]
+        enc = kept_alone(("packing", path), lambda: Encoder(path))
         for texts in batches:
             t = ["" if x is None else x for x in texts]
             ids, keys = enc.encode(t)
             close = np.array([closing_id], enc.dtype).tobytes()
             width = len(close)
             yield pd.DataFrame({"key": keys, "n": [len(x) // width + 1 for x in ids], "ids": [x + close for x in ids]})
+        give_back()
 
     return encoded(text.cast("string"))
 
