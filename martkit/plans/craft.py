@@ -428,7 +428,7 @@ class CraftWarehouse:
         months = parts_of(keys, month)
         held = tuple(self.store.read(t, schemas[t], months, upon) for t in ("sums", "counts"))
         state = figures.merged(held, figures.contributions(sides[0]), figures.contributions(sides[1], -1))
-        state = tuple(self._save(t, "mart_state") for t in state)
+        state = run_concurrently(*[lambda t=t: self._save(t, "mart_state") for t in state])
         metrics = mart_metrics(tuple(t.join(keys, MART_KEYS, "left_semi") for t in state))
 
         attributes = ["customer_name", "customer_address", "customer_birthday", "customer_email"]
@@ -442,9 +442,12 @@ class CraftWarehouse:
         part = self.store.read("mart", schemas["mart"], sorted({*replaced, *months}), upon).join(gone, MART_KEYS, "left_anti")
         new = inc.apply_keyed(part, rows, MART_KEYS, "id", upon.notes["last_id"]).select(*MART_COLUMNS)
         fork = self.store.fork(scratch_path(self.spark, "refreshed"), upon)
-        staged = fork.stage(upon, {"mart": (new, month)}, {*replaced, *months})
-        staged = fork.stage(staged, {"sums": (state[0], month), "counts": (state[1], month)}, months)
-        n_new = rows.filter("id IS NULL").count()
+        mart_part, state_part, n_new = run_concurrently(
+            lambda: fork.stage(upon, {"mart": (new, month)}, {*replaced, *months}),
+            lambda: fork.stage(upon, {"sums": (state[0], month), "counts": (state[1], month)}, months),
+            lambda: rows.filter("id IS NULL").count(),
+        )
+        staged = Pointer(upon.version + 1, {**state_part.folders, "mart": mart_part.folders["mart"]}, dict(upon.notes))
         staged.notes["last_id"] += n_new
         pointer = fork.publish(staged)
 
