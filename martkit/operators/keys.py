@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import TABLE_CODEC, scratch_path
 
 ColumnLike = Column | str
 
@@ -50,7 +50,7 @@ def dense_keys(
         .sortWithinPartitions(*cols)
         .withColumn("_mk_pid", F.spark_partition_id())
         .withColumn("_mk_pos", F.monotonically_increasing_id())
-        .write.parquet(path)
+        .write.parquet(path, compression=TABLE_CODEC)
     )
     ordered = spark.read.parquet(path)
     # One row per partition: bounded by the partition count, not the data.

@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import TABLE_CODEC
 from .keys import dense_keys
 from .versions import DEALT, Pointer, Versions, parts_of
 
@@ -168,8 +169,8 @@ def write_version(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     returned scan is what later steps read.
     """
     if partition_by:
-        by_period(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+        by_period(df, partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path, compression=TABLE_CODEC)
     else:
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path, compression=TABLE_CODEC)
     # The known schema: no inference pass, and an empty version reads fine.
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -24,6 +24,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import TABLE_CODEC
+
 _PART = "_version_part"
 #: Most shuffle partitions of a write by parts, before small ones are merged.
 DEALT = 500
@@ -103,7 +105,7 @@ class Versions:
             place = f"{self.root}/data/{name}/{upon.version + 1:010d}-{uuid.uuid4().hex[:8]}"
             # A part is one file, or as many as its size asks for.
             dealt = min(DEALT, 4 * max(1, len(parts)))
-            rows.withColumn(_PART, part).hint("rebalance", dealt, F.col(_PART)).write.partitionBy(_PART).parquet(place)
+            rows.withColumn(_PART, part).hint("rebalance", dealt, F.col(_PART)).write.partitionBy(_PART).parquet(place, compression=TABLE_CODEC)
             fs, path = self._at(place)
             found = {f.getPath().getName().partition("=")[2]: f.getPath().getName() for f in fs.listStatus(path) if f.isDirectory()}
             held = folders.setdefault(name, {})

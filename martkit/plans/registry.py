@@ -26,7 +26,7 @@ from ..operators.batches import Touch, final_keys, settle
 from ..operators.merge import write_version
 from ..session import scratch_path
 from ..sources import fixtures as fx
-from ..sources.io import RECORD_WIDTH, TOMBSTONE, padded, scan_records
+from ..sources.io import RECORD_WIDTH, TEXT_CODEC, TOMBSTONE, padded, scan_records
 
 # Car states.
 AVAILABLE, SOLD = "available", "sold"
@@ -187,7 +187,7 @@ class Registry:
 
     def write_cars(self) -> str:
         path = scratch_path(self.spark, "cars_records")
-        self.serialize_cars().select(F.col("line").alias("value")).write.text(path)
+        self.serialize_cars().select(F.col("line").alias("value")).write.text(path, compression=TEXT_CODEC)
         return path
 
     # ------------------------------------------------------------ reads
@@ -269,10 +269,10 @@ class Registry:
         taken = sales.agg(F.min("sales_number")).first()[0] or "S-NONE"
         mine = self.sales.join(self.cars.select(F.col("vin").alias("car_vin"), "lot", "car_no"), "car_vin")
 
-        def of(where: Column, number=F.col("sales_number"), car=F.col("car_vin"), days: int = 0) -> DataFrame:
-            return mine.filter(where).select(
+        def of(where: Column, number=F.col("sales_number"), car=F.col("car_vin"), days: int = 0) -> Column:
+            return F.when(where, F.struct(
                 number.cast("string").alias("sales_number"), car.cast("string").alias("car_vin"),
-                F.date_sub("sales_date", days).alias("sales_date"), "cost")
+                F.date_sub("sales_date", days).alias("sales_date"), "cost"))
 
         lot, unsold, none = F.col("lot"), F.col("lot") % 5 != 0, F.lit(None)
         asked = [
@@ -284,6 +284,8 @@ class Registry:
             of(unsold & (lot % 6 == 1), F.lit(taken), days=1),
             of(unsold & (lot % 8 == 3), F.concat(F.lit("S-SAME-"), _block().cast("string")), days=2),
         ]
+        # All requests that a sale makes come from one pass over the sales.
+        asked = [mine.select(F.explode(F.filter(F.array(*asked), lambda x: x.isNotNull())).alias("r")).select("r.*")]
         chain = self.cars.filter((F.col("car_no") - 1) % BLOCK < CHAIN)
         for step in (0, 1):
             asked.append(chain.select(
@@ -370,7 +372,7 @@ class Registry:
         s = self.sales.join(rev, "sales_number", "left")
         line = F.when(F.col("_gone").isNotNull(), F.lit(TOMBSTONE)).otherwise(sale_record())
         path = scratch_path(self.spark, "sales_records")
-        s.select(padded(line).alias("value")).write.text(path)
+        s.select(padded(line).alias("value")).write.text(path, compression=TEXT_CODEC)
         return path
 
     def scan_sales(self) -> DataFrame:

@@ -27,6 +27,10 @@ _DEFAULTS = {
 }
 
 
+#: Codec of the tables below the scratch folder.
+TABLE_CODEC = "zstd"
+
+
 def get_session(master: str | None = None, partitions: int | None = None) -> SparkSession:
     builder = SparkSession.builder.appName("martkit")
     if master:

@@ -18,6 +18,9 @@ CSV_NULL = "null"
 CSV_DELIMITER = ","
 RECORD_WIDTH = 500
 TOMBSTONE = "{}"
+# Text files are written compressed (padding and repeated fields take next to
+# nothing then); Spark reads them by their ending.
+TEXT_CODEC = "gzip"
 
 _CORRUPT = "_corrupt_record"
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -62,6 +65,7 @@ def write_csv(df: DataFrame, path: str) -> None:
         .option("sep", CSV_DELIMITER)
         .option("nullValue", CSV_NULL)
         .option("timestampNTZFormat", TS_FORMAT)
+        .option("compression", TEXT_CODEC)
         .csv(path)
     )
 
