@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import cents, cents_to_decimal
 from ..operators.keys import dense_keys
-from ..session import scratch_path
+from ..session import TABLE_CODEC, scratch_path
 from .tables import table
 
 # Materialized input views: (application id, folder, view) -> written table.
@@ -48,7 +48,7 @@ def materialized(builder):
         path = _TABLES.get(key)
         if path is None:
             path = scratch_path(spark, f"input_{builder.__name__}")
-            builder(spark, d).write.parquet(path)
+            builder(spark, d).write.parquet(path, compression=TABLE_CODEC)
             _TABLES[key] = path
         return spark.read.parquet(path)
 
@@ -178,15 +178,18 @@ def raw_sales(spark: SparkSession, d: str) -> DataFrame:
     cust = table(spark, d, "customer")
     # region is the fixed 5-row TPC-H dimension: a proven broadcast bound.
     region = F.broadcast(table(spark, d, "region"))
+    # Orders meet their customers first (a row per order, not per line), and the
+    # texts are made after the numbering: the lines shuffle as narrow rows.
+    buyers = orders.join(cust, orders.o_custkey == cust.c_custkey).select("o_orderkey", "c_custkey", "c_mktsegment", "c_nationkey")
     j = (
-        li.join(part, li.l_partkey == part.p_partkey)
-        .join(orders, li.l_orderkey == orders.o_orderkey)
-        .join(cust, orders.o_custkey == cust.c_custkey)
+        li.join(buyers, li.l_orderkey == buyers.o_orderkey)
+        .join(part, li.l_partkey == part.p_partkey)
         .join(region, region.r_regionkey == F.expr("cast(split_part(p_brand,'#',2) AS int) % 5"))
     )
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice"]
-    body = j.select(
-        *order,
+    body = j.select(*order, "l_discount", "p_brand", "p_name", "p_type", "p_size", "c_custkey", "c_mktsegment", "c_nationkey", "r_name")
+    return dense_keys(body, order, "id").select(
+        "id",
         F.expr(AUTO).alias("auto"),
         F.expr(CONSUMPTION).alias("gasoline_consumption"),
         cents_to_decimal(cents("l_extendedprice"), 9).alias("price"),
@@ -196,10 +199,6 @@ def raw_sales(spark: SparkSession, d: str) -> DataFrame:
         F.expr(DISCOUNT).alias("discount"),
         F.col("r_name").alias("brand_origin"),
     )
-    keyed = dense_keys(body, order, "id")
-    return keyed.select(
-        "id", "auto", "gasoline_consumption", "price", "date", "person_name", "phone", "discount", "brand_origin"
-    )
 
 
 def raw_menu(spark: SparkSession, d: str) -> DataFrame:
@@ -248,6 +247,12 @@ def user_order_log(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def one_name_per_customer(spark: SparkSession, d: str) -> bool:
+    """Whether no customer key stands under two names."""
+    names = table(spark, d, "customer").select("c_custkey", "c_name").filter("c_custkey IS NOT NULL").distinct()
+    return names.groupBy("c_custkey").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+
+
 @materialized
 def craft_products_orders(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem")
@@ -255,11 +260,19 @@ def craft_products_orders(spark: SparkSession, d: str) -> DataFrame:
     cust = table(spark, d, "customer")
     part = table(spark, d, "part")
     sup = table(spark, d, "supplier")
+    # The lines shuffle as narrow rows.  The customers come late: their names are
+    # joined once, and the rows of a customer are written side by side, so
+    # later steps combine them early.
+    lines = li.join(orders, li.l_orderkey == orders.o_orderkey).select(
+        "l_partkey", "l_suppkey", "o_custkey", "o_orderkey",
+        F.col("o_orderdate").cast("date").alias("order_created_date"),
+        F.expr(COMPLETION).alias("order_completion_date"),
+        F.expr(ORDER_STATUS).alias("order_status"),
+    )
     j = (
-        li.join(orders, li.l_orderkey == orders.o_orderkey)
-        .join(cust, orders.o_custkey == cust.c_custkey)
-        .join(part, li.l_partkey == part.p_partkey)
-        .join(sup, li.l_suppkey == sup.s_suppkey)
+        lines.join(part, lines.l_partkey == part.p_partkey)
+        .join(cust, lines.o_custkey == cust.c_custkey)
+        .join(sup, lines.l_suppkey == sup.s_suppkey)
     )
     return j.select(
         F.col("s_suppkey").alias("craftsman_id"),
@@ -270,9 +283,9 @@ def craft_products_orders(spark: SparkSession, d: str) -> DataFrame:
         F.col("p_type").alias("product_type"),
         cents_to_decimal(cents("p_retailprice"), 15).alias("product_price"),
         F.col("o_orderkey").alias("order_id"),
-        F.col("o_orderdate").cast("date").alias("order_created_date"),
-        F.expr(COMPLETION).alias("order_completion_date"),
-        F.expr(ORDER_STATUS).alias("order_status"),
+        "order_created_date",
+        "order_completion_date",
+        "order_status",
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("customer_name"),
     )
