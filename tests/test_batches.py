@@ -166,3 +166,40 @@ def test_long_records_survive_and_damaged_ones_fail(spark):
     spark.createDataFrame([('{"vin": "z',)], "value string").write.mode("append").text(path)
     with pytest.raises(Exception, match="(?i)malformed"):
         scan_records(spark, path, schema).collect()
+
+
+def test_a_table_tells_used_free_and_unknown_keys(spark):
+    """A key that the table lacks is unknown; a request comes once for each row
+    that the table has of its key."""
+    table = spark.createDataFrame([("A", True), ("B", False), ("B", None), ("C", False), (None, True)], "k string, used boolean")
+    rows = [(1, "A", "n1"), (2, "B", "n2"), (3, "Z", "n3"), (4, None, "n3"), (5, "C", "n3")]
+    df = spark.createDataFrame(rows, "o int, a string, b string")
+    for limit in (100, 0):
+        got = settle(df, TAKE, ["o"], {"x": table, "y": spark.createDataFrame([], "k string")}, limit).collect()
+        assert Counter((r.o, r.failed, r.at_start) for r in got) == Counter(
+            [(1, 0, True), (2, None, None), (2, 0, False), (3, 0, None), (4, 0, True), (5, None, None)])
+        assert len({r._row for r in got}) == 6
+
+
+@pytest.mark.parametrize("limit", [10**6, 3, 0])
+def test_numbers_grow_among_requests_that_share_keys(spark, limit):
+    df = spark.range(200).selectExpr("cast(id * 37 % 200 as int) o", "cast(id % 20 as int) a", "cast(id as int) b").repartition(5)
+    got = settle(df, TAKE, ["o"], {k: spark.createDataFrame([], "k int") for k in "xy"}, limit).collect()
+    for key in range(20):
+        mine = sorted((r for r in got if r.a == key), key=lambda r: r.o)
+        assert [r._row for r in mine] == sorted(r._row for r in mine)
+        assert [r.failed for r in mine] == [None] + [0] * (len(mine) - 1)
+
+
+def test_components_of_any_numbering(spark):
+    """A path whose nodes are numbered along it takes no more rounds than
+    one of random numbers."""
+    path = spark.range(3000).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    labels, rounds = components(path)
+    assert labels.filter("label <> 0").isEmpty() and labels.count() == 3001
+    assert rounds <= 2 * 12
+
+
+def test_rename_requests_pass_once_over_the_cars(spark, sf):
+    plan = reg.Registry(spark, sf).rename_requests._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1
