@@ -6,6 +6,7 @@ from datetime import date, datetime
 
 from martkit.operators import incremental as inc
 from martkit.operators.batches import components
+from martkit.operators.keys import keep_first, keep_last
 from martkit.plans import cars, craft
 from martkit.plans import registry as reg
 from martkit.session import scratch_path
@@ -127,3 +128,55 @@ def test_the_mart_is_written_as_parts_only(spark, sf):
     w = craft.loaded_warehouse(spark, sf)
     assert all("/warehouse-" in f for f in (*w.run1["mart"].inputFiles(), *w.fact1[0].inputFiles()))
     assert w.run1["pointer"].notes["last_id"] == w.run1["mart"].count()
+
+
+def test_an_order_column_is_carried_once(spark):
+    rows = [("k", 1, "a", "p"), ("k", 2, "a", "q"), ("k", 2, "b", None), ("m", None, "z", "r"), (None, 3, "a", "s")]
+    df = spark.createDataFrame(rows, "key string, n int, t string, v string")
+    last = keep_last(df, ["key"], ["n", "t"])
+    assert last.columns == df.columns
+    assert sorted(map(tuple, last.collect()), key=str) == sorted([("k", 2, "b", None), ("m", None, "z", "r"), (None, 3, "a", "s")], key=str)
+    assert sorted(map(tuple, keep_first(df.drop("v"), ["key"], ["n", "t"]).collect()), key=str) == sorted([("k", 1, "a"), ("m", None, "z"), (None, 3, "a")], key=str)
+    carried = _plan(keep_last(df.drop("v"), ["key"], ["n", "t"]))
+    assert "_row" not in carried
+
+
+def test_members_of_a_stage_stand_for_it(spark):
+    """Dimension and links from a stage's sources are those from the stage."""
+    rows = [(1, "a", "x", date(2000, 1, 1)), (1, "a", "x", date(2000, 1, 3)), (1, "a", "y", date(2000, 1, 2)), (2, "b", None, None), (None, "b", "z", date(1999, 1, 1)), (3, None, "q", None)]
+    stage = spark.createDataFrame(rows, "src bigint, k string, attr string, order_created_date date")
+    members = craft.sources(stage, "src", ["k"], ["attr"])
+    assert members.count() == 5
+    merged = [sorted(map(str, craft.merge_source(s, ["k"], ["attr"]).collect())) for s in (stage, members)]
+    assert merged[0] == merged[1]
+    dim = spark.createDataFrame([(11, "a"), (12, "b")], "_sid bigint, k string")
+    links = [sorted(map(str, craft.with_surrogate(stage, s, dim, "src", ["k"]).collect())) for s in (stage, members)]
+    assert links[0] == links[1]
+
+
+def test_the_delta_is_no_table_for_its_keys(spark, sf):
+    w = craft.loaded_warehouse(spark, sf)
+    keys = w.affected
+    assert "delta" not in w.__dict__
+    assert not any("customer_address" in line for line in _plan(keys).splitlines() if "Relation" not in line)
+    assert sorted(map(tuple, keys.collect())) == sorted(map(tuple, w.delta.select(*craft.MART_KEYS).distinct().collect()))
+
+
+def test_each_figure_reads_its_own_entries(spark):
+    orders = spark.createDataFrame(
+        [(1, "2000-01", 1, "t", 5, "done", date(2000, 1, 9), date(2000, 1, 1)), (1, "2000-01", 2, "s", 5, "created", None, date(2000, 1, 1)), (2, "2000-01", 3, None, None, "created", None, date(2000, 1, 1))],
+        "customer_id bigint, report_period string, order_id bigint, product_type string, craftsman_id bigint, order_status string, order_completion_date date, order_created_date date",
+    ).selectExpr("*", "cast(2.5 as decimal(15,2)) product_price")
+    state = craft.mart_figures().contributions(orders)
+    got = craft.mart_figures().rows(state, ["top_product_category", "top_craftsman_id"], ["median_days"])
+    assert sorted((r.customer_id, r.n, r.top_product_category, r.top_craftsman_id, r.median_days) for r in got.collect()) == [(1, 2, "s", 5, 8.0), (2, 1, None, None, None)]
+    aggregates = [line for line in _plan(got).splitlines() if "Aggregate " in line and "percentile" in line]
+    assert aggregates and all("min(" not in line for line in aggregates)
+
+
+def test_merged_state_is_written_as_parts_only(spark, sf):
+    w = craft.loaded_warehouse(spark, sf)
+    saved = []
+    w._save = lambda df, name, save=w._save: (saved.append(name), save(df, name))[1]
+    assert w.applied["mart"].count() >= w.run1["mart"].count()
+    assert "changed_keys" in saved and "mart_state" not in saved
