@@ -180,3 +180,11 @@ def test_merged_state_is_written_as_parts_only(spark, sf):
     w._save = lambda df, name, save=w._save: (saved.append(name), save(df, name))[1]
     assert w.applied["mart"].count() >= w.run1["mart"].count()
     assert "changed_keys" in saved and "mart_state" not in saved
+
+
+def test_recorded_sales_are_written_once(spark, sf):
+    r = reg.Registry(spark, sf)
+    sales = r.sell_state[1]
+    assert all("/recorded_sales-" in f for f in sales.inputFiles())
+    pre_sold = r.cars.filter("lot % 5 = 0").selectExpr("vin car_vin")
+    assert sorted(map(str, sales.collect())) == sorted(map(str, r.sales.join(pre_sold, "car_vin", "left_semi").select(*sales.columns).collect()))
